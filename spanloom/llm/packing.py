@@ -8,8 +8,8 @@ fits in logarithmic time.
 
 Defined results: null and empty texts are a document of the end id alone; repeated rows are documents of their own;
 ties in length go by id, then by order in the group; an empty table gives an empty table; other columns are ignored.
-A piece's ids never leave their task, so memory is one Arrow batch plus the memo of words, which is emptied when it
-holds ``MEMO`` entries.
+A piece's ids never leave their task, so memory is one Arrow batch plus the memo of words, of at most twice ``MEMO``
+entries.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEMO = 400_000
+MEMO = 600_000
+PART = 1 << 19  #: characters
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -32,43 +33,95 @@ class Tokens:
 
     The vocabulary's pre-tokeniser never joins across white space, so a text's ids are those of its white-space
     separated stretches, and each distinct stretch is tokenised once. Splitting at the space, tab and line ends only
-    leaves all other white space to the tokeniser.
+    leaves all other white space to the tokeniser. Stretches of letters, with or without one mark behind them, share
+    the ids of the lower-case word; new words are tokenised many at once and told apart by the ids that end a word.
+    The memo has two generations of ``MEMO`` stretches: what was not met during one is forgotten.
     """
 
+    MARKS = ".,;:!?"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.marks = dict(zip(self.MARKS, self._each(list(self.MARKS)), strict=True))
         self.memo: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+
+    def _each(self, stretches: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """words: letters only."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cut = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        if len(cut) != len(words) + 1 or cut[-1] != len(ids):
+            return self._each(words)
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
     def fill(self, stretches: set[str]) -> None:
-        new = [x for x in stretches if x not in self.memo]
-        if len(self.memo) + len(new) > MEMO:
-            self.memo = {"": b""}
-            new = list(stretches)
-        if new:
-            got = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            self.memo.update(zip(new, [np.array(x.ids, "<u4").tobytes() for x in got], strict=True))
-
-    def __call__(self, text: str) -> bytes:
-        if len(text) > 1 << 22:  # a very long text goes in parts cut at white space, so that its stretches stay few
-            parts, at = [], 0
-            while at < len(text):
-                end = at + (1 << 21)
-                cut = max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end)) if end < len(text) else len(text)
-                cut = cut if cut > at else len(text)
-                parts.append(self(text[at:cut]) if cut - at <= 1 << 22 else self._plain(text[at:cut]))
-                at = cut
-            return b"".join(parts)
-        return self._plain(text)
-
-    def _plain(self, text: str) -> bytes:
-        stretches = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        try:
-            return b"".join(map(self.memo.__getitem__, stretches))
-        except KeyError:
-            self.fill(set(stretches))
-            return b"".join(map(self.memo.__getitem__, stretches))
+        """Afterwards the memo has all of these."""
+        if len(self.memo) > MEMO:
+            self.memo, self.old = {"": b""}, self.memo
+        memo, old = self.memo, self.old
+        parts, other = [], []
+        for x in stretches.difference(memo):
+            if x in old:
+                memo[x] = old[x]
+                continue
+            word, mark = (x[:-1], x[-1]) if x[-1] in self.MARKS else (x, "")
+            if word.isalpha() and "\u0130" not in word:
+                parts.append((x, word.lower() if word.isascii() else word, mark))
+            else:
+                other.append(x)
+        new = list({w for _, w, _ in parts}.difference(memo, old))
+        memo.update(zip(new, self._words(new), strict=True))
+        for x, word, mark in parts:
+            own = memo.get(word) or old[word]
+            memo[x] = own + self.marks[mark] if mark else own
+        if other:
+            memo.update(zip(other, self._each(other), strict=True))
+
+    @staticmethod
+    def split(text: str) -> list[str]:
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text. Texts go in groups, a very long one in parts, so that what is split at a time stays small."""
+        group: list[list[str]] = []
+        size = 0
+        for text in texts:
+            if len(text) > PART:
+                yield from self._group(group)
+                group, size = [], 0
+                yield b"".join(x for part in self._parts(text) for x in self._group([self.split(part)]))
+                continue
+            group.append(self.split(text))
+            size += len(text)
+            if size > PART:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, group: list[list[str]]) -> list[bytes]:
+        self.fill(set().union(*group))
+        return [b"".join(map(self.memo.__getitem__, x)) for x in group]
+
+    @staticmethod
+    def _parts(text: str) -> Iterator[str]:
+        """Cut at blanks, where no id reaches across."""
+        at = 0
+        while at < len(text):
+            cut = text.find(" ", at + PART)
+            cut = len(text) if cut < 0 else cut
+            yield text[at:cut]
+            at = cut
 
 
 def cut(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, groups: int = 1, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -80,8 +133,9 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
         tokens = Tokens(tokenizer_path)
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
-            for doc, text, group in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                ids = tokens(text.as_py() or "") + end
+            texts = [x or "" for x in b.column(1).to_pylist()]
+            for doc, ids, group in zip(b.column(0).to_pylist(), tokens(texts), b.column(2).to_pylist(), strict=True):
+                ids += end
                 n = len(ids) // 4
                 for at in range(0, n, capacity):
                     piece = ids[4 * at : 4 * (at + capacity)]

@@ -26,8 +26,14 @@ def test_tokens_equal_the_tokenizer():
     plain, memo = Tokenizer.from_file(P), packing.Tokens(P)
     texts = [t for _, t in cases.awkward() if t is not None]
     texts += ["It's  the dog's  'tis\r\n\x1c!\x1c! <|endoftext|> x<|startoftext|>", "é Σας ΣΑΣ İ ǅ 3½ 一二", "a b\x85c᠎d !?!\t!?"]
-    for t in texts:
-        assert memo(t) == np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t[:50]
+    for t, got in zip(texts, memo(texts), strict=True):
+        assert got == np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t[:50]
+
+
+def test_parts_and_forgetting(monkeypatch):
+    monkeypatch.setattr(packing, "PART", 50)
+    monkeypatch.setattr(packing, "MEMO", 100)
+    test_tokens_equal_the_tokenizer()
 
 
 @pytest.mark.parametrize("group_docs", [4, 4096])
