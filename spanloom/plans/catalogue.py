@@ -1,15 +1,610 @@
-"""The registered queries over the reference tables, with the SQL that gives the same rows."""
+"""The registered queries over the reference tables, each beside the SQL that gives the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from spanloom.functions import text as T
+from spanloom.operators import elements, fields, products, sequential, stats, validate
+from spanloom.operators.relation import Relation, numbered
+from spanloom.session import table
+from spanloom.sources import corpus as C
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# -- relations
+
+
+def _users(spark: SparkSession, sf_dir: str) -> list[Relation]:
+    events = table(spark, sf_dir, "events")
+    return [Relation(events.where(c).select("user_id")) for c in ("event_type = 'click' AND value > 40", "event_type = 'purchase' AND value > 30", "event_type = 'error' AND user_id % 3 = 0")]
+
+
+_USER_SETS = """a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'click' AND value > 40),
+ b AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 30),
+ c AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND user_id % 3 = 0),
+ t AS (SELECT user_id, 1 AS o FROM a UNION ALL SELECT user_id, 2 FROM b UNION ALL SELECT user_id, 3 FROM c)"""
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> Relation:
+    o = table(spark, sf_dir, "orders")
+    return Relation(o.select(F.col("o_custkey").alias("custkey"), "o_orderkey", "o_orderpriority", "o_orderstatus"), distinct=False)
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> Relation:
+    c = table(spark, sf_dir, "customer")
+    return Relation(c.select(F.col("c_custkey").alias("custkey"), "c_mktsegment", "c_nationkey"), distinct=False)
+
+
+@query("SELECT DISTINCT o_orderpriority, o_orderstatus FROM orders")
+def rel_keep(spark, sf_dir):
+    return _orders(spark, sf_dir).keep("o_orderpriority, o_orderstatus").df
+
+
+@query("SELECT DISTINCT c_mktsegment, c_nationkey FROM customer")
+def rel_drop(spark, sf_dir):
+    return _customers(spark, sf_dir).drop("custkey").df
+
+
+@query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
+def rel_keepc(spark, sf_dir):
+    return _orders(spark, sf_dir).keepc("o_orderpriority", "n").df
+
+
+@query("SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY 1, 2")
+def rel_dropc(spark, sf_dir):
+    return _customers(spark, sf_dir).dropc("custkey", "n").df
+
+
+@query("SELECT count(*) AS n FROM orders WHERE o_orderkey < 0 HAVING count(*) > 0")
+def rel_keepc_nothing(spark, sf_dir):
+    return _orders(spark, sf_dir).filter("o_orderkey < 0").keepc("", "n").df
+
+
+@query("SELECT n_name AS n_regionkey, n_regionkey AS n_name, n_nationkey FROM nation")
+def rel_rename(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "nation").select("n_name", "n_regionkey", "n_nationkey")).rename({"n_name": "n_regionkey", "n_regionkey": "n_name"}).df
+
+
+@query("SELECT r_name, r_regionkey FROM region")
+def rel_order(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "region").select("r_regionkey", "r_name")).order("r_name").df
+
+
+@query("SELECT o_custkey AS custkey, o_orderkey, o_orderpriority, o_orderstatus, c_mktsegment, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey")
+def rel_join(spark, sf_dir):
+    return _orders(spark, sf_dir).join(_customers(spark, sf_dir)).df
+
+
+@query("SELECT r_name, s.k FROM region, (SELECT unnest(['x', 'y']) AS k) s")
+def rel_join_product(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "region").select("r_name")).join(Relation(spark.createDataFrame([("x",), ("y",)], "k string"))).df
+
+
+@query("SELECT c_custkey AS custkey, c_mktsegment, c_nationkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def rel_match(spark, sf_dir):
+    return _customers(spark, sf_dir).match(_orders(spark, sf_dir).filter("o_orderstatus = 'F'")).df
+
+
+@query("SELECT c_custkey AS custkey, c_mktsegment, c_nationkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def rel_miss(spark, sf_dir):
+    return _customers(spark, sf_dir).miss(_orders(spark, sf_dir).filter("o_orderstatus = 'F'")).df
+
+
+@query("SELECT DISTINCT c_mktsegment, c_nationkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def rel_image(spark, sf_dir):
+    return _customers(spark, sf_dir).image(_orders(spark, sf_dir).filter("o_orderstatus = 'F'")).df
+
+
+@query("SELECT DISTINCT c_mktsegment, o_orderpriority FROM customer JOIN orders ON o_custkey = c_custkey")
+def rel_compose(spark, sf_dir):
+    return _customers(spark, sf_dir).keep("custkey c_mktsegment").compose(_orders(spark, sf_dir).keep("custkey o_orderpriority")).df
+
+
+@query(f"WITH {_USER_SETS} SELECT user_id, CAST(o AS VARCHAR) AS tag FROM t")
+def rel_sum(spark, sf_dir):
+    a, b, c = _users(spark, sf_dir)
+    return a.sum(b, c).df
+
+
+@query(f"WITH {_USER_SETS} SELECT DISTINCT user_id FROM t")
+def rel_union(spark, sf_dir):
+    a, b, c = _users(spark, sf_dir)
+    return a.union(b, c).df
+
+
+@query(f"WITH {_USER_SETS} SELECT user_id FROM t GROUP BY 1 HAVING count(*) = 3")
+def rel_meet(spark, sf_dir):
+    a, b, c = _users(spark, sf_dir)
+    return a.meet(b, c).df
+
+
+@query(f"WITH {_USER_SETS} SELECT user_id FROM t GROUP BY 1 HAVING count(*) = 1 AND max(o) = 1")
+def rel_sans(spark, sf_dir):
+    a, b, c = _users(spark, sf_dir)
+    return a.sans(b, c).df
+
+
+@query(f"WITH {_USER_SETS} SELECT user_id FROM t GROUP BY 1 HAVING count(*) = 1")
+def rel_symm(spark, sf_dir):
+    a, b, c = _users(spark, sf_dir)
+    return a.symm(b, c).df
+
+
+@query(f"""WITH {_USER_SETS} SELECT CAST(count(*) FILTER (n = 1 AND m = 1) AS BIGINT) AS only1, CAST(count(*) FILTER (n = 2) AS BIGINT) AS "both", CAST(count(*) FILTER (n = 1 AND m = 2) AS BIGINT) AS only2
+ FROM (SELECT user_id, count(*) AS n, max(o) AS m FROM t WHERE o < 3 GROUP BY 1)""")
+def rel_compare(spark, sf_dir):
+    a, b, _ = _users(spark, sf_dir)
+    return a.compare(b)
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY ALL LIMIT 10")
+def rel_head(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), distinct=False).head(10).df
+
+
+@query("SELECT o_orderkey, o_custkey FROM (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey DESC, o_custkey DESC) AS r FROM orders) WHERE r > 25")
+def rel_head_but(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), distinct=False).head(-25).df
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey DESC, o_custkey DESC LIMIT 7")
+def rel_tail(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), distinct=False).tail(7).df
+
+
+@query("SELECT o_orderkey, o_custkey FROM (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_orderkey, o_custkey) AS r FROM orders) WHERE r >= 1500")
+def rel_tail_from(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), distinct=False).tail(1500, start=True).df
+
+
+@query("SELECT s_nationkey, s_name FROM supplier ORDER BY ALL")
+def rel_sort(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "supplier").select("s_nationkey", "s_name")).sort("s_nationkey").df
+
+
+@query("SELECT n_name, n_regionkey, row_number() OVER (ORDER BY n_name) AS tag FROM nation")
+def rel_from_tag(spark, sf_dir):
+    return numbered(table(spark, sf_dir, "nation").select("n_name", "n_regionkey"), [F.col("n_name")], "tag")
+
+
+@query("SELECT p_partkey, p_size, p_size * 2 AS twice FROM part WHERE p_size > 20")
+def rel_extend_filter(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "part").select("p_partkey", "p_size")).filter("p_size > 20").extend(twice="p_size * 2").df
+
+
+@query("SELECT count(*) AS records, count(DISTINCT n_nationkey) AS n_nationkey, count(DISTINCT n_regionkey) AS n_regionkey FROM nation")
+def rel_info(spark, sf_dir):
+    return Relation(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")).info()
+
+
+@query(None)
+def rel_sample(spark, sf_dir):
+    """A sample is the feature; which records it holds depends on a hash."""
+    return _customers(spark, sf_dir).sample(30, seed=5).df
+
+
+@query("SELECT c_custkey AS custkey, c_mktsegment, c_nationkey FROM customer")
+def rel_shuffle(spark, sf_dir):
+    return _customers(spark, sf_dir).shuffle(seed=5).df
+
+
+# -- documents as a corpus
+
+
+def _corpus(spark: SparkSession, sf_dir: str) -> C.Corpus:
+    return C.from_texts(table(spark, sf_dir, "documents"), "doc_id", "text", ["lang", "source", "n_chars"])
+
+
+_PARAS = """lines AS (SELECT doc_id AS text_id, unnest(l) AS content, CAST(generate_subscripts(l, 1) AS BIGINT) AS para_no FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+ paras AS (SELECT * FROM lines WHERE trim(content) <> '')"""
+_SENTS = _PARAS + """,
+ parts AS (SELECT text_id, para_no, unnest(l) AS s, CAST(generate_subscripts(l, 1) AS BIGINT) AS sent_no FROM (SELECT text_id, para_no, regexp_split_to_array(content, '[.!?]+') AS l FROM paras)),
+ sents AS (SELECT text_id, para_no, sent_no, regexp_extract_all(s, '\\p{L}+') AS w FROM parts WHERE regexp_matches(s, '\\p{L}'))"""
+_TOKENS = _SENTS + """,
+ tokens AS (SELECT text_id, para_no, sent_no, unnest(w) AS word, CAST(generate_subscripts(w, 1) AS BIGINT) AS tok_no FROM sents)"""
+
+
+@query("""WITH w AS (SELECT unnest(regexp_extract_all(text, '\\p{L}+')) AS word FROM documents), c AS (SELECT word, count(*) AS n FROM w GROUP BY 1)
+ SELECT word, n, round(n * 1000000.0 / (SELECT sum(n) FROM c), 2) AS ipm, rank() OVER (ORDER BY n DESC) AS rank FROM c""")
+def freq_rank(spark, sf_dir):
+    words = table(spark, sf_dir, "documents").select(F.explode(stats.words_of(F.col("text"))).alias("word"))
+    return stats.frequencies(words, "word")
+
+
+@query("""WITH w AS (SELECT lang, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS word FROM documents), c AS (SELECT lang, word, count(*) AS n FROM w GROUP BY 1, 2)
+ SELECT lang, word, n, round(n * 1000000.0 / sum(n) OVER (PARTITION BY lang), 2) AS ipm, rank() OVER (PARTITION BY lang ORDER BY n DESC) AS rank FROM c""")
+def freq_by_lang(spark, sf_dir):
+    words = table(spark, sf_dir, "documents").select("lang", F.explode(stats.words_of(F.lower("text"))).alias("word"))
+    return stats.frequencies(words, "word", ["lang"])
+
+
+@query("SELECT k, min(v) AS value FROM (SELECT n_chars AS v, sum(count(*)) OVER (ORDER BY n_chars) AS cum, sum(count(*)) OVER () AS total FROM documents GROUP BY 1), range(11) t(k) WHERE cum * 10 >= k * total GROUP BY 1")
+def quantiles(spark, sf_dir):
+    return stats.quantiles(table(spark, sf_dir, "documents"), "n_chars", 10)
+
+
+@query("SELECT source, k, min(v) AS value FROM (SELECT source, n_chars AS v, sum(count(*)) OVER (PARTITION BY source ORDER BY n_chars) AS cum, sum(count(*)) OVER (PARTITION BY source) AS total FROM documents GROUP BY 1, 2), range(5) t(k) WHERE cum * 4 >= k * total GROUP BY 1, 2")
+def quantiles_by_source(spark, sf_dir):
+    return stats.quantiles_by(table(spark, sf_dir, "documents"), ["source"], "n_chars", 4)
+
+
+@query(f"WITH {_TOKENS} SELECT text_id, para_no, sent_no, tok_no, word FROM tokens")
+def tokenize(spark, sf_dir):
+    return _corpus(spark, sf_dir).tokens
+
+
+@query(f"WITH {_TOKENS}, h AS (SELECT text_id, para_no, sent_no, count(*) AS size FROM tokens GROUP BY ALL) SELECT size, count(*) AS n FROM h GROUP BY 1")
+def element_sizes(spark, sf_dir):
+    return stats.element_sizes(_corpus(spark, sf_dir), "sentence")
+
+
+@query(f"""WITH {_TOKENS}, h AS (SELECT d.doc_id, count(t.word) AS size FROM documents d LEFT JOIN tokens t ON t.text_id = d.doc_id GROUP BY 1), g AS (SELECT size, count(*) AS n FROM h GROUP BY 1),
+ r AS (SELECT size, n, sum(n) OVER (ORDER BY size) AS cum, sum(n) OVER () AS total FROM g)
+ SELECT CAST(sum(size * n) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS mean, min(size) AS q0, min(size) FILTER (cum * 4 >= total) AS q1, min(size) FILTER (cum * 4 >= 2 * total) AS q2, min(size) FILTER (cum * 4 >= 3 * total) AS q3, min(size) FILTER (cum >= total) AS q4 FROM r""")
+def size_summary(spark, sf_dir):
+    return stats.size_summary(stats.element_sizes(_corpus(spark, sf_dir), "text"))
+
+
+@query("""WITH r AS (SELECT doc_id, regexp_extract_all(text, '[\\p{L}\\p{N}_]+') AS w, regexp_extract_all(text, '[^\\p{L}\\p{N}_]+') AS x FROM documents)
+ SELECT doc_id, CAST(length(array_to_string(w, '')) AS BIGINT) AS w_chars, CAST(len(w) AS BIGINT) AS w_runs, CAST(coalesce(list_max(list_transform(w, lambda y: length(y))), 0) AS BIGINT) AS w_max,
+ CAST(length(array_to_string(x, '')) AS BIGINT) AS "W2_chars", CAST(len(x) AS BIGINT) AS "W2_runs" FROM r""")
+def character_runs(spark, sf_dir):
+    w, x = stats.class_runs(F.col("text"), "w"), stats.class_runs(F.col("text"), "W")
+    return table(spark, sf_dir, "documents").select("doc_id", *(e.alias(n) for n, e in w.items()), x["W_chars"].alias("W2_chars"), x["W_runs"].alias("W2_runs"))
+
+
+@query("SELECT ch, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '(?s).')) AS ch FROM documents) GROUP BY 1")
+def character_frequencies(spark, sf_dir):
+    return stats.character_frequencies(table(spark, sf_dir, "documents"), "text")
+
+
+@query("""SELECT l_returnflag, count(DISTINCT l_linenumber) AS n_l_linenumber, count(DISTINCT (l_linenumber, l_linestatus)) AS n_l_linestatus, count(DISTINCT (l_linenumber, l_linestatus, l_suppkey)) AS n_l_suppkey, count(*) AS n_tokens FROM lineitem GROUP BY 1""")
+def nested_distinct(spark, sf_dir):
+    return stats.nested_distinct(table(spark, sf_dir, "lineitem"), "l_returnflag", ["l_linenumber", "l_linestatus", "l_suppkey"])
+
+
+@query("""WITH c AS (SELECT source, lang AS v, count(*) AS n FROM documents GROUP BY 1, 2)
+ SELECT source, '|' || string_agg(v || ':' || n, '|' ORDER BY n DESC, v) || '|' AS value FROM c GROUP BY 1""")
+def sum_class(spark, sf_dir):
+    counted = table(spark, sf_dir, "documents").groupBy("source", F.col("lang").alias("v")).agg(F.count("*").alias("n"))
+    return elements.weighted_set(counted, ["source"], "v", "n")
+
+
+@query("""WITH c AS (SELECT source, lang AS v, count(*) AS n, max(count(*)) OVER (PARTITION BY source) AS top FROM documents GROUP BY 1, 2)
+ SELECT source, string_agg(v, '-' ORDER BY v) AS main FROM c WHERE n = top OR v = 'es' GROUP BY 1""")
+def partition_main(spark, sf_dir):
+    counted = table(spark, sf_dir, "documents").groupBy("source", F.col("lang").alias("v")).agg(F.count("*").alias("n"))
+    return elements.main_values(counted, ["source"], "v", "n", ["es"])
+
+
+@query("SELECT event_type, strftime(ts, '%Y%m%d') AS datefrom, strftime(ts, '%Y%m%d') AS dateto, count(*) AS tokens FROM events GROUP BY 1, 2")
+def time_data(spark, sf_dir):
+    parts = T.date_parts(F.col("ts"))
+    return products.time_data(table(spark, sf_dir, "events"), parts["datefrom"], parts["dateto"], F.lit(1), ["event_type"])
+
+
+@query("SELECT strftime(ts, '%Y%m') || '01000000' AS datefrom, strftime(last_day(ts), '%Y%m%d') || '235959' AS dateto, count(*) AS tokens FROM events GROUP BY 1, 2")
+def time_data_coarser(spark, sf_dir):
+    digits = F.date_format("ts", "yyyyMMddHHmmss")
+    return products.coarser_time_data(products.time_data(table(spark, sf_dir, "events"), digits, digits, F.lit(1)), 6)
+
+
+@query("""WITH f AS (SELECT 0 AS k, unnest(['m' || (user_id % 40), 't' || (user_id % 7)]) AS lemgram FROM events UNION ALL SELECT 1, 'm' || (event_id % 50) FROM events UNION ALL SELECT 2, unnest(['t' || (event_id % 9), 'c:' || (event_id % 3)]) FROM events)
+ SELECT lemgram, count(*) FILTER (k = 0) AS freq, count(*) FILTER (k = 1) AS freq_prefix, count(*) FILTER (k = 2) AS freq_suffix FROM f WHERE NOT regexp_matches(lemgram, ':[0-9]+$') GROUP BY 1""")
+def lemgram_index(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return products.lemgram_index(e, F.expr("concat('|m', user_id % 40, '|t', user_id % 7, '|')"), F.expr("concat('|m', event_id % 50, '|')"), F.expr("concat('|t', event_id % 9, '|c:', event_id % 3, '|')"))
+
+
+@query(f"""WITH {_TOKENS}, p AS (SELECT h.word AS head, CASE WHEN length(d.word) > 4 THEN 'long' ELSE 'short' END AS rel, d.word AS dep FROM tokens d JOIN tokens h ON d.text_id = h.text_id AND d.para_no = h.para_no AND d.sent_no = h.sent_no AND h.tok_no = d.tok_no + 1),
+ t AS (SELECT head, rel, dep, count(*) AS freq FROM p GROUP BY 1, 2, 3)
+ SELECT head, rel, dep, freq, CAST(sum(freq) OVER (PARTITION BY rel) AS BIGINT) AS freq_rel, CAST(sum(freq) OVER (PARTITION BY head, rel) AS BIGINT) AS freq_head_rel, CAST(sum(freq) OVER (PARTITION BY rel, dep) AS BIGINT) AS freq_rel_dep FROM t""")
+def word_picture(spark, sf_dir):
+    """Each token's head is the next one."""
+    tokens = _corpus(spark, sf_dir).tokens.withColumns({"head_no": F.col("tok_no") + 1, "rel": F.when(F.length("word") > 4, "long").otherwise("short")})
+    return products.word_picture(products.dependency_pairs(tokens, C.KEYS["sentence"], "tok_no", "head_no", "word", "rel"))
+
+
+@query("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source, md5(text) ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
+def deduplicate(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").groupBy("source", F.md5("text").alias("h")).agg(F.min("doc_id").alias("doc_id"))
+    return d.select("doc_id", "source")
+
+
+@query("""WITH d AS (SELECT doc_id, regexp_extract_all(text, '\\p{L}+') AS w, text FROM documents), f AS (SELECT md5(array_to_string(list_transform(string_split(text, chr(10)), lambda p: array_to_string(list_transform(regexp_split_to_array(p, '[.!?]+'), lambda s: array_to_string(regexp_extract_all(s, '\\p{L}+'), ' ')), '.')), '/')) AS h, doc_id FROM d)
+ SELECT min(doc_id) AS text_id FROM f GROUP BY h""")
+def deduplicate_content(spark, sf_dir):
+    """Texts with equal sentences of equal words; where the empty lines and stops are may differ between engines, so the SQL tells texts apart by the same cuts."""
+    return elements.deduplicate(_corpus(spark, sf_dir), "text").texts.select("text_id")
+
+
+@query("SELECT d.doc_id AS text_id, coalesce(CAST(l.quality AS VARCHAR), '') AS quality, coalesce(CAST(l.toxic AS VARCHAR), '') AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def attribute_join(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("key", F.col("doc_id").cast("string"))
+    corpus = C.from_texts(docs, "doc_id", "text", ["key"])
+    labels = table(spark, sf_dir, "labels").withColumn("doc_id", F.col("doc_id").cast("string"))
+    return elements.add_attributes(corpus, "text", "key", labels, "doc_id").texts.select("text_id", F.col("attrs.quality").alias("quality"), F.col("attrs.toxic").alias("toxic"))
+
+
+@query("WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents), c AS (SELECT c_name, row_number() OVER (ORDER BY c_custkey) AS r FROM customer) SELECT doc_id AS text_id, c_name FROM d JOIN c ON d.r = c.r")
+def positional_join(spark, sf_dir):
+    corpus = C.from_texts(table(spark, sf_dir, "documents").join(table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1).alias("doc_id")), "doc_id", "left_semi"), "doc_id", "text")
+    return elements.zip_attributes(corpus, "text", table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey").texts.select("text_id", F.col("attrs.c_name").alias("c_name"))
+
+
+@query("SELECT p_partkey, p_brand FROM part WHERE regexp_full_match(p_brand, 'Brand#[12].*') AND NOT regexp_full_match(p_type, 'PROMO.*')")
+def select_regex(spark, sf_dir):
+    corpus = C.from_texts(table(spark, sf_dir, "part").withColumn("text", F.lit("x")), "p_partkey", "text", ["p_brand", "p_type"])
+    kept = elements.select(corpus, "text", [("p_brand", "=", "Brand#[12].*"), ("p_type", "!=", "PROMO.*")])
+    return kept.texts.select(F.col("text_id").alias("p_partkey"), F.col("attrs.p_brand").alias("p_brand"))
+
+
+@query(f"WITH {_TOKENS} SELECT DISTINCT text_id FROM tokens WHERE regexp_full_match(word, '(?i)(the|und|que)')")
+def select_by_token(spark, sf_dir):
+    return elements.with_tokens(_corpus(spark, sf_dir), elements.matches(F.col("word"), "(?i)(the|und|que)")).texts.select("text_id")
+
+
+@query("SELECT page_id, CASE WHEN length(url) >= 45 AND regexp_matches(url, '^(https?://|www[.])') THEN '[redacted]' ELSE url END AS url FROM pages")
+def redact_long(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.redact_long(F.col("url"), 45, "link").alias("url"))
+
+
+@query("SELECT conv_id, string_agg(role || ': ' || text, ' / ' ORDER BY turn) AS line FROM conversations GROUP BY 1")
+def element_as_line(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    item = F.struct("turn", F.concat_ws(": ", "role", "text").alias("t"))
+    return c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["t"]), " / ").alias("line"))
+
+
+@query(f"WITH {_TOKENS} SELECT text_id, para_no, sent_no, string_agg(word, ' ' ORDER BY tok_no) AS line FROM tokens GROUP BY ALL")
+def sentence_lines(spark, sf_dir):
+    return elements.element_as_line(_corpus(spark, sf_dir), "sentence")
+
+
+@query("""WITH x AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS g FROM events)
+ SELECT user_id, event_type, min(event_id) AS first, max(event_id) AS last, count(*) AS n FROM x GROUP BY user_id, event_type, g""")
+def tag_runs(spark, sf_dir):
+    return products.runs(table(spark, sf_dir, "events"), ["user_id"], "event_id", "event_type")
+
+
+@query(f"""WITH {_TOKENS}, g AS (SELECT *, CASE WHEN regexp_matches(word, '^\\p{{Lu}}') THEN 'cap' END AS tag FROM tokens),
+ x AS (SELECT *, row_number() OVER (PARTITION BY text_id, para_no, sent_no ORDER BY tok_no) - row_number() OVER (PARTITION BY text_id, para_no, sent_no, tag ORDER BY tok_no) AS r FROM g),
+ n AS (SELECT text_id, string_agg(word, ' ' ORDER BY tok_no) AS name FROM x WHERE tag = 'cap' GROUP BY text_id, para_no, sent_no, r) SELECT name, 'cap' AS cat, text_id, count(*) AS freq FROM n GROUP BY 1, 2, 3""")
+def name_index(spark, sf_dir):
+    tokens = _corpus(spark, sf_dir).tokens.withColumn("tag", F.when(F.rlike("word", F.lit(r"^\p{Lu}")), "cap").otherwise("_"))
+    return products.name_index(tokens, "tag", "word", "word", cased=False)
+
+
+@query("SELECT doc_id, regexp_replace(trim(regexp_replace(text, chr(173) || '+', '', 'g'), ' '), ' +', ' ', 'g') AS clean FROM documents")
+def tidy_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.collapse_spaces(T.drop_soft_hyphens(F.col("text"))).alias("clean"))
+
+
+@query("SELECT doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped, text AS back FROM documents")
+def escape_round_trip(spark, sf_dir):
+    escaped = T.escape_field(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", escaped.alias("escaped"), T.unescape(escaped).alias("back"))
+
+
+@query("SELECT doc_id, regexp_replace(regexp_replace(text, '[0-9]+', '#', 'g'), '(\\p{L})(\\p{L})', '\\2\\1') AS s FROM documents")
+def substitute(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.substitute(T.substitute(F.col("text"), "[0-9]+", "#", "g"), r"(\p{L})(\p{L})", "$2$1").alias("s"))
+
+
+@query("""WITH u AS (SELECT *, epoch_us(ts) AS us, event_id % 5 = 0 AS undated FROM events), x AS (SELECT *, last_value(CASE WHEN NOT undated THEN us END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b,
+ first_value(CASE WHEN NOT undated THEN us END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS a FROM u)
+ SELECT event_id, CASE WHEN undated THEN coalesce((a + b) // 2, b, a) ELSE us END AS filled FROM x""")
+def interpolate_time(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    return products.interpolate_time(e, ["user_id"], "event_id", "us", F.col("event_id") % 5 == 0).select("event_id", "filled")
+
+
+@query("""WITH t AS (SELECT unnest(regexp_extract_all(html, '<(/?[A-Za-z][^<>]*)>', 1)) AS tag FROM pages) SELECT lower(regexp_extract(tag, '^([A-Za-z][A-Za-z0-9]*)', 1)) AS name, count(*) AS n, CAST(sum(len(regexp_extract_all(tag, '\\s([A-Za-z][A-Za-z0-9-]*)=', 1))) AS BIGINT) AS n_attrs FROM t WHERE tag NOT LIKE '/%' GROUP BY 1""")
+def markup_counts(spark, sf_dir):
+    return stats.markup_counts(table(spark, sf_dir, "pages"), "page_id", "html")
+
+
+@query("""WITH l AS (SELECT page_id AS id, regexp_extract_all(html, '<(/?[A-Za-z][^<>]*)>', 1) AS l FROM pages), t AS (SELECT id, unnest(l) AS tag, generate_subscripts(l, 1) AS pos FROM l),
+ k AS (SELECT id, pos, CASE WHEN tag LIKE '/%' THEN -1 WHEN tag LIKE '%/' OR lower(regexp_extract(tag, '^/?([A-Za-z][A-Za-z0-9]*)', 1)) IN ('area','base','br','col','embed','hr','img','input','link','meta','param','source','track','wbr') THEN 0 ELSE 1 END AS kind FROM t),
+ d AS (SELECT id, sum(kind) OVER (PARTITION BY id ORDER BY pos) AS d FROM k) SELECT id, CAST(max(d) AS BIGINT) AS depth FROM d GROUP BY 1""")
+def markup_depth(spark, sf_dir):
+    return stats.markup_depth(table(spark, sf_dir, "pages"), "page_id", "html")
+
+
+@query("""WITH RECURSIVE w AS (SELECT c_custkey AS id, CAST(c_custkey AS VARCHAR) AS path FROM customer WHERE c_custkey < 4 UNION ALL SELECT c.c_custkey, w.path || '/' || c.c_custkey FROM customer c JOIN w ON c.c_custkey // 4 = w.id WHERE c.c_custkey >= 4) SELECT id, path FROM w""")
+def thread_paths(spark, sf_dir):
+    """Customers as posts: each answers the one of a quarter of its number."""
+    posts = table(spark, sf_dir, "customer").select("c_custkey", F.expr("CASE WHEN c_custkey >= 4 THEN c_custkey DIV 4 END").alias("parent"))
+    return elements.thread_paths(posts, "c_custkey", "parent", "c_custkey")
+
+
+@query(f"WITH {_TOKENS}, p AS (SELECT *, row_number() OVER (PARTITION BY text_id ORDER BY para_no, sent_no, tok_no) AS p FROM tokens) SELECT text_id, para_no, sent_no, min(p) AS start, max(p) AS \"end\" FROM p GROUP BY 1, 2, 3")
+def sentence_list(spark, sf_dir):
+    return products.sentence_list(_corpus(spark, sf_dir).tokens)
+
+
+@query(f"""WITH {_TOKENS}, s AS (SELECT text_id, word, row_number() OVER (PARTITION BY text_id ORDER BY para_no, sent_no, tok_no) AS o, sum(length(word)) OVER (PARTITION BY text_id ORDER BY para_no, sent_no, tok_no) - length(word) AS a, length(word) AS n FROM tokens),
+ m AS (SELECT doc_id AS text_id, unnest([0, 17, 100]) AS off FROM documents) SELECT m.text_id, CAST(off AS BIGINT) AS off, o, a = off AS at_start FROM m JOIN s ON m.text_id = s.text_id AND off >= a AND off < a + n""")
+def tag_offsets(spark, sf_dir):
+    """Marks at three character offsets of each text, and the tokens that cover them; marks beyond a text's end meet none."""
+    corpus = _corpus(spark, sf_dir)
+    tokens = numbered(corpus.tokens, [F.col(k) for k in C.KEYS["token"][1:]], "o", [F.col("text_id")])
+    sizes = tokens.groupBy("text_id").agg(F.sum(F.length("word")).alias("size"))
+    marks = corpus.texts.select("text_id", F.explode(F.array(F.lit(0), F.lit(17), F.lit(100))).alias("off")).join(sizes, "text_id").where("off < size").drop("size")
+    return products.tag_offsets(tokens, marks, ["text_id"], "o", "word", "off")
+
+
+@query(f"""WITH {_TOKENS} SELECT text_id, para_no, sent_no, tok_no, word, (tok_no - 1) // 5 + 1 AS shred_no, (tok_no - 1) % 5 + 1 AS shred_tok FROM tokens""")
+def tear_sentences(spark, sf_dir):
+    return sequential.tear(_corpus(spark, sf_dir).tokens, 5)
+
+
+@query(f"""WITH {_TOKENS} SELECT text_id, para_no, sent_no, tok_no, tok_no AS ref, CASE WHEN (tok_no - 1) % 5 > 0 THEN tok_no - 1 WHEN tok_no = 1 THEN 0 ELSE 1 END AS head, CASE WHEN (tok_no - 1) % 5 > 0 THEN 'x' WHEN tok_no = 1 THEN 'root' ELSE 'dep' END AS rel FROM tokens""")
+def mend_sentences(spark, sf_dir):
+    """Shreds of five whose tokens hang on the one before become one tree."""
+    torn = sequential.tear(_corpus(spark, sf_dir).tokens, 5).select(*C.KEYS["token"], "shred_no", "shred_tok", F.col("shred_tok").alias("ref"), (F.col("shred_tok") - 1).alias("head"), F.when(F.col("shred_tok") == 1, "root").otherwise("x").alias("rel"))
+    return sequential.mend(torn, "ref", "head", "rel")
+
+
+@query(f"""WITH {_TOKENS}, n AS (SELECT text_id, para_no, sent_no, count(*) AS n FROM tokens GROUP BY ALL) SELECT text_id, para_no, sent_no, CASE WHEN sent_no % 3 = 0 THEN 'no root' ELSE 'cycle' END AS issue FROM n WHERE sent_no % 3 = 0 OR (sent_no % 3 = 1 AND n >= 3)""")
+def tree_issues(spark, sf_dir):
+    """Sentences are chains; each third has no root, and of the next, the second token hangs on the third and back."""
+    head = F.when((F.col("sent_no") % 3 == 0) & (F.col("tok_no") == 1), 1).when((F.col("sent_no") % 3 == 1) & (F.col("tok_no") == 2), F.least(F.lit(3), F.col("n"))).otherwise(F.col("tok_no") - 1)
+    tokens = _corpus(spark, sf_dir).tokens
+    sizes = tokens.groupBy(*C.KEYS["sentence"]).agg(F.count("*").alias("n"))
+    tokens = tokens.join(sizes, C.KEYS["sentence"])
+    head = F.when((F.col("sent_no") % 3 == 1) & (F.col("n") < 3), F.col("tok_no") - 1).otherwise(head)
+    return validate.tree_issues(tokens.withColumn("head", head), "tok_no", "head")
+
+
+@query("SELECT kind, level, issue, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS v FROM documents), (VALUES ('line', 'warning', 'empty'), ('token', 'error', 'bare <'), ('token', 'error', 'bare &')) r(kind, level, issue) WHERE CASE issue WHEN 'empty' THEN v = '' WHEN 'bare <' THEN v LIKE '%<%' AND v NOT LIKE '<%' ELSE regexp_matches(regexp_replace(v, '&(lt|gt|amp|quot|apos);', '', 'g'), '&') END GROUP BY 1, 2, 3")
+def validate_lines(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file"), F.posexplode(F.split("text", "\n")).alias("nr", "value"))
+    return validate.issue_summary(validate.line_issues(lines)).where("issue IN ('empty', 'bare <', 'bare &')").drop("first")
+
+
+@query("""SELECT o_orderpriority, o_orderstatus, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS sum_o_custkey, count(DISTINCT o_custkey) AS n_o_custkey FROM orders GROUP BY CUBE (o_orderpriority, o_orderstatus)""")
+def grouped_statistics(spark, sf_dir):
+    return stats.grouped_statistics(table(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"], ["o_custkey"], ["o_custkey"])
+
+
+@query("SELECT c_nationkey, list_aggregate(list_sort(list(DISTINCT c_mktsegment)), 'string_agg', '|') AS segments FROM customer GROUP BY 1")
+def combine_records(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select("c_nationkey", F.array("c_mktsegment").alias("segments"))
+    return stats.combine_records(rows, ["c_nationkey"], ["segments"]).select("c_nationkey", F.array_join("segments", "|").alias("segments"))
+
+
+@query(f"WITH {_TOKENS}, c AS (SELECT (SELECT count(*) FROM documents) AS texts, (SELECT count(*) FROM sents) AS sentences, (SELECT count(*) FROM tokens) AS tokens) SELECT * FROM c")
+def corpus_info(spark, sf_dir):
+    return stats.corpus_info(_corpus(spark, sf_dir)).select("texts", "sentences", "tokens")
+
+
+@query(f"WITH {_TOKENS}, s AS (SELECT text_id, para_no, sent_no, list(word ORDER BY tok_no) AS w FROM tokens GROUP BY ALL HAVING count(*) >= 3), i AS (SELECT *, unnest(range(1, len(w) - 1, 4)) AS i FROM s) SELECT text_id, para_no, sent_no, CAST((i - 1) // 4 AS INTEGER) AS seed_no, array_to_string(w[i:i+2], ' ') AS seed FROM i")
+def seeds(spark, sf_dir):
+    return elements.seeds(_corpus(spark, sf_dir), 3, 4)
+
+
+@query("WITH l AS (SELECT doc_id, unnest(l) AS v, generate_subscripts(l, 1) AS nr FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)), b AS (SELECT *, trim(v) = '' AS blank, coalesce(lag(trim(v) = '') OVER (PARTITION BY doc_id ORDER BY nr), true) AS after FROM l), p AS (SELECT *, sum(CASE WHEN NOT blank AND after THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY nr) AS para_no FROM b) SELECT doc_id, CAST(para_no AS BIGINT) AS para_no, count(*) AS n FROM p WHERE NOT blank GROUP BY 1, 2")
+def paragraphs_from_lines(spark, sf_dir):
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("nr", "v"))
+    return elements.paragraphs_from_lines(lines, ["doc_id"], "nr", "v").groupBy("doc_id", "para_no").agg(F.count("*").alias("n"))
+
+
+@query("SELECT lang, attribute, count(*) AS n FROM (SELECT lang, unnest(['id', 'lang', 'size', 'source']) AS attribute FROM documents) GROUP BY 1, 2")
+def unify_attributes(spark, sf_dir):
+    """Half of the texts lack an attribute; afterwards all have it."""
+    corpus = _corpus(spark, sf_dir)
+    texts = corpus.texts.withColumn("attrs", F.when(F.col("text_id") % 2 == 0, F.map_from_entries(F.array(*(F.struct(F.lit(k), v) for k, v in (("lang", F.col("attrs")["lang"]), ("source", F.col("attrs")["source"]), ("id", F.col("text_id").cast("string")))))))
+        .otherwise(F.map_from_entries(F.array(*(F.struct(F.lit(k), v) for k, v in (("source", F.col("attrs")["source"]), ("lang", F.col("attrs")["lang"]), ("size", F.col("attrs")["n_chars"])))))))
+    unified = elements.unify_attributes(corpus.with_level("text", texts), "text", default="-", first=["id"])
+    return unified.texts.select(F.col("attrs")["lang"].alias("lang"), F.explode(F.map_keys("attrs")).alias("attribute")).groupBy("lang", "attribute").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, CASE WHEN n_chars < 500 THEN 'short' WHEN lang = 'en' THEN 'en' ELSE 'other' END AS tag FROM documents")
+def partition_by_function(spark, sf_dir):
+    corpus = _corpus(spark, sf_dir)
+    tag = F.when(elements.attr("n_chars").cast("long") < 500, "short").when(elements.attr("lang") == "en", "en").otherwise("other")
+    return elements.partition(corpus, tag).texts.select(F.col("text_id").alias("doc_id"), F.col("attrs.tag").alias("tag"))
+
+
+@query(f"WITH {_TOKENS} SELECT text_id, para_no, count(*) AS n_sents, min(sent_no) AS first, max(sent_no) AS last FROM sents GROUP BY 1, 2")
+def scramble(spark, sf_dir):
+    """Sentences change places by hash order within 1 to n; how many there are shows that none is lost."""
+    moved = elements.scramble(_corpus(spark, sf_dir), seed=3)
+    sizes = moved.sentences.groupBy("text_id", "para_no").agg(F.count("*").alias("n_sents"))
+    old = _corpus(spark, sf_dir).sentences.groupBy("text_id", "para_no").agg(F.min("sent_no").alias("first"), F.max("sent_no").alias("last"))
+    return sizes.join(old, ["text_id", "para_no"])
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY n_chars DESC, source, doc_id) AS place FROM documents")
+def sort_texts(spark, sf_dir):
+    done = elements.sort_texts(_corpus(spark, sf_dir), [("n_chars", "nr"), ("source", "")])
+    return done.texts.select(F.col("text_id").alias("doc_id"), F.col("attrs")["order"].cast("long").alias("place"))
+
+
+@query(None)
+def split_parts(spark, sf_dir):
+    """Where a part ends depends on where it began, so there is no SQL; tests hold it against a loop."""
+    done = elements.split(_corpus(spark, sf_dir), 20_000)
+    return done.texts.select("text_id", F.col("attrs.part").cast("long").alias("part"))
+
+
+@query(None)
+def repair_languages(spark, sf_dir):
+    corpus = _corpus(spark, sf_dir)
+    sizes = corpus.tokens.groupBy(*C.KEYS["sentence"]).agg(F.count("*").alias("n"), F.min(F.length("word")).alias("m"))
+    rows = sizes.select(*C.KEYS["sentence"], F.when(F.col("m") == 1, "x").when(F.col("m") == 2, "y").otherwise("z").alias("lang"), "n")
+    return sequential.repair_languages(rows)
+
+
+@query(f"WITH {_TOKENS} SELECT text_id, para_no, sent_no, tok_no, word, CASE WHEN lower(word) IN ('the', 'der', 'la') THEN 'DET' ELSE '_' END AS pos FROM tokens")
+def annotate(spark, sf_dir):
+    return sequential.annotate(_corpus(spark, sf_dir).tokens, sequential.WordList("pos", dict.fromkeys(["the", "der", "la"], "DET")))
+
+
+@query("SELECT conv_id, turn, to_json({'role': role, 'chars': length(text)}) AS json FROM conversations")
+def json_rows(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.to_json(F.struct("role", F.length("text").alias("chars"))).alias("json"))
+
+
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_fields(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("SELECT item_id, count(DISTINCT word) AS words FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS word FROM benchmark) WHERE word IN (SELECT unnest(regexp_extract_all(lower(text), '\\p{L}+')) FROM documents) GROUP BY 1")
+def word_overlap(spark, sf_dir):
+    words = lambda name, keys: Relation(table(spark, sf_dir, name).select(*keys, F.explode(stats.words_of(F.lower("text"))).alias("word")))
+    return words("benchmark", ["item_id"]).match(words("documents", [])).keepc("item_id", "words").df
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_time_buckets(spark, sf_dir):
+    """The streaming operator on a bounded table."""
+    from spanloom.streaming import events
+
+    found = events.time_buckets(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", ["event_type"])
+    return found.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+@query(f"WITH {_TOKENS} SELECT DISTINCT word FROM tokens")
+def token_data(spark, sf_dir):
+    return fields.data(_corpus(spark, sf_dir)).df
+
+
+@query("SELECT DISTINCT lang, source FROM documents")
+def element_meta(spark, sf_dir):
+    return fields.meta(_corpus(spark, sf_dir), "text", ["lang", "source"]).df
+
+
+@query(f"WITH {_TOKENS} SELECT text_id, para_no, sent_no, tok_no, CASE WHEN d.lang IN ('de', 'es') THEN '_' ELSE word END AS word, tok_no % 3 AS k FROM tokens JOIN documents d ON d.doc_id = text_id")
+def reset_fields(spark, sf_dir):
+    corpus = fields.add_fields(_corpus(spark, sf_dir), k=F.col("tok_no") % 3)
+    langs = corpus.texts.select("text_id", F.col("attrs.lang").alias("lang"))
+    sents = corpus.sentences.join(langs, "text_id").select(*C.KEYS["sentence"], F.create_map(F.lit("lang"), F.col("lang")).alias("attrs"))
+    return fields.reset(corpus.with_level("sentence", sents), ["word"], "lang", ["de", "es"]).tokens
