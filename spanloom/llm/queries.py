@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import decontamination, langid, near_dedup, neighbours, packing, secrets, toxicity, urls
+from spanloom.llm import decontamination, langid, near_dedup, neighbours, packing, secrets, suffix_arrays, suffix_trees, toxicity, urls
 from spanloom.session import table
 
 
@@ -24,6 +24,14 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op2_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.digest(table(spark, sf_dir, "documents"))
+
+
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_arrays.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.digest(table(spark, sf_dir, "embeddings"))
 
@@ -53,7 +61,7 @@ def op10_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op4_multi_index_search, op5_winnowing_decontamination, op6_toxicity, op7_minhash_near_dedup, op8_secret_scan, op9_language_id, op10_sequence_packing)}
+    return {f.__name__: f for f in (op1_url_filter, op2_suffix_tree_dedup, op3_suffix_array_dedup, op4_multi_index_search, op5_winnowing_decontamination, op6_toxicity, op7_minhash_near_dedup, op8_secret_scan, op9_language_id, op10_sequence_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -136,3 +136,22 @@ def winnow(at: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarray:
 
 def as_long(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Cut a stream sorted by its first column into tables of about ``size`` rows that never part a group."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for b in batches:
+        held.append(b)
+        n += len(b)
+        if n < size:
+            continue
+        t = pa.Table.from_batches(held)
+        key = t.column(0).to_numpy()
+        end = int(np.searchsorted(key, key[-1], "left"))
+        if end:
+            yield t.slice(0, end)
+        held, n = t.slice(end).to_batches(), len(t) - end
+    if n:
+        yield pa.Table.from_batches(held)
