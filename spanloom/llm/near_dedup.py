@@ -1,19 +1,22 @@
 """Near-duplicate documents by MinHash, banding and connected components.
 
-1. Each document's set of 5-word shingles (64-bit hashes) gives 128 minima of universal hashes and a 128-bit key of the
+1. Each document's set of 5-word shingles (64-bit hashes) gives 220 minima of universal hashes and a 128-bit key of the
    set. Documents with equal sets are one class from here on, named by its smallest id.
-2. The minima are cut into 32 bands of four. Classes that agree in a band share a bucket. At a similarity of 0.75 two
-   sets miss all 32 buckets with a probability of 5e-6; at 0.8 of 5e-8.
-3. In rounds, each bucket names leaders, and each leader is compared with the bucket's other members in other components.
-   A pair passes if its signatures could belong to sets as similar as asked (a test that a true pair fails with a
-   probability below 1e-6) and then if its full shingle sets, from the whole texts, really are. Links merge components.
-   A bucket is done when no two of its members that have not led lie in different components; then every pair of its
-   members was compared or is connected already. The number of leaders of a bucket grows fourfold by round, so a large
-   bucket without links takes few rounds, and one with many links is connected after the first ones.
-4. Components come from alternating large-star and small-star over the links.
-
-No bucket, link list or component is ever gathered in a task or at the driver; pairs arise leader by leader, and those
-already connected never do. State between rounds is written to the shared folder.
+2. The minima are cut into 44 bands of five. Classes that agree in a band share a bucket. At a similarity of 0.75 two
+   sets miss all 44 buckets with a probability of 7e-6; at 0.8 of 3e-8.
+3. Each member of a bucket is tied to the bucket's smallest id, and the connected components of these ties (by
+   alternating large-star and small-star) are clusters: whatever shares a bucket is in one cluster.
+4. Clusters of at most ``CLUSTER`` shingles in all are worked by one task each, many to a task: from its smallest id on,
+   a breadth-first search compares the documents of a component with those not reached yet. A pair passes if its
+   signatures could belong to sets as similar as asked (a test that a true pair fails with a probability below 1e-6) and
+   then if its full shingle sets, from the whole texts, really are. What is reached is compared no further, so a large
+   group of copies takes few comparisons.
+5. Larger clusters are worked in rounds without ever gathering a bucket: each bucket names leaders, and each leader is
+   compared, in the same two steps, with the bucket's other members in other components. Links merge components by large-star
+   and small-star. A bucket is done when no two of its members that have not led lie in different components; then every
+   pair of its members was compared or is connected already. A bucket's leaders grow fourfold by round.
+
+State between steps is written to the shared folder.
 
 Defined results: null texts and texts without words have an empty set and are linked with nothing; a document of one to
 four words is a set of one; rows with a null id stay alone with a null component and are kept; repeated rows share a
@@ -35,8 +38,8 @@ from spanloom.llm.components import components
 from spanloom.session import Scratch
 
 WORDS = 5
-BANDS, ROWS = 32, 4
-FIRST_BANDS = 4  #: the first round looks at these only: they join most near copies
+BANDS, ROWS = 44, 5
+CLUSTER = 4_000_000  #: shingles that a task holds at once, of 8 bytes each
 #: Fixed odd multipliers and offsets of the universal hashes.
 _rng = np.random.default_rng(20240229)
 MULTIPLY = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -61,10 +64,8 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The minima, 32 bits each."""
     low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for lo in range(0, len(shingles), 4096):
-        part = shingles[lo : lo + 4096]
-        for i in range(BANDS * ROWS):
-            low[i] = min(low[i], (part * MULTIPLY[i] + ADD[i]).min())
+    for lo in range(0, len(shingles), 128):
+        np.minimum(low, (shingles[lo : lo + 128, None] * MULTIPLY + ADD).min(axis=0), out=low)
     return (low >> np.uint64(32)).astype(np.uint32)
 
 
@@ -90,7 +91,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """classes: id, sig. Per class and band: bucket, band, id."""
+    """classes: id, sig. Per class and band: bucket, id."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -98,9 +99,9 @@ def bands(classes: DataFrame) -> DataFrame:
             key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(b), BANDS))
             for i in range(ROWS):
                 key = tw.mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, i])
-            yield pa.RecordBatch.from_arrays([tw.as_long(key.ravel()), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(b))), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], ["bucket", "band", "id"])
+            yield pa.RecordBatch.from_arrays([tw.as_long(key.ravel()), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], ["bucket", "id"])
 
-    return classes.mapInArrow(scan, "bucket bigint, band int, id bigint")
+    return classes.mapInArrow(scan, "bucket bigint, id bigint")
 
 
 def _alike(pairs: DataFrame, need: int) -> DataFrame:
@@ -128,55 +129,114 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(scan, "a bigint, b bigint")
 
 
+def least_matches(percent: int) -> int:
+    """Places in which the signatures of sets as similar as asked agree, but for a probability below 1e-6."""
+    n, p = BANDS * ROWS, percent / 100
+    return int(n * p - 5.2 * (n * p * (1 - p)) ** 0.5)
+
+
+def reach(ids: np.ndarray, sets: list[np.ndarray], sigs: np.ndarray, percent: int) -> np.ndarray:
+    """By document: the smallest id of its component. Compares by signatures, then by full sets."""
+    need, n = least_matches(percent), np.array([len(x) for x in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    codes = np.split(codes, np.cumsum(n)[:-1])
+    mark = np.zeros(max(int(c.max()) for c in codes) + 1, bool)
+    comp = np.zeros(len(ids), np.int64)
+    left = np.argsort(ids, kind="stable")
+    while len(left):
+        seed, left = left[0], left[1:]
+        comp[seed] = ids[seed]
+        todo = [seed]
+        while todo and len(left):
+            x = todo.pop()
+            fits = (100 * np.minimum(n[left], n[x]) >= percent * np.maximum(n[left], n[x])) & (ids[left] != ids[x])
+            near = np.flatnonzero(fits)
+            near = near[(sigs[left[near]] == sigs[x]).sum(axis=1) >= need]
+            if not len(near):
+                continue
+            mark[codes[x]] = True
+            others = left[near]
+            starts = np.cumsum(n[others]) - n[others]
+            both = np.add.reduceat(mark[np.concatenate([codes[y] for y in others])].astype(np.int64), starts)
+            mark[codes[x]] = False
+            linked = near[100 * both >= percent * (n[x] + n[others] - both)]
+            comp[left[linked]] = comp[seed]
+            todo += left[linked].tolist()
+            left = np.delete(left, linked)
+    return comp
+
+
+def _resolve(texts: DataFrame, percent: int) -> DataFrame:
+    """texts: cluster, id, sig, text, dealt and sorted by cluster. Per document: node, comp."""
+
+    def solve(t: pa.Table) -> pa.RecordBatch:
+        t = t.combine_chunks()
+        cluster, ids = t.column("cluster").to_numpy(), t.column("id").to_numpy()
+        sets = list(shingle_sets(t.column("text").chunk(0)))
+        sigs = np.frombuffer(b"".join(x.as_py() for x in t.column("sig")), np.uint32).reshape(len(ids), -1)
+        begins = np.flatnonzero(np.diff(cluster, prepend=cluster[0] - 1))
+        comp = [reach(ids[a:b], sets[a:b], sigs[a:b], percent) for a, b in zip(begins, [*begins[1:], len(ids)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(comp))], ["node", "comp"])
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in tw.whole_groups(batches, 500):
+            yield solve(t)
+
+    return texts.select("cluster", "id", "sig", "text").mapInArrow(stream, "node bigint, comp bigint")
+
+
 def classes(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``n_shingles``, ``component_id``, ``kept``."""
     scratch = Scratch(docs.sparkSession, "near")
     rows = scratch.write(sketches(docs, id_col, text_col))
     sets = scratch.write(rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id")))
-    sigs = rows.where("key IS NOT NULL").join(sets, ["key", "id"]).select("id", "sig").dropDuplicates(["id", "sig"])
-    banded = bands(sigs)
-    shared = banded.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("bucket")
-    members = scratch.write(banded.join(shared, "bucket", "left_semi"))
-    linked = _rounds(docs, members, sigs, percent, scratch, id_col, text_col)
-    label = sets.join(linked.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("comp", "id").alias("comp"))
+    sigs = scratch.write(rows.where("key IS NOT NULL").join(sets, ["key", "id"]).select("id", "n", "sig").dropDuplicates(["id", "sig"]))
+    banded = bands(sigs.select("id", "sig"))
+    shared = banded.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("bucket", "lo")
+    members = scratch.write(banded.join(shared, "bucket"))
+    clusters = scratch.write(components(members.select(F.col("id").alias("a"), F.col("lo").alias("b")), scratch).select(F.col("node").alias("id"), F.col("comp").alias("cluster")))
+    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).where("id IS NOT NULL")
+    texts = scratch.write(sigs.join(clusters, "id").join(texts, "id").select("cluster", "id", "n", "sig", "text").dropDuplicates(["id", "text"]))
+    large = texts.groupBy("cluster").agg(F.sum("n").alias("held")).where(F.col("held") > CLUSTER).select("cluster")
+    large = scratch.write(large)
+    small = texts.join(F.broadcast(large), "cluster", "left_anti") if _few(large) else texts.join(large, "cluster", "left_anti")
+    found = _resolve(small.repartition("cluster").sortWithinPartitions("cluster"), percent)
+    if not large.isEmpty():
+        rest = clusters.join(large, "cluster", "left_semi").select("id")
+        found = found.union(_rounds(members.select("bucket", "id").join(rest, "id", "left_semi"), texts.join(large, "cluster", "left_semi"), percent, scratch))
+    found = scratch.write(found.groupBy("node").agg(F.min("comp").alias("comp")))
+    label = sets.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("comp", "id").alias("comp"))
     alone = rows.where("key IS NULL OR id IS NULL").select("id", "n", F.col("id").alias("comp"))
     named = rows.where("key IS NOT NULL AND id IS NOT NULL").select("id", "n", "key").join(label, "key").select("id", "n", "comp")
     return named.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), F.coalesce(F.col("id") == F.col("comp"), F.lit(True)).alias("kept"))
 
 
-def _rounds(docs: DataFrame, members: DataFrame, sigs: DataFrame, percent: int, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
-    """node, comp of all classes that have a link."""
-    spark = docs.sparkSession
+def _few(df: DataFrame, most: int = 100_000) -> bool:
+    return df.limit(most + 1).count() <= most
+
+
+def _rounds(members: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """members: bucket, id. texts: id, sig, text. node, comp of those that have a link."""
+    spark = members.sparkSession
     links = spark.createDataFrame([], "a bigint, b bigint")
     comp = spark.createDataFrame([], "node bigint, comp bigint")
-    wanted = members.select("id").distinct()
-    if members.isEmpty():
-        return comp
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).where("id IS NOT NULL")
-    texts = scratch.write(texts.join(wanted, "id", "left_semi").join(sigs.withColumnRenamed("sig", "s"), "id").dropDuplicates(["id", "text"]))
-    need = int(BANDS * ROWS * percent / 100 - 5.2 * (BANDS * ROWS * percent / 100 * (1 - percent / 100)) ** 0.5)
+    of = lambda id_, column, name: texts.select(F.col("id").alias(id_), F.col(column).alias(name))
     undone, round_ = members, 0
     while True:
-        first = round_ == 0
-        salt = 4 ** max(0, round_ - 1)
-        named = undone.join(comp.withColumnRenamed("node", "id"), "id", "left").select("bucket", "band", "id", F.coalesce("comp", "id").alias("comp"))
+        named = undone.join(comp.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
         open_ = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
         rest = scratch.write(named.join(open_, "bucket", "left_semi"))
         if rest.isEmpty():
             break
-        chosen = rest.where(F.col("band") < FIRST_BANDS) if first else rest
-        leaders = chosen.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(salt)).alias("salt")).agg(F.min(F.struct("id", "comp")).alias("l")).select("bucket", F.col("l.id").alias("a"), F.col("l.comp").alias("ca"))
-        leaders = scratch.write(leaders)
-        pairs = chosen.join(leaders, "bucket").where("ca <> comp").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        texts_a, texts_b = texts.select(F.col("id").alias("a"), F.col("s").alias("sa")), texts.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-        near = scratch.write(_alike(pairs.join(texts_a, "a").join(texts_b, "b").select("a", "b", "sa", "sb"), need).distinct())
-        texts_a, texts_b = texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-        found = scratch.write(_linked(near.join(texts_a, "a").join(texts_b, "b").select("a", "b", "ta", "tb"), percent).distinct())
+        salt = F.pmod(F.xxhash64("id"), F.lit(4 ** max(0, round_ - 1))).alias("salt")
+        leaders = scratch.write(rest.groupBy("bucket", salt).agg(F.min(F.struct("id", "comp")).alias("l")).select("bucket", F.col("l.id").alias("a"), F.col("l.comp").alias("ca")))
+        pairs = rest.join(leaders, "bucket").where("ca <> comp").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+        near = _alike(pairs.join(of("a", "sig", "sa"), "a").join(of("b", "sig", "sb"), "b").select("a", "b", "sa", "sb"), least_matches(percent)).distinct()
+        found = scratch.write(_linked(near.join(of("a", "text", "ta"), "a").join(of("b", "text", "tb"), "b").select("a", "b", "ta", "tb"), percent).distinct())
         if not found.isEmpty():
-            # from here on a link joins what its ends were in already
             links = scratch.write(links.union(found))
             comp = scratch.write(components(links, scratch))
-        undone = rest.join(leaders.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "band", "id")
+        undone = rest.join(leaders.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "id")
         round_ += 1
     return comp
 

@@ -44,7 +44,9 @@ def variants(seed, n, base, edits):
 
 
 @pytest.mark.parametrize("kind", ["awkward", "chains", "hot"])
-def test_equals_brute_force(spark, kind):
+@pytest.mark.parametrize("cluster", [4_000_000, 1500], ids=["tasks", "rounds"])
+def test_equals_brute_force(spark, monkeypatch, kind, cluster):
+    monkeypatch.setattr(near_dedup, "CLUSTER", cluster)
     rows = cases.awkward()
     if kind == "chains":
         rows = [(i, t) for i, t in enumerate(x for s in range(12) for x in variants(s, 12, cases.prose(s, 60), 6))]
