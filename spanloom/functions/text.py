@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import pandas as pd
 from pyspark.sql import Column
@@ -102,31 +102,39 @@ def substitute(x: Column, pattern: str, by: str, flags: str = "") -> Column:
     return F.regexp_replace(x, f"^((?s:.*?)){pattern}", "$1" + moved)
 
 
-@F.pandas_udf("string")
-def repair_mojibake(x: pd.Series) -> pd.Series:
-    """UTF-8 that was read as Windows-1252 or Latin-1, where the whole value reads back."""
+def _value_function(function: Callable[[str], str]) -> Callable[[Column], Column]:
+    """A function of one string over Arrow batches; null stays null."""
 
-    def repair(v: str | None) -> str | None:
-        if not v or v.isascii():
-            return v
-        for codec in ("cp1252", "latin-1"):
-            try:
-                return v.encode(codec).decode("utf-8")
-            except (UnicodeEncodeError, UnicodeDecodeError):
-                continue
-        return v
+    def apply(x: Column) -> Column:
+        def batch(values: pd.Series) -> pd.Series:
+            return values.map(function, na_action="ignore")
 
-    return x.map(repair, na_action="ignore")
+        return F.pandas_udf(batch, "string")(x)
 
+    return apply
 
-@F.pandas_udf("string")
-def without_diacritics(x: pd.Series) -> pd.Series:
-    """Decomposed, without combining marks, but for the letters of the Finnish and Swedish alphabets."""
 
-    def strip(v: str) -> str:
-        return "".join(c if c in "åäöÅÄÖ" else "".join(d for d in unicodedata.normalize("NFKD", c) if not unicodedata.combining(d)) for c in unicodedata.normalize("NFC", v))
+def _from_mojibake(v: str) -> str:
+    for codec in ("cp1252", "latin-1") if not v.isascii() else ():
+        try:
+            return v.encode(codec).decode("utf-8")
+        except (UnicodeEncodeError, UnicodeDecodeError):
+            continue
+    return v
+
+
+def _strip_marks(v: str) -> str:
+    return "".join(c if c in "åäöÅÄÖ" else "".join(d for d in unicodedata.normalize("NFKD", c) if not unicodedata.combining(d)) for c in unicodedata.normalize("NFC", v))
+
 
-    return x.map(strip, na_action="ignore")
+def repair_mojibake(x: Column) -> Column:
+    """UTF-8 that was read as Windows-1252 or Latin-1, where the whole value reads back."""
+    return _value_function(_from_mojibake)(x)
+
+
+def without_diacritics(x: Column) -> Column:
+    """Decomposed, without combining marks, but for the letters of the Finnish and Swedish alphabets."""
+    return _value_function(_strip_marks)(x)
 
 
 #: Kinds of characters that checks look for, as patterns.

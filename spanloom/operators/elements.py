@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from spanloom.functions import text as T
@@ -301,7 +302,7 @@ def split_sizes(rows: DataFrame, order: Sequence[str], size: str, most: int, str
             parts.append(part)
         return group.assign(__part=parts)
 
-    schema = ordered.schema.add("__part", "long")
+    schema = StructType([*ordered.schema.fields, StructField("__part", LongType())])
     walked = ordered.groupBy("__stretch").applyInPandas(walk, schema)
     counts = walked.groupBy("__stretch").agg((F.max("__part") + 1).alias("__n"))
     before = counts.alias("a").join(counts.alias("b"), F.col("b.__stretch") < F.col("a.__stretch"), "left").groupBy("a.__stretch").agg(F.coalesce(F.sum("b.__n"), F.lit(0)).alias("__before"))

@@ -88,8 +88,8 @@ def tree_issues(tokens: DataFrame, ref: str, head: str, several_roots: bool = Fa
     in_range = F.forall("h", lambda x: (x >= 0) & (x <= F.size("h")))
     roots = F.size(F.filter("h", lambda x: x == 0))
     rows = heads.withColumn("ok", sequential & in_range).withColumn("j", F.when(F.col("ok"), F.col("h")).otherwise(F.array().cast("array<int>")))
-    for step in range(10):
-        rows = rows.withColumn(f"j{step}", F.transform("j", lambda x: F.when(x == 0, 0).otherwise(F.get(F.col("j"), x - 1)))).withColumn("j", F.col(f"j{step}")).drop(f"j{step}")
+    ten = F.sequence(F.lit(1), F.lit(10))  # a fold, as ten projections would be merged into one huge expression
+    rows = rows.withColumn("j", F.aggregate(ten, F.col("j"), lambda acc, _: F.transform(acc, lambda x: F.when(x == 0, 0).otherwise(F.get(acc, x - 1)))))
     issue = F.when(~sequential, "ids aren't 1 to n").when(~in_range, "head out of range").when(roots == 0, "no root").when(F.lit(not several_roots) & (roots > 1), "several roots").when(F.exists("j", lambda x: x != 0), "cycle")
     return rows.select(*keys, issue.alias("issue")).where("issue IS NOT NULL")
 

@@ -351,7 +351,7 @@ def attribute_join(spark, sf_dir):
     return elements.add_attributes(corpus, "text", "key", labels, "doc_id").texts.select("text_id", F.col("attrs.quality").alias("quality"), F.col("attrs.toxic").alias("toxic"))
 
 
-@query("WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents), c AS (SELECT c_name, row_number() OVER (ORDER BY c_custkey) AS r FROM customer) SELECT doc_id AS text_id, c_name FROM d JOIN c ON d.r = c.r")
+@query("WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents WHERE doc_id IN (SELECT c_custkey - 1 FROM customer)), c AS (SELECT c_name, row_number() OVER (ORDER BY c_custkey) AS r FROM customer) SELECT doc_id AS text_id, c_name FROM d JOIN c ON d.r = c.r")
 def positional_join(spark, sf_dir):
     corpus = C.from_texts(table(spark, sf_dir, "documents").join(table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1).alias("doc_id")), "doc_id", "left_semi"), "doc_id", "text")
     return elements.zip_attributes(corpus, "text", table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey").texts.select("text_id", F.col("attrs.c_name").alias("c_name"))
@@ -567,7 +567,7 @@ def annotate(spark, sf_dir):
     return sequential.annotate(_corpus(spark, sf_dir).tokens, sequential.WordList("pos", dict.fromkeys(["the", "der", "la"], "DET")))
 
 
-@query("SELECT conv_id, turn, to_json({'role': role, 'chars': length(text)}) AS json FROM conversations")
+@query("SELECT conv_id, turn, CAST(to_json({'role': role, 'chars': length(text)}) AS VARCHAR) AS json FROM conversations")
 def json_rows(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.to_json(F.struct("role", F.length("text").alias("chars"))).alias("json"))
 

@@ -17,12 +17,12 @@ CONLLX = "id form lemma cpos pos feats head deprel".split()
 
 def plain_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row for each file: path, content (escaped for use in elements)."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), T.escape_field(F.col("value")).alias("content"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), T.escape_field(F.col("value")).alias("content"))
 
 
 def paragraphs(spark: SparkSession, path: str) -> DataFrame:
     """path, para_no, content: stretches between blank lines."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.filter(F.split(F.replace("value", F.lit("\r\n"), F.lit("\n")), r"\n[ \t]*(?:\n[ \t]*)+"), lambda p: F.trim(p) != "").alias("p"))
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.filter(F.split(F.replace("value", F.lit("\r\n"), F.lit("\n")), r"\n[ \t]*(?:\n[ \t]*)+"), lambda p: F.trim(p) != "").alias("p"))
     return whole.select("path", F.posexplode("p").alias("i", "content")).select("path", (F.col("i") + 1).alias("para_no"), F.regexp_replace("content", r"^\n+|\n+$", "").alias("content"))
 
 
