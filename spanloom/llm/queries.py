@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import decontamination, langid, near_dedup, neighbours, packing, secrets, suffix_arrays, suffix_trees, toxicity, urls
+from spanloom.llm import decontamination, langid, near_dedup, neighbours, packing, secrets, sql, suffix_arrays, suffix_trees, toxicity, urls
 from spanloom.session import table
 
 
@@ -65,4 +65,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_suffix_tree_dedup": sql.OP2, "op5_winnowing_decontamination": sql.OP5, "op7_minhash_near_dedup": sql.OP7}

@@ -1,7 +1,7 @@
 """Toxicity by a misspelling-tolerant lexicon with context windows.
 
 The lexicon is learned from labelled rows: words that toxic documents hold far more often than others. It is kept as a
-trie, and the Levenshtein automata of its terms (no edit below five letters, one below nine, two from there) are
+trie, and the Levenshtein automata of its terms (no edit below five letters, one below ten, two from there) are
 intersected with it; the product is determinised lazily, so a word costs one table step a letter and most words leave
 the automaton after a few. Each hit is looked at in a window of words around it: hits inside quotation marks or next to
 reporting words count apart from direct ones, and hits near a second person apart from others. A logistic model over
@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 FIT_ROWS = 20_000
 MAX_TERMS = 3000
-MIN_DOCS, MIN_ODDS = 4, 2.5
+MIN_DOCS, MIN_ODDS = 5, 3.0
 WINDOW = 6
-CLEAN = 300_000  #: words kept as known to be without hit, by task
+CLEAN = 500_000  #: words known to be without hit, in each of two generations
 STATES = 100_000
 WORD = re.compile(r"[^\W\d_]+")
 #: Words that introduce a quotation, and second persons, in the four languages of the tables.
@@ -43,7 +43,7 @@ QUOTES = {"“": "”", "«": "»", "„": "“", '"': '"', "‘": "’"}
 
 
 def budget(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
 
 
 class Automaton:
@@ -135,6 +135,7 @@ class Reader:
     def __init__(self, terms: list[str], weights: list[float]):
         self.automaton, self.weights = Automaton(terms), weights
         self.clean: set[str] = set()
+        self.older: set[str] = set()
 
     def features(self, text: str | None) -> list[float]:
         """By context (direct, to a second person, quoted): weight of exact hits; weight of misspelled hits in all."""
@@ -145,13 +146,16 @@ class Reader:
         chunks = set(lower.split())
         chunks -= self.clean
         dirty = False
+        match, clean, older = self.automaton.match, self.clean, self.older
         for chunk in chunks:
-            if any(self.automaton.match(w) for w in WORD.findall(chunk)):
+            if chunk in older:
+                clean.add(chunk)
+            elif match(chunk) if chunk.isalpha() else any(match(w) for w in WORD.findall(chunk)):
                 dirty = True
             else:
-                self.clean.add(chunk)
-        if len(self.clean) > CLEAN:
-            self.clean.clear()
+                clean.add(chunk)
+        if len(clean) > CLEAN:
+            self.clean, self.older = set(), clean
         if not dirty:
             return out
         found = list(WORD.finditer(lower))
