@@ -245,7 +245,8 @@ def find(docs: DataFrame, kind: Kind, tree: Tree, id_col: str = "doc_id", text_c
     takes = long.join(first, "key").where((F.coalesce("id", F.lit(-(1 << 63))) == F.col("i")) & (F.col("h") == F.col("oh"))).dropDuplicates(["key"])
     held = scratch.write(takes.select(F.col("i").alias("id"), "h", F.explode("anchors").alias("anchor")))
     counted = held.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("m"))
-    shared = counted.where("lo < hi" if kind.ordered else "m > 1").select("anchor", "m")
+    # written, so that the join's two sides are dealt out apart from the count and Spark can split the rows of a hot anchor
+    shared = scratch.write(counted.where("lo < hi" if kind.ordered else "m > 1").select("anchor", "m"))
     mine = held.join(shared, "anchor").groupBy("id", "h").agg(F.collect_set("anchor").alias("shared"), F.collect_set(F.when(F.col("m") > GROUP, F.col("anchor"))).alias("hot"))
     keyed = rows.select(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "h", "text")
     flagged = scratch.write(keyed.join(mine, ["id", "h"]).dropDuplicates(["id", "h"]))
