@@ -87,7 +87,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 sigs.append(signature(x).tobytes() if len(x) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], ["id", "n", "key", "sig"])
 
-    return rows.mapInArrow(scan, "id bigint, n bigint, key binary, sig binary")
+    return rows.mapInArrow(tw.tidy(scan), "id bigint, n bigint, key binary, sig binary")
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def bands(classes: DataFrame) -> DataFrame:
                 key = tw.mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, i])
             yield pa.RecordBatch.from_arrays([tw.as_long(key.ravel()), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], ["bucket", "id"])
 
-    return classes.mapInArrow(scan, "bucket bigint, id bigint")
+    return classes.mapInArrow(tw.tidy(scan), "bucket bigint, id bigint")
 
 
 def _alike(pairs: DataFrame, need: int) -> DataFrame:
@@ -112,7 +112,7 @@ def _alike(pairs: DataFrame, need: int) -> DataFrame:
             keep = [int((np.frombuffer(x.as_py(), np.uint32) == np.frombuffer(y.as_py(), np.uint32)).sum()) >= need for x, y in zip(b.column(2), b.column(3), strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.mapInArrow(scan, "a bigint, b bigint")
+    return pairs.mapInArrow(tw.tidy(scan), "a bigint, b bigint")
 
 
 def _linked(pairs: DataFrame, percent: int) -> DataFrame:
@@ -126,7 +126,7 @@ def _linked(pairs: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.mapInArrow(scan, "a bigint, b bigint")
+    return pairs.mapInArrow(tw.tidy(scan), "a bigint, b bigint")
 
 
 def least_matches(percent: int) -> int:
@@ -182,7 +182,7 @@ def _resolve(texts: DataFrame, percent: int) -> DataFrame:
         for t in tw.whole_groups(batches, 500):
             yield solve(t)
 
-    return texts.select("cluster", "id", "sig", "text").mapInArrow(stream, "node bigint, comp bigint")
+    return texts.select("cluster", "id", "sig", "text").mapInArrow(tw.tidy(stream), "node bigint, comp bigint")
 
 
 def classes(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

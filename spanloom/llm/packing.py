@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm import textwork as tw
+
 MEMO = 600_000
 PART = 1 << 19  #: characters
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -143,7 +145,7 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
                         column.append(value)
             yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in out[:5]), pa.array(out[5], pa.int32())], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp"])
 
-    return rows.mapInArrow(scan, f"{PIECES}, grp int")
+    return rows.mapInArrow(tw.tidy(scan), f"{PIECES}, grp int")
 
 
 class Tournament:

@@ -6,7 +6,9 @@ cut from bytes without decoding. Work goes slice by slice, each of about a megab
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -155,3 +157,18 @@ def whole_groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Ta
         held, n = t.slice(end).to_batches(), len(t) - end
     if n:
         yield pa.Table.from_batches(held)
+
+
+Scan = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(scan: Scan) -> Scan:
+    """The same scan, which hands free memory back when its task ends: Spark keeps Python workers for tasks to come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from scan(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a C library without it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
