@@ -305,8 +305,9 @@ def split_sizes(rows: DataFrame, order: Sequence[str], size: str, most: int, str
     schema = StructType([*ordered.schema.fields, StructField("__part", LongType())])
     walked = ordered.groupBy("__stretch").applyInPandas(walk, schema)
     counts = walked.groupBy("__stretch").agg((F.max("__part") + 1).alias("__n"))
-    before = counts.alias("a").join(counts.alias("b"), F.col("b.__stretch") < F.col("a.__stretch"), "left").groupBy("a.__stretch").agg(F.coalesce(F.sum("b.__n"), F.lit(0)).alias("__before"))
-    return walked.join(F.broadcast(before), "__stretch").withColumn("part_no", F.col("__part") + F.col("__before") + 1).drop("__nr", "__stretch", "__part", "__before")
+    above = Window.orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)  # one row a stretch
+    before = counts.select("__stretch", F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__before"))
+    return walked.join(before, "__stretch").withColumn("part_no", F.col("__part") + F.col("__before") + 1).drop("__nr", "__stretch", "__part", "__before")
 
 
 def split(corpus: Corpus, most_tokens: int, stretch: int = 100_000) -> Corpus:

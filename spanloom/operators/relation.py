@@ -238,21 +238,27 @@ class Relation:
         return self._like(self.df.orderBy(F.xxhash64(*map(col, self.names), F.lit(seed)), *map(col, self.names)))
 
 
-def numbered(df: DataFrame, order: Sequence[Column], name: str, partition: Sequence[Column] = ()) -> DataFrame:
-    """Running numbers from 1 over the whole order, without sorting all rows in one task.
+def running_sum(df: DataFrame, order: Sequence[Column], amount: Column, name: str) -> DataFrame:
+    """Sums up to each row over the whole order, without sorting all rows in one task.
 
-    Rows are dealt to ranges and numbered within; each range then adds what the ranges before it hold. The ranges are as
-    many as shuffle partitions, so their sizes are a small table.
+    Rows are dealt to ranges and summed within; each range then adds what the ranges before it hold. The ranges are as
+    many as shuffle partitions, so their sums are a small table.
     """
-    if partition:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("long"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # lineage is cut so that numbers and sizes come from the same ranges
+    # lineage is cut so that sums within and before come from the same ranges
     from spanloom.session import Scratch
 
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *order).withColumn("__range", F.spark_partition_id())
     ranged = Scratch(df.sparkSession, "ranges").write(ranged)
-    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__size"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.__range") < F.col("a.__range"), "left").groupBy("a.__range").agg(F.coalesce(F.sum("b.__size"), F.lit(0)).alias("__before"))
-    within = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    sums = ranged.groupBy("__range").agg(F.sum(amount).alias("__sum"))
+    above = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    before = sums.select("__range", F.coalesce(F.sum("__sum").over(above), F.lit(0)).alias("__before"))
+    within = F.sum(amount).over(Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return ranged.withColumn("__in", within).join(F.broadcast(before), "__range").withColumn(name, F.col("__in") + F.col("__before")).drop("__range", "__in", "__before")
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str, partition: Sequence[Column] = ()) -> DataFrame:
+    """Running numbers from 1, within a partition or over the whole order by ranges."""
+    if partition:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("long"))
+    return running_sum(df, order, F.lit(1), name)

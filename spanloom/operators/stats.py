@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from spanloom.operators.relation import running_sum
 from spanloom.sources.corpus import KEYS, Corpus
 
 #: Classes of characters in line statistics.
@@ -22,7 +23,7 @@ def frequencies(rows: DataFrame, value: str, keys: Sequence[str] = (), rank: boo
     """Per value (and key): n, ipm (per million, two digits), rank (ties share the first). Only distinct values are ranked."""
     counted = rows.groupBy(*keys, value).agg(F.count("*").alias("n"))
     totals = counted.groupBy(*keys).agg(F.sum("n").alias("__total"))
-    joined = counted.join(F.broadcast(totals), list(keys)) if keys else counted.crossJoin(F.broadcast(totals))  # one row
+    joined = counted.join(totals, list(keys)) if keys else counted.crossJoin(F.broadcast(totals))  # one row
     out = joined.withColumn("ipm", F.round(F.col("n") * 1000000.0 / F.col("__total"), 2)).drop("__total")
     if not rank:
         return out
@@ -41,8 +42,8 @@ def nested_distinct(rows: DataFrame, key: str, attributes: Sequence[str]) -> Dat
 def quantiles(rows: DataFrame, value: str, parts: int) -> DataFrame:
     """k, value for k from 0 to ``parts``: the least value at or below which there are k/parts of the rows, exactly, by whole numbers."""
     counted = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    w = Window.orderBy(value)
-    running = counted.select(F.col(value).alias("v"), F.sum("n").over(w).alias("cum"), F.sum("n").over(Window.partitionBy()).alias("total"))
+    total = rows.agg(F.count(value).alias("total"))  # one row
+    running = running_sum(counted.select(F.col(value).alias("v"), "n"), [F.col("v")], F.col("n"), "cum").crossJoin(F.broadcast(total))
     ks = rows.sparkSession.range(parts + 1).select(F.col("id").alias("k"))
     return running.join(F.broadcast(ks), F.col("cum") * parts >= F.col("k") * F.col("total")).groupBy("k").agg(F.min("v").alias("value"))
 

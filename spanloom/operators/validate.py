@@ -67,7 +67,7 @@ def field_issues(lines: DataFrame) -> DataFrame:
     """Tokens of a file with another number of fields than most of its tokens."""
     tokens = lines.where("value <> '' AND NOT startswith(value, '<')").select("file", "nr", F.size(F.split("value", "\t", -1)).alias("k"))
     usual = tokens.groupBy("file", "k").count().groupBy("file").agg(F.max(F.struct("count", -F.col("k"))).alias("m")).select("file", (-F.col("m.col2")).alias("usual"))
-    return tokens.join(F.broadcast(usual), "file").where("k <> usual").select("file", "nr", F.lit("token").alias("kind"), F.lit("error").alias("level"), F.lit("another number of fields").alias("issue"))
+    return tokens.join(usual, "file").where("k <> usual").select("file", "nr", F.lit("token").alias("kind"), F.lit("error").alias("level"), F.lit("another number of fields").alias("issue"))
 
 
 def issue_summary(issues: DataFrame) -> DataFrame:
