@@ -196,9 +196,14 @@ SPAN = "id bigint, h bigint, first bigint, end bigint"
 
 
 def long_prefixes(hot: DataFrame, kind: Kind) -> DataFrame:
-    """Spans of groups that are too large to hold: suffixes with the same surroundings are one, and each window of those is a prefix of its own."""
+    """Spans of groups that are too large to hold: suffixes with the same surroundings are one, and each window of those is a prefix of its own.
+
+    One suffix of each surroundings stands for all: its windows count as often as the surroundings occur. A window is
+    counted under each of its anchors apart and by the anchor's place in it, so that no single occurrence counts twice.
+    """
     hot = hot.withColumn("around", F.unhex(F.md5(F.concat(F.col("nl").cast("string").cast("binary"), F.lit(b":"), "ctx"))))
-    owner = hot.groupBy("anchor", "around").agg(F.min("id").alias("o"), F.count("*").alias("m"))
+    row = F.xxhash64("id", "h", "at")
+    owner = hot.groupBy("anchor", "around").agg(F.min("id").alias("o"), F.count("*").alias("m"), F.min(row).alias("one"))
     owned = hot.join(owner, ["anchor", "around"])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,13 +227,17 @@ def long_prefixes(hot: DataFrame, kind: Kind) -> DataFrame:
             for l in range(kind.left + 1):
                 fits = np.flatnonzero((nl >= l) & (nr >= kind.window - l))
                 part = line[fits, kind.left - l : kind.left - l + kind.window]
+                own = pa.array(fits)
                 flat, lo = part.ravel(), np.arange(len(fits)) * kind.window
                 keys = [tw.rolling(flat + np.uint64(x), lo, lo + kind.window, base) for x, base in ((0, tw._STEP), (977, tw._BASE))]
-                yield pa.RecordBatch.from_arrays([tw.as_long(keys[0]), tw.as_long(keys[1]), b.column(1).take(pa.array(fits)), b.column(2).take(pa.array(fits)), pa.array(b.column(3).to_numpy()[fits] - l)], ["k1", "k2", "id", "h", "first"])
-
-    each = owned.where(~copied).select("anchor", "id", "h", "at", "nl", "ctx").mapInArrow(spread, "k1 bigint, k2 bigint, id bigint, h bigint, first bigint")
-    owners = each.groupBy("k1", "k2").agg(F.min("id").alias("o"), F.count("*").alias("m")).where("m > 1")
-    met = each.join(owners, ["k1", "k2"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(own), pa.array(np.full(len(fits), l), pa.int32()), tw.as_long(keys[0]), tw.as_long(keys[1]), b.column(1).take(own), b.column(2).take(own), pa.array(b.column(3).to_numpy()[fits] - l), b.column(6).take(own)], [*window, "id", "h", "first", "m"])
+
+    window = ["anchor", "l", "k1", "k2"]
+    stands = ~copied if kind.ordered else F.col("one") == row
+    each = owned.where(stands).select("anchor", "id", "h", "at", "nl", "ctx", "m").mapInArrow(spread, "anchor bigint, l int, k1 bigint, k2 bigint, id bigint, h bigint, first bigint, m bigint")
+    owners = each.groupBy(*window).agg(F.min("id").alias("o"), F.sum("m").alias("all")).where("all > 1")
+    # where all occurrences go, those of repeated surroundings are in copies
+    met = (each if kind.ordered else each.where("m = 1")).join(owners, window)
     met = met.where("id > o") if kind.ordered else met
     return copies.union(met.select("id", "h", "first", (F.col("first") + kind.window).alias("end")))
 

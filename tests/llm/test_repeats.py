@@ -79,6 +79,28 @@ def test_bytes(spark, monkeypatch, rows, group):
     assert sorted(map(tuple, got.collect()), key=str) == brute_bytes(rows, 400)
 
 
+def letters(seed, n):
+    r = random.Random(seed)
+    return "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+
+def test_quote_of_a_hot_body(spark, monkeypatch):
+    """The quote's surroundings are unique, those of the body are all repeated."""
+    monkeypatch.setattr(repeats, "GROUP", 3)
+    body = letters(0, 3000)
+    rows = [(i, letters(i + 1, 500) + body) for i in range(6)] + [(6, letters(90, 700) + "#" + body[1200:1650] + "#" + letters(91, 700))]
+    got = sorted(map(tuple, suffix_arrays.digest(cases.documents(spark, rows)).collect()), key=str)
+    assert got == brute_bytes(rows, 400) and got[-1][2] == 450
+
+
+def test_two_hot_anchors_in_a_window(spark, monkeypatch):
+    """Texts share stretches shorter than a window that hold two anchors: nothing is repeated."""
+    monkeypatch.setattr(repeats, "GROUP", 3)
+    rows = [(100 * k + i, letters(1000 * k + i, 500) + shared + letters(1000 * k + 500 + i, 500)) for k in range(4) for shared in [letters(-1 - k, 390)] for i in range(30)]
+    got = sorted(map(tuple, suffix_arrays.digest(cases.documents(spark, rows)).collect()), key=str)
+    assert got == brute_bytes(rows, 400) and not any(r[2] for r in got)
+
+
 def test_orders_agree():
     rng = np.random.default_rng(5)
     for width in (1, 7, 8, 30):
