@@ -97,7 +97,7 @@ def fit(found: DataFrame, n: int, fit_rows: int = FIT_ROWS) -> Codebooks | None:
     if not len(drawn):
         drawn = found.select("v").limit(fit_rows).toPandas()["v"]
     x = _unit(np.array([np.frombuffer(v) for v in drawn]))
-    k = int(min(256, max(4, 2 ** round(math.log2(math.sqrt(n) / 6 + 1)))))
+    k = int(min(256, max(4, 2 ** round(math.log2(math.sqrt(n) / 3 + 1)))))
     half, rng = max(1, x.shape[1] // 2), np.random.default_rng(11)
     return Codebooks(_codebook(x[:, :half], k, rng), _codebook(x[:, half:], k, rng))
 
@@ -120,7 +120,7 @@ def walk(left: np.ndarray, right: np.ndarray, held: np.ndarray, enough: int) ->
     return out
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = 0.25, least: int = 4000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = 0.5, least: int = 4000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k nearest found of each query, never its own id: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "neighbours")

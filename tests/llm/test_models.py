@@ -116,6 +116,20 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_neighbours_beyond_least(spark):
+    """So many vectors without any clusters that cells of a part of them only are visited."""
+    x = np.random.default_rng(7).normal(size=(16_000, 64))
+    got = {}
+    for r in neighbours.digest(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    y = x / np.linalg.norm(x, axis=1)[:, None]
+    cos = y[::50] @ y.T
+    cos[np.arange(320), np.arange(0, 16_000, 50)] = -9
+    want = np.argsort(-cos, axis=1)[:, :5]
+    recall = np.mean([len(got[50 * i] & set(w.tolist())) / 5 for i, w in enumerate(want)])
+    assert recall >= 0.9
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 16)).astype(np.float32)
