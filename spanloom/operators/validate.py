@@ -77,8 +77,8 @@ def issue_summary(issues: DataFrame) -> DataFrame:
 def tree_issues(tokens: DataFrame, ref: str, head: str, several_roots: bool = False) -> DataFrame:
     """Per sentence with a dependency tree that isn't one: keys, issue.
 
-    Heads of a sentence are one array; from each token, heads are followed by doubling, so that trees of up to 1024
-    levels need ten steps. What hasn't reached the root by then is on a cycle.
+    Heads of a sentence are one array; from each token, heads are followed by doubling, as
+    often as the sentence's size asks for. What hasn't reached the root by then is on a cycle.
     """
     keys = KEYS["sentence"]
     heads = tokens.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(ref).cast("int").alias("r"), F.col(head).cast("int").alias("h")))).alias("t"))
@@ -88,8 +88,8 @@ def tree_issues(tokens: DataFrame, ref: str, head: str, several_roots: bool = Fa
     in_range = F.forall("h", lambda x: (x >= 0) & (x <= F.size("h")))
     roots = F.size(F.filter("h", lambda x: x == 0))
     rows = heads.withColumn("ok", sequential & in_range).withColumn("j", F.when(F.col("ok"), F.col("h")).otherwise(F.array().cast("array<int>")))
-    ten = F.sequence(F.lit(1), F.lit(10))  # a fold, as ten projections would be merged into one huge expression
-    rows = rows.withColumn("j", F.aggregate(ten, F.col("j"), lambda acc, _: F.transform(acc, lambda x: F.when(x == 0, 0).otherwise(F.get(acc, x - 1)))))
+    doublings = F.sequence(F.lit(1), F.ceil(F.log2(n)).cast("int") + 1)  # a fold, as so many projections would be merged into one huge expression
+    rows = rows.withColumn("j", F.aggregate(doublings, F.col("j"), lambda acc, _: F.transform(acc, lambda x: F.when(x == 0, 0).otherwise(F.get(acc, x - 1)))))
     issue = F.when(~sequential, "ids aren't 1 to n").when(~in_range, "head out of range").when(roots == 0, "no root").when(F.lit(not several_roots) & (roots > 1), "several roots").when(F.exists("j", lambda x: x != 0), "cycle")
     return rows.select(*keys, issue.alias("issue")).where("issue IS NOT NULL")
 

@@ -229,3 +229,9 @@ def test_streaming(spark, tmp_path):
     runs = events.tag_runs(stream, "k", "o", "v").writeStream.format("memory").queryName("runs").outputMode("append").trigger(availableNow=True).start()
     runs.awaitTermination(60)
     assert sorted((r["v"], r["first"], r["last"], r["n"]) for r in spark.table("runs").collect()) == [("a", 0, 2, 3), ("b", 3, 5, 3)]
+
+
+def test_long_chain_is_a_tree(spark):
+    rows = [("a", 1, 1, i, i - 1) for i in range(1, 5001)] + [("a", 1, 2, 1, 0), ("a", 1, 2, 2, 3), ("a", 1, 2, 3, 2)]
+    tokens = spark.createDataFrame(rows, "text_id string, para_no int, sent_no int, tok_no int, head int")
+    assert [tuple(r) for r in validate.tree_issues(tokens, "tok_no", "head").collect()] == [("a", 1, 2, "cycle")]
