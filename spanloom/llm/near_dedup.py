@@ -6,22 +6,26 @@
    sets miss all 44 buckets with a probability of 7e-6; at 0.8 of 3e-8.
 3. Each member of a bucket is tied to the bucket's smallest id, and the connected components of these ties (by
    alternating large-star and small-star) are clusters: whatever shares a bucket is in one cluster.
-4. Clusters of at most ``CLUSTER`` shingles in all are worked by one task each, many to a task: from its smallest id on,
-   a breadth-first search compares the documents of a component with those not reached yet. A pair passes if its
-   signatures could belong to sets as similar as asked (a test that a true pair fails with a probability below 1e-6) and
-   then if its full shingle sets, from the whole texts, really are. What is reached is compared no further, so a large
-   group of copies takes few comparisons.
-5. Larger clusters are worked in rounds without ever gathering a bucket: each bucket names leaders, and each leader is
-   compared, in the same two steps, with the bucket's other members in other components. Links merge components by large-star
-   and small-star. A bucket is done when no two of its members that have not led lie in different components; then every
-   pair of its members was compared or is connected already. A bucket's leaders grow fourfold by round.
+4. Clusters of at most ``CLUSTER`` shingles and ``MEMBERS`` documents are worked by one task each, many to a task: from
+   its smallest id on, a breadth-first search compares the documents of a component with those not reached yet. A pair
+   passes if its signatures could belong to sets as similar as asked (a test that a true pair fails with a probability
+   below 1e-6) and then if its full shingle sets, from the whole texts, really are. What is reached is compared no
+   further, so a large group of copies takes few comparisons. A cluster that isn't resolved after ``WORK`` comparisons
+   of signatures (texts that resemble but aren't linked) is given up there and handed on, with nothing lost.
+5. Those and larger clusters are worked in rounds without ever gathering a bucket: each bucket names leaders, and each
+   leader is compared, in the same two steps, with the bucket's other members in other components. Links merge components
+   by large-star and small-star. A bucket is done when no two of its members that have not led lie in different
+   components; then every pair of its members was compared or is connected already. After ``EASY`` rounds the buckets
+   of what is left are replaced by those of an exact prefix filter: two sets as similar as asked share one of the
+   rarest shingles that make up a quarter of either, so texts that have only a common frame never meet.
 
 State between steps is written to the shared folder.
 
 Defined results: null texts and texts without words have an empty set and are linked with nothing; a document of one to
 four words is a set of one; rows with a null id stay alone with a null component and are kept; repeated rows share a
 class and all have its component, so all are kept if the class's id is theirs; an empty table gives an empty table;
-other columns are ignored (``classes``) or passed on (``keep_first``).
+other columns are ignored (``classes``) or passed on (``keep_first``). Texts are taken whole, however long; a text's set
+of shingles is held by the task that makes or compares it.
 """
 
 from __future__ import annotations
@@ -35,11 +39,14 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import textwork as tw
 from spanloom.llm.components import components
+from spanloom.llm.skew import hot_join
 from spanloom.session import Scratch
 
 WORDS = 5
 BANDS, ROWS = 44, 5
-CLUSTER = 4_000_000  #: shingles that a task holds at once, of 8 bytes each
+CLUSTER, MEMBERS = 4_000_000, 20_000  #: shingles (of 8 bytes) and documents (signatures of 880) of a cluster that a task holds
+WORK = 40_000_000  #: comparisons of signatures that a task spends on a cluster
+EASY = 2  #: rounds with the buckets of bands, before the prefix filter
 #: Fixed odd multipliers and offsets of the universal hashes.
 _rng = np.random.default_rng(20240229)
 MULTIPLY = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -135,13 +142,14 @@ def least_matches(percent: int) -> int:
     return int(n * p - 5.2 * (n * p * (1 - p)) ** 0.5)
 
 
-def reach(ids: np.ndarray, sets: list[np.ndarray], sigs: np.ndarray, percent: int) -> np.ndarray:
-    """By document: the smallest id of its component. Compares by signatures, then by full sets."""
+def reach(ids: np.ndarray, sets: list[np.ndarray], sigs: np.ndarray, percent: int) -> np.ndarray | None:
+    """By document: the smallest id of its component, or nothing after too much work. Compares by signatures, then by full sets."""
     need, n = least_matches(percent), np.array([len(x) for x in sets])
     _, codes = np.unique(np.concatenate(sets), return_inverse=True)
     codes = np.split(codes, np.cumsum(n)[:-1])
     mark = np.zeros(max(int(c.max()) for c in codes) + 1, bool)
     comp = np.zeros(len(ids), np.int64)
+    work = 0
     left = np.argsort(ids, kind="stable")
     while len(left):
         seed, left = left[0], left[1:]
@@ -151,6 +159,9 @@ def reach(ids: np.ndarray, sets: list[np.ndarray], sigs: np.ndarray, percent: in
             x = todo.pop()
             fits = (100 * np.minimum(n[left], n[x]) >= percent * np.maximum(n[left], n[x])) & (ids[left] != ids[x])
             near = np.flatnonzero(fits)
+            work += len(near) + len(left) // 50  # a look at the size costs that much less
+            if work > WORK:
+                return None
             near = near[(sigs[left[near]] == sigs[x]).sum(axis=1) >= need]
             if not len(near):
                 continue
@@ -167,7 +178,7 @@ def reach(ids: np.ndarray, sets: list[np.ndarray], sigs: np.ndarray, percent: in
 
 
 def _resolve(texts: DataFrame, percent: int) -> DataFrame:
-    """texts: cluster, id, sig, text, dealt and sorted by cluster. Per document: node, comp."""
+    """texts: cluster, id, sig, text, dealt and sorted by cluster. Per document: node, comp; comp is null in clusters that were given up."""
 
     def solve(t: pa.Table) -> pa.RecordBatch:
         t = t.combine_chunks()
@@ -175,8 +186,11 @@ def _resolve(texts: DataFrame, percent: int) -> DataFrame:
         sets = list(shingle_sets(t.column("text").chunk(0)))
         sigs = np.frombuffer(b"".join(x.as_py() for x in t.column("sig")), np.uint32).reshape(len(ids), -1)
         begins = np.flatnonzero(np.diff(cluster, prepend=cluster[0] - 1))
-        comp = [reach(ids[a:b], sets[a:b], sigs[a:b], percent) for a, b in zip(begins, [*begins[1:], len(ids)], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(comp))], ["node", "comp"])
+        comp: list[pa.Array] = []
+        for a, b in zip(begins, [*begins[1:], len(ids)], strict=True):
+            found = reach(ids[a:b], sets[a:b], sigs[a:b], percent)
+            comp.append(pa.nulls(b - a, pa.int64()) if found is None else pa.array(found))
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.concat_arrays(comp)], ["node", "comp"])
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in tw.whole_groups(batches, 500):
@@ -197,13 +211,14 @@ def classes(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col
     clusters = scratch.write(components(members.select(F.col("id").alias("a"), F.col("lo").alias("b")), scratch).select(F.col("node").alias("id"), F.col("comp").alias("cluster")))
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).where("id IS NOT NULL")
     texts = scratch.write(sigs.join(clusters, "id").join(texts, "id").select("cluster", "id", "n", "sig", "text").dropDuplicates(["id", "text"]))
-    large = texts.groupBy("cluster").agg(F.sum("n").alias("held")).where(F.col("held") > CLUSTER).select("cluster")
-    large = scratch.write(large)
+    large = scratch.write(texts.groupBy("cluster").agg(F.sum("n").alias("held"), F.count("*").alias("docs")).where((F.col("held") > CLUSTER) | (F.col("docs") > MEMBERS)).select("cluster"))
     small = texts.join(F.broadcast(large), "cluster", "left_anti") if _few(large) else texts.join(large, "cluster", "left_anti")
-    found = _resolve(small.repartition("cluster").sortWithinPartitions("cluster"), percent)
-    if not large.isEmpty():
-        rest = clusters.join(large, "cluster", "left_semi").select("id")
-        found = found.union(_rounds(members.select("bucket", "id").join(rest, "id", "left_semi"), texts.join(large, "cluster", "left_semi"), percent, scratch))
+    found = scratch.write(_resolve(small.repartition("cluster").sortWithinPartitions("cluster"), percent))
+    given_up = found.where("comp IS NULL").select(F.col("node").alias("id"))
+    hard = scratch.write(given_up.union(clusters.join(large, "cluster", "left_semi").select("id")))
+    found = found.where("comp IS NOT NULL")
+    if not hard.isEmpty():
+        found = found.union(_rounds(members.select("bucket", "id").join(hard, "id", "left_semi"), texts.join(hard, "id", "left_semi"), percent, scratch))
     found = scratch.write(found.groupBy("node").agg(F.min("comp").alias("comp")))
     label = sets.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("comp", "id").alias("comp"))
     alone = rows.where("key IS NULL OR id IS NULL").select("id", "n", F.col("id").alias("comp"))
@@ -215,20 +230,44 @@ def _few(df: DataFrame, most: int = 100_000) -> bool:
     return df.limit(most + 1).count() <= most
 
 
+def prefixes(texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """texts: id, text. bucket, id: of each set, the shingles that are the rarest among all of these, so many that two sets as similar as asked share one of them."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = shingle_sets(b.column(1))
+            for lo in range(0, len(b), 100):
+                part = [x for _, x in zip(range(lo, min(lo + 100, len(b))), sets, strict=False)]
+                n = [len(x) for x in part]
+                yield pa.RecordBatch.from_arrays([tw.as_long(np.concatenate(part)), pa.array(np.repeat(b.column(0).to_numpy()[lo : lo + 100], n))], ["bucket", "id"])
+
+    held = scratch.write(texts.select("id", "text").mapInArrow(tw.tidy(scan), "bucket bigint, id bigint").distinct())
+    often = scratch.write(held.groupBy("bucket").agg(F.count("*").alias("m")))
+    ranked = hot_join(held, often, ["bucket"], "m", MEMBERS).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("m", "bucket"))).alias("s"))
+    n = F.size("s")
+    kept = n - F.ceil(n * percent / 100).cast("int") + 1
+    return ranked.select("id", F.explode(F.slice("s", F.lit(1), kept)).alias("e")).where("e.m > 1").select("e.bucket", "id")
+
+
 def _rounds(members: DataFrame, texts: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """members: bucket, id. texts: id, sig, text. node, comp of those that have a link."""
     spark = members.sparkSession
     links = spark.createDataFrame([], "a bigint, b bigint")
     comp = spark.createDataFrame([], "node bigint, comp bigint")
+    texts = scratch.write(texts.select("id", "sig", "text"))
     of = lambda id_, column, name: texts.select(F.col("id").alias(id_), F.col(column).alias(name))
     undone, round_ = members, 0
     while True:
         named = undone.join(comp.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
-        open_ = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-        rest = scratch.write(named.join(open_, "bucket", "left_semi"))
+        named = scratch.write(named)
+        open_ = scratch.write(named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("bucket", "m"))
+        rest = scratch.write(hot_join(named, open_, ["bucket"], "m", MEMBERS).drop("m"))
         if rest.isEmpty():
             break
-        salt = F.pmod(F.xxhash64("id"), F.lit(4 ** max(0, round_ - 1))).alias("salt")
+        if round_ == EASY:
+            undone, round_ = scratch.write(prefixes(texts.join(rest.select("id").distinct(), "id", "left_semi"), percent, scratch)), round_ + 1
+            continue
+        salt = F.pmod(F.xxhash64("id"), F.lit(4 ** max(0, round_ - 1 if round_ < EASY else round_ - EASY - 2))).alias("salt")
         leaders = scratch.write(rest.groupBy("bucket", salt).agg(F.min(F.struct("id", "comp")).alias("l")).select("bucket", F.col("l.id").alias("a"), F.col("l.comp").alias("ca")))
         pairs = rest.join(leaders, "bucket").where("ca <> comp").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
         near = _alike(pairs.join(of("a", "sig", "sa"), "a").join(of("b", "sig", "sb"), "b").select("a", "b", "sa", "sb"), least_matches(percent)).distinct()

@@ -43,15 +43,32 @@ def variants(seed, n, base, edits):
     return out
 
 
-@pytest.mark.parametrize("kind", ["awkward", "chains", "hot"])
-@pytest.mark.parametrize("cluster", [4_000_000, 1500], ids=["tasks", "rounds"])
-def test_equals_brute_force(spark, monkeypatch, kind, cluster):
-    monkeypatch.setattr(near_dedup, "CLUSTER", cluster)
+def framed(n):
+    """A family with one frame and a part of their own each: below the threshold, but for a few."""
+    frame, out = cases.prose(40, 80).split(), []
+    for k in range(n):
+        own = cases.prose(1000 + k - (k % 9 == 0), 22).split()
+        out.append(" ".join(frame[:40] + own + frame[40:]))
+    return out
+
+
+@pytest.mark.parametrize("kind, path", [("awkward", "tasks"), ("hot", "tasks"), ("short", "tasks"), ("chains", "rounds"), ("frames", "rounds"), ("awkward", "given up"), ("frames", "given up")])
+def test_equals_brute_force(spark, monkeypatch, kind, path):
+    if path == "rounds":
+        monkeypatch.setattr(near_dedup, "CLUSTER", 1500)
+        monkeypatch.setattr(near_dedup, "MEMBERS", 7)
+    if path == "given up":
+        monkeypatch.setattr(near_dedup, "WORK", 60)
     rows = cases.awkward()
     if kind == "chains":
         rows = [(i, t) for i, t in enumerate(x for s in range(12) for x in variants(s, 12, cases.prose(s, 60), 6))]
     if kind == "hot":  # one large group whose pairs lie around the threshold, most of them below
         rows = list(enumerate(variants(3, 220, cases.prose(3, 90), 5) + [cases.prose(3, 90)] * 30))
+    if kind == "frames":
+        rows = list(enumerate(framed(150)))
+    if kind == "short":  # few shingles each, chained one by one
+        w = cases.prose(9, 130).split()
+        rows = [(i, " ".join(w[i : i + 30])) for i in range(100)] + [(100 + i, " ".join(w[: 1 + i % 6])) for i in range(40)]
     random.Random(1).shuffle(rows)
     got = sorted(map(tuple, near_dedup.digest(cases.documents(spark, rows)).collect()), key=str)
     assert got == brute(rows)
@@ -65,7 +82,9 @@ def test_keep_first_and_empty(spark):
     assert near_dedup.digest(docs.limit(0)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("held", [500, 3])
+def test_components(spark, monkeypatch, held):
+    monkeypatch.setattr("spanloom.llm.components.HELD", held)
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 40)] + [(r.randrange(100, 200), r.randrange(100, 200)) for _ in range(60)] + [(300, 300 + i) for i in range(1, 50)]
     parent = {}
