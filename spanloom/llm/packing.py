@@ -15,7 +15,7 @@ entries.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -94,7 +94,7 @@ class Tokens:
     def split(text: str) -> list[str]:
         return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+    def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text. Texts go in groups, a very long one in parts, so that what is split at a time stays small."""
         group: list[list[str]] = []
         size = 0
@@ -135,7 +135,7 @@ def cut(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
         tokens = Tokens(tokenizer_path)
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
-            texts = [x or "" for x in b.column(1).to_pylist()]
+            texts = (x.as_py() or "" for x in b.column(1))
             for doc, ids, group in zip(b.column(0).to_pylist(), tokens(texts), b.column(2).to_pylist(), strict=True):
                 ids += end
                 n = len(ids) // 4

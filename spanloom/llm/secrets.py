@@ -11,8 +11,8 @@
 Kinds: ``assign``, ``access``, ``hex``, then ``github``, ``npm``. Spans count code points, the end is exclusive.
 
 Defined results: null and empty texts have no spans; rows are judged one by one, so repeated rows and ties repeat their
-result; an empty table gives an empty table; other columns are ignored (``find``) or passed on (``redact``). Memory is
-that of one Arrow batch. There is no shuffle.
+result; an empty table gives an empty table; other columns are ignored (``find``) or passed on (``redact``). Texts are taken
+whole and one by one, so a task holds its Arrow batch and one text as a string, however long. There is no shuffle.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keywords = automaton()
         for b in batches:
-            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in spans(t, keywords)] for t in b.column(1).to_pylist()]
+            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in spans(t.as_py(), keywords)] for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, found)], ["id", "spans"])
 
     return ids.mapInArrow(scan, f"id {kind}, spans array<struct<kind:string,start:bigint,end:bigint>>").withColumnRenamed("id", id_col)
@@ -135,7 +135,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> D
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keywords = automaton()
         for b in batches:
-            texts = pa.array([clean(t, keywords) for t in b.column(at).to_pylist()], b.schema.field(at).type)
+            texts = pa.array([clean(t.as_py(), keywords) for t in b.column(at)], b.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(b.columns)], schema=b.schema)
 
     return docs.mapInArrow(scan, docs.schema)

@@ -58,10 +58,71 @@ def test_quotation_counts_apart():
     assert reader.features("you moronic thing")[:4] == [0, 2.0, 0, 0]
     assert reader.features('the sign “all scum” here')[:4] == [0, 0, 3.0, 0]
     assert reader.features("he wrote scum on it")[:4] == [0, 0, 3.0, 0]
-    assert reader.features("mor0nic m0ron morronic")[3] == 2.0
+    assert reader.features("mor0nic m0ron morronic (mor.onic), mor-nic")[3] == 8.0
+    assert reader.features("scum! scum2 non-scum 1,000 m0onic sc*m")[:4] == [9.0, 0, 0, 0]
+    assert toxicity.Reader(["scum"], [3.0], [1]).features("sc*m scam")[3] == 6.0
+    assert reader.features("“" + "far away " * 400 + "scum” and “open scum")[:3] == [3.0, 0, 3.0]
     assert reader.features(None) == reader.features("") == reader.features("clean") == [0.0] * 5
 
 
+def plain_features(text, terms, weights):
+    """As the docstring of the operator says, with edit distances to every term, place by place."""
+    out = [0.0] * 5
+    lower = text.lower()
+    words = [(m.start(), m[0]) for m in re.finditer(r"[^\W\d_]+", lower)]
+    spans, end = [], -1
+    for at, ch in enumerate(lower):
+        close = lower.find(toxicity.QUOTES[ch], at + 1) if ch in toxicity.QUOTES and at > end else -1
+        if close > 0 and "\n" not in lower[at:close]:
+            spans.append((at, close))
+            end = close
+
+    def nearest(w):
+        fit = sorted((e, i) for i, t in enumerate(terms) if (e := edits(w, t)) <= toxicity.budget(t))
+        return fit[0] if fit else None
+
+    for piece in re.finditer(r"\S+", lower):
+        found = [(piece.start() + m.start(), n) for m in re.finditer(r"[^\W\d_]+", piece[0]) if (n := nearest(m[0]))]
+        core = re.sub(r"^[\W_]+|[\W_]+$", "", piece[0])
+        if not found and not core.isalpha() and any(c.isalpha() for c in core) and (n := nearest(core)):
+            found = [(piece.start() + piece[0].index(core), n)]
+        for at, (e, i) in found:
+            before = [w for a, w in words if a < at]
+            here = [w for a, w in words if a >= at]
+            if e:
+                out[3] += weights[i]
+            elif any(a < at < b for a, b in spans) or toxicity.REPORTING & set(before[-6:]):
+                out[2] += weights[i]
+            elif toxicity.SECOND_PERSON & set(before[-6:] + here[:7]):
+                out[1] += weights[i]
+            else:
+                out[0] += weights[i]
+            if not e:
+                out[4] = max(out[4], weights[i])
+    return out
+
+
+def test_score_equals_brute_force(spark):
+    r = random.Random(12)
+    terms, weights = ["moronic", "scum", "vermin", "blockheadish"], [2.0, 3.0, 1.5, 2.5]
+    model = toxicity.Model(terms, weights, [-1.0, 0.7, 0.9, -0.3, 0.4, 0.2])
+    pool = "moronic mor0nic moroni scum scvm vermin, verm-in vermin2 blockheedisch you tu said wrote plain words “ ” \" 12 1,5 non-scum x's\n".split(" ")
+    rows = [(i, " ".join(r.choice(pool) for _ in range(r.randrange(60)))) for i in range(120)]
+    got = {x["doc_id"]: x["score"] for x in toxicity.score(cases.documents(spark, rows), model).collect()}
+    for i, t in rows:
+        f = plain_features(t, terms, weights)
+        z = model.betas[0] + sum(b * np.log1p(x) for b, x in zip(model.betas[1:], f))
+        assert abs(got[i] - 1 / (1 + np.exp(-z))) < 1e-9, t
+
+
+def test_many_terms(spark):
+    """More terms than an earlier version kept."""
+    words = ["".join(chr(97 + (k // 26**j) % 26) for j in range(4)) + "zzzzq" for k in range(3500)]
+    rows = [(i, " ".join(words[(i // 2 * 50 + j) % 3500] for j in range(50))) if i % 2 else (i, f"plain text {i}") for i in range(6000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6000)], "doc_id long, toxic int").selectExpr("*", "'x' AS id", "1 AS text", "2 AS y")
+    assert len(toxicity.fit(cases.documents(spark, rows), labels).terms) == 3500
+
+
 def test_toxicity(spark):
     r = random.Random(5)
     bad = ["grubblish", "snarkol", "vexpot"]
