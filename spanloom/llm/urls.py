@@ -1,7 +1,7 @@
 """URL filters: host and path rules, and a ratio of two character language models for all other urls. SQL only.
 
-Urls that a rule decides are the labelled ones. Two variable-order Markov models over a folded url (34 symbols) are
-counted, one on accepted and one on rejected urls; a context of three symbols backs off to shorter ones by Witten-Bell
+Urls that a rule decides are the labelled ones. Two variable-order Markov models over a folded url (all behind its
+``://``, with query and fragment; 34 symbols) are counted, one on accepted and one on rejected urls; a context of three symbols backs off to shorter ones by Witten-Bell
 smoothing. A url's score is the difference of its two log likelihoods, divided by its length. The cut is calibrated on
 a fifth of the labelled urls that the models don't see: the one with the least balanced error.
 
@@ -12,7 +12,8 @@ made in the scan, so the sums combine before the shuffle and no host or url gath
 Defined results: urls that are null or without ``://`` have an empty host and path, no rule, score null and verdict
 ``allow``; without labelled urls of both kinds the cut is 0 and the smoothed models score alike, so the verdict is
 ``allow``; of rules of equal length the first wins; repeated rows are judged one by one; an empty table gives an empty
-table; other columns are ignored.
+table; other columns are ignored. Urls are taken whole: a very long one is a row for each of its symbols, which are summed
+in the task that reads it.
 """
 
 from __future__ import annotations
@@ -89,7 +90,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "pag
     host, path = host_path(F.col("url"))
     rows = rows.select("id", "url", host.alias("host"), path.alias("path"))
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
-    bare = F.when(F.instr("url", "://") > 0, F.concat("host", "path"))
+    bare = F.expr("CASE WHEN instr(url, '://') > 0 THEN substring(url, instr(url, '://') + 3) END")
     rows = rows.select("id", "host", "path", rule.alias("rule"), ruled.alias("ruled"), folded(bare).alias("folded"), (F.pmod(F.xxhash64("url"), F.lit(5)) == 0).alias("test"))
 
     learn = lambda kind: ((F.col("ruled") == kind) & ~F.col("test")).cast("long")

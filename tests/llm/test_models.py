@@ -171,12 +171,72 @@ def test_urls(spark):
             assert found[0][3:] == (max(fit)[2], max(fit)[1])
         else:
             assert found[0][3] is None and found[0][4] in ("allow", "block")
+    # query and fragment count too
+    score = {x["page_id"]: x["score"] for x in urls.judge(spark.createDataFrame([*rows, (900, "http://a.example.org/de/1"), (901, "http://a.example.org/de/1?fr/es/fr/es")], "page_id long, url string"), queries.URL_RULES).collect()}
+    assert score[900] != score[901]
     # rules accept all of com and block much of net, so the models should take the rest of net for blocked
     learned = [x[4] for x in got if x[1].endswith("example.net") and x[2][:4] in ("/de/", "/en/")]
     assert np.mean([v == "block" for v in learned]) > 0.9
     assert urls.judge(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_model_equals_brute_force(spark):
+    """Witten-Bell by recursion over dictionaries."""
+    r = random.Random(16)
+    rows = [("".join(r.choice("ab/x0") for _ in range(r.randrange(1, 12))), r.random() < 0.5) for _ in range(200)]
+    counts = {True: {}, False: {}}
+    for u, kind in rows:
+        u = "^^^" + u + "$"
+        for i in range(len(u) - 3):
+            counts[kind][u[i : i + 4]] = counts[kind].get(u[i : i + 4], 0) + 1
+
+    def prob(kind, gram):
+        c = counts[kind]
+        if len(gram) == 1:
+            return (sum(n for g, n in c.items() if g[3] == gram) + 1) / (sum(c.values()) + urls.SYMBOLS)
+        tails = {}
+        for g, n in c.items():
+            tails[g[4 - len(gram) :]] = tails.get(g[4 - len(gram) :], 0) + n
+        after = {g: n for g, n in tails.items() if g[:-1] == gram[:-1]}
+        seen = sum(after.values())
+        lower = prob(kind, gram[1:])
+        return (tails.get(gram, 0) + len(after) * lower) / (seen + len(after)) if seen else lower
+
+    grams = sorted({*counts[True], *counts[False]})
+    counted = spark.createDataFrame([(g, counts[True].get(g, 0), counts[False].get(g, 0)) for g in grams], "gram string, ok long, bad long")
+    got = {x["gram"]: x["ratio"] for x in urls.log_ratio(counted).collect()}
+    for g in grams:
+        assert abs(got[g] - (np.log(prob(True, g)) - np.log(prob(False, g)))) < 1e-9
+
+
+def test_langid_equals_brute_force(spark):
+    """Counts by dictionary, cosines by loop."""
+    r = random.Random(18)
+    texts = [spoken(i, lang, 1 + i % 30) for i, lang in enumerate(list(LETTERS) * 8)] + ["ab, CD 12 ef\tÄö", "x"]
+
+    def vector(t):
+        data = re.sub(rb" +", b" ", bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalpha() else 32 for c in t.encode()))
+        out = np.zeros(langid.D)
+        for k in (2, 3, 4):
+            for i in range(len(data) - k + 1):
+                code = int.from_bytes(data[i : i + k], "big")
+                out[((code * 0x9E3779B1 + k) * 0x85EBCA6B % (1 << 32)) >> 20] += 1
+        return out
+
+    idf = np.linspace(0.1, 3, langid.D).astype(np.float32)
+    centroids = np.array([np.abs(np.random.default_rng(k).normal(size=langid.D)) for k in range(5)])
+    centroids = (centroids / np.linalg.norm(centroids, axis=1)[:, None]).astype(np.float32)
+    names = ["p", "q", "p", "s", "q"]
+    got = {x["doc_id"]: x for x in langid.predict(cases.documents(spark, list(enumerate(texts))), langid.Model(names, centroids, idf, 0.5, "p")).collect()}
+    for i, t in enumerate(texts):
+        v = np.log1p(vector(t)) * idf
+        cos = centroids @ (v / max(np.linalg.norm(v), 1e-30))
+        per = {x: max(c for c, y in zip(cos, names) if y == x) for x in names}
+        if max(per.values()):
+            assert got[i]["lang_pred"] == max(per, key=per.get)
+        assert abs(got[i]["cosine"] - max(per.values())) < 1e-4 and got[i]["rejected"] == (got[i]["cosine"] < 0.5)
+
+
 def test_neighbours_beyond_least(spark):
     """So many vectors without any clusters that cells of a part of them only are visited."""
     x = np.random.default_rng(7).normal(size=(16_000, 64))
