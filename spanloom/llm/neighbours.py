@@ -2,12 +2,17 @@
 
 Vectors are scaled to unit length and cut in two halves, and each half is quantised by its own codebook, so a vector lies
 in one of K x K cells. A query walks the cells by the sum of its two halves' squared distances, taken from a heap in
-rising order, until the visited cells hold ``share`` of all vectors (and ``least`` at least). The entries of those cells
-are reranked by their exact cosine in double precision.
+rising order, until the visited cells hold enough entries. The entries of those cells are reranked by their exact cosine in
+double precision.
 
-Codebooks are fitted on a bounded sample (``FIT_ROWS`` vectors, a documented bound); every vector is indexed. Equal
-vectors are one entry, which keeps the k + 1 smallest ids: no more can be among a query's k nearest. They are combined
-batch by batch before the shuffle, so a vector that a third of all rows share stays one small entry.
+How many entries are enough is measured, not set: one scan of the index finds the true neighbours of ``CALIBRATE`` of its
+vectors, and the walk goes as far as ``recall`` of these ask for. On vectors with clusters that is a small number whatever
+the size of the index; on vectors without any structure it is a large share of them, as no such index can do better.
+
+Codebooks are fitted on a bounded sample (``FIT_ROWS`` vectors, a documented bound); every vector is indexed. K grows with
+the root of the index's size up to ``MOST_CENTRES``. Equal vectors are one entry, which keeps the k + 1 smallest ids: no
+more can be among a query's k nearest. They are combined batch by batch before the shuffle, so a vector that a third of all
+rows share stays one small entry.
 
 Reranking joins blocks: entries by first centroid (split at random beyond ``BLOCK_ROWS``) with the queries that visit
 it, themselves split into blocks. A task holds one block of each and returns each query's best of it.
@@ -32,7 +37,9 @@ from pyspark.sql import functions as F
 
 from spanloom.session import Scratch
 
-FIT_ROWS = 16_384
+FIT_ROWS = 65_536
+MOST_CENTRES = 1024  #: of a codebook, so that there are at most a million cells
+CALIBRATE = 300
 BLOCK_ROWS = 20_000
 FOUND = "query_id bigint, rank int, vec_id bigint, score double"
 
@@ -81,7 +88,7 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 def _codebook(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 15) -> np.ndarray:
     centres = x[rng.choice(len(x), min(k, len(x)), replace=False)]
     for _ in range(rounds):
-        own = _distances(x, centres).argmin(axis=1)
+        own = np.concatenate([_distances(x[lo : lo + 4096], centres).argmin(axis=1) for lo in range(0, len(x), 4096)])
         sums = np.zeros_like(centres)
         np.add.at(sums, own, x)
         n = np.bincount(own, minlength=len(centres))[:, None]
@@ -89,15 +96,21 @@ def _codebook(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 15)
     return centres
 
 
+def _sample(found: DataFrame, n: int, most: int) -> np.ndarray:
+    """At most so many of the n entries' vectors, by hash order."""
+    place = F.pmod(F.xxhash64("v"), F.lit(1_000_000))
+    drawn = found.where(place <= min(1.0, 2 * most / n) * 1_000_000).select("v").orderBy(F.xxhash64("v", F.lit(1))).limit(most).toPandas()["v"]
+    if not len(drawn):
+        drawn = found.select("v").limit(most).toPandas()["v"]
+    return np.array([np.frombuffer(v) for v in drawn])
+
+
 def fit(found: DataFrame, n: int, fit_rows: int = FIT_ROWS) -> Codebooks | None:
     """found: entries; n: how many there are."""
     if not n:
         return None
-    drawn = found.where(F.pmod(F.xxhash64("v"), F.lit(1_000_000)) < min(1.0, fit_rows / n) * 1_000_000).select("v").orderBy(F.xxhash64("v")).limit(fit_rows).toPandas()["v"]
-    if not len(drawn):
-        drawn = found.select("v").limit(fit_rows).toPandas()["v"]
-    x = _unit(np.array([np.frombuffer(v) for v in drawn]))
-    k = int(min(256, max(4, 2 ** round(math.log2(math.sqrt(n) / 3 + 1)))))
+    k = int(min(MOST_CENTRES, max(4, 2 ** round(math.log2(math.sqrt(n) / 3 + 1)))))
+    x = _unit(_sample(found, n, min(fit_rows, max(16_384, 64 * k))))
     half, rng = max(1, x.shape[1] // 2), np.random.default_rng(11)
     return Codebooks(_codebook(x[:, :half], k, rng), _codebook(x[:, half:], k, rng))
 
@@ -120,7 +133,45 @@ def walk(left: np.ndarray, right: np.ndarray, held: np.ndarray, enough: int) ->
     return out
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = 0.5, least: int = 4000, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def enough_for(placed: DataFrame, books: Codebooks, held: np.ndarray, k: int, recall: float) -> int:
+    """How many entries a walk has to visit, so that this share of true neighbours is among them. placed: v, i, j.
+
+    The neighbours are those of ``CALIBRATE`` entries, found by one scan that keeps the nearest seen of each.
+    """
+    n = int(held.sum())
+    if recall >= 1:
+        return n
+    own = _sample(placed, n, CALIBRATE)
+    asked = _unit(own)
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [(np.zeros(0), np.zeros(0, np.int64))] * len(asked)
+        for b in batches:
+            if not len(b):
+                continue
+            x = np.array([np.frombuffer(v.as_py()) for v in b.column(0)])
+            cell = b.column(1).to_numpy().astype(np.int64) << 32 | b.column(2).to_numpy()
+            cos = asked @ _unit(x).T
+            for q in range(len(asked)):
+                top = np.argpartition(-cos[q], k)[: k + 1] if len(x) > k + 1 else np.arange(len(x))
+                top = top[~(x[top] == own[q]).all(axis=1)]
+                c, at = np.concatenate([best[q][0], cos[q][top]]), np.concatenate([best[q][1], cell[top]])
+                keep = np.argsort(-c, kind="stable")[:k]
+                best[q] = c[keep], at[keep]
+        q = np.repeat(np.arange(len(asked)), [len(c) for c, _ in best])
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(np.concatenate([c for c, _ in best])), pa.array(np.concatenate([at for _, at in best]))], ["q", "c", "cell"])
+
+    found = placed.select("v", "i", "j").mapInArrow(nearest, "q bigint, c double, cell bigint")
+    found = found.groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("c"), "cell"))), 1, k).alias("best"))  # k a partition
+    half, needs = books.left.shape[1], []
+    for r in found.collect():  # CALIBRATE rows at most
+        q = asked[r["q"]]
+        sums = _distances(q[None, :half], books.left)[0][:, None] + _distances(q[None, half:], books.right)[0]
+        needs += [int(held[sums <= sums[x["cell"] >> 32, x["cell"] & 0xFFFFFFFF]].sum()) for x in r["best"]]
+    return sorted(needs)[min(len(needs) - 1, math.ceil(recall * len(needs)))] if needs else n
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, recall: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k nearest found of each query, never its own id: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "neighbours")
@@ -141,10 +192,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = 0.
     held = np.zeros((len(books.left), len(books.right)), np.int64)
     for r in placed.groupBy("i", "j").count().collect():  # K x K rows at most
         held[r["i"], r["j"]] = r["count"]
-    parts = np.maximum(1, -(-held.sum(axis=1) // BLOCK_ROWS))
-    enough = max(least, int(share * n))
-    asked = usable(queries, id_col, vector_col)
-    q_parts = max(1, -(-asked.count() // BLOCK_ROWS))
+    enough = enough_for(placed, books, held, k, recall)
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -154,25 +202,30 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = 0.
             if x.shape[1] != half + books.right.shape[1]:
                 continue
             left, right = _distances(x[:, :half], books.left), _distances(x[:, half:], books.right)
-            out: list[tuple] = []
-            for r, q in enumerate(ids):
-                for i, js in walk(left[r], right[r], held, enough).items():
-                    out += [(q, raw[r].tobytes(), js, i, part, q % q_parts) for part in range(int(parts[i]))]
-            columns = list(zip(*out, strict=True)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int32(), pa.int32(), pa.int64()), strict=True)], ["q", "qv", "js", "i", "part", "q_part"])
-
-    asking = asked.repartition(max(2, spark.sparkContext.defaultParallelism), "id").mapInArrow(visits, "q bigint, qv binary, js array<int>, i int, part int, q_part bigint")
-    counts = F.array(*[F.lit(int(p)) for p in parts])
-    blocks = placed.withColumn("part", F.pmod(F.xxhash64("v"), F.get(counts, F.col("i"))).cast("int")).withColumn("q_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_parts - 1).cast("long"))))
+            for lo in range(0, len(ids), 200):
+                out = [(ids[r], raw[r].tobytes(), js, i) for r in range(lo, min(lo + 200, len(ids))) for i, js in walk(left[r], right[r], held, enough).items()]
+                columns = list(zip(*out, strict=True)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.int32()), strict=True)], ["q", "qv", "js", "i"])
+
+    asked = usable(queries, id_col, vector_col).repartition(max(2, spark.sparkContext.defaultParallelism), "id")
+    asking = scratch.write(asked.mapInArrow(visits, "q bigint, qv binary, js array<int>, i int"))
+    visited = {r["i"]: r["count"] for r in asking.groupBy("i").count().collect()}  # K rows at most
+    sizes = [(i, max(1, -(-int(m) // BLOCK_ROWS)), max(1, -(-visited.get(i, 0) // BLOCK_ROWS))) for i, m in enumerate(held.sum(axis=1))]
+    sizes = F.broadcast(spark.createDataFrame(sizes, "i int, parts int, q_parts int"))
+    asking = asking.join(sizes, "i").withColumn("q_part", F.pmod(F.xxhash64("q"), F.col("q_parts")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    blocks = placed.join(sizes, "i").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")).withColumn("q_part", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)))
 
     def rerank(block: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
         if len(block) and len(asking):
+            block = block.sort_values("j", kind="stable")
             x, j = np.array([np.frombuffer(v) for v in block["v"]]), block["j"].to_numpy()
             size = np.array([np.linalg.norm(r) for r in x])
             ids = block["ids"].tolist()
             for q, qv, js in zip(asking["q"], asking["qv"], asking["js"], strict=True):
-                mine = np.flatnonzero(np.isin(j, js))
+                js = np.sort(np.asarray(js))
+                lo, hi = np.searchsorted(j, js, "left"), np.searchsorted(j, js, "right")
+                mine = np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())
                 y = np.frombuffer(qv)
                 cos = x[mine] @ y / (size[mine] * np.linalg.norm(y))
                 top = mine[cos >= np.partition(cos, -(k + 1))[-(k + 1)]] if len(mine) > k + 1 else mine  # with ties; an own copy may be the first
@@ -181,6 +234,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, share: float = 0.
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     key = ["i", "part", "q_part"]
+    blocks, asking = blocks.select(*key, "v", "ids", "j"), asking.select(*key, "q", "qv", "js")
     found = blocks.groupBy(*key).cogroup(asking.groupBy(*key)).applyInPandas(rerank, "query_id bigint, vec_id bigint, score double")
     ranked = found.distinct().groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
     return ranked.select("query_id", F.posexplode("best").alias("rank", "b")).select("query_id", (F.col("rank") + 1).alias("rank"), "b.vec_id", (-F.col("b.s")).alias("score"))

@@ -237,18 +237,30 @@ def test_langid_equals_brute_force(spark):
         assert abs(got[i]["cosine"] - max(per.values())) < 1e-4 and got[i]["rejected"] == (got[i]["cosine"] < 0.5)
 
 
-def test_neighbours_beyond_least(spark):
-    """So many vectors without any clusters that cells of a part of them only are visited."""
-    x = np.random.default_rng(7).normal(size=(16_000, 64))
+def recall_of(spark, x, step=50):
+    rows = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
     got = {}
-    for r in neighbours.digest(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")).collect():
+    for r in neighbours.digest(rows).collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     y = x / np.linalg.norm(x, axis=1)[:, None]
-    cos = y[::50] @ y.T
-    cos[np.arange(320), np.arange(0, 16_000, 50)] = -9
+    cos = y[::step] @ y.T
+    cos[np.arange(len(cos)), np.arange(0, len(x), step)] = -9
     want = np.argsort(-cos, axis=1)[:, :5]
-    recall = np.mean([len(got[50 * i] & set(w.tolist())) / 5 for i, w in enumerate(want)])
-    assert recall >= 0.9
+    return np.mean([len(got[step * i] & set(w.tolist())) / 5 for i, w in enumerate(want)])
+
+
+def test_neighbours_without_clusters(spark):
+    """Vectors without any structure; cells of a part of them are visited."""
+    assert recall_of(spark, np.random.default_rng(7).normal(size=(12_000, 48))) >= 0.9
+
+
+def test_neighbours_in_clusters(spark, monkeypatch):
+    """With clusters, a small part of the vectors is enough."""
+    rng, visited = np.random.default_rng(8), []
+    plain = neighbours.enough_for
+    monkeypatch.setattr(neighbours, "enough_for", lambda *a: visited.append(plain(*a)) or visited[-1])
+    x = rng.normal(size=(300, 48))[rng.integers(0, 300, 12_000)] + 0.3 * rng.normal(size=(12_000, 48))
+    assert recall_of(spark, x) >= 0.9 and visited[0] < 3000
 
 
 def test_neighbours(spark):
@@ -279,7 +291,7 @@ def test_neighbours(spark):
     assert np.mean([len(set(got[i]) & set(want[i])) / 5 for i in want]) >= 0.9
     assert got[500] == [501, 502, 503, 504, 505] and got[600] == [500, 501, 502, 503, 504]
     exact = {}
-    for r in neighbours.search(vectors, vectors.where("vec_id % 50 = 0"), share=1.0).orderBy("query_id", "rank").collect():
+    for r in neighbours.search(vectors, vectors.where("vec_id % 50 = 0"), recall=1.0).orderBy("query_id", "rank").collect():
         exact.setdefault(r["query_id"], []).append(r["vec_id"])
     assert exact == want
     assert neighbours.digest(vectors.limit(0)).count() == 0
