@@ -6,6 +6,9 @@ smallest hash. Each window holds an anchor, and equal windows hold equal anchors
 a window always meet in the group of their anchor: they agree on some units left of it and some right of it, ``window``
 in all. What has to be known of a sampled suffix is thus its next ``window`` units and the ``window - gram`` before it.
 
+Suffixes may come out of their scan as sorted shards (``Kind.shard``): a shard is the suffixes of a stretch of texts, in
+order, with what each shares with the one before it; ``tree`` merges shards and need not sort what they have sorted.
+
 Only anchors that occur twice give rise to a suffix at all, and only the first of equal texts takes part (what is
 repeated in its copies follows from it), so what is shuffled follows the repeated part of the corpus:
 
@@ -26,14 +29,22 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textwork as tw
+from spanloom.llm.skew import hot_join
 from spanloom.session import Scratch
 
 #: Suffixes of a group that one task may hold, and of a chunk.
 GROUP, CHUNK = 20_000, 10_000
+#: Rows of one key in a join of hot anchors that a task gets, but for a fixed share of a hotter key's.
+HELD = 2000
+
+
+#: From groups and units ahead: the order of suffixes, and how many units each shares with the one before (-1 at a group's start).
+Shard = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 class Kind(NamedTuple):
@@ -41,6 +52,7 @@ class Kind(NamedTuple):
     gram: int
     words: bool  #: else bytes
     ordered: bool  #: only what also starts in a smaller id is removed; else all occurrences are
+    shard: Shard | None = None  #: sorts the suffixes of a shard
 
     @property
     def left(self) -> int:
@@ -106,13 +118,30 @@ def facts(docs: DataFrame, kind: Kind, id_col: str, text_col: str) -> tuple[Data
     return rows, rows.mapInArrow(scan, "id bigint, h bigint, n bigint, key binary, digest string, anchors array<bigint>")
 
 
-SUFFIX = "anchor bigint, id bigint, h bigint, at bigint, nl int, ctx binary"
+#: ``shard`` has a number for each shard of a partition; the other four are a suffix's place in its shard and what it shares with the one before, right and left of the anchor.
+SUFFIX = "anchor bigint, id bigint, h bigint, at bigint, nl int, ctx binary, shard bigint, place_r int, same_r int, place_l int, same_l int"
+_SUFFIX = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("h", pa.int64()), ("at", pa.int64()), ("nl", pa.int32()), ("ctx", pa.binary()), ("shard", pa.int64()), *((c, pa.int32()) for c in ("place_r", "same_r", "place_l", "same_l"))])
 
 
 def suffixes(flagged: DataFrame, kind: Kind) -> DataFrame:
     """flagged: id, h, text, shared (array of anchors). Per occurrence of one: the bytes from ``nl`` units before it to ``window`` after its start."""
 
+    def sharded(out: list[list], number: int) -> pa.RecordBatch:
+        columns = [pa.array(x, _SUFFIX.field(i).type) for i, x in enumerate(out)]
+        n = len(columns[0])
+        places = [np.zeros(n, np.int32) for _ in range(4)]
+        if kind.shard and n:
+            group, nl = columns[0].to_numpy(), columns[4].to_numpy().astype(np.int64)
+            right, left, _ = windows(columns[5], nl, kind)
+            for k, ahead in ((0, right), (2, left)):
+                order, same = kind.shard(group, ahead)
+                places[k][order] = np.arange(n)
+                places[k + 1][order] = same
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(n, number)), *map(pa.array, places)], schema=_SUFFIX)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        number = (context.partitionId() if context else 0) << 32
         for b in batches:
             ids, hs, shared = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3)
             for s in tw.slices(b.column(2), tw.SLICE // 4):
@@ -132,7 +161,11 @@ def suffixes(flagged: DataFrame, kind: Kind) -> DataFrame:
                     out[3] += (own_at - u.first[r]).tolist()
                     out[4] += (own_at - lo).tolist()
                     out[5] += [raw[x:y] for x, y in zip(u.start[lo].tolist(), u.end[hi - 1].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["anchor", "id", "h", "at", "nl", "ctx"])
+                    if len(out[0]) >= CHUNK:  # what is held of a very long text
+                        yield sharded(out, number)
+                        out, number = [[] for _ in range(6)], number + 1
+                yield sharded(out, number)
+                number += 1
 
     return flagged.select("id", "h", "text", "shared").mapInArrow(scan, SUFFIX)
 
@@ -153,7 +186,8 @@ def windows(ctx: pa.Array, nl: np.ndarray, kind: Kind) -> tuple[np.ndarray, np.n
     return right, left, nr
 
 
-Tree = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+#: From groups, units ahead, and each suffix's shard, place in it and what it shares there: as ``Shard``, over all shards.
+Tree = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def judge(t: pa.Table, kind: Kind, tree: Tree) -> pa.RecordBatch:
@@ -166,8 +200,9 @@ def judge(t: pa.Table, kind: Kind, tree: Tree) -> pa.RecordBatch:
     t = t.combine_chunks()
     group, ids, nl = t.column("anchor").to_numpy(), t.column("id").to_numpy(), t.column("nl").to_numpy().astype(np.int64)
     right, left, nr = windows(t.column("ctx").chunk(0), nl, kind)
-    order_r, depth_r = tree(group, right)
-    order_l, depth_l = tree(group, left)
+    shard, place_r, same_r, place_l, same_l = (t.column(c).to_numpy() for c in ("shard", "place_r", "same_r", "place_l", "same_l"))
+    order_r, depth_r = tree(group, right, shard, place_r, same_r)
+    order_l, depth_l = tree(group, left, shard, place_l, same_l)
     n = len(group)
     most_left, most_right = np.full(n, -1), np.full(n, -1)
     for l in range(kind.left + 1):
@@ -195,7 +230,7 @@ def judge(t: pa.Table, kind: Kind, tree: Tree) -> pa.RecordBatch:
 SPAN = "id bigint, h bigint, first bigint, end bigint"
 
 
-def long_prefixes(hot: DataFrame, kind: Kind) -> DataFrame:
+def long_prefixes(hot: DataFrame, kind: Kind, scratch: Scratch) -> DataFrame:
     """Spans of groups that are too large to hold: suffixes with the same surroundings are one, and each window of those is a prefix of its own.
 
     One suffix of each surroundings stands for all: its windows count as often as the surroundings occur. A window is
@@ -203,8 +238,9 @@ def long_prefixes(hot: DataFrame, kind: Kind) -> DataFrame:
     """
     hot = hot.withColumn("around", F.unhex(F.md5(F.concat(F.col("nl").cast("string").cast("binary"), F.lit(b":"), "ctx"))))
     row = F.xxhash64("id", "h", "at")
-    owner = hot.groupBy("anchor", "around").agg(F.min("id").alias("o"), F.count("*").alias("m"), F.min(row).alias("one"))
-    owned = hot.join(owner, ["anchor", "around"])
+    hot = scratch.write(hot.select("anchor", "around", "id", "h", "at", "nl", "ctx"))
+    owner = scratch.write(hot.groupBy("anchor", "around").agg(F.min("id").alias("o"), F.count("*").alias("m"), F.min(row).alias("one")))
+    owned = scratch.write(hot_join(hot, owner, ["anchor", "around"], "m", HELD))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,9 +271,10 @@ def long_prefixes(hot: DataFrame, kind: Kind) -> DataFrame:
     window = ["anchor", "l", "k1", "k2"]
     stands = ~copied if kind.ordered else F.col("one") == row
     each = owned.where(stands).select("anchor", "id", "h", "at", "nl", "ctx", "m").mapInArrow(spread, "anchor bigint, l int, k1 bigint, k2 bigint, id bigint, h bigint, first bigint, m bigint")
-    owners = each.groupBy(*window).agg(F.min("id").alias("o"), F.sum("m").alias("all")).where("all > 1")
+    each = scratch.write(each)
+    owners = scratch.write(each.groupBy(*window).agg(F.min("id").alias("o"), F.sum("m").alias("all"), F.count("*").alias("rows")).where("all > 1"))
     # where all occurrences go, those of repeated surroundings are in copies
-    met = (each if kind.ordered else each.where("m = 1")).join(owners, window)
+    met = hot_join(each if kind.ordered else each.where("m = 1"), owners, window, "rows", HELD)
     met = met.where("id > o") if kind.ordered else met
     return copies.union(met.select("id", "h", "first", (F.col("first") + kind.window).alias("end")))
 
@@ -256,7 +293,7 @@ def find(docs: DataFrame, kind: Kind, tree: Tree, id_col: str = "doc_id", text_c
     counted = held.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("m"))
     # written, so that the join's two sides are dealt out apart from the count and Spark can split the rows of a hot anchor
     shared = scratch.write(counted.where("lo < hi" if kind.ordered else "m > 1").select("anchor", "m"))
-    mine = held.join(shared, "anchor").groupBy("id", "h").agg(F.collect_set("anchor").alias("shared"), F.collect_set(F.when(F.col("m") > GROUP, F.col("anchor"))).alias("hot"))
+    mine = hot_join(held, shared, ["anchor"], "m", GROUP).groupBy("id", "h").agg(F.collect_set("anchor").alias("shared"), F.collect_set(F.when(F.col("m") > GROUP, F.col("anchor"))).alias("hot"))
     keyed = rows.select(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), "h", "text")
     flagged = scratch.write(keyed.join(mine, ["id", "h"]).dropDuplicates(["id", "h"]))
 
@@ -269,7 +306,7 @@ def find(docs: DataFrame, kind: Kind, tree: Tree, id_col: str = "doc_id", text_c
     spans = found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(stream, SPAN)
     hot = flagged.where(F.size("hot") > 0).withColumn("shared", F.col("hot"))
     if not hot.isEmpty():
-        spans = spans.union(long_prefixes(scratch.write(suffixes(hot, kind)), kind))
+        spans = spans.union(long_prefixes(suffixes(hot, kind._replace(shard=None)), kind, scratch))
     spans = spans.groupBy("id", "h").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,8 @@ A word is removed if a window of ``window`` words around it also starts in a doc
 
 Defined results: null texts have no words; rows with a null id are no document that others repeat, and keep all their
 words; rows that share an id are never repeats of each other; equal texts keep their words in the rows with the
-smallest id; a table without rows gives none; other columns are ignored.
+smallest id; a table without rows gives none; other columns are ignored. Texts are taken whole: a very long one is cut into
+words by the task that reads it, and what it shares is shuffled suffix by suffix.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ def suffix_tree(group: np.ndarray, ahead: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def remove_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``n``, ``n_removed``, ``n_spans``, ``digest``, ``spans``; units are words."""
-    return repeats.find(docs, repeats.Kind(window, max(2, window // 2), words=True, ordered=True), suffix_tree, id_col, text_col)
+    kind = repeats.Kind(window, max(2, window // 2), words=True, ordered=True)
+    return repeats.find(docs, kind, lambda group, ahead, *_: suffix_tree(group, ahead), id_col, text_col)
 
 
 def digest(docs: DataFrame) -> DataFrame:

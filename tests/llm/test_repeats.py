@@ -71,7 +71,7 @@ def test_words(spark, monkeypatch, rows, group):
     assert sorted(map(tuple, got.collect()), key=str) == brute_words(rows, 50)
 
 
-@pytest.mark.parametrize("rows", [[(i, t[:20_000] if t else t) for i, t in cases.awkward()], tangled(1, 60), tangled(2, 60)], ids=["awkward", "a", "b"])
+@pytest.mark.parametrize("rows", [cases.awkward(), tangled(1, 60), tangled(2, 60)], ids=["awkward", "a", "b"])
 @pytest.mark.parametrize("group", [50_000, 3])
 def test_bytes(spark, monkeypatch, rows, group):
     monkeypatch.setattr(repeats, "GROUP", group)
@@ -102,12 +102,20 @@ def test_two_hot_anchors_in_a_window(spark, monkeypatch):
 
 
 def test_orders_agree():
+    """Merging sorted shards gives what sorting all suffixes gives."""
     rng = np.random.default_rng(5)
     for width in (1, 7, 8, 30):
-        group, ahead = rng.integers(0, 5, 300), rng.integers(0, 2, (300, width)).astype(np.uint64)
-        want_order, want = suffix_trees.suffix_tree(group, ahead)
-        order, shared = suffix_arrays.interleave(group, ahead)
-        assert (ahead[order] == ahead[want_order]).all() and (group[order] == group[want_order]).all() and (shared == want).all()
+        for shards in (1, 4, 300):
+            group, ahead, shard = rng.integers(0, 5, 300), rng.integers(0, 2, (300, width)).astype(np.uint64), rng.integers(0, shards, 300)
+            place, same = np.zeros(300, np.int64), np.zeros(300, np.int64)
+            for k in range(shards):
+                mine = np.flatnonzero(shard == k)
+                if len(mine):
+                    order, shared = suffix_arrays.sort_shard(group[mine], ahead[mine])
+                    place[mine[order]], same[mine[order]] = np.arange(len(mine)), shared
+            want_order, want = suffix_trees.suffix_tree(group, ahead)
+            order, shared = suffix_arrays.interleave(group, ahead, shard, place, same)
+            assert (ahead[order] == ahead[want_order]).all() and (group[order] == group[want_order]).all() and (shared == want).all()
 
 
 def test_empty(spark):
