@@ -8,20 +8,22 @@ window each, which winnowing doesn't guarantee; these windows are looked up at e
 
 Words are compared by 64-bit hashes, all words of a window at once.
 
-The fingerprints of a benchmark travel to the tasks in blocks of at most ``BLOCK_WORDS`` words (a checked bound). A
-larger benchmark is worked block by block, and the hits of a document are merged by a shuffle on its key.
+A benchmark of at most ``BLOCK_WORDS`` words (counted by Spark before anything is fetched) travels to the tasks as one
+``Block``, and documents are scanned once without a shuffle. A larger one stays in Spark (``_joined``): its fingerprints
+are a table, a bitmap of fixed size tells the scan of the documents which fingerprints may be among them, those are
+written with the words around them, joined with the table by hash, and each pair is extended.
 
 Defined results: null and empty texts have no words and no hits; null item ids and empty items are left out, items with
 the same id count once; repeated documents repeat their result; an empty table on either side gives no hits; other
 columns are ignored (``hits``) or passed on (``drop_contaminated``). Very frequent passages cost each document that has
-them its own hits only: no two documents are ever paired.
+them its own hits only: no two documents are ever paired. Texts are taken whole, slice by slice; a very long one is a slice.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textwork as tw
+from spanloom.session import Scratch
 
 K = 5
 BLOCK_WORDS = 2_000_000
+BITS = 1 << 27  #: of the bitmap, 16 MB
 
 
 class Block:
@@ -99,17 +103,20 @@ class Block:
         return tuple(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (starts, lengths, items))
 
 
-def blocks(benchmark: DataFrame, span: int = 10, id_col: str = "item_id", text_col: str = "text") -> Iterator[Block]:
-    ids, texts, size = [], [], 0
-    rows = benchmark.select(benchmark[id_col].cast("string").alias("i"), benchmark[text_col].cast("string").alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
-    for i, t in rows.toLocalIterator():
-        if ids and size + len(t) // 2 > BLOCK_WORDS:
-            yield Block(ids, texts, span)
-            ids, texts, size = [], [], 0
-        ids.append(i)
-        texts.append(t)
-        size += len(t) // 2 + 1  # no text has more words
-    yield Block(ids, texts, span)
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """item, text: one row an id."""
+    rows = benchmark.select(benchmark[id_col].cast("string").alias("item"), benchmark[text_col].cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
+    return rows.dropDuplicates(["item", "text"])
+
+
+def block(items: DataFrame, span: int) -> Block | None:
+    """The whole benchmark, if it has no more than ``BLOCK_WORDS`` words."""
+    # each word but the last has a byte that parts it from the next
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") / 2 + 1), F.lit(0)), F.count("*")).first()
+    if size[0] > BLOCK_WORDS:
+        return None
+    rows = items.collect()
+    return Block([r["item"] for r in rows], [r["text"] for r in rows], span)
 
 
 def _judge(column: pa.Array, block: Block) -> Iterator[tuple[int, list, list]]:
@@ -141,7 +148,7 @@ def _judge(column: pa.Array, block: Block) -> Iterator[tuple[int, list, list]]:
         yield from ((int(n), runs.get(r, []), sorted(found.get(r, ()))) for r, n in enumerate(counts))
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Per row: the id, ``n_words``, ``runs`` (arrays of first and end word of each hit run) and ``items`` (sorted ids)."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -155,41 +162,158 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "d
 
         return rows.mapInArrow(scan, f"id {kind}, n_words bigint, runs array<struct<first:bigint,end:bigint>>, items array<string>")
 
-    parts = [scanned(b, rows) for b in blocks(benchmark, span)]
-    if len(parts) == 1:
-        return parts[0].withColumnRenamed("id", id_col)
-    # Beyond one block: rows of equal id and text are alike, so their hits may meet under one key and are counted again.
-    keyed = rows.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
-    parts = [_keyed_hits(b, keyed, kind, run) for b in blocks(benchmark, span)]
-    merged = (
-        reduce(DataFrame.unionAll, parts)
-        .groupBy("id", "key")
-        .agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_set("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), (F.count("*") / len(parts)).cast("int").alias("copies"))
-    )
-    return merged.withColumn("_", F.explode(F.sequence(F.lit(1), "copies"))).select(F.col("id").alias(id_col), "n_words", "runs", "items")
-
-
-def _keyed_hits(block: Block, keyed: DataFrame, kind: str, run: pa.DataType) -> DataFrame:
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    items = _items(benchmark, item_col, item_text_col)
+    whole = block(items, span)
+    if whole is not None:
+        return scanned(whole, rows).withColumnRenamed("id", id_col)
+    return _joined(rows, items, span).drop("h").withColumnRenamed("id", id_col)
+
+
+# -- benchmarks of any size
+
+#: A window's k-gram hash (or that of a short item, mixed with its length), where it starts, how many of the words around it precede it, and those words' hashes.
+MARK = "g bigint, at bigint, nl int, words binary"
+
+
+class Marks(NamedTuple):
+    """What a task knows to make fingerprints: the span, and the lengths of items that are shorter."""
+
+    span: int
+    short: list[int]
+
+    @property
+    def k(self) -> int:
+        return min(K, max(2, self.span // 2))
+
+    def of(self, column: pa.Array, item_side: bool, bitmap: np.ndarray | None = None) -> Iterator[tuple[int, list[list]]]:
+        """By row: its number of words, and the four columns of its marks. bitmap: marks that it lacks are left out."""
+        before = self.span - self.k
+        for s in tw.slices(column):
+            w = tw.words(s, tw.ALNUM, lower=True)
+            rows, size = tw.row_of(w.first), np.diff(w.first)
+            at, gram = tw.grams(w.hash, rows, self.k)
+            picked = tw.winnow(at, gram, before + 1)
+            found = [(at[picked], gram[picked], before, before + self.k)]
+            for n in self.short:
+                at, gram = (np.arange(len(w.hash)), tw.mix(w.hash)) if n == 1 else tw.grams(w.hash, rows, n)
+                fits = size[rows[at]] == n if item_side else np.ones(len(at), bool)
+                found.append((at[fits], tw.mix(gram[fits] ^ np.uint64(n)), 0, n))
+            where, grams = np.concatenate([f[0] for f in found]).astype(np.int64), np.concatenate([f[1] for f in found])
+            lo = np.concatenate([np.maximum(f[0] - f[2], w.first[rows[f[0]]]) for f in found]).astype(np.int64)
+            hi = np.concatenate([np.minimum(f[0] + f[3], w.first[rows[f[0]] + 1]) for f in found]).astype(np.int64)
+            if bitmap is not None:
+                bit = grams % np.uint64(BITS)
+                keep = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+                where, grams, lo, hi = where[keep], grams[keep], lo[keep], hi[keep]
+            order = np.argsort(where, kind="stable")
+            where, grams, lo, hi = where[order], grams[order].view(np.int64), lo[order], hi[order]
+            cut = np.searchsorted(where, w.first)
+            raw = w.hash.tobytes()
+            for r in range(s.hi - s.lo):
+                a, b = cut[r], cut[r + 1]
+                words = [raw[8 * x : 8 * y] for x, y in zip(lo[a:b].tolist(), hi[a:b].tolist(), strict=True)]
+                yield int(size[r]), [grams[a:b].tolist(), (where[a:b] - w.first[r]).tolist(), (where[a:b] - lo[a:b]).tolist(), words]
+
+
+def _joined(rows: DataFrame, items: DataFrame, span: int) -> DataFrame:
+    """rows: id, text. As ``hits``, for a benchmark that no task need hold."""
+    spark = rows.sparkSession
+    scratch = Scratch(spark, "decontamination")
+    mark = pa.struct([("g", pa.int64()), ("at", pa.int64()), ("nl", pa.int32()), ("words", pa.binary())])
+
+    def columns(found: list[list[list]]) -> pa.Array:
+        ends = np.cumsum([0, *(len(f[0]) for f in found)]).astype(np.int32)
+        parts = [pa.array([x for f in found for x in f[i]], mark.field(i).type) for i in range(4)]
+        return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(parts, fields=list(mark)))
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = list(_judge(b.column(1), block))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x[0] for x in got], pa.int64()), pa.array([x[1] for x in got], run), pa.array([x[2] for x in got], pa.list_(pa.string()))], ["id", "key", "n_words", "runs", "items"])
+            n = {int(n) for s in tw.slices(b.column(0)) for n in np.diff(tw.words(s, tw.ALNUM, lower=True).first) if 0 < n < span}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(n), pa.int32())], ["n"])
 
-    return keyed.mapInArrow(scan, f"id {kind}, key string, n_words bigint, runs array<struct<first:bigint,end:bigint>>, items array<string>")
+    short = sorted(r["n"] for r in items.select("text").mapInArrow(lengths, "n int").distinct().collect())  # fewer than span
+    marks = Marks(span, short)
 
+    def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), columns([f for _, f in marks.of(b.column(1), True)])], ["item", "marks"])
+
+    theirs = items.mapInArrow(of_items, f"item string, marks array<struct<{MARK.replace(' ', ':').replace(',:', ',')}>>")
+    theirs = scratch.write(theirs.select("item", F.explode("marks").alias("m")).select("item", "m.*"))
+    bit = F.pmod("g", F.lit(BITS))  # divides 2**64, so the sign doesn't matter
+    # a word of 64 bits where there is any: at most BITS / 64 rows, whatever the benchmark
+    held = theirs.select(bit.alias("b")).groupBy((F.col("b") / 64).cast("long").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(b % 64 AS INT))")).alias("w")).toPandas()
+    held = spark.sparkContext.broadcast((held["at"].to_numpy(np.int64), held["w"].to_numpy(np.int64)))
+
+    def of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.zeros(BITS // 64, np.uint64)
+        bitmap[held.value[0]] = held.value[1].view(np.uint64)
+        for b in batches:
+            found = list(marks.of(b.column(2), False, bitmap))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([n for n, _ in found], pa.int64()), columns([f for _, f in found])], ["id", "h", "n_words", "marks"])
+
+    keyed = rows.select("id", F.xxhash64("text").alias("h"), "text")
+    ours = scratch.write(keyed.mapInArrow(of_documents, f"id {rows.schema['id'].dataType.simpleString()}, h bigint, n_words bigint, marks array<struct<{MARK.replace(' ', ':').replace(',:', ',')}>>"))
+    key = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("key")  # rows of one id and text are alike
+    mine = ours.where(F.size("marks") > 0).select(key, "h", "marks").dropDuplicates(["key", "h"])
+    mine = mine.select("key", "h", F.explode("marks").alias("m")).select("key", "h", "m.*")
+    pairs = mine.join(theirs.select("g", "item", F.col("nl").alias("nl2"), F.col("words").alias("words2")), "g").select("key", "h", "at", "nl", "words", "item", "nl2", "words2")
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[list] = [[] for _ in range(5)]
+            ctx = zip(*(b.column(i).to_pylist() for i in range(8)), strict=True)
+            for doc, h, at, nl, words, item, nl2, words2 in ctx:
+                x, y = np.frombuffer(words, np.uint64), np.frombuffer(words2, np.uint64)
+                back = min(nl, nl2)  # from the first word that both have
+                x, y = x[nl - back :], y[nl2 - back :]
+                n = min(len(x), len(y))
+                same = np.concatenate([[0], np.cumsum(x[:n] == y[:n])])
+                width = min(span, len(words2) // 8)  # an item with fewer words is one window
+                for s in np.flatnonzero(same[width:] - same[: n + 1 - width] == width) if n >= width else ():
+                    for column, value in zip(out, (doc, h, at - back + int(s), at - back + int(s) + width, item), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["key", "h", "first", "end", "item"])
+
+    met = pairs.mapInArrow(tw.tidy(extend), "key string, h bigint, first bigint, end bigint, item string")
+    met = met.groupBy("key", "h").agg(F.collect_set(F.struct("first", "end")).alias("spans"), F.array_sort(F.collect_set("item")).alias("items"))
+    run = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, text_col: str = "text") -> DataFrame:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            runs = []
+            for spans in b.column(2).to_pylist():
+                own: list[dict] = []
+                for s in sorted(spans, key=lambda s: s["first"]):
+                    if own and s["first"] <= own[-1]["end"]:
+                        own[-1]["end"] = max(own[-1]["end"], s["end"])
+                    else:
+                        own.append(s)
+                runs.append(own)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(runs, run), b.column(3)], ["key", "h", "runs", "items"])
+
+    kept = "array<struct<first:bigint,end:bigint>>"
+    met = scratch.write(met.mapInArrow(merge, f"key string, h bigint, runs {kept}, items array<string>"))
+    out = ours.select("id", "h", "n_words", key).join(met, ["key", "h"], "left")
+    return out.select("id", "n_words", F.coalesce("runs", F.array().cast(kept)).alias("runs"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), "h")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows without any hit, with all their columns."""
+    items = _items(benchmark, item_col, item_text_col)
+    whole = block(items, span)
+    if whole is None:
+        rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"))
+        gone = _joined(rows, items, span).where(F.size("runs") > 0).select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("__key"), F.col("h").alias("__h")).distinct()
+        same = (F.coalesce(docs[id_col].cast("string"), F.lit("")) == F.col("__key")) & (F.xxhash64(docs[text_col].cast("string")) == F.col("__h"))
+        return docs.join(gone, same, "left_anti")
     at = docs.columns.index(text_col)
 
-    def keep(block: Block, rows: DataFrame) -> DataFrame:
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield b.filter(pa.array([not runs for _, runs, _ in _judge(b.column(at), block)], pa.bool_()))
-
-        return rows.mapInArrow(scan, rows.schema)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([not runs for _, runs, _ in _judge(b.column(at), whole)], pa.bool_()))
 
-    return reduce(lambda rows, block: keep(block, rows), blocks(benchmark, span), docs)
+    return docs.mapInArrow(scan, docs.schema)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def fixture():
 def test_equals_brute_force(spark, monkeypatch, block_words):
     monkeypatch.setattr(dc, "BLOCK_WORDS", block_words)
     rows, items = fixture()
-    bench = spark.createDataFrame(items, "item_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS id", "'x' AS item", "2 AS g", "3 AS key", "4 AS words")
     docs = cases.documents(spark, rows)
     assert sorted(map(tuple, dc.digest(docs, bench).collect()), key=str) == brute(rows, items)
     kept = dc.drop_contaminated(docs, bench)
@@ -61,9 +61,11 @@ def test_empty_tables(spark):
     assert dc.drop_contaminated(docs, bench.limit(0)).count() == len(rows)
 
 
-def test_random(spark):
+@pytest.mark.parametrize("block_words", [2_000_000, 0])
+def test_random(spark, monkeypatch, block_words):
     import random
 
+    monkeypatch.setattr(dc, "BLOCK_WORDS", block_words)
     r = random.Random(4)
     rows = [(i, " ".join(r.choice("abc") for _ in range(r.randrange(60)))) for i in range(200)]
     items = [(i, " ".join(r.choice("abc") for _ in range(r.choice([3, 7, 10, 11, 14, 30])))) for i in range(40)]
