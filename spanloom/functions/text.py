@@ -227,12 +227,78 @@ def full_year(two: Column, pivot: int = 30) -> Column:
     return F.when(n < pivot, 2000 + n).otherwise(1900 + n)
 
 
+#: Patterns of the parts of dates, of those in which zeros must stand in front, of what parts them and what is between two dates.
+DATE_PARTS = {"y": r"(?:1[0-9]|20)[0-9][0-9]|0?[0-9]?[0-9]?[0-9]", "m": r"1[0-2]|0?[1-9]", "d": r"[12][0-9]|3[01]|0?[1-9]"}
+PADDED_PARTS = {"y": r"(?:1[0-9]|20)[0-9][0-9]|0[0-9][0-9][0-9]", "m": r"1[0-2]|0[1-9]", "d": r"[12][0-9]|3[01]|0[1-9]"}
+SHORT_YEAR = r"(?:[01][0-9]|20)?[0-9][0-9]"
+PART_SEPARATOR, RANGE_SEPARATOR = r"[-./]", r"\s*[-/–]\s*"
+
+
+def date_span(x: Column, order: str = "ymd", full: bool = True, ranges: bool = True, short_years: bool = False, pivot: int = 30, newest: int = 2100) -> Column:
+    """The first date or range of dates in a text, as digits: a struct of start and end, empty where there is none.
+
+    ``order`` tells how year, month and day follow each other. In ``ymd`` month and day may be missing and parts need not
+    be parted, but have zeros in front. Without ``full`` only years are looked for. What an end lacks is taken from the
+    start. With ``short_years``, two digits are a year of 20xx, beyond the pivot of 19xx. Years beyond ``newest`` give
+    nothing.
+    """
+    parts = dict(PADDED_PARTS if full and order == "ymd" else DATE_PARTS)
+    if short_years:
+        parts["y"] = SHORT_YEAR
+    group = {c: f"({p})" for c, p in parts.items()}
+    if not full:
+        one, names = group["y"], "y"
+    elif order == "ymd":
+        between = f"(?:{PART_SEPARATOR})?"
+        one, names = f"{group['y']}(?:{between}{group['m']}(?:{between}{group['d']})?)?", "ymd"
+    else:
+        one, names = PART_SEPARATOR.join(group[c] for c in order), order
+    pattern = f"{one}(?:{RANGE_SEPARATOR}{one})?" if ranges else one
+    values = F.array(*(F.regexp_extract(x, pattern, i + 1) for i in range(len(names) * (2 if ranges else 1))))
+
+    def shown(of: dict[str, Column]) -> Column:
+        year = of["y"]
+        if short_years:
+            year = F.when(F.length(year) == 2, F.concat(F.when(year.try_cast("int") > pivot, "19").otherwise("20"), year)).otherwise(year)
+        if not full:
+            return year
+        digits = F.concat(padded(year, 4), F.when(of["m"] == "", "").otherwise(padded(of["m"], 2)), F.when(of["d"] == "", "").otherwise(padded(of["d"], 2)))
+        return F.when((of["y"] == "") | (year.try_cast("int") > newest), "").otherwise(digits)
+
+    def span(v: Column) -> Column:
+        part = lambda c, k: F.get(v, F.lit(names.index(c) + k * len(names))) if c in names else F.lit("")
+        start = {c: part(c, 0) for c in "ymd"}
+        if not ranges:
+            return F.struct(shown(start).alias("start"), F.lit("").alias("end"))
+        given = {c: part(c, 1) for c in "ymd"}
+        there = F.concat(*given.values()) != ""
+        end = {c: F.when(there & (g == ""), start[c]).otherwise(g) for c, g in given.items()}
+        return F.struct(shown(start).alias("start"), shown(end).alias("end"))
+
+    return F.get(F.transform(F.array(values), span), F.lit(0))  # bound once, not repeated in each place
+
+
+def whole_days(span: Column) -> Column:
+    """A span of ``date_span`` filled up to its first and last day (YYYYMMDD); a single date ends where it began."""
+    last = F.when(span["end"] == "", span["start"]).otherwise(span["end"])
+    return F.struct(F.when(span["start"] == "", "").otherwise(F.substring(first_instant(span["start"]), 1, 8)).alias("start"), F.when(last == "", "").otherwise(F.substring(last_instant(last), 1, 8)).alias("end"))
+
+
 def duration_seconds(x: Column) -> Column:
     """[[[D-]HH:]MM:]SS[.f] as seconds."""
     part = lambda i: F.coalesce(F.regexp_extract(x, r"^(?:(?:(?:([0-9]+)-)?([0-9]+):)?([0-9]+):)?([0-9]+(?:\.[0-9]+)?)$", i).try_cast("double"), F.lit(0.0))
     return part(1) * 86400 + part(2) * 3600 + part(3) * 60 + part(4)
 
 
+def duration_text(seconds: Column) -> Column:
+    """[[D-]HH:]MM:SS of a number of seconds, without leading parts of zero."""
+    n = F.floor(seconds).cast("long")
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    day, hour, minute = F.floor(n / 86400).cast("long"), F.floor(n % 86400 / 3600).cast("long"), F.floor(n % 3600 / 60).cast("long")
+    clock = F.concat(two(minute), F.lit(":"), two(n % 60))
+    return F.concat(F.when(day > 0, F.concat(day.cast("string"), F.lit("-"))).otherwise(""), F.when(n >= 3600, F.concat(two(hour), F.lit(":"))).otherwise(""), clock)
+
+
 #: Finnish month names, in order.
 FINNISH_MONTHS = "tammikuu helmikuu maaliskuu huhtikuu toukokuu kesäkuu heinäkuu elokuu syyskuu lokakuu marraskuu joulukuu".split()
 

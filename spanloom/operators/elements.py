@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from spanloom.functions import text as T
-from spanloom.operators.relation import BadData, numbered
+from spanloom.operators.relation import BadData, numbered, running_sum
+from spanloom.session import Scratch
 from spanloom.sources.corpus import KEYS, LEVELS, Corpus
 
 
@@ -60,20 +61,50 @@ def drop_empty(corpus: Corpus) -> Corpus:
     return corpus
 
 
-def mask(corpus: Corpus, level: str, tests: Sequence[tuple[str, str, str]], by: str = "_", keep: Sequence[str] = (), add: Mapping[str, str] | None = None) -> Corpus:
-    """Elements that meet the tests keep their tokens' places, not their values; attributes go but for ``keep``, and ``add`` comes."""
-    hit = F.lit(True)
+def remove(corpus: Corpus, level: str, tests: Sequence[tuple[str, str, str]]) -> Corpus:
+    """Elements that meet the tests go with all that they hold. Elements without attributes are never tested."""
+    hit = F.size("attrs") > 0
+    for name, op, pattern in tests:
+        fits = matches(attr(name), pattern)
+        hit = hit & (~fits if op == "!=" else fits)
+    keys, gone = KEYS[level], corpus.level(level).where(hit).select(*KEYS[level])
+    out = corpus
+    for below in (*LEVELS, "token"):
+        if len(KEYS[below]) >= len(keys):
+            out = out.with_level(below, out.level(below).join(gone, keys, "left_anti"))
+    return out
+
+
+def mask(corpus: Corpus, level: str, tests: Sequence[tuple[str, str, str]], by: str = "_", keep: Mapping[str, Sequence[str]] | None = None, add: Mapping[str, str] | None = None, attribute_by: str | None = None) -> Corpus:
+    """Elements that meet the tests keep their shape, not their content.
+
+    In them, the fields of tokens and the attributes of the element and of those it holds become ``by`` (attributes
+    ``attribute_by``), sets ``|by|``. keep: attributes, by level, that stay; add: what the element itself gets besides.
+    """
+    hit = F.size("attrs") > 0
     for name, op, pattern in tests:
         fits = matches(attr(name), pattern)
         hit = hit & (~fits if op == "!=" else fits)
     keys = KEYS[level]
-    marked = corpus.level(level).withColumn("__hit", hit)
-    extra = F.create_map(*(F.lit(x) for pair in (add or {}).items() for x in pair)) if add else F.create_map().cast("map<string,string>")
-    left = F.map_filter("attrs", lambda k, v: k.isin(list(keep))) if keep else F.create_map().cast("map<string,string>")
-    rows = marked.select(*keys, F.when(F.col("__hit"), F.map_concat(F.map_filter(left, lambda k, v: ~k.isin(list(add or ["\0"]))), extra)).otherwise(F.col("attrs")).alias("attrs"))
-    tokens = corpus.tokens.join(marked.where("__hit").select(*keys, F.lit(True).alias("__masked")), keys, "left")
-    tokens = tokens.select(*KEYS["token"], *(F.when(F.col("__masked"), by).otherwise(F.col(f"`{f}`")).alias(f) for f in corpus.fields))
-    return corpus.with_level(level, rows).with_level("token", tokens)
+    marks = corpus.level(level).where(hit).select(*keys, F.lit(True).alias("__masked"))
+
+    def hidden(value: Column, by: str) -> Column:
+        return F.when(F.startswith(value, F.lit("|")), f"|{by}|").otherwise(by)
+
+    def masked(stays: list[str]):
+        return lambda k, v: F.when(k.isin(stays), v).otherwise(hidden(v, by if attribute_by is None else attribute_by))
+
+    out = corpus
+    for below in LEVELS:
+        if len(KEYS[below]) < len(keys):
+            continue
+        given = F.transform_values("attrs", masked(list((keep or {}).get(below, ())) or ["\0"]))
+        if below == level and add:
+            given = F.map_concat(F.map_filter(given, lambda k, v: ~k.isin(list(add))), F.create_map(*(F.lit(x) for pair in add.items() for x in pair)))
+        rows = corpus.level(below).join(marks, keys, "left")
+        out = out.with_level(below, rows.select(*KEYS[below], F.when(F.col("__masked"), given).otherwise(F.col("attrs")).alias("attrs")))
+    tokens = corpus.tokens.join(marks, keys, "left")
+    return out.with_level("token", tokens.select(*KEYS["token"], *(F.when(F.col("__masked"), hidden(F.col(f"`{f}`"), by)).otherwise(F.col(f"`{f}`")).alias(f) for f in corpus.fields)))
 
 
 # -- attributes
@@ -136,6 +167,55 @@ def add_ids(corpus: Corpus, level: str, name: str = "id", prefix: str = "", widt
     return out.with_level(level, out.level(level).drop("__nr"))
 
 
+#: A place in a format of ids: {id}, {hash} or {level[attribute]}, with a width (zeros in front, x for hex digits) or a precision, or /pattern/replacement/.
+PLACE = re.compile(r"\{(?P<what>id|hash|idnum\[(?P<of>\w+)\]|(?P<level>\w+)\[(?P<name>[\w.-]+)\])(?:/(?P<pattern>[^/]*)/(?P<by>[^/]*)/)?(?::(?P<spec>[^}]*))?\}")
+
+
+def compose_ids(corpus: Corpus, level: str, form: str, name: str = "id", start: int = 1, step: int = 1, hash_of: str = "", prefix: str = "") -> Corpus:
+    """Ids by a format, from running numbers over the whole and attributes of the element and those above it.
+
+    ``{id}`` is the element's number, ``{idnum[text]}`` that of the text it is in, ``{text[title]}`` an attribute (``this``
+    is the element itself), ``{hash}`` the hex SHA-1 of ``hash_of``. ``:04d`` pads a number, ``:06x`` shows it in hex,
+    ``:.8`` cuts a string, ``/pattern/replacement/`` replaces all matches in it.
+    """
+    places = list(PLACE.finditer(form))
+    if re.sub(r"[{}]", "", PLACE.sub("", form)) != PLACE.sub("", form):
+        raise BadData(f"bad format: {form}")
+    above = [x for x in LEVELS if len(KEYS[x]) <= len(KEYS[level])]
+    named = lambda x: level if x == "this" else x
+    if off := [m[0] for m in places if (x := m["of"] or m["level"]) and named(x) not in above]:
+        raise BadData(f"not around a {level}: {off}")
+    rows = corpus.level(level)
+    numbers = {level} | {named(m["of"]) for m in places if m["of"]}
+    for x in numbers:
+        nr = numbered(corpus.level(x).select(*KEYS[x]), [F.col(k) for k in KEYS[x]], f"__{x}_nr")
+        rows = rows.join(nr.withColumn(f"__{x}_nr", F.lit(start) + (F.col(f"__{x}_nr") - 1) * step), KEYS[x])
+    for x in {named(m["level"]) for m in places if m["level"]} - {level}:
+        rows = rows.join(corpus.level(x).select(*KEYS[x], F.col("attrs").alias(f"__{x}_attrs")), KEYS[x])
+    parts, at = [F.lit(prefix)], 0
+    for m in places:
+        parts.append(F.lit(form[at : m.start()]))
+        at = m.end()
+        spec = m["spec"] or ""
+        if m["level"]:
+            x = named(m["level"])
+            value = F.coalesce(F.col("attrs" if x == level else f"__{x}_attrs")[m["name"]], F.lit(""))
+            if m["pattern"] is not None:
+                value = F.regexp_replace(value, m["pattern"], m["by"])
+        elif m["what"] == "hash":
+            value = F.sha1(F.lit(hash_of))
+        else:
+            n = F.col(f"__{named(m['of']) if m['of'] else level}_nr")
+            value = T.padded(F.lower(F.hex(n)) if spec.endswith("x") else n.cast("string"), int(re.sub(r"\D", "", spec) or 0))
+            spec = ""
+        if spec.startswith("."):
+            value = F.substring(value, 1, int(spec[1:]))
+        parts.append(value)
+    rows = rows.withColumn("__id", F.concat(*parts, F.lit(form[at:])))
+    out = set_attributes(corpus.with_level(level, rows), level, **{name: F.col("__id")})
+    return out.with_level(level, out.level(level).select(*KEYS[level], "attrs"))
+
+
 def hash_ids(corpus: Corpus, level: str, name: str = "id", length: int = 12) -> Corpus:
     """The first hex digits of SHA-1 over an element's key and attributes: the same in every run."""
     key = F.concat_ws("\x1f", *(F.col(k).cast("string") for k in KEYS[level]), F.to_json("attrs"))
@@ -150,7 +230,8 @@ def random_ids(corpus: Corpus, level: str, name: str = "id", seed: int = 0, belo
     if below & (below - 1):
         raise BadData("the bound must be a power of two")
     nr = numbered(rows, [F.xxhash64(*KEYS[level], F.lit(seed)), *(F.col(k) for k in KEYS[level])], "__nr")
-    value = ((F.col("__nr") * F.lit(2654435761 % below | 1)) % below).cast("string")
+    spread = F.col("__nr").cast("decimal(19,0)") * F.lit(2654435761 % below | 1).cast("decimal(19,0)")  # wider than 64 bits
+    value = (spread % F.lit(below).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string")
     out = set_attributes(corpus.with_level(level, nr), level, **{name: value})
     return out.with_level(level, out.level(level).drop("__nr"))
 
@@ -281,46 +362,101 @@ def partition(corpus: Corpus, tag: Column, name: str = "tag") -> Corpus:
     return set_attributes(corpus, "text", **{name: tag})
 
 
-def split_sizes(rows: DataFrame, order: Sequence[str], size: str, most: int, stretch: int = 1 << 30) -> DataFrame:
-    """Number parts so that none but single larger rows exceeds ``most``: a part ends where the next row would overflow it.
+def split_sizes(rows: DataFrame, order: Sequence[str], size: str, most: int, most_rows: int = 0, together: str | None = None) -> DataFrame:
+    """Number parts so that none but single larger rows exceeds ``most`` (or ``most_rows`` rows, 0: any): adds ``part_no``.
+
+    A part ends where the next row would overflow it. With ``together``, rows in succession with one value of that column
+    are one.
 
-    What ends a part depends on where it began, so rows are walked in order. Stretches of rows, cut by their share of the
-    whole, are walked apart and their part numbers are added up; a part never crosses from one stretch to the next.
+    What ends a part depends on where it began, so this is a walk in order; yet it needs no task that sees all rows. Rows
+    are cut into stretches of a few parts each. In a stretch, the later the open part began, the later is the first cut,
+    and so are all others; so the stretch as a whole is a rising step function from where the open part began to where the
+    last one does. These functions have few steps, as walks from different cuts soon meet; they are composed in order (a
+    few numbers a stretch), and then each stretch knows where its open part began and is walked alone.
     """
+    import numpy as np
     import pandas as pd
 
     ordered = numbered(rows, [F.col(c) for c in order], "__nr")
-    ordered = ordered.withColumn("__stretch", F.floor((F.col("__nr") - 1) / stretch))
-
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("__nr", kind="stable")
-        part, held, parts = 0, 0, []
-        for n in group[size]:
-            if held and held + n > most:
-                part, held = part + 1, 0
-            held += n
-            parts.append(part)
-        return group.assign(__part=parts)
-
-    schema = StructType([*ordered.schema.fields, StructField("__part", LongType())])
-    walked = ordered.groupBy("__stretch").applyInPandas(walk, schema)
-    counts = walked.groupBy("__stretch").agg((F.max("__part") + 1).alias("__n"))
-    above = Window.orderBy("__stretch").rowsBetween(Window.unboundedPreceding, -1)  # one row a stretch
-    before = counts.select("__stretch", F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__before"))
-    return walked.join(before, "__stretch").withColumn("part_no", F.col("__part") + F.col("__before") + 1).drop("__nr", "__stretch", "__part", "__before")
-
-
-def split(corpus: Corpus, most_tokens: int, stretch: int = 100_000) -> Corpus:
-    """Texts get the number of the part they go to, in order, by their sizes."""
+    units = ordered.select("__nr", F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("own"), *([F.col(together).alias("k")] if together else []))
+    if together:
+        last = units.select((F.col("__nr") + 1).alias("__nr"), F.col("k").alias("before"), F.lit(1).alias("there"))
+        begins = units.join(last, "__nr", "left").withColumn("begins", (F.col("there").isNull() | ~F.equal_null("k", "before")).cast("long"))
+        units = running_sum(begins.select("__nr", "own", "begins"), [F.col("__nr")], F.col("begins"), "u")
+    else:
+        units = units.withColumn("u", F.col("__nr"))
+    scratch = Scratch(rows.sparkSession, "split")
+    units = scratch.write(units.select("__nr", "u", "own"))
+    whole = units.groupBy("u").agg(F.sum("own").alias("own"), F.count("*").alias("n"))
+    whole = running_sum(running_sum(whole, [F.col("u")], F.col("own"), "S").select("u", "own", "n", "S"), [F.col("u")], F.col("n"), "C")
+    parts = 8  #: a stretch holds about so many
+    share = (F.col("S") - F.col("own")) / (parts * max(1, most)) + ((F.col("C") - F.col("n")) / (parts * most_rows) if most_rows else 0)
+    whole = scratch.write(whole.select("u", "S", "C", (F.col("S") - F.col("own")).alias("S0"), (F.col("C") - F.col("n")).alias("C0"), F.floor(share).alias("stretch")))
+    limit = most_rows or (1 << 62)
+
+    def cut_after(g: pd.DataFrame, held_s, held_c):
+        """The first unit that no longer fits a part which began at these sums."""
+        return np.minimum(np.searchsorted(g["S"].to_numpy(), np.asarray(held_s) + most, "right"), np.searchsorted(g["C"].to_numpy(), np.asarray(held_c) + limit, "right"))
+
+    def steps(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("u")
+        n, s0, c0 = len(g), g["S0"].to_numpy(), g["C0"].to_numpy()
+        after = np.maximum(cut_after(g, s0, c0), np.arange(n) + 1)
+        last, cuts = np.arange(n), np.ones(n, np.int64)
+        for j in range(n - 1, -1, -1):
+            if after[j] < n:
+                last[j], cuts[j] = last[after[j]], 1 + cuts[after[j]]
+        new = np.flatnonzero(np.concatenate([[True], (last[1:] != last[:-1]) | (cuts[1:] != cuts[:-1])]))
+        return pd.DataFrame({"stretch": g["stretch"].iloc[0], "S": s0[new], "C": c0[new], "last_S": s0[last[new]], "last_C": c0[last[new]], "cuts": cuts[new], "end_S": g["S"].iloc[-1], "end_C": g["C"].iloc[-1]})
+
+    def compose(g: pd.DataFrame) -> pd.DataFrame:
+        out, held, part = [], None, 0
+        for stretch, f in g.sort_values(["stretch", "C"]).groupby("stretch", sort=True):
+            out.append((stretch, *(held or (0, 0)), part))
+            if held is None:
+                step = f.iloc[0]
+            else:
+                fits = (f["S"] - held[0] <= most) & (f["C"] - held[1] <= limit)
+                if f["end_S"].iloc[0] - held[0] <= most and f["end_C"].iloc[0] - held[1] <= limit:
+                    continue
+                step = f[fits].iloc[-1] if fits.any() else f.iloc[0]  # the open part is one row that is too large
+            held, part = (int(step["last_S"]), int(step["last_C"])), part + int(step["cuts"])
+        return pd.DataFrame(out, columns=["stretch", "held_S", "held_C", "before"])
+
+    def walk(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("u").reset_index(drop=True)
+        n, part = len(g), int(g["before"].iloc[0])
+        at = 0 if part == 0 else int(cut_after(g, g["held_S"].iloc[0], g["held_C"].iloc[0]))
+        numbers = np.full(n, part, np.int64)
+        while at < n:
+            part += 1
+            numbers[at:] = part
+            at = max(at + 1, int(cut_after(g, g["S0"].iloc[at], g["C0"].iloc[at])))
+        return pd.DataFrame({"u": g["u"], "part_no": numbers})
+
+    found = scratch.write(whole.groupBy("stretch").applyInPandas(steps, "stretch long, S long, C long, last_S long, last_C long, cuts long, end_S long, end_C long"))
+    entry = found.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(compose, "stretch long, held_S long, held_C long, before long")  # a few rows for every eight parts
+    placed = whole.join(entry, "stretch").groupBy("stretch").applyInPandas(walk, "u long, part_no long")
+    return ordered.join(units.select("__nr", "u").join(placed, "u").select("__nr", "part_no"), "__nr").drop("__nr")
+
+
+def split(corpus: Corpus, most_tokens: int, most_texts: int = 0, together: str | None = None) -> Corpus:
+    """Texts get the number of the part they go to, in order, by their sizes; those in succession with one value of an attribute stay together."""
     sizes = corpus.tokens.groupBy("text_id").agg(F.count("*").alias("n"))
-    rows = split_sizes(corpus.texts.join(sizes, "text_id", "left").na.fill(0, ["n"]), ["text_id"], "n", most_tokens, stretch)
-    out = set_attributes(corpus.with_level("text", rows), "text", part=F.col("part_no"))
+    rows = corpus.texts.join(sizes, "text_id", "left").na.fill(0, ["n"])
+    parts = split_sizes(rows.select("text_id", "n", attr(together or "").alias("k")), ["text_id"], "n", most_tokens, most_texts, "k" if together else None).select("text_id", "part_no")
+    out = set_attributes(corpus.with_level("text", corpus.texts.join(parts, "text_id")), "text", part=F.col("part_no"))
     return out.with_level("text", out.texts.select("text_id", "attrs"))
 
 
-def pack_files(files: DataFrame, most: int, stretch: int = 100_000) -> DataFrame:
-    """files: path, content. Each gets the number of a fragment of at most ``most`` characters; path and order stay, so unpacking is a selection."""
-    return split_sizes(files.withColumn("__size", F.length("content")), ["path"], "__size", most, stretch).drop("__size")
+def pack_files(files: DataFrame, most: int, most_files: int = 0) -> DataFrame:
+    """files: path, content. Each gets the number of a fragment of at most ``most`` characters; path and order stay, so unpacking is a selection. Only paths and sizes are numbered."""
+    sizes = files.select("path", F.length("content").alias("size"))
+    return files.join(split_sizes(sizes, ["path"], "size", most, most_files).select("path", "part_no"), "path")
+
+
+def unpack_files(packed: DataFrame) -> DataFrame:
+    return packed.select("path", "content")
 
 
 # -- shapes
@@ -342,12 +478,31 @@ def paragraphs_from_lines(lines: DataFrame, keys: Sequence[str], order: str, val
     return marked.withColumn("para_no", F.sum("__start").over(w)).where(~blank).drop("__start")
 
 
-def thread_paths(posts: DataFrame, id_col: str, parent_col: str, key_col: str, depth: int = 50) -> DataFrame:
-    """id, path: the keys of a post and all its ancestors, from the root, joined; sorts a thread as it is read. A recursive query."""
-    posts.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"), F.col(key_col).cast("string").alias("k")).createOrReplaceTempView("__posts")
-    return posts.sparkSession.sql(
-        f"""WITH RECURSIVE walk(id, path, n) MAX RECURSION LEVEL {depth} AS (
-              SELECT id, k, 1 FROM __posts WHERE parent IS NULL
-              UNION ALL SELECT p.id, concat(w.path, '/', p.k), w.n + 1 FROM __posts p JOIN walk w ON p.parent = w.id)
-            SELECT id, path FROM walk"""
-    )
+def thread_paths(posts: DataFrame, id_col: str, parent_col: str, key_col: str) -> DataFrame:
+    """id, path: the keys of a post and all its ancestors, from the root, joined by /; sorts a thread as it is read.
+
+    Paths double: each holds the keys up to some ancestor, and takes what that ancestor holds. So rounds are the
+    logarithm of the deepest thread. A post whose parent isn't there is a root; on a cycle, and below it, path is null.
+    """
+    scratch = Scratch(posts.sparkSession, "threads")
+    rows = posts.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"), F.col(key_col).cast("string").alias("path"))
+    there = rows.select(F.col("id").alias("up"), F.lit(True).alias("there"))
+    now = scratch.write(rows.join(there, "up", "left").select("id", F.when(F.col("there"), F.col("up")).alias("up"), "path"))
+    left, limit = now.where("up IS NOT NULL").count(), now.count()
+    reached = 1
+    while left and reached <= limit:  # a path of more posts than there are is on a cycle
+        above = now.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"))
+        open_ = now.where("up IS NOT NULL").join(above, "up").select("id", F.col("next").alias("up"), F.concat_ws("/", "head", "path").alias("path"))
+        after = scratch.write(now.where("up IS NULL").union(open_))
+        scratch.drop(now)
+        now, left, reached = after, after.where("up IS NOT NULL").count(), 2 * reached
+    return now.select("id", F.when(F.col("up").isNull(), F.col("path")).alias("path"))
+
+
+def add_place_names(corpus: Corpus, attribute: str, level: str = "text", tag: str = "PM", none: str = "_") -> Corpus:
+    """Fields lemma, pos and msd: the first token of a sentence gets the place that an attribute names and ``tag``, all others ``none``."""
+    keys = KEYS[level]
+    places = corpus.level(level).select(*keys, attr(attribute).alias("__place"))
+    first = (F.col("tok_no") == F.min("tok_no").over(Window.partitionBy(*KEYS["sentence"]))) & (F.coalesce("__place", F.lit("")) != "")
+    rows = corpus.tokens.join(places, keys, "left")
+    return corpus.with_level("token", rows.select(*corpus.tokens.columns, F.when(first, F.col("__place")).otherwise(none).alias("lemma"), F.when(first, tag).otherwise(none).alias("pos"), F.lit("").alias("msd")))

@@ -9,19 +9,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from spanloom.functions import text as T
+from spanloom.session import Scratch
 from spanloom.sources.corpus import KEYS
 
 
 def dependency_pairs(tokens: DataFrame, keys: Sequence[str], ref: str, head: str, value: str, rel: str) -> DataFrame:
-    """Tokens joined with their head in the sentence: keys, head, rel, dep."""
-    heads = tokens.select(*keys, F.col(ref).alias("__h"), F.col(value).alias("head"))
-    return tokens.withColumn("__h", F.col(head)).join(heads, [*keys, "__h"]).select(*keys, "head", F.col(rel).alias("rel"), F.col(value).alias("dep"))
-
-
-def word_picture(pairs: DataFrame) -> DataFrame:
-    """head, rel, dep with freq and the marginals freq_rel, freq_head_rel, freq_rel_dep. Marginals are aggregates of the triples, so no key gathers its rows in one task."""
-    triples = pairs.groupBy("head", "rel", "dep").agg(F.count("*").alias("freq"))
+    """Tokens with their head in the sentence: keys, head, rel, dep. A sentence is one array in which heads are looked up, by place where ids run from 1."""
+    item = F.struct(F.col(ref).cast("long").alias("r"), F.col(head).cast("long").alias("h"), F.col(value).alias("v"), F.col(rel).alias("rel"))
+    sents = tokens.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("t"))
+    by_place = lambda x: F.get(F.col("t"), (x["h"] - 1).cast("int"))
+    found = lambda x: F.when(by_place(x)["r"] == x["h"], by_place(x)).otherwise(F.get(F.filter("t", lambda y: y["r"] == x["h"]), F.lit(0)))
+    pairs = F.filter(F.transform("t", lambda x: F.struct(found(x).alias("up"), x["rel"].alias("rel"), x["v"].alias("dep"))), lambda p: p["up"].isNotNull())
+    return sents.select(*keys, F.explode(pairs).alias("p")).select(*keys, F.col("p.up.v").alias("head"), F.col("p.rel").alias("rel"), F.col("p.dep").alias("dep"))
+
+
+def word_picture(pairs: DataFrame, few: int = 100_000) -> DataFrame:
+    """head, rel, dep with freq and the marginals freq_rel, freq_head_rel, freq_rel_dep.
+
+    Triples are written once, and marginals are aggregates of them, so no key gathers its rows in one task. There are few
+    relations, so their sums are broadcast; should there be more than ``few``, they are joined.
+    """
+    triples = Scratch(pairs.sparkSession, "picture").write(pairs.groupBy("head", "rel", "dep").agg(F.count("*").alias("freq")))
     by_rel = triples.groupBy("rel").agg(F.sum("freq").alias("freq_rel"))
+    by_rel = F.broadcast(by_rel) if by_rel.limit(few + 1).count() <= few else by_rel
     by_head = triples.groupBy("head", "rel").agg(F.sum("freq").alias("freq_head_rel"))
     by_dep = triples.groupBy("rel", "dep").agg(F.sum("freq").alias("freq_rel_dep"))
     return triples.join(by_rel, "rel").join(by_head, ["head", "rel"]).join(by_dep, ["rel", "dep"]).select("head", "rel", "dep", "freq", "freq_rel", "freq_head_rel", "freq_rel_dep")
@@ -85,9 +95,10 @@ def name_index(tokens: DataFrame, tag: str, base: str, word: str, cased: bool =
 
 
 def sentence_list(tokens: DataFrame) -> DataFrame:
-    """Per sentence its first and last token by the running number within the text."""
-    place = F.row_number().over(Window.partitionBy("text_id").orderBy("para_no", "sent_no", "tok_no")).cast("long")
-    return tokens.withColumn("__p", place).groupBy(*KEYS["sentence"]).agg(F.min("__p").alias("start"), F.max("__p").alias("end"))
+    """Per sentence its first and last token by the running number within the text: a running sum over sentences, so no text's tokens are sorted."""
+    sizes = tokens.groupBy(*KEYS["sentence"]).agg(F.count("*").alias("__n"))
+    end = F.sum("__n").over(Window.partitionBy("text_id").orderBy("para_no", "sent_no"))
+    return sizes.withColumn("end", end).select(*KEYS["sentence"], (F.col("end") - F.col("__n") + 1).alias("start"), "end")
 
 
 def interpolate_time(rows: DataFrame, keys: Sequence[str], order: str, time: str, undated: Column) -> DataFrame:

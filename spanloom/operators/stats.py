@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from spanloom.operators.relation import running_sum
+from spanloom.session import Scratch
 from spanloom.sources.corpus import KEYS, Corpus
 
 #: Classes of characters in line statistics.
@@ -34,9 +36,16 @@ def frequencies(rows: DataFrame, value: str, keys: Sequence[str] = (), rank: boo
 
 
 def nested_distinct(rows: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """Per key: distinct values of (a), (a, b), (a, b, c)..., and rows."""
-    distinct = [F.countDistinct(*attributes[: i + 1]).alias(f"n_{a}") for i, a in enumerate(attributes)]
-    return rows.groupBy(key).agg(*distinct, F.count("*").alias("n_tokens"))
+    """Per key: distinct values of (a), (a, b), (a, b, c)..., and rows. Each level is counted from the distinct values of the one below."""
+    level = rows.groupBy(key, *attributes).agg(F.count("*").alias("__n"))
+    level = Scratch(rows.sparkSession, "nested").write(level)
+    counts = [level.groupBy(key).agg(F.sum("__n").alias("v")).withColumn("of", F.lit("n_tokens"))]
+    for i in range(len(attributes), 0, -1):
+        held = list(attributes[:i])
+        level = level.select(key, *held).distinct()
+        counts.append(level.na.drop(subset=held).groupBy(key).agg(F.count("*").alias("v")).withColumn("of", F.lit(f"n_{attributes[i - 1]}")))
+    found = reduce(DataFrame.unionByName, counts).groupBy(key)
+    return found.agg(*(F.coalesce(F.max(F.when(F.col("of") == n, F.col("v"))), F.lit(0)).alias(n) for n in [*(f"n_{a}" for a in attributes), "n_tokens"]))
 
 
 def quantiles(rows: DataFrame, value: str, parts: int) -> DataFrame:
@@ -49,12 +58,14 @@ def quantiles(rows: DataFrame, value: str, parts: int) -> DataFrame:
 
 
 def quantiles_by(rows: DataFrame, keys: Sequence[str], value: str, parts: int) -> DataFrame:
-    """As ``quantiles``, by key: keys, k, value."""
-    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
-    part = Window.partitionBy(*keys)
-    running = counted.select(*keys, F.col(value).alias("v"), F.sum("n").over(part.orderBy(value)).alias("cum"), F.sum("n").over(part).alias("total"))
+    """As ``quantiles``, by key: keys, k, value. One running sum over keys and values, so that a key's values needn't fit a task."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n")).withColumnRenamed(value, "__v")
+    running = running_sum(counted, [F.col(k) for k in [*keys, "__v"]], F.col("n"), "cum")
+    bounds = running.groupBy(*keys).agg(F.min(F.col("cum") - F.col("n")).alias("base"), F.max("cum").alias("top"))
+    same = [F.equal_null(running[k], bounds[k]) for k in keys]
+    met = running.join(bounds, reduce(lambda a, b: a & b, same)).select(*(running[k] for k in keys), F.col("__v").alias("v"), (F.col("cum") - F.col("base")).alias("cum"), (F.col("top") - F.col("base")).alias("total"))
     ks = rows.sparkSession.range(parts + 1).select(F.col("id").alias("k"))
-    return running.join(F.broadcast(ks), F.col("cum") * parts >= F.col("k") * F.col("total")).groupBy(*keys, "k").agg(F.min("v").alias("value"))
+    return met.join(F.broadcast(ks), F.col("cum") * parts >= F.col("k") * F.col("total")).groupBy(*keys, "k").agg(F.min("v").alias("value"))
 
 
 def element_sizes(corpus: Corpus, level: str, of: str = "token") -> DataFrame:
@@ -114,6 +125,38 @@ def markup_depth(rows: DataFrame, id_col: str, text: str) -> DataFrame:
     return markup_tags(rows, id_col, text).withColumn("d", depth).groupBy("id").agg(F.max("d").alias("depth"))
 
 
+def markup_values(rows: DataFrame, id_col: str, text: str) -> DataFrame:
+    """name, attribute, value, n: how often each value of an attribute occurs in start tags."""
+    tags = F.regexp_extract_all(text, F.lit(r"<([A-Za-z][^<>]*)>"), F.lit(1))
+    rows = rows.select(F.explode(tags).alias("tag"))
+    pairs = F.regexp_extract_all("tag", F.lit(r'\s([A-Za-z][A-Za-z0-9-]*="[^"]*")'), F.lit(1))
+    found = rows.select(F.lower(F.regexp_extract("tag", r"^([A-Za-z][A-Za-z0-9]*)", 1)).alias("name"), F.explode(pairs).alias("p"))
+    return found.select("name", F.substring_index("p", "=", 1).alias("attribute"), F.regexp_extract("p", r'="([^"]*)"', 1).alias("value")).groupBy("name", "attribute", "value").agg(F.count("*").alias("n"))
+
+
+def _nested(rows: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Start tags and void ones: id, pos, name, kind, depth (that of the tag itself, from 1)."""
+    depth = F.sum("kind").over(Window.partitionBy("id").orderBy("pos"))
+    tags = markup_tags(rows, id_col, text).withColumn("depth", depth).where("kind >= 0")
+    return tags.select("id", "pos", "name", "kind", F.when(F.col("kind") == 0, F.col("depth") + 1).otherwise(F.col("depth")).alias("depth"))
+
+
+def markup_children(rows: DataFrame, id_col: str, text: str) -> DataFrame:
+    """parent, name, n: elements by the one they are in (null: none), the last one that began a level above before them."""
+    tags = _nested(rows, id_col, text)
+    places = tags.where("kind = 1").select("id", "pos", F.col("depth").alias("level"), F.col("name").alias("parent"), F.lit(None).cast("string").alias("name"))
+    children = tags.select("id", "pos", (F.col("depth") - 1).alias("level"), F.lit(None).cast("string").alias("parent"), "name")
+    last = F.last("parent", ignorenulls=True).over(Window.partitionBy("id", "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    return places.union(children).withColumn("parent", last).where("name IS NOT NULL").groupBy("parent", "name").agg(F.count("*").alias("n"))
+
+
+def markup_nesting(rows: DataFrame, id_col: str, text: str) -> DataFrame:
+    """name, nesting: how many elements of a name are open at once, at most."""
+    tags = markup_tags(rows, id_col, text)
+    open_ = F.sum("kind").over(Window.partitionBy("id", "name").orderBy("pos"))
+    return tags.withColumn("d", F.when(F.col("kind") == 0, 1).otherwise(open_)).groupBy("name").agg(F.max("d").alias("nesting"))
+
+
 def corpus_info(corpus: Corpus, date: str | None = None) -> DataFrame:
     """One row: texts, sentences, tokens, first and last date."""
     day = F.nullif(F.col("attrs")[date], F.lit("")) if date else F.lit(None).cast("string")
@@ -129,6 +172,12 @@ def grouped_statistics(rows: DataFrame, keys: Sequence[str], sums: Sequence[str]
     return rows.cube(*keys).agg(F.count("*").alias("n"), *(F.sum(s).alias(f"sum_{s}") for s in sums), *(F.countDistinct(d).alias(f"n_{d}") for d in distinct))
 
 
-def combine_records(rows: DataFrame, keys: Sequence[str], sets: Sequence[str]) -> DataFrame:
-    """Records that agree in the keys become one with the union of their set values."""
-    return rows.groupBy(*keys).agg(*(F.array_sort(F.array_distinct(F.flatten(F.collect_set(s)))).alias(s) for s in sets))
+def combine_records(rows: DataFrame, keys: Sequence[str], sets: Sequence[str], comment: str | None = None) -> DataFrame:
+    """Records that agree in the keys become one with the union of their set values.
+
+    With ``comment``, only those whose comments agree too; a record without one goes to the smallest comment of its keys.
+    """
+    if comment:
+        least = rows.groupBy(*keys).agg(F.min(F.nullif(F.col(comment), F.lit(""))).alias("__least"))
+        rows = rows.join(least, list(keys)).withColumn(comment, F.coalesce(F.nullif(F.col(comment), F.lit("")), "__least", F.lit(""))).drop("__least")
+    return rows.groupBy(*keys, *([comment] if comment else [])).agg(*(F.array_sort(F.array_distinct(F.flatten(F.collect_set(s)))).alias(s) for s in sets))

@@ -29,10 +29,13 @@ def query(sql: str | None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from spanloom.plans import files, repairs  # noqa: F401  # they register their own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -41,12 +44,12 @@ def oracle_sql() -> dict[str, str]:
 
 def _users(spark: SparkSession, sf_dir: str) -> list[Relation]:
     events = table(spark, sf_dir, "events")
-    return [Relation(events.where(c).select("user_id")) for c in ("event_type = 'click' AND value > 40", "event_type = 'purchase' AND value > 30", "event_type = 'error' AND user_id % 3 = 0")]
+    return [Relation(events.where(c).select("user_id")) for c in ("event_type = 'click' AND value > 60", "event_type = 'purchase' AND value > 120", "event_type = 'error' AND value > 120")]
 
 
-_USER_SETS = """a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'click' AND value > 40),
- b AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 30),
- c AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND user_id % 3 = 0),
+_USER_SETS = """a AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'click' AND value > 60),
+ b AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 120),
+ c AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND value > 120),
  t AS (SELECT user_id, 1 AS o FROM a UNION ALL SELECT user_id, 2 FROM b UNION ALL SELECT user_id, 3 FROM c)"""
 
 
@@ -330,10 +333,14 @@ def word_picture(spark, sf_dir):
     return products.word_picture(products.dependency_pairs(tokens, C.KEYS["sentence"], "tok_no", "head_no", "word", "rel"))
 
 
-@query("SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source, md5(text) ORDER BY doc_id) AS r FROM documents) WHERE r = 1")
+@query(f"""WITH {_TOKENS}, s AS (SELECT text_id, para_no, sent_no, string_agg(word, chr(10) ORDER BY tok_no) AS l FROM tokens GROUP BY ALL), t AS (SELECT text_id, string_agg(md5(l), chr(10) ORDER BY para_no, sent_no) AS h FROM s GROUP BY 1),
+ d AS (SELECT doc_id, source, h, row_number() OVER (PARTITION BY source, h ORDER BY doc_id) AS r FROM documents LEFT JOIN t ON text_id = doc_id) SELECT doc_id, source FROM d WHERE r = 1""")
 def deduplicate(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").groupBy("source", F.md5("text").alias("h")).agg(F.min("doc_id").alias("doc_id"))
-    return d.select("doc_id", "source")
+    """Texts of one source with equal tokens: the first stays."""
+    corpus = C.from_texts(table(spark, sf_dir, "documents"), "doc_id", "text", ["source"])
+    texts = corpus.texts.select("text_id", "attrs", F.col("attrs.source").alias("source"))
+    kept = elements.deduplicate(corpus.with_level("text", texts), "text", within=["source"])
+    return kept.texts.select(F.col("text_id").alias("doc_id"), "source")
 
 
 @query("""WITH d AS (SELECT doc_id, regexp_extract_all(text, '\\p{L}+') AS w, text FROM documents), f AS (SELECT md5(array_to_string(list_transform(string_split(text, chr(10)), lambda p: array_to_string(list_transform(regexp_split_to_array(p, '[.!?]+'), lambda s: array_to_string(regexp_extract_all(s, '\\p{L}+'), ' ')), '.')), '/')) AS h, doc_id FROM d)
@@ -351,10 +358,12 @@ def attribute_join(spark, sf_dir):
     return elements.add_attributes(corpus, "text", "key", labels, "doc_id").texts.select("text_id", F.col("attrs.quality").alias("quality"), F.col("attrs.toxic").alias("toxic"))
 
 
-@query("WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents WHERE doc_id IN (SELECT c_custkey - 1 FROM customer)), c AS (SELECT c_name, row_number() OVER (ORDER BY c_custkey) AS r FROM customer) SELECT doc_id AS text_id, c_name FROM d JOIN c ON d.r = c.r")
+@query("WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM documents), c AS (SELECT source, row_number() OVER (ORDER BY n_chars, doc_id) AS r FROM documents) SELECT d.doc_id AS text_id, c.source FROM d JOIN c ON d.r = c.r")
 def positional_join(spark, sf_dir):
-    corpus = C.from_texts(table(spark, sf_dir, "documents").join(table(spark, sf_dir, "customer").select((F.col("c_custkey") - 1).alias("doc_id")), "doc_id", "left_semi"), "doc_id", "text")
-    return elements.zip_attributes(corpus, "text", table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey").texts.select("text_id", F.col("attrs.c_name").alias("c_name"))
+    """The n-th document gets the source of the n-th shortest one."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(F.struct("n_chars", "doc_id").alias("place"), "source")
+    return elements.zip_attributes(C.from_texts(docs, "doc_id", "text"), "text", rows, "place").texts.select("text_id", F.col("attrs.source").alias("source"))
 
 
 @query("SELECT p_partkey, p_brand FROM part WHERE regexp_full_match(p_brand, 'Brand#[12].*') AND NOT regexp_full_match(p_type, 'PROMO.*')")
@@ -374,11 +383,9 @@ def redact_long(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.redact_long(F.col("url"), 45, "link").alias("url"))
 
 
-@query("SELECT conv_id, string_agg(role || ': ' || text, ' / ' ORDER BY turn) AS line FROM conversations GROUP BY 1")
+@query(f"WITH {_TOKENS}, l AS (SELECT text_id, string_agg(word, ' ' ORDER BY para_no, sent_no, tok_no) AS line FROM tokens GROUP BY 1) SELECT doc_id AS text_id, lang, coalesce(line, '') AS line FROM documents LEFT JOIN l ON text_id = doc_id")
 def element_as_line(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    item = F.struct("turn", F.concat_ws(": ", "role", "text").alias("t"))
-    return c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["t"]), " / ").alias("line"))
+    return elements.element_as_line(_corpus(spark, sf_dir), "text", attributes=["lang"])
 
 
 @query(f"WITH {_TOKENS} SELECT text_id, para_no, sent_no, string_agg(word, ' ' ORDER BY tok_no) AS line FROM tokens GROUP BY ALL")
@@ -482,10 +489,37 @@ def tree_issues(spark, sf_dir):
     return validate.tree_issues(tokens.withColumn("head", head), "tok_no", "head")
 
 
-@query("SELECT kind, level, issue, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS v FROM documents), (VALUES ('line', 'warning', 'empty'), ('token', 'error', 'bare <'), ('token', 'error', 'bare &')) r(kind, level, issue) WHERE CASE issue WHEN 'empty' THEN v = '' WHEN 'bare <' THEN v LIKE '%<%' AND v NOT LIKE '<%' ELSE regexp_matches(regexp_replace(v, '&(lt|gt|amp|quot|apos);', '', 'g'), '&') END GROUP BY 1, 2, 3")
+_ISSUES = """lines AS (SELECT CAST(doc_id AS VARCHAR) AS file, unnest(l) AS v, generate_subscripts(l, 1) - 1 AS nr FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+ t AS (SELECT *, v LIKE '<%' AS tag, v NOT LIKE '<%' AND v <> '' AS token, regexp_matches(v, '^<[\\w.-]+') AS start, regexp_extract_all(v, '([\\w.-]+)="[^"]*"', 1) AS attrs, regexp_extract_all(v, '="([^"]*)"', 1) AS vals FROM lines),
+ off AS (SELECT *, unnest([
+  CASE WHEN octet_length(encode(v)) > 65534 THEN 'line/error/longer than the limit' END,
+  CASE WHEN v = '' THEN 'line/warning/empty' END,
+  CASE WHEN v <> '' AND trim(v) = '' THEN 'line/warning/blanks only' END,
+  CASE WHEN regexp_matches(v, '[\\x{00}-\\x{08}\\x{0B}\\x{0C}\\x{0E}-\\x{1F}\\x{7F}-\\x{9F}]') THEN 'character/error/control' END,
+  CASE WHEN regexp_matches(v, '[\\x{E000}-\\x{F8FF}]') THEN 'character/warning/private use' END,
+  CASE WHEN regexp_matches(v, '[\\x{FDD0}-\\x{FDEF}\\x{FFFE}\\x{FFFF}]') THEN 'character/error/noncharacter' END,
+  CASE WHEN regexp_matches(v, '[\\x{061C}\\x{200E}\\x{200F}\\x{202A}-\\x{202E}\\x{2066}-\\x{2069}]') THEN 'character/warning/direction' END,
+  CASE WHEN regexp_matches(v, '\\x{00AD}') THEN 'character/warning/soft hyphen' END,
+  CASE WHEN tag AND NOT regexp_matches(v, '^<(?:/[\\w.-]+|[\\w.-]+(?: [\\w.-]+="[^"<>]*")*|!--.*--)>$') THEN 'tag/error/malformed' END,
+  CASE WHEN start AND len(list_distinct(attrs)) < len(attrs) THEN 'tag/error/attribute twice' END,
+  CASE WHEN start AND len(list_filter(vals, lambda x: trim(x) <> x)) > 0 THEN 'tag/warning/value with outer blanks' END,
+  CASE WHEN start AND len(list_filter(vals, lambda x: octet_length(encode(x)) > 4095)) > 0 THEN 'tag/error/value longer than the limit' END,
+  CASE WHEN start AND regexp_matches(v, '\\s(datefrom|dateto)="') AND NOT regexp_matches(v, '\\s(datefrom|dateto)="(?:[0-9]{8})?"') THEN 'tag/warning/date isn''t eight digits' END,
+  CASE WHEN start AND regexp_matches(v, '\\s(timefrom|timeto)="') AND NOT regexp_matches(v, '\\s(timefrom|timeto)="(?:[0-9]{6})?"') THEN 'tag/warning/time isn''t six digits' END,
+  CASE WHEN token AND v LIKE '%<%' THEN 'token/error/bare <' END,
+  CASE WHEN regexp_matches(regexp_replace(v, '&(?:lt|gt|amp|quot|apos);', '', 'g'), '&') THEN 'token/error/bare &' END,
+  CASE WHEN token AND regexp_matches(v, '^\\t|\\t\\t|\\t$') THEN 'token/warning/empty field' END]) AS i FROM t)"""
+
+
+def _document_lines(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file"), F.posexplode(F.split("text", "\n")).alias("nr", "value"))
+
+
+@query(f"WITH {_ISSUES} SELECT split_part(i, '/', 1) AS kind, split_part(i, '/', 2) AS level, split_part(i, '/', 3) AS issue, count(*) AS n, min(nr) AS first FROM off WHERE i IS NOT NULL GROUP BY 1, 2, 3")
 def validate_lines(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file"), F.posexplode(F.split("text", "\n")).alias("nr", "value"))
-    return validate.issue_summary(validate.line_issues(lines)).where("issue IN ('empty', 'bare <', 'bare &')").drop("first")
+    """All rules (that lines are valid UTF-8 can't fail in these tables)."""
+    found = validate.issue_summary(validate.line_issues(_document_lines(spark, sf_dir)))
+    return found.withColumn("first", F.col("first").cast("long"))
 
 
 @query("""SELECT o_orderpriority, o_orderstatus, count(*) AS n, CAST(sum(o_custkey) AS BIGINT) AS sum_o_custkey, count(DISTINCT o_custkey) AS n_o_custkey FROM orders GROUP BY CUBE (o_orderpriority, o_orderstatus)""")
@@ -547,19 +581,22 @@ def sort_texts(spark, sf_dir):
     return done.texts.select(F.col("text_id").alias("doc_id"), F.col("attrs")["order"].cast("long").alias("place"))
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {_TOKENS}, c AS (SELECT text_id, count(*) AS n FROM tokens GROUP BY 1), d AS (SELECT doc_id, coalesce(n, 0) AS n, row_number() OVER (ORDER BY doc_id) AS r FROM documents LEFT JOIN c ON text_id = doc_id),
+ w AS (SELECT r, doc_id, n AS held, CAST(1 AS BIGINT) AS k, CAST(1 AS BIGINT) AS part FROM d WHERE r = 1 UNION ALL
+  SELECT d.r, d.doc_id, CASE WHEN w.held + d.n > 5000 OR w.k >= 40 THEN d.n ELSE w.held + d.n END, CASE WHEN w.held + d.n > 5000 OR w.k >= 40 THEN 1 ELSE w.k + 1 END, CASE WHEN w.held + d.n > 5000 OR w.k >= 40 THEN w.part + 1 ELSE w.part END FROM w JOIN d ON d.r = w.r + 1)
+ SELECT doc_id AS text_id, part FROM w""")
 def split_parts(spark, sf_dir):
-    """Where a part ends depends on where it began, so there is no SQL; tests hold it against a loop."""
-    done = elements.split(_corpus(spark, sf_dir), 20_000)
+    """Parts of at most 5000 tokens and 40 texts; the SQL walks text by text."""
+    done = elements.split(_corpus(spark, sf_dir), 5000, 40)
     return done.texts.select("text_id", F.col("attrs.part").cast("long").alias("part"))
 
 
 @query(None)
 def repair_languages(spark, sf_dir):
-    corpus = _corpus(spark, sf_dir)
-    sizes = corpus.tokens.groupBy(*C.KEYS["sentence"]).agg(F.count("*").alias("n"), F.min(F.length("word")).alias("m"))
-    rows = sizes.select(*C.KEYS["sentence"], F.when(F.col("m") == 1, "x").when(F.col("m") == 2, "y").otherwise("z").alias("lang"), "n")
-    return sequential.repair_languages(rows)
+    """Later sentences are judged by what earlier judgements left, so there is no SQL; tests hold the rules against cases worked out by hand."""
+    shape = sequential.sentence_shape(_corpus(spark, sf_dir).tokens)
+    lang = F.when(F.col("letters") % 7 == 0, "swe").when(F.col("words") % 5 == 0, "eng").otherwise("fin")
+    return sequential.repair_languages(shape.withColumns({"lang": lang, "conf": F.col("letters") % 10 / 4.0}))
 
 
 @query(f"WITH {_TOKENS} SELECT text_id, para_no, sent_no, tok_no, word, CASE WHEN lower(word) IN ('the', 'der', 'la') THEN 'DET' ELSE '_' END AS pos FROM tokens")
@@ -567,9 +604,12 @@ def annotate(spark, sf_dir):
     return sequential.annotate(_corpus(spark, sf_dir).tokens, sequential.WordList("pos", dict.fromkeys(["the", "der", "la"], "DET")))
 
 
-@query("SELECT conv_id, turn, CAST(to_json({'role': role, 'chars': length(text)}) AS VARCHAR) AS json FROM conversations")
+@query(f"WITH {_PARAS}, n AS (SELECT text_id, count(*) AS n FROM paras GROUP BY 1) SELECT doc_id AS text_id, lang, coalesce(n, 0) AS paragraphs FROM documents LEFT JOIN n ON text_id = doc_id")
 def json_rows(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.to_json(F.struct("role", F.length("text").alias("chars"))).alias("json"))
+    """Texts as nested JSON, from which an attribute and the number of paragraphs are read again."""
+    json = C.nested_json(_corpus(spark, sf_dir))
+    paras = F.from_json(F.get_json_object("json", "$.data"), "array<struct<para_no:bigint>>")
+    return json.select("text_id", F.get_json_object("json", "$.text.lang").alias("lang"), F.coalesce(F.size(F.filter(paras, lambda x: F.lit(True))), F.lit(0)).cast("long").alias("paragraphs"))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")

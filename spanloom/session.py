@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    It is what ``spark.checkpoint.dir`` (or an earlier ``setCheckpointDir``) names. Only where neither is set, as in
-    tests on one machine, is a temporary folder made and set.
+    It is what ``spark.checkpoint.dir`` (or an earlier ``setCheckpointDir``) names. Only where neither is set and the
+    session runs on one machine, as in tests, is a temporary folder made and set.
     """
     found = spark.sparkContext._jsc.sc().getCheckpointDir()
     if found.isDefined():
         return found.get()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spanloom-')}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = f"file://{tempfile.mkdtemp(prefix='spanloom-')}"
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 

@@ -71,11 +71,15 @@ NAMES = re.compile(r"<!--\s*(?:#vrt positional-attributes|#vrt positional attrib
 
 
 def field_names(spark: SparkSession, path: str, lines: int = 100) -> list[str]:
-    """Names from the comment in the first lines, else v1 to vK by the first token."""
-    head = [r["value"] for r in spark.read.text(path).limit(lines).collect()]
-    for line in head:
-        if m := NAMES.match(line):
-            return m[1].split()
+    """Names from the comments, else v1 to vK by the first token. Files whose comments differ are an error, as their fields don't belong together."""
+    rows = spark.read.text(path)
+    named = rows.where(F.startswith("value", F.lit("<!--")) & F.rlike("value", F.lit("(?i)positional.attributes:"))).distinct().limit(lines).collect()
+    found = {tuple(m[1].split()) for r in named if (m := NAMES.match(r["value"]))}
+    if len(found) > 1:
+        raise BadData(f"files have different fields: {sorted(found)}")
+    if found:
+        return list(found.pop())
+    head = [r["value"] for r in rows.limit(lines).collect()]
     token = next((x for x in head if x and not x.startswith("<")), "")
     return [f"v{i}" for i in range(1, len(token.split("\t")) + 1)]
 
@@ -157,6 +161,16 @@ def flat(corpus: Corpus, spans: DataFrame) -> DataFrame:
     return corpus.tokens.join(opens, KEYS["token"], "left").join(closes, KEYS["token"], "left").withColumns({"before": F.coalesce("before", none), "after": F.coalesce("after", none)})
 
 
+def deep(tokens: DataFrame, fields: Sequence[str], markup: Sequence[str] = ("before", "after")) -> DataFrame:
+    """The inverse of ``flat``, as lines: keys of the sentence, line_no, line; tags stand between tokens again."""
+    keys = KEYS["sentence"]
+    token = F.concat_ws("\t", *(T.escape_field(F.coalesce(col(f), F.lit("_"))) for f in fields))
+    ends = F.transform(markup[1], lambda t: F.concat(F.lit("</"), F.regexp_extract(t, r"^<([^ >/]+)", 1), F.lit(">")))
+    own = F.concat(F.col(markup[0]), F.array(token), ends)
+    lines = tokens.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("tok_no", own.alias("l")))).alias("t"))
+    return lines.select(*keys, F.posexplode(F.flatten(F.transform("t", lambda x: x["l"]))).alias("i", "line")).select(*keys, (F.col("i") + 1).alias("line_no"), "line")
+
+
 def nested_json(corpus: Corpus) -> DataFrame:
     """text_id, json: a text's attributes and, below data, its paragraphs, sentences and tokens."""
     tokens = corpus.tokens.groupBy(*KEYS["sentence"]).agg(F.array_sort(F.collect_list(F.struct("tok_no", *map(col, corpus.fields)))).alias("data"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,12 +48,26 @@ def by_rules(records: DataFrame, rules: Mapping[str, str], where: str | None = N
 
 
 def utterances(spark: SparkSession, path: str) -> DataFrame:
-    """Speech tiers (EAF): tier, speaker, start and end in milliseconds, text."""
-    slots = xml_records(spark, path, "TIME_SLOT", "_TIME_SLOT_ID string, _TIME_VALUE long")
-    tiers = xml_records(spark, path, "TIER", "_TIER_ID string, _PARTICIPANT string, ANNOTATION array<struct<ALIGNABLE_ANNOTATION: struct<_ANNOTATION_ID: string, _TIME_SLOT_REF1: string, _TIME_SLOT_REF2: string, ANNOTATION_VALUE: string>>>")
-    rows = tiers.select(F.col("_TIER_ID").alias("tier"), F.col("_PARTICIPANT").alias("speaker"), F.explode("ANNOTATION").alias("a")).select("tier", "speaker", "a.ALIGNABLE_ANNOTATION.*")
-    at = lambda ref, name: slots.select(F.col("_TIME_SLOT_ID").alias(ref), F.col("_TIME_VALUE").alias(name))
-    return rows.join(at("_TIME_SLOT_REF1", "start"), "_TIME_SLOT_REF1", "left").join(at("_TIME_SLOT_REF2", "end"), "_TIME_SLOT_REF2", "left").select("tier", "speaker", "start", "end", F.col("ANNOTATION_VALUE").alias("text"))
+    """Speech tiers (EAF): file, tier, speaker, start and end in milliseconds, text. An annotation that refers to another has its times."""
+    name = F.col("_metadata.file_path").alias("file")
+    slots = xml_records(spark, path, "TIME_SLOT", "_TIME_SLOT_ID string, _TIME_VALUE long").select(name, "_TIME_SLOT_ID", "_TIME_VALUE")
+    aligned = "ALIGNABLE_ANNOTATION: struct<_ANNOTATION_ID: string, _TIME_SLOT_REF1: string, _TIME_SLOT_REF2: string, ANNOTATION_VALUE: string>"
+    refers = "REF_ANNOTATION: struct<_ANNOTATION_ID: string, _ANNOTATION_REF: string, ANNOTATION_VALUE: string>"
+    tiers = xml_records(spark, path, "TIER", f"_TIER_ID string, _PARTICIPANT string, ANNOTATION array<struct<{aligned}, {refers}>>")
+    rows = tiers.select(name, F.col("_TIER_ID").alias("tier"), F.col("_PARTICIPANT").alias("speaker"), F.explode("ANNOTATION").alias("a"))
+    at = lambda ref, as_: slots.select("file", F.col("_TIME_SLOT_ID").alias(ref), F.col("_TIME_VALUE").alias(as_))
+    own = rows.where("a.ALIGNABLE_ANNOTATION IS NOT NULL").select("file", "tier", "speaker", "a.ALIGNABLE_ANNOTATION.*")
+    own = own.join(at("_TIME_SLOT_REF1", "start"), ["file", "_TIME_SLOT_REF1"], "left").join(at("_TIME_SLOT_REF2", "end"), ["file", "_TIME_SLOT_REF2"], "left")
+    shape = lambda df: df.select("file", "tier", "speaker", "start", "end", F.col("ANNOTATION_VALUE").alias("text"))
+    out, known = shape(own), own.select("file", F.col("_ANNOTATION_ID").alias("_ANNOTATION_REF"), "start", "end")
+    linked = rows.where("a.REF_ANNOTATION IS NOT NULL").select("file", "tier", "speaker", "a.REF_ANNOTATION.*")
+    while not linked.isEmpty():  # a round for each tier that hangs on another
+        met = linked.join(known, ["file", "_ANNOTATION_REF"])
+        if met.isEmpty():
+            return out.unionByName(shape(linked.withColumns({"start": F.lit(None).cast("long"), "end": F.lit(None).cast("long")})))
+        out, linked = out.unionByName(shape(met)), linked.join(known, ["file", "_ANNOTATION_REF"], "left_anti")
+        known = met.select("file", F.col("_ANNOTATION_ID").alias("_ANNOTATION_REF"), "start", "end")
+    return out
 
 
 def forum_csv(spark: SparkSession, path: str, columns: Sequence[str], separator: str = ",") -> DataFrame:
@@ -70,9 +85,17 @@ def forum_messages(rows: DataFrame, id_col: str, time_col: str, body_col: str, t
     return rows.select(F.col(id_col).alias("text_id"), *(F.coalesce(e, F.lit("")).alias(n) for n, e in T.date_parts(ts).items()), *([F.col(title_col).alias("title")] if title_col else []), T.collapse_spaces(clean).alias("content"))
 
 
-def json_articles(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Articles: an array of objects in each file, or an object in each line; the schema says what is read."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def json_articles(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """Articles: an array of objects (or one) in each file, or with ``lines`` an object in each line; the schema says what is read."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+
+
+def article_paragraphs(articles: DataFrame, keys: Sequence[str], content: str, kinds: Sequence[str] = ("text", "heading"), kind: str = "type", value: str = "text") -> DataFrame:
+    """keys, para_no, kind, content: the items of an article's content that are of some kinds, without markup, in order; empty ones go."""
+    clean = lambda c: T.collapse_spaces(F.translate(T.unescape(F.regexp_replace(c, r"<[^<>]*>", " ")), "\n\t\r", "   "))
+    items = F.transform(F.filter(content, lambda x: x[kind].isin(list(kinds))), lambda x: F.struct(x[kind].alias("kind"), clean(x[value]).alias("content")))
+    rows = articles.select(*keys, F.posexplode(F.filter(items, lambda x: F.coalesce(x["content"], F.lit("")) != "")).alias("i", "p"))
+    return rows.select(*keys, (F.col("i") + 1).cast("long").alias("para_no"), "p.kind", "p.content")
 
 
 def binary_records(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -81,12 +104,67 @@ def binary_records(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 
 def warc_responses(spark: SparkSession, path: str) -> DataFrame:
-    """uri, date, body of the responses in uncompressed or gzipped crawls: a record ends where the next header begins."""
-    rows = spark.read.option("lineSep", "WARC/1.0\r\n").text(path)
-    field = lambda name: F.regexp_extract("value", rf"(?mi)^{name}:\s*(.*?)\r?$", 1)
-    head_end = F.instr("value", "\r\n\r\n")
-    inner = F.expr("substring(value, instr(value, '\\r\\n\\r\\n') + 4)")
-    return rows.where((field("WARC-Type") == "response") & (head_end > 0)).select(field("WARC-Target-URI").alias("uri"), field("WARC-Date").alias("date"), F.regexp_replace(inner, r"(?s)^.*?\r\n\r\n", "").alias("body"))
+    """uri, date, body of the responses in uncompressed or gzipped crawls.
+
+    Files are cut where a record may begin; a piece that is shorter than its head says goes on in the next one of its split.
+    """
+    rows = spark.read.option("lineSep", "WARC/1.0\r\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece"))
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, held = None, b""
+        for b in batches:
+            out: list[tuple] = []
+            for file, piece in zip(b.column(0), b.column(1), strict=True):
+                file, piece = file.as_py(), piece.as_py()
+                held = held + b"WARC/1.0\r\n" + piece if held and file == of else piece
+                of = file
+                head, end, body = held.partition(b"\r\n\r\n")
+                fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n"))}
+                size = int(fields.get("content-length") or 0)
+                if end and len(body) < size:
+                    continue
+                if fields.get("warc-type") == "response":
+                    out.append((fields.get("warc-target-uri"), fields.get("warc-date"), body[:size].partition(b"\r\n\r\n")[2].decode("utf-8", "replace")))
+                held = b""
+            columns = list(zip(*out, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["uri", "date", "body"])
+
+    return rows.mapInArrow(records, "uri string, date string, body string")
+
+
+def tei_texts(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each TEI file: file, title, author, date, lang, and paragraphs (n, kind, content) of its body in order.
+
+    Paragraphs, heads and verse lines are what is kept; notes go, other markup inside is dropped, line and page breaks are blanks.
+    """
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("x"))
+    head = F.regexp_extract("x", r"(?s)<teiHeader\b.*?</teiHeader>", 0)
+    plain = lambda c: T.collapse_spaces(F.translate(T.unescape(F.regexp_replace(c, r"<[^<>]*>", " ")), "\n\t\r", "   "))
+    first = lambda tag, of: plain(F.regexp_extract(of, rf"(?s)<{tag}\b[^<>]*>(.*?)</{tag}>", 1))
+    body = F.regexp_replace(F.regexp_extract("x", r"(?s)<body\b[^<>]*>(.*)</body>", 1), r"(?s)<note\b[^<>]*(?:/>|>.*?</note>)", "")
+    stretch = r"(?s)(<(?:p|head|l)\b[^<>/]*>.*?</(?:p|head|l)>)"
+    found = F.transform(F.regexp_extract_all(body, F.lit(stretch), F.lit(1)), lambda p: F.struct(F.regexp_extract(p, r"^<(p|head|l)", 1).alias("kind"), plain(p).alias("content")))
+    kept = F.filter(found, lambda p: p["content"] != "")
+    numbered = F.transform(kept, lambda p, i: F.struct((i + 1).cast("long").alias("n"), p["kind"].alias("kind"), p["content"].alias("content")))
+    day = F.coalesce(F.nullif(F.regexp_extract(head, r'<date\b[^<>]*\bwhen="([^"]*)"', 1), F.lit("")), first("date", head))
+    return whole.select("file", first("title", head).alias("title"), first("author", head).alias("author"), day.alias("date"), F.regexp_extract("x", r'<TEI\b[^<>]*\bxml:lang="([^"]*)"', 1).alias("lang"), numbered.alias("paragraphs"))
+
+
+def alto_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Scanned pages (ALTO XML): file, block, block_no, line_no, words, and the mean of their word confidences; hyphenated words are joined by their full content."""
+    string = "struct<_CONTENT: string, _WC: double, _SUBS_TYPE: string, _SUBS_CONTENT: string>"
+    schema = f"_ID string, TextLine array<struct<String: array<{string}>>>"
+    blocks = xml_records(spark, path, "TextBlock", schema).select(F.col("_metadata.file_name").alias("file"), F.col("_ID").alias("block"), F.monotonically_increasing_id().alias("block_no"), F.posexplode("TextLine").alias("i", "l"))
+    strings = F.filter(F.col("l.String"), lambda s: F.coalesce(s["_SUBS_TYPE"], F.lit("")) != "HypPart2")
+    word = F.transform(strings, lambda s: F.when(s["_SUBS_TYPE"] == "HypPart1", F.coalesce(s["_SUBS_CONTENT"], s["_CONTENT"])).otherwise(s["_CONTENT"]))
+    sure = F.aggregate(strings, F.lit(0.0), lambda a, s: a + F.coalesce(s["_WC"], F.lit(0.0)))
+    return blocks.select("file", "block", "block_no", (F.col("i") + 1).alias("line_no"), F.filter(word, lambda w: w.isNotNull()).alias("words"), F.when(F.size(strings) > 0, sure / F.size(strings)).alias("confidence"))
+
+
+def mets_files(spark: SparkSession, path: str) -> DataFrame:
+    """file, id, use and href of the files that METS descriptions list."""
+    rows = xml_records(spark, path, "fileGrp", "_USE string, _ID string, file array<struct<_ID: string, FLocat: struct<`_xlink:href`: string>>>")
+    return rows.select(F.col("_metadata.file_name").alias("file"), F.coalesce("_USE", "_ID").alias("use"), F.explode("file").alias("f")).select("file", F.col("f._ID").alias("id"), "use", F.col("f.FLocat.`_xlink:href`").alias("href"))
 
 
 def sparv_tokens(spark: SparkSession, path: str, attributes: Sequence[str]) -> DataFrame:

@@ -81,9 +81,17 @@ def test_elements(spark, corpus):
     ids = [r["attrs"]["id"] for r in elements.add_ids(corpus, "sentence", "id", "s", 3, within=False).sentences.orderBy(*C.KEYS["sentence"]).collect()]
     assert ids == ["s001", "s002", "s003", "s004"]
     assert len({r["attrs"]["id"] for r in elements.random_ids(corpus, "sentence", seed=3).sentences.collect()}) == 4
-    masked = elements.mask(corpus, "text", [("a", "=", "1")], keep=["a"], add={"gone": "yes"})
-    assert {r["attrs"].get("gone"): sorted(r["attrs"]) for r in masked.texts.collect()} == {"yes": ["a", "gone"], None: ["a", "n"]}
+    masked = elements.mask(corpus, "text", [("a", "=", "1")], keep={"text": ["a"]}, add={"gone": "yes"})
+    assert {r["attrs"].get("gone"): sorted(r["attrs"].items()) for r in masked.texts.collect()} == {"yes": [("a", "1"), ("b", "_"), ("gone", "yes"), ("n", "_")], None: [("a", "2"), ("n", "3")]}
+    assert sorted(r["attrs"]["id"] for r in masked.sentences.collect()) == ["3", "4", "_", "_"]
     assert masked.tokens.where("word = '_'").count() == 3
+    left = elements.remove(corpus, "text", [("a", "=", "1")])
+    assert [c.count() for c in left] == [1, 1, 2, 1]
+    assert elements.remove(corpus, "paragraph", []).paragraphs.count() == 2  # without attributes they are never tested
+    done = elements.compose_ids(corpus, "sentence", "{hash:.4}-{text[a]/1/one/}-{idnum[text]:02d}.{id:03x}", hash_of="x", prefix="s").sentences
+    assert sorted(r["attrs"]["id"] for r in done.collect()) == ["s11f6-2-02.003", "s11f6-2-02.004", "s11f6-one-01.001", "s11f6-one-01.002"]
+    with pytest.raises(BadData):
+        elements.compose_ids(corpus, "text", "{sentence[id]}")
     assert elements.sample(corpus, "sentence", 2, 1).sentences.count() == 2
     summed = elements.sum_sentence_class(corpus, "id", "ids").texts
     assert sorted(r["attrs"]["ids"] for r in summed.collect()) == ["|1:1|2:1|", "|3:1|4:1|"]
@@ -149,10 +157,40 @@ def test_split_equals_a_loop(spark):
         held += n
         want.append(part)
     assert got == want
-    parts = {}
-    for x in elements.split_sizes(rows, ["i"], "n", 100, stretch=30).collect():
-        parts.setdefault(x["part_no"], []).append(x["n"])
-    assert all(sum(v) <= 100 for v in parts.values()) and sorted(parts) == list(range(1, len(parts) + 1))
+
+
+def walk(rows, most, most_rows, together):
+    """(size, key) in order."""
+    units = []
+    for n, k in rows:
+        if together and units and units[-1][2] == k:
+            units[-1] = (units[-1][0] + n, units[-1][1] + 1, k)
+        else:
+            units.append((n, 1, k))
+    out, part, held, held_rows = [], 0, None, None
+    for n, c, _ in units:
+        if held is None or held + n > most or (most_rows and held_rows + c > most_rows):
+            part, held, held_rows = part + 1, 0, 0
+        held, held_rows = held + n, held_rows + c
+        out += [part] * c
+    return out
+
+
+@pytest.mark.parametrize("most, most_rows, together, largest", [(100, 0, False, 40), (100, 7, False, 130), (60, 9, True, 20), (7, 0, True, 5), (10_000, 3, False, 9)])
+def test_split_over_many_stretches(spark, most, most_rows, together, largest):
+    r = random.Random(most)
+    rows = [(r.randrange(largest), r.choice("ab")) for _ in range(3000)]
+    df = spark.createDataFrame([(i, n, k) for i, (n, k) in enumerate(rows)], "i long, n long, k string")
+    found = elements.split_sizes(df, ["i"], "n", most, most_rows, "k" if together else None).collect()
+    assert [x["part_no"] for x in sorted(found, key=lambda x: x["i"])] == walk(rows, most, most_rows, together)
+
+
+def test_threads(spark):
+    """A reply chain of 300 posts, an answer to nobody, and a cycle."""
+    rows = [(i, i - 1 if i else None) for i in range(300)] + [(400, 399), (401, 400), (500, 501), (501, 500), (502, 501)]
+    got = {r["id"]: r["path"] for r in elements.thread_paths(spark.createDataFrame(rows, "i long, p long"), "i", "p", "i").collect()}
+    assert len(got) == len(rows) and got[299] == "/".join(map(str, range(300))) and got[401] == "400/401"
+    assert got[500] is got[501] is got[502] is None
 
 
 def sentence(spark, words, **more):
@@ -170,9 +208,6 @@ def test_repairs(spark):
     assert shown(sequential.join_smileys(sentence(spark, ["hi : ) : : ) x = D ;"]))) == ["hi :) : :) x =D ;"]
     assert shown(sequential.join_sentences(sentence(spark, ["Hän tuli", "ja meni", "Sitten", ") loppu"]))) == ["Hän tuli ja meni", "Sitten ) loppu"]
     assert shown(sequential.break_sentences(sentence(spark, ["a . B c . d"]), r"[.]", r"\p{Lu}.*")) == ["a .", "B c . d"]
-    rows = spark.createDataFrame([("t", 1, i, x, n) for i, (x, n) in enumerate([("fin", 9), ("fin", 9), ("swe", 2), ("fin", 9), ("eng", 6), ("fin", 8)], 1)], "text_id string, para_no long, sent_no long, lang string, n long")
-    fixed = [r["fixed"] for r in sequential.repair_languages(rows).orderBy("sent_no").collect()]
-    assert fixed == ["fin"] * 6
     with pytest.raises(Exception, match="2 words, 1 annotations"):
         class Bad(sequential.Annotator):
             fields = ["x"]
@@ -185,6 +220,41 @@ def test_repairs(spark):
     assert sorted(r["polarity"] for r in polar.collect()) == ["neg", "neut", "pos"]
 
 
+def languages(spark, rows):
+    """rows: language, confidence, words (all of them different, of three letters)."""
+    data = [("t", 1, i, x, float(c), 3 * n, n, n, 0) for i, (x, c, n) in enumerate(rows, 1)]
+    df = spark.createDataFrame(data, "text_id string, para_no long, sent_no long, lang string, conf double, letters long, words long, types long, capitals long")
+    return [r["fixed"] for r in sequential.repair_languages(df).orderBy("sent_no").collect()]
+
+
+def test_languages(spark):
+    sure = ("fin", 3.0, 12)
+    # alone: too few words, or few and unsure
+    assert languages(spark, [sure, ("swe", 3.0, 1), sure]) == ["fin", "xxx", "fin"]
+    assert languages(spark, [sure, ("swe", 0.8, 3), sure]) == ["fin", "xxx", "fin"]
+    # a lone one that is long and sure stays, one that is less sure doesn't
+    assert languages(spark, [sure, sure, ("swe", 3.2, 30), sure, sure]) == ["fin", "fin", "swe", "fin", "fin"]
+    assert languages(spark, [sure, sure, ("swe", 0.95, 21), sure, sure]) == ["fin", "fin", "xxx", "fin", "fin"]
+    # but if the text keeps the language elsewhere, it keeps it here
+    assert languages(spark, [sure, sure, ("swe", 0.95, 21), sure, sure, ("swe", 3.2, 40), ("swe", 3.2, 40)])[2] == "swe"
+    # the last one is judged by the two before it
+    assert languages(spark, [sure, sure, ("eng", 0.9, 5)]) == ["fin", "fin", "xxx"]
+    # nothing is known of a text's first sentences but themselves
+    assert languages(spark, [("eng", 3.0, 12)]) == ["eng"]
+    # of nine languages, those as rare as the eighth go
+    many = [(x, 5.0, 40) for x in "aabbccddeeffgghi"]
+    assert set(languages(spark, many)) == set("abcdefg") | {"xxx"}
+
+
+def test_name_tags(spark):
+    words = "Yhdysvaltain Keskus Oy toimii".split()
+    tags = [("EnamexOrgCrp><EnamexLocPpl-B", "|EnamexOrgCrp><EnamexLocPpl-B-0|EnamexLocPpl-F-1|", "B-LOC"), ("_", "|EnamexLocPpl-E-1|", "I-LOC"), ("EnamexOrgCrp-E", "|EnamexOrgCrp-E-0|", "I-ORG"), ("_", "|EnamexLocPpl-E-1|", "I-LOC")]
+    tokens = spark.createDataFrame([("t", 1, 1, i, w, *t) for i, (w, t) in enumerate(zip(words, tags), 1)], "text_id string, para_no long, sent_no long, tok_no long, word string, nertag2 string, nertags2 string, nerbio2 string")
+    got = [tuple(r)[5:] for r in sequential.repair_joined_names(tokens, "nertag2", "nertags2", "nerbio2").orderBy("tok_no").collect()]
+    assert got == [("EnamexOrgCrp-B", "|EnamexOrgCrp-B-0|EnamexLocPpl-B-1|EnamexLocPpl-F-2|", "B-ORG"), ("_", "|EnamexLocPpl-E-1|", "I-ORG"), ("EnamexOrgCrp-E", "|EnamexOrgCrp-E-0|", "I-ORG"), tags[3]]
+    assert sequential.hard_sentences(sentence(spark, ["A " * 12, "A " * 11, "x _#_ y", "ftp://a " * 5])).count() == 3
+
+
 def test_products(spark):
     tokens = sentence(spark, ["John SMITH met John"]).withColumn("tag", F.when(F.rlike("word", F.lit("^(John|SMITH)$")), "PER").otherwise("_")).withColumn("lemma", F.lower("word"))
     assert {(r["name"], r["freq"]) for r in products.name_index(tokens, "tag", "lemma", "word").collect()} == {("John SMITH", 1), ("John", 1)}
@@ -217,6 +287,38 @@ def test_sources(spark, tmp_path):
     assert [tuple(r) for r in mapped.collect()] == [("2", "B")]
 
 
+def test_markup_sources(spark, tmp_path):
+    (tmp_path / "a.eaf").write_text("""<D><TIME_ORDER><TIME_SLOT TIME_SLOT_ID="t1" TIME_VALUE="10"/><TIME_SLOT TIME_SLOT_ID="t2" TIME_VALUE="90"/></TIME_ORDER>
+<TIER TIER_ID="main" PARTICIPANT="X"><ANNOTATION><ALIGNABLE_ANNOTATION ANNOTATION_ID="a1" TIME_SLOT_REF1="t1" TIME_SLOT_REF2="t2"><ANNOTATION_VALUE>hei</ANNOTATION_VALUE></ALIGNABLE_ANNOTATION></ANNOTATION></TIER>
+<TIER TIER_ID="note"><ANNOTATION><REF_ANNOTATION ANNOTATION_ID="a2" ANNOTATION_REF="a1"><ANNOTATION_VALUE>greeting</ANNOTATION_VALUE></REF_ANNOTATION></ANNOTATION></TIER>
+<TIER TIER_ID="more"><ANNOTATION><REF_ANNOTATION ANNOTATION_ID="a3" ANNOTATION_REF="a2"><ANNOTATION_VALUE>loud</ANNOTATION_VALUE></REF_ANNOTATION></ANNOTATION></TIER></D>""")
+    got = sorted(tuple(r)[1:] for r in formats.utterances(spark, str(tmp_path / "a.eaf")).collect())
+    assert got == [("main", "X", 10, 90, "hei"), ("more", None, 10, 90, "loud"), ("note", None, 10, 90, "greeting")]
+    (tmp_path / "s.xml").write_text('<c><sentence id="s1"><token pos="N">talo</token><token pos="V">on</token></sentence></c>')
+    assert [(r["tok_no"], r["word"], r["pos"]) for r in formats.sparv_tokens(spark, str(tmp_path / "s.xml"), ["pos"]).collect()] == [(1, "talo", "N"), (2, "on", "V")]
+    (tmp_path / "b.tei").write_text("""<TEI xml:lang="fi"><teiHeader><title type="main">Kirja &amp; muuta</title><author>A. <name>B</name></author><date when="1875">n. 1875</date></teiHeader>
+<text><body><div><head>Alku</head><p>Rivi<lb/>toinen <hi>vino</hi>.<note>pois</note></p><p> </p></div><lg><l>säe</l></lg></body></text></TEI>""")
+    r = formats.tei_texts(spark, str(tmp_path / "b.tei")).first()
+    assert (r["title"], r["author"], r["date"], r["lang"]) == ("Kirja & muuta", "A. B", "1875", "fi")
+    assert [(p["n"], p["kind"], p["content"]) for p in r["paragraphs"]] == [(1, "head", "Alku"), (2, "p", "Rivi toinen vino ."), (3, "l", "säe")]
+    (tmp_path / "p.xml").write_text("""<alto><TextBlock ID="b1"><TextLine><String CONTENT="sana" WC="0.5"/><SP/><String CONTENT="pit" WC="0.7" SUBS_TYPE="HypPart1" SUBS_CONTENT="pitka"/></TextLine><TextLine><String CONTENT="ka" SUBS_TYPE="HypPart2" SUBS_CONTENT="pitka"/></TextLine></TextBlock></alto>""")
+    lines = formats.alto_lines(spark, str(tmp_path / "p.xml")).orderBy("line_no").collect()
+    assert [r["words"] for r in lines] == [["sana", "pitka"], []] and abs(lines[0]["confidence"] - 0.6) < 1e-9
+    (tmp_path / "m.xml").write_text("""<mets xmlns:xlink="http://www.w3.org/1999/xlink"><fileGrp USE="alto"><file ID="f1"><FLocat xlink:href="alto/p.xml"/></file></fileGrp></mets>""")
+    assert [(r["id"], r["use"], r["href"]) for r in formats.mets_files(spark, str(tmp_path / "m.xml")).collect()] == [("f1", "alto", "alto/p.xml")]
+
+
+def test_date_spans(spark):
+    def span(x, **how):
+        return tuple(one(spark, T.date_span(F.col("x"), **how), x=x))
+
+    assert span("v. 1875") == ("1875", "") and span("20140910/20140915") == ("20140910", "20140915") and span("none") == ("", "")
+    assert span("1.2.1999 - 13.12.2001", order="dmy") == ("19990201", "20011213")
+    assert span("45", full=False, short_years=True)[0] == "1945" and span("12", full=False, short_years=True)[0] == "2012"
+    assert span("2199-01", newest=2100) == ("", "")
+    assert tuple(one(spark, T.whole_days(T.date_span(F.col("x"))), x="2000-02")) == ("20000201", "20000229")
+
+
 def test_streaming(spark, tmp_path):
     from spanloom.streaming import events
 
