@@ -58,7 +58,7 @@ def test_pipeline(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "secrets", "packing"]
     at = spark.read.parquet(f"{tmp_path}/documents.parquet")
     model = toxicity.fit(at, spark.read.parquet(f"{tmp_path}/labels.parquet"))
-    reader = toxicity.Reader(model.terms, model.weights)
+    reader = toxicity.Reader(model.terms, model.weights, model.budgets)
     score = lambda t: 1 / (1 + math.exp(-model.betas[0] - sum(b * math.log1p(x) for b, x in zip(model.betas[1:], reader.features(t), strict=True))))
     calm = [(i, t) for i, t in rows if score(t) < 0.5]
     assert {kinds.get(i, "clean") for i, _ in calm} >= {"clean", "copy", "leak", "secret"}
