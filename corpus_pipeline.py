@@ -8,6 +8,13 @@
 
 Stages with a learned model or a tokeniser have no SQL, so ``ORACLE_SQL`` is None; tests hold ``run`` against a
 brute-force version.
+
+Defined results: a null or empty text has no toxic word, no near-copy, no window and no secret, so its row goes through
+to the last stage, where it is one piece of the end id alone. Rows with a null id are copies of nothing and stay.
+Repeated rows share id and text: they stay or go together, and each is packed. Of near-copies, the smallest id stays, so
+there are no ties. Texts are taken whole, however long; packing alone cuts them. Without labels of both kinds nothing is
+toxic unless the base rate is; without benchmark items nothing is contaminated; without documents there are no rows.
+Columns beyond those of ``documents`` go through to the last stage, whatever their names.
 """
 
 from __future__ import annotations
