@@ -269,10 +269,12 @@ def main_values(counted: DataFrame, keys: Sequence[str], value: str, n: str, lis
 
 
 def sort_keys(value: Column, flags: str = "") -> Column:
-    """One sort key: n or g numbers, f without case, d letters and digits only, M months, b without blanks in front, V versions, r descending, R by hash."""
+    """One sort key: n or g numbers, f without case, d letters and digits only, i without what can't be seen, M months, b without blanks in front, V versions, r descending, R by hash."""
     key = value
     if "b" in flags:
         key = F.ltrim(key)
+    if "i" in flags:
+        key = F.regexp_replace(key, r"[\p{C}]", "")
     if "d" in flags:
         key = F.regexp_replace(key, r"[^\p{L}\p{N} ]", "")
     if "f" in flags:
@@ -325,11 +327,23 @@ def sample_tokens(corpus: Corpus, n: int, seed: int = 0) -> DataFrame:
     return corpus.tokens.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n).orderBy(*keys)
 
 
-def seeds(corpus: Corpus, length: int, distance: int) -> DataFrame:
-    """Every ``distance``-th stretch of ``length`` tokens of a sentence, as one string."""
+def seeds(corpus: Corpus, length: int, distance: int, most: int | None = None, how: str = "even", seed: int = 0) -> DataFrame:
+    """Every ``distance``-th stretch of ``length`` tokens of a sentence, as one string; with ``most``, that many of them at most, evenly spaced in order or at random."""
     words = corpus.tokens.groupBy(*KEYS["sentence"]).agg(F.transform(F.array_sort(F.collect_list(F.struct("tok_no", "word"))), lambda x: x["word"]).alias("w")).where(F.size("w") >= length)
     starts = F.sequence(F.lit(1), F.size("w") - length + 1, F.lit(distance))
-    return words.select(*KEYS["sentence"], F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(length)), " "))).alias("seed_no", "seed"))
+    found = words.select(*KEYS["sentence"], F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(length)), " "))).alias("seed_no", "seed"))
+    if most is None:
+        return found
+    keys = [*KEYS["sentence"], "seed_no"]
+    if how == "random":
+        return found.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(most)
+    ranked = numbered(found, [F.col(k) for k in keys], "__nr")
+    n = ranked.count()
+    if n <= most:
+        return ranked.drop("__nr")
+    # the k-th of ``most`` is the first whose share of the order reaches k / most
+    step = lambda nr: F.floor(nr * most / n)
+    return ranked.where(step(F.col("__nr")) > step(F.col("__nr") - 1)).drop("__nr")
 
 
 def content_hash(corpus: Corpus, level: str) -> DataFrame:

@@ -61,9 +61,9 @@ def quantiles_by(rows: DataFrame, keys: Sequence[str], value: str, parts: int) -
     """As ``quantiles``, by key: keys, k, value. One running sum over keys and values, so that a key's values needn't fit a task."""
     counted = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n")).withColumnRenamed(value, "__v")
     running = running_sum(counted, [F.col(k) for k in [*keys, "__v"]], F.col("n"), "cum")
-    bounds = running.groupBy(*keys).agg(F.min(F.col("cum") - F.col("n")).alias("base"), F.max("cum").alias("top"))
-    same = [F.equal_null(running[k], bounds[k]) for k in keys]
-    met = running.join(bounds, reduce(lambda a, b: a & b, same)).select(*(running[k] for k in keys), F.col("__v").alias("v"), (F.col("cum") - F.col("base")).alias("cum"), (F.col("top") - F.col("base")).alias("total"))
+    bounds = running.groupBy(*(F.col(k).alias(f"__key{i}") for i, k in enumerate(keys))).agg(F.min(F.col("cum") - F.col("n")).alias("base"), F.max("cum").alias("top"))
+    same = reduce(lambda a, b: a & b, (F.equal_null(F.col(k), F.col(f"__key{i}")) for i, k in enumerate(keys)))
+    met = running.join(bounds, same).select(*keys, F.col("__v").alias("v"), (F.col("cum") - F.col("base")).alias("cum"), (F.col("top") - F.col("base")).alias("total"))
     ks = rows.sparkSession.range(parts + 1).select(F.col("id").alias("k"))
     return met.join(F.broadcast(ks), F.col("cum") * parts >= F.col("k") * F.col("total")).groupBy(*keys, "k").agg(F.min("v").alias("value"))
 

@@ -247,12 +247,11 @@ def order_dates(spark, sf_dir):
 def date_spans(spark, sf_dir):
     """A range whose end lacks its day, a date in another order, and a year of two digits."""
     o = table(spark, sf_dir, "orders").withColumn("d", F.col("o_orderdate").cast("date"))
-    span = T.date_span(F.concat(F.lit("from "), F.date_format("d", "yyyy-MM-dd"), F.lit(" – "), F.date_format(F.date_add("d", 40), "yyyy/MM")))
-    span = F.struct(span["start"].alias("start"), F.substring(span["end"], 1, 6).alias("end"))
-    days = T.whole_days(span)
-    dmy = T.date_span(F.date_format("d", "d.M.yyyy"), order="dmy")["start"]
-    year = T.date_span(F.date_format("d", "yy"), full=False, short_years=True)["start"]
-    return o.select("o_orderkey", span["start"].alias("start"), span["end"].alias("end"), days["start"].alias("from_day"), days["end"].alias("to_day"), dmy.alias("dmy"), year.alias("year"))
+    found = T.date_span(F.concat(F.lit("from "), F.date_format("d", "yyyy-MM-dd"), F.lit(" – "), F.date_format(F.date_add("d", 40), "yyyy/MM")))
+    dmy, year = T.date_span(F.date_format("d", "d.M.yyyy"), order="dmy"), T.date_span(F.date_format("d", "yy"), full=False, short_years=True)
+    o = o.select("o_orderkey", found.alias("s"), dmy.alias("dmy"), year.alias("year"))
+    o = o.withColumn("s", F.struct(F.col("s.start").alias("start"), F.substring("s.end", 1, 6).alias("end"))).withColumn("w", T.whole_days(F.col("s")))
+    return o.select("o_orderkey", "s.start", "s.end", F.col("w.start").alias("from_day"), F.col("w.end").alias("to_day"), F.col("dmy.start").alias("dmy"), F.col("year.start").alias("year"))
 
 
 @query("SELECT event_id, CAST(event_id AS DOUBLE) * 7 AS seconds, CASE WHEN event_id * 7 >= 86400 THEN CAST(event_id * 7 // 86400 AS VARCHAR) || '-' ELSE '' END || CASE WHEN event_id * 7 >= 3600 THEN lpad(CAST(event_id * 7 % 86400 // 3600 AS VARCHAR), 2, '0') || ':' ELSE '' END || lpad(CAST(event_id * 7 % 3600 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(event_id * 7 % 60 AS VARCHAR), 2, '0') AS shown FROM events")
@@ -319,3 +318,35 @@ def flat_and_deep(spark, sf_dir):
     spans = corpus.tokens.groupBy(*C.KEYS["sentence"]).agg(F.min("tok_no").alias("first"), F.max("tok_no").alias("last")).withColumn("tag", F.lit('<s n="1">'))
     lines = C.deep(C.flat(corpus, spans), ["word"])
     return lines.withColumn("line_no", F.col("line_no").cast("long"))
+
+
+_MARKED = """(\\p{L}[\\p{L}\\p{M}\\p{N}]*(?:[''’-][\\p{L}\\p{M}\\p{N}]+)*|\\p{N}+(?:[.,:]\\p{N}+)*|[^\\s\\p{L}\\p{N}])"""
+
+
+@query(f"SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(p, '{_MARKED}')) AS word FROM (SELECT unnest(string_split(text, chr(10))) AS p FROM documents)) GROUP BY 1")
+def tokenize_with_marks(spark, sf_dir):
+    """Words, numbers and marks; a line is one sentence."""
+    corpus = C.from_texts(table(spark, sf_dir, "documents"), "doc_id", "text", token=C.MARKED, stop="\n")
+    return corpus.tokens.groupBy("word").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_TOKENS}, s AS (SELECT text_id, para_no, sent_no, list(word ORDER BY tok_no) AS w FROM tokens GROUP BY ALL HAVING count(*) >= 4), i AS (SELECT *, unnest(range(1, len(w) - 2, 4)) AS i FROM s), r AS (SELECT *, row_number() OVER (ORDER BY text_id, para_no, sent_no, i) AS nr, count(*) OVER () AS n FROM i) SELECT text_id, para_no, sent_no, CAST((i - 1) // 4 AS INTEGER) AS seed_no, array_to_string(w[i:i+3], ' ') AS seed FROM r WHERE nr * 50 // n > (nr - 1) * 50 // n")
+def even_seeds(spark, sf_dir):
+    """Fifty seeds, evenly spaced (how many is the feature)."""
+    return elements.seeds(_corpus(spark, sf_dir), 4, 4, most=50)
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY upper(source), n_chars DESC, doc_id) AS place FROM documents")
+def sort_by_flags(spark, sf_dir):
+    """Without case and what can't be seen, then by number, descending."""
+    docs = table(spark, sf_dir, "documents").withColumn("source", F.concat(F.lit("\u00ad"), "source"))
+    done = elements.sort_texts(C.from_texts(docs, "doc_id", "text", ["source", "n_chars"]), [("source", "fi"), ("n_chars", "nr")])
+    return done.texts.select(F.col("text_id").alias("doc_id"), F.col("attrs")["order"].cast("long").alias("place"))
+
+
+@query("SELECT c_nationkey, c_mktsegment AS note, list_aggregate(list_sort(list(DISTINCT CAST(c_custkey % 7 AS VARCHAR))), 'string_agg', '|') AS sets FROM (SELECT c_nationkey, c_custkey, CASE WHEN c_custkey % 3 = 0 THEN min(CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END) OVER (PARTITION BY c_nationkey) ELSE c_mktsegment END AS c_mktsegment FROM customer) GROUP BY 1, 2")
+def combine_by_comment(spark, sf_dir):
+    """A third of the records has no comment of its own."""
+    rows = table(spark, sf_dir, "customer").select("c_nationkey", F.when(F.col("c_custkey") % 3 > 0, F.col("c_mktsegment")).otherwise("").alias("note"), F.array((F.col("c_custkey") % 7).cast("string")).alias("sets"))
+    done = stats.combine_records(rows, ["c_nationkey"], ["sets"], "note")
+    return done.select("c_nationkey", F.nullif("note", F.lit("")).alias("note"), F.array_join("sets", "|").alias("sets"))

@@ -54,11 +54,16 @@ def paragraphs_of(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, "\n"), lambda p, i: F.struct((i + 1).cast("long").alias("para_no"), p.alias("content"))), lambda p: F.trim(p["content"]) != "")
 
 
-def from_texts(docs: DataFrame, id_col: str, text_col: str, attributes: Sequence[str] = ()) -> Corpus:
-    """Plain texts: lines are paragraphs, stretches up to . ! ? are sentences, letter runs are tokens. One scan a level, without a shuffle."""
+#: What a token is: runs of letters; or words, numbers, and each mark on its own.
+LETTERS = r"(\p{L}+)"
+MARKED = r"(\p{L}[\p{L}\p{M}\p{N}]*(?:['’-][\p{L}\p{M}\p{N}]+)*|\p{N}+(?:[.,:]\p{N}+)*|[^\s\p{L}\p{N}])"
+
+
+def from_texts(docs: DataFrame, id_col: str, text_col: str, attributes: Sequence[str] = (), token: str = LETTERS, stop: str = r"[.!?]+") -> Corpus:
+    """Plain texts: lines are paragraphs, stretches between matches of ``stop`` are sentences, matches of ``token`` are tokens. One scan a level, without a shuffle."""
     texts = docs.select(col(id_col).alias("text_id"), F.create_map(*(x for a in attributes for x in (F.lit(a), F.coalesce(col(a).cast("string"), F.lit(""))))).alias("attrs") if attributes else F.create_map().cast("map<string,string>").alias("attrs"))
     paras = docs.select(col(id_col).alias("text_id"), F.explode(paragraphs_of(col(text_col))).alias("p")).select("text_id", "p.*")
-    cut = F.filter(F.transform(F.split("content", r"[.!?]+"), lambda s, i: F.struct((i + 1).cast("long").alias("sent_no"), F.regexp_extract_all(s, F.lit(r"(\p{L}+)"), F.lit(1)).alias("words"))), lambda s: F.size(s["words"]) > 0)
+    cut = F.filter(F.transform(F.split("content", stop), lambda s, i: F.struct((i + 1).cast("long").alias("sent_no"), F.regexp_extract_all(s, F.lit(token), F.lit(1)).alias("words"))), lambda s: F.size(s["words"]) > 0)
     sents = paras.select("text_id", "para_no", F.explode(cut).alias("s")).select("text_id", "para_no", "s.*")
     tokens = sents.select("text_id", "para_no", "sent_no", F.posexplode("words").alias("pos", "word")).select("text_id", "para_no", "sent_no", (F.col("pos") + 1).cast("long").alias("tok_no"), "word")
     none = F.create_map().cast("map<string,string>").alias("attrs")
