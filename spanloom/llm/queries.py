@@ -65,4 +65,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_suffix_tree_dedup": sql.OP2, "op5_winnowing_decontamination": sql.OP5, "op7_minhash_near_dedup": sql.OP7}
+    return {"op2_suffix_tree_dedup": sql.OP2, "op3_suffix_array_dedup": sql.OP3, "op5_winnowing_decontamination": sql.OP5, "op7_minhash_near_dedup": sql.OP7}

@@ -32,3 +32,11 @@ OP7 = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{S
  reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
  comp AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY 1)
  SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, c = d.doc_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)"""
+
+OP3 = """WITH d AS MATERIALIZED (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+ w AS MATERIALIZED (SELECT doc_id, i, md5(x[i:i + 399]) AS g FROM (SELECT doc_id, x, unnest(range(1, octet_length(x) - 398)) AS i FROM d)),
+ s AS (SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, 0) AS begins FROM w WHERE g IN (SELECT g FROM w GROUP BY 1 HAVING count(*) > 1)),
+ r AS (SELECT doc_id, min(i) AS a, max(i) + 399 AS z FROM (SELECT doc_id, i, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM s) GROUP BY doc_id, run),
+ k AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
+ t AS (SELECT k.doc_id, sum(z - a + 1) AS n, count(*) AS spans, max(z) AS last, string_agg(hex(x[before + 1:a - 1]), '' ORDER BY a) AS kept FROM k JOIN d ON d.doc_id = k.doc_id GROUP BY 1)
+ SELECT d.doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(CASE WHEN kept IS NULL THEN x ELSE unhex(kept || hex(x[last + 1:octet_length(x)])) END) AS kept_sha256 FROM d LEFT JOIN t ON t.doc_id = d.doc_id"""
