@@ -16,8 +16,8 @@ repeated in its copies follows from it), so what is shuffled follows the repeate
 2. ``shared anchors``: counted with a combine before the shuffle.
 3. ``suffixes``: texts that have one, read once more and written with their anchors; per anchor the units around it.
 4. groups by anchor are shuffled, sorted and streamed through tasks in chunks of whole groups (``judge``). A group
-   beyond ``GROUP`` suffixes is not held in a task: its prefixes are lengthened to whole windows, whose owners are found by
-   an aggregate.
+   beyond ``GROUP`` suffixes is not held in a task: its prefixes are lengthened until the parts can be held
+   (``long_prefixes``).
 5. ``spans`` meet the texts of step 3 again, by row.
 """
 
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -230,17 +231,33 @@ def judge(t: pa.Table, kind: Kind, tree: Tree) -> pa.RecordBatch:
 SPAN = "id bigint, h bigint, first bigint, end bigint"
 
 
-def long_prefixes(hot: DataFrame, kind: Kind, scratch: Scratch) -> DataFrame:
-    """Spans of groups that are too large to hold: suffixes with the same surroundings are one, and each window of those is a prefix of its own.
-
-    One suffix of each surroundings stands for all: its windows count as often as the surroundings occur. A window is
-    counted under each of its anchors apart and by the anchor's place in it, so that no single occurrence counts twice.
+def trimmed(ctx: pa.Array, nl: np.ndarray, left: int, right: int, kind: Kind) -> tuple[pa.Array, np.ndarray]:
+    """Surroundings cut down to so many units left of the anchor's start and right of it, and how many are left of it then."""
+    out: list[bytes] = []
+    kept = np.minimum(nl, left)
+    for s in tw.slices(ctx):
+        u = units(s, kind)
+        begin = u.first[:-1] + nl[s.lo : s.hi] - kept[s.lo : s.hi]
+        end = np.minimum(u.first[:-1] + nl[s.lo : s.hi] + right, u.first[1:])
+        raw = s.data.tobytes()
+        if kind.words:  # what parts words makes no difference
+            out += [b" ".join(raw[u.start[k] : u.end[k]] for k in range(x, y)) for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
+        else:
+            out += [raw[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
+    return pa.array(out, pa.binary()), kept
+
+
+def long_prefixes(hot: DataFrame, kind: Kind, tree: Tree, scratch: Scratch) -> DataFrame:
+    """Spans of groups that are too large to hold.
+
+    Suffixes with the same surroundings are one: all windows in these are repeated, and only one of the suffixes goes on. A
+    group that is still too large is then split by longer prefixes. Of a window's ``kind.left`` units beyond the anchor,
+    either at least half stand left of it or more than the others do right of it, so each suffix goes to the group of those
+    that share that many units on its left, and to that of those that do on its right. All that hold a window meet in one
+    of the two. Surroundings shrink to what such windows can reach, so more of them are the same, and what is too large is
+    split again, with half of the units open that were open before; in the end a group is a single window.
     """
-    hot = hot.withColumn("around", F.unhex(F.md5(F.concat(F.col("nl").cast("string").cast("binary"), F.lit(b":"), "ctx"))))
-    row = F.xxhash64("id", "h", "at")
-    hot = scratch.write(hot.select("anchor", "around", "id", "h", "at", "nl", "ctx"))
-    owner = scratch.write(hot.groupBy("anchor", "around").agg(F.min("id").alias("o"), F.count("*").alias("m"), F.min(row).alias("one")))
-    owned = scratch.write(hot_join(hot, owner, ["anchor", "around"], "m", HELD))
+    row, names = F.xxhash64("id", "h", "at"), ["anchor", "id", "h", "at", "nl", "ctx", "a", "r"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -250,33 +267,54 @@ def long_prefixes(hot: DataFrame, kind: Kind, scratch: Scratch) -> DataFrame:
             whole = nl + nr >= kind.window
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(at - nl), pa.array(at + nr)], ["id", "h", "first", "end"]).filter(pa.array(whole))
 
-    copied = F.col("id") > F.col("o") if kind.ordered else F.col("m") > 1
-    copies = owned.where(copied).select("anchor", "id", "h", "at", "nl", "ctx").mapInArrow(measure, SPAN)
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
-            nl = b.column(4).to_numpy().astype(np.int64)
+            nl, a, r = (b.column(i).to_numpy().astype(np.int64) for i in (4, 6, 7))
             right, left, nr = windows(b.column(5), nl, kind)
-            line = np.concatenate([left[:, ::-1], right], axis=1).astype(np.uint64)
-            for l in range(kind.left + 1):
-                fits = np.flatnonzero((nl >= l) & (nr >= kind.window - l))
-                part = line[fits, kind.left - l : kind.left - l + kind.window]
-                own = pa.array(fits)
-                flat, lo = part.ravel(), np.arange(len(fits)) * kind.window
-                keys = [tw.rolling(flat + np.uint64(x), lo, lo + kind.window, base) for x, base in ((0, tw._STEP), (977, tw._BASE))]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(own), pa.array(np.full(len(fits), l), pa.int32()), tw.as_long(keys[0]), tw.as_long(keys[1]), b.column(1).take(own), b.column(2).take(own), pa.array(b.column(3).to_numpy()[fits] - l), b.column(6).take(own)], [*window, "id", "h", "first", "m"])
-
-    window = ["anchor", "l", "k1", "k2"]
-    stands = ~copied if kind.ordered else F.col("one") == row
-    each = owned.where(stands).select("anchor", "id", "h", "at", "nl", "ctx", "m").mapInArrow(spread, "anchor bigint, l int, k1 bigint, k2 bigint, id bigint, h bigint, first bigint, m bigint")
-    each = scratch.write(each)
-    owners = scratch.write(each.groupBy(*window).agg(F.min("id").alias("o"), F.sum("m").alias("all"), F.count("*").alias("rows")).where("all > 1"))
-    # where all occurrences go, those of repeated surroundings are in copies
-    met = hot_join(each if kind.ordered else each.where("m = 1"), owners, window, "rows", HELD)
-    met = met.where("id > o") if kind.ordered else met
-    return copies.union(met.select("id", "h", "first", (F.col("first") + kind.window).alias("end")))
+            for cell in np.unique(a << 32 | r).tolist():
+                mine, a0, r0 = np.flatnonzero(a << 32 | r == cell), cell >> 32, cell & 0xFFFFFFFF
+                half = (kind.left - a0 - r0 + 1) // 2
+                for side, a1, r1 in ((0, a0 + half, r0), (1, a0, kind.left - a0 - half + 1)):
+                    fits = mine[(nl[mine] >= a1) & (nr[mine] >= kind.gram + r1)]
+                    beyond = (left[fits, :a1] if side == 0 else right[fits, kind.gram : kind.gram + r1]).astype(np.uint64)
+                    lo = np.arange(len(fits)) * beyond.shape[1]
+                    key = tw.mix(b.column(0).to_numpy().view(np.uint64)[fits] + tw.rolling(beyond.ravel() + np.uint64(1), lo, lo + beyond.shape[1]) * np.uint64(2 + side))
+                    own = pa.array(fits)
+                    ctx, kept = trimmed(b.column(5).take(own), nl[fits], kind.left - r1, kind.window - a1, kind)
+                    yield pa.RecordBatch.from_arrays([tw.as_long(key), *(b.column(i).take(own) for i in range(1, 4)), pa.array(kept, pa.int32()), ctx, pa.array(np.full(len(fits), a1), pa.int32()), pa.array(np.full(len(fits), r1), pa.int32())], names)
+
+    found, todo = [], hot.select("anchor", "id", "h", "at", "nl", "ctx", F.lit(0).alias("a"), F.lit(0).alias("r"))
+    while True:
+        around = F.unhex(F.md5(F.concat(F.col("nl").cast("string").cast("binary"), F.lit(b":"), "ctx")))
+        todo = scratch.write(todo.withColumn("around", around))
+        owner = scratch.write(todo.groupBy("anchor", "around").agg(F.min("id").alias("o"), F.count("*").alias("m"), F.min(row).alias("one")))
+        copies = hot_join(todo, owner.where("m > 1").select("anchor", "around", "o", "m"), ["anchor", "around"], "m", HELD)
+        copies = copies.where("id > o") if kind.ordered else copies
+        found.append(copies.select("anchor", "id", "h", "at", "nl", "ctx").mapInArrow(measure, SPAN))
+        # joined by the row that goes on, so that no surroundings gather their rows
+        key = ["anchor", "around", "id"] if kind.ordered else ["anchor", "around", "one"]
+        stand = todo.withColumn("one", row).join(owner.select("anchor", "around", "one", F.col("o").alias("id")).select(*key), key).select(*names)
+        stand = scratch.write(stand)
+        sizes = stand.groupBy("anchor").agg(F.count("*").alias("m"), F.min("id").alias("o"), F.max("id").alias("last"))
+        sizes = scratch.write(sizes.where("o < last" if kind.ordered else "m > 1").select("anchor", "m"))
+        known = hot_join(stand, sizes, ["anchor"], "m", HELD)
+        small = known.where(F.col("m") <= GROUP).select("anchor", "id", "h", "at", "nl", "ctx", F.monotonically_increasing_id().alias("shard"), *(F.lit(0).alias(c) for c in ("place_r", "same_r", "place_l", "same_l")))
+        found.append(_judged(small, kind, tree))
+        todo = known.where((F.col("m") > GROUP) & (F.col("a") + F.col("r") < kind.left)).select(*names)  # a single window has one owner
+        if todo.isEmpty():
+            break
+        todo = todo.mapInArrow(split, "anchor bigint, id bigint, h bigint, at bigint, nl int, ctx binary, a int, r int")
+    return reduce(DataFrame.union, found)
+
+
+def _judged(found: DataFrame, kind: Kind, tree: Tree) -> DataFrame:
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in tw.whole_groups(batches, CHUNK):
+            yield judge(t, kind, tree)
+
+    return found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(stream, SPAN)
 
 
 def find(docs: DataFrame, kind: Kind, tree: Tree, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -299,14 +337,10 @@ def find(docs: DataFrame, kind: Kind, tree: Tree, id_col: str = "doc_id", text_c
 
     found = suffixes(flagged.withColumn("shared", F.array_except("shared", "hot")), kind)
 
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in tw.whole_groups(batches, CHUNK):
-            yield judge(t, kind, tree)
-
-    spans = found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(stream, SPAN)
+    spans = _judged(found, kind, tree)
     hot = flagged.where(F.size("hot") > 0).withColumn("shared", F.col("hot"))
     if not hot.isEmpty():
-        spans = spans.union(long_prefixes(suffixes(hot, kind._replace(shard=None)), kind, scratch))
+        spans = spans.union(long_prefixes(suffixes(hot, kind._replace(shard=None)), kind, tree, scratch))
     spans = spans.groupBy("id", "h").agg(F.collect_set(F.struct("first", "end")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,24 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PARTS = 512  #: most parts that the rows of one key are dealt to
+FEW = 100_000  #: most hot keys that are broadcast
 
 
 def hot_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str, held: int) -> DataFrame:
     """Inner join with ``facts``, which has one row for each key and tells in ``count`` how many rows have it.
 
-    Keys of more than ``held`` rows are joined apart: their rows are dealt over salts by a hash of all their columns, and
-    the few facts about such keys are repeated for each salt. No task gets more than about ``held`` rows of a key, or a
-    ``PARTS``-th of the hottest key's rows, and there are at most rows / held hot keys. Both inputs are read twice, so
-    they should be written tables.
+    Keys of more than ``held`` rows are joined apart. There are at most rows / held of them: up to ``FEW``, which are
+    counted, they are broadcast, and their rows are not shuffled at all. More are dealt over salts by a hash of all columns
+    of their rows, with the facts about them repeated for each salt, so that no task gets more than about ``held`` rows of
+    a key, or a ``PARTS``-th of the hottest key's rows. Both inputs are read twice, so they should be written tables.
     """
     keys = list(keys)
     most = facts.agg(F.max(count)).first()[0] or 0
     if most <= held:
         return rows.join(facts, keys)
     limit = max(held, -(-most // PARTS))
-    salts = -(-most // limit)
+    hot, rest = facts.where(F.col(count) > limit), facts.where(F.col(count) <= limit)
+    if hot.limit(FEW + 1).count() <= FEW:
+        met = rows.join(F.broadcast(hot), keys)
+        cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+        return met.unionByName(cold.join(rest, keys))
+    salts = int(-(-most // limit))
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    hot = facts.where(F.col(count) > limit).withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))))
+    hot = hot.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     met = salted.join(hot, [*keys, "__salt"]).drop("__salt")
     cold = salted.join(hot.select(*keys, "__salt"), [*keys, "__salt"], "left_anti").drop("__salt")
-    return met.unionByName(cold.join(facts.where(F.col(count) <= limit), keys))
+    return met.unionByName(cold.join(rest, keys))

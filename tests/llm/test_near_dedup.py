@@ -82,9 +82,10 @@ def test_keep_first_and_empty(spark):
     assert near_dedup.digest(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("held", [500, 3])
-def test_components(spark, monkeypatch, held):
+@pytest.mark.parametrize("held, few", [(500, 100), (3, 100), (3, 0)], ids=["plain", "broadcast", "salted"])
+def test_components(spark, monkeypatch, held, few):
     monkeypatch.setattr("spanloom.llm.components.HELD", held)
+    monkeypatch.setattr("spanloom.llm.skew.FEW", few)
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 40)] + [(r.randrange(100, 200), r.randrange(100, 200)) for _ in range(60)] + [(300, 300 + i) for i in range(1, 50)]
     parent = {}
