@@ -40,3 +40,22 @@ OP3 = """WITH d AS MATERIALIZED (SELECT doc_id, encode(coalesce(text, '')) AS x
  k AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
  t AS (SELECT k.doc_id, sum(z - a + 1) AS n, count(*) AS spans, max(z) AS last, string_agg(hex(x[before + 1:a - 1]), '' ORDER BY a) AS kept FROM k JOIN d ON d.doc_id = k.doc_id GROUP BY 1)
  SELECT d.doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(CASE WHEN kept IS NULL THEN x ELSE unhex(kept || hex(x[last + 1:octet_length(x)])) END) AS kept_sha256 FROM d LEFT JOIN t ON t.doc_id = d.doc_id"""
+
+
+def _op12() -> str:
+    """Codes of 16 parts from codebooks of 64 entries, moved twice."""
+    steps = ["b0 AS (SELECT p, e, q[p * w + 1:(p + 1) * w] AS c FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS e, q, w FROM v QUALIFY row_number() OVER (ORDER BY vec_id) <= 64), (SELECT unnest(range(16)) AS p))"]
+    for k in range(3):
+        # the entry's index in the last six bits: the least is the nearest entry, and the lowest of equals
+        steps.append(f"a{k} AS MATERIALIZED (SELECT vec_id, x.p, any_value(x) AS x, min(64 * list_sum(list_transform(range(1, w + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) + e) AS m FROM x JOIN b{k} b ON x.p = b.p GROUP BY vec_id, x.p)")
+        if k < 2:
+            steps.append(f"s{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (SELECT p, m % 64 AS e, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM (SELECT p, m, x, unnest(range(1, len(x) + 1)) AS i FROM a{k}) GROUP BY 1, 2, 3) GROUP BY 1, 2)")
+            steps.append(f"b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(s.c, b.c) AS c FROM b{k} b LEFT JOIN s{k} s ON b.p = s.p AND b.e = s.e)")
+    return f"""WITH v AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q, len(embedding) // 16 AS w FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ x AS MATERIALIZED (SELECT vec_id, p, w, q[p * w + 1:(p + 1) * w] AS x FROM v, (SELECT unnest(range(16)) AS p)),
+ {", ".join(steps)},
+ t AS (SELECT vec_id, string_agg(printf('%02x', CAST(m % 64 AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM a2 GROUP BY 1)
+ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256 FROM t JOIN v USING (vec_id)"""
+
+
+OP12 = _op12()
