@@ -59,3 +59,18 @@ def _op12() -> str:
 
 
 OP12 = _op12()
+
+#: The checksum's table is made by its rule; pairs share what is left of them without one letter.
+OP13 = rf"""WITH RECURSIVE tab AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+ run AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS word FROM documents) WHERE length(word) >= 6 GROUP BY 1, 2),
+ hex AS (SELECT word, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word)) AS x FROM run),
+ crc AS (SELECT word, n, xor(list_reduce(list_transform(range(1, length(x), 2), lambda i: CAST('0x' || x[i:i + 1] AS BIGINT)), lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256]), 4294967295), 4294967295) AS h FROM hex, tab),
+ v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN word[1:h % length(word)] || word[h % length(word) + 2:] ELSE word END AS word, n FROM crc) WHERE length(word) >= 6 GROUP BY 1 HAVING sum(n) >= 5),
+ less AS (SELECT word, i, word[1:i - 1] || word[i + 1:] AS g FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+ pair AS (SELECT x.word AS a, y.word AS b FROM less x JOIN less y ON x.i = y.i AND x.g = y.g WHERE x.word <> y.word
+  UNION SELECT l.word, v.word FROM less l JOIN v ON l.g = v.word UNION SELECT v.word, l.word FROM less l JOIN v ON l.g = v.word),
+ best AS (SELECT a, n AS m, b, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS r, count(*) OVER (PARTITION BY a) AS k FROM pair JOIN v ON b = word),
+ form AS (SELECT word, v.n, coalesce(k, 0) AS n_near, CASE WHEN m >= 5 * n THEN b END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n FROM v LEFT JOIN (SELECT * FROM best WHERE r = 1) ON a = word),
+ chain AS (SELECT word, word AS at FROM form UNION SELECT chain.word, form.form FROM chain JOIN form ON chain.at = form.word WHERE form.form IS NOT NULL),
+ ends AS (SELECT chain.word, at AS root FROM chain JOIN form ON at = form.word WHERE form.form IS NULL)
+ SELECT word, form, root, n, n_near, form_n FROM form JOIN ends USING (word)"""
