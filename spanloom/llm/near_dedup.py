@@ -53,16 +53,16 @@ MULTIPLY = _rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(
 ADD = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 
 
-def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array, size: int = WORDS) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each row."""
     for s in tw.slices(column):
         w = tw.words(s, tw.NON_SPACE, lower=True)
         rows = tw.row_of(w.first)
-        at, gram = tw.grams(w.hash, rows, WORDS)
+        at, gram = tw.grams(w.hash, rows, size)
         first = np.searchsorted(at, w.first)
         for r in range(s.hi - s.lo):
             n = w.first[r + 1] - w.first[r]
-            if 0 < n < WORDS:
+            if 0 < n < size:
                 yield tw.rolling(w.hash, w.first[r : r + 1], w.first[r + 1 : r + 2])
             else:
                 yield np.unique(gram[first[r] : first[r + 1]])

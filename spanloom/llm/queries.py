@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanloom.llm import decontamination, langid, near_dedup, neighbours, packing, secrets, spelling, sql, suffix_arrays, suffix_trees, toxicity, urls, vector_codes
+from spanloom.llm import decontamination, jaccard_join, langid, near_dedup, neighbours, packing, secrets, spelling, sql, suffix_arrays, suffix_trees, toxicity, urls, vector_codes
 from spanloom.session import table
 
 
@@ -60,6 +60,10 @@ def op10_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.digest(table(spark, sf_dir, "documents"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.digest(table(spark, sf_dir, "embeddings"))
 
@@ -69,8 +73,8 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_suffix_tree_dedup, op3_suffix_array_dedup, op4_multi_index_search, op5_winnowing_decontamination, op6_toxicity, op7_minhash_near_dedup, op8_secret_scan, op9_language_id, op10_sequence_packing, op12_vector_codes, op13_spelling_variants)}
+    return {f.__name__: f for f in (op1_url_filter, op2_suffix_tree_dedup, op3_suffix_array_dedup, op4_multi_index_search, op5_winnowing_decontamination, op6_toxicity, op7_minhash_near_dedup, op8_secret_scan, op9_language_id, op10_sequence_packing, op11_jaccard_join, op12_vector_codes, op13_spelling_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_suffix_tree_dedup": sql.OP2, "op3_suffix_array_dedup": sql.OP3, "op5_winnowing_decontamination": sql.OP5, "op7_minhash_near_dedup": sql.OP7, "op12_vector_codes": sql.OP12, "op13_spelling_variants": sql.OP13}
+    return {"op2_suffix_tree_dedup": sql.OP2, "op3_suffix_array_dedup": sql.OP3, "op5_winnowing_decontamination": sql.OP5, "op7_minhash_near_dedup": sql.OP7, "op11_jaccard_join": sql.OP11, "op12_vector_codes": sql.OP12, "op13_spelling_variants": sql.OP13}

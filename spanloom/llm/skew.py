@@ -11,10 +11,10 @@ PARTS = 512  #: most parts that the rows of one key are dealt to
 FEW = 100_000  #: most hot keys that are broadcast
 
 
-def hot_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str, held: int) -> DataFrame:
+def hot_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str, held: int, few: int = FEW) -> DataFrame:
     """Inner join with ``facts``, which has one row for each key and tells in ``count`` how many rows have it.
 
-    Keys of more than ``held`` rows are joined apart. There are at most rows / held of them: up to ``FEW``, which are
+    Keys of more than ``held`` rows are joined apart. There are at most rows / held of them: up to ``few``, which are
     counted, they are broadcast, and their rows are not shuffled at all. More are dealt over salts by a hash of all columns
     of their rows, with the facts about them repeated for each salt, so that no task gets more than about ``held`` rows of
     a key, or a ``PARTS``-th of the hottest key's rows. Both inputs are read twice, so they should be written tables.
@@ -25,7 +25,7 @@ def hot_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str,
         return rows.join(facts, keys)
     limit = max(held, -(-most // PARTS))
     hot, rest = facts.where(F.col(count) > limit), facts.where(F.col(count) <= limit)
-    if hot.limit(FEW + 1).count() <= FEW:
+    if few and hot.limit(few + 1).count() <= few:
         met = rows.join(F.broadcast(hot), keys)
         cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
         return met.unionByName(cold.join(rest, keys))

@@ -24,14 +24,20 @@ OP5 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{ALNUM}') AS
  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(word.n, 0) AS n_hit, coalesce(item.n, 0) AS n_items, sha256(coalesce(l, '')) AS items_sha256, coalesce(word.n, 0) > 0 AS contaminated
  FROM d LEFT JOIN word USING (doc_id) LEFT JOIN item USING (doc_id)"""
 
-OP7 = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{SPACED}') AS w FROM documents),
- s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+
+def _similar(words: int, percent: int, columns: str) -> str:
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '{SPACED}') AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {words - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
  pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
- link AS (SELECT a, b FROM pair JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * m >= 75 * (x.n + y.n - m)),
+ link AS (SELECT a, b FROM pair JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * m >= {percent} * (x.n + y.n - m)),
  reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
  comp AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY 1)
- SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, c = d.doc_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)"""
+ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, {columns} FROM d LEFT JOIN n USING (doc_id) JOIN comp USING (doc_id)"""
+
+
+OP7 = _similar(5, 75, "c AS component_id, c = d.doc_id AS kept")
+OP11 = _similar(4, 85, "c AS component_id")
 
 OP3 = """WITH d AS MATERIALIZED (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
  w AS MATERIALIZED (SELECT doc_id, i, md5(x[i:i + 399]) AS g FROM (SELECT doc_id, x, unnest(range(1, octet_length(x) - 398)) AS i FROM d)),
@@ -71,6 +77,6 @@ OP13 = rf"""WITH RECURSIVE tab AS (SELECT list(list_reduce(range(8), lambda c, k
   UNION SELECT l.word, v.word FROM less l JOIN v ON l.g = v.word UNION SELECT v.word, l.word FROM less l JOIN v ON l.g = v.word),
  best AS (SELECT a, n AS m, b, row_number() OVER (PARTITION BY a ORDER BY n DESC, b) AS r, count(*) OVER (PARTITION BY a) AS k FROM pair JOIN v ON b = word),
  form AS (SELECT word, v.n, coalesce(k, 0) AS n_near, CASE WHEN m >= 5 * n THEN b END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n FROM v LEFT JOIN (SELECT * FROM best WHERE r = 1) ON a = word),
- chain AS (SELECT word, word AS at FROM form UNION SELECT chain.word, form.form FROM chain JOIN form ON chain.at = form.word WHERE form.form IS NOT NULL),
- ends AS (SELECT chain.word, at AS root FROM chain JOIN form ON at = form.word WHERE form.form IS NULL)
+ chain AS (SELECT word, word AS tip FROM form UNION SELECT chain.word, form.form FROM chain JOIN form ON chain.tip = form.word WHERE form.form IS NOT NULL),
+ ends AS (SELECT chain.word, tip AS root FROM chain JOIN form ON tip = form.word WHERE form.form IS NULL)
  SELECT word, form, root, n, n_near, form_n FROM form JOIN ends USING (word)"""
