@@ -84,6 +84,20 @@ def log_ratio(counted: DataFrame) -> DataFrame:
     return model.select("gram", (F.log("p_ok") - F.log("p_bad")).alias("ratio"))
 
 
+def least_error(bins: list[tuple[float, int, int]]) -> float:
+    """bins: score, accepted, rejected, by score. The score below which least is judged wrongly (as shares of each kind), in the middle between two bins; 0 without both kinds."""
+    ok, bad = sum(b[1] for b in bins), sum(b[2] for b in bins)
+    if not ok or not bad:
+        return 0.0
+    best, cut, below_ok, below_bad, before = 2.0, 0.0, 0, 0, bins[0][0] - 0.01
+    for score, n_ok, n_bad in bins:
+        error = below_ok / ok + (bad - below_bad) / bad
+        if error < best:
+            best, cut = error, (before + score) / 2
+        below_ok, below_bad, before = below_ok + n_ok, below_bad + n_bad, score
+    return cut
+
+
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """Per row: the id, ``host``, ``path``, ``rule``, ``verdict``, ``score``."""
     rows = pages.select(pages[id_col].alias("id"), pages[url_col].cast("string").alias("url"))
@@ -107,15 +121,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "pag
     test = scored(rows.where("test AND ruled IS NOT NULL").select("folded", "ruled"), ["ruled"])
     binned = test.groupBy(F.round("score", 2).alias("bin")).agg(F.sum((F.col("ruled") == "allow").cast("long")).alias("ok"), F.sum((F.col("ruled") == "block").cast("long")).alias("bad"))
     bins = sorted(binned.collect())  # two decimals of a bounded number: a few thousand rows at most
-    ok, bad = sum(b["ok"] for b in bins), sum(b["bad"] for b in bins)
-    cut = 0.0
-    if ok and bad:
-        best, below_ok, below_bad = 2.0, 0, 0
-        for b in bins:  # a cut just below this bin
-            error = below_ok / ok + (bad - below_bad) / bad
-            if error < best:
-                best, cut = error, b["bin"] - 0.005
-            below_ok, below_bad = below_ok + b["ok"], below_bad + b["bad"]
+    cut = least_error([(b["bin"], b["ok"], b["bad"]) for b in bins])
 
     keep = ["id", "host", "path", "rule", "ruled"]
     out = scored(rows.select("folded", *keep), keep).unionByName(rows.where("folded IS NULL").select(F.lit(None).cast("long").alias("row"), *keep, F.lit(None).cast("double").alias("score")))

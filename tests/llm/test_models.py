@@ -180,6 +180,12 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_url_cut_lies_in_the_middle_of_a_gap():
+    assert urls.least_error([(-2.0, 0, 9), (-0.5, 0, 3), (0.5, 4, 0), (1.0, 9, 0)]) == 0.0
+    assert urls.least_error([(-2.0, 0, 9), (-1.0, 1, 3), (0.25, 4, 0), (0.75, 9, 1)]) == -0.375
+    assert urls.least_error([(0.3, 5, 0)]) == urls.least_error([]) == 0.0
+
+
 def test_url_model_equals_brute_force(spark):
     """Witten-Bell by recursion over dictionaries."""
     r = random.Random(16)
