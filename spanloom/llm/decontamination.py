@@ -31,10 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textwork as tw
+from spanloom.llm.skew import hot_join
 from spanloom.session import Scratch
 
 K = 5
 BLOCK_WORDS = 2_000_000
+HELD = 2000  #: documents of one fingerprint that a task gets, but for a fixed share of a hotter one's
 BITS = 1 << 27  #: of the bitmap, 16 MB
 
 
@@ -257,7 +259,10 @@ def _joined(rows: DataFrame, items: DataFrame, span: int) -> DataFrame:
     key = F.coalesce(F.col("id").cast("string"), F.lit("")).alias("key")  # rows of one id and text are alike
     mine = ours.where(F.size("marks") > 0).select(key, "h", "marks").dropDuplicates(["key", "h"])
     mine = mine.select("key", "h", F.explode("marks").alias("m")).select("key", "h", "m.*")
-    pairs = mine.join(theirs.select("g", "item", F.col("nl").alias("nl2"), F.col("words").alias("words2")), "g").select("key", "h", "at", "nl", "words", "item", "nl2", "words2")
+    often = scratch.write(mine.groupBy("g").agg(F.count("*").alias("m")))
+    theirs = scratch.write(theirs.select("g", "item", F.col("nl").alias("nl2"), F.col("words").alias("words2")).join(often, "g"))
+    # a frequent fingerprint's documents are dealt over tasks
+    pairs = hot_join(mine, theirs, ["g"], "m", HELD).select("key", "h", "at", "nl", "words", "item", "nl2", "words2")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

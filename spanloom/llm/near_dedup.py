@@ -45,6 +45,7 @@ from spanloom.session import Scratch
 WORDS = 5
 BANDS, ROWS = 44, 5
 CLUSTER, MEMBERS = 4_000_000, 20_000  #: shingles (of 8 bytes) and documents (signatures of 880) of a cluster that a task holds
+HELD = 2000  #: rows of one key in a join that a task gets, but for a fixed share of a hotter key's
 WORK = 40_000_000  #: comparisons of signatures that a task spends on a cluster
 EASY = 2  #: rounds with the buckets of bands, before the prefix filter
 #: Fixed odd multipliers and offsets of the universal hashes.
@@ -203,11 +204,11 @@ def classes(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col
     """Per row: the id, ``n_shingles``, ``component_id``, ``kept``."""
     scratch = Scratch(docs.sparkSession, "near")
     rows = scratch.write(sketches(docs, id_col, text_col))
-    sets = scratch.write(rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id")))
-    sigs = scratch.write(rows.where("key IS NOT NULL").join(sets, ["key", "id"]).select("id", "n", "sig").dropDuplicates(["id", "sig"]))
+    sets = scratch.write(rows.where("key IS NOT NULL AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("m")))
+    sigs = scratch.write(rows.where("key IS NOT NULL").join(sets.drop("m"), ["key", "id"]).select("id", "n", "sig").dropDuplicates(["id", "sig"]))
     banded = bands(sigs.select("id", "sig"))
-    shared = banded.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("bucket", "lo")
-    members = scratch.write(banded.join(shared, "bucket"))
+    shared = scratch.write(banded.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("bucket", "lo", "m"))
+    members = scratch.write(hot_join(banded, shared, ["bucket"], "m", HELD).select("bucket", "id", "lo"))
     clusters = scratch.write(components(members.select(F.col("id").alias("a"), F.col("lo").alias("b")), scratch).select(F.col("node").alias("id"), F.col("comp").alias("cluster")))
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).where("id IS NOT NULL")
     texts = scratch.write(sigs.join(clusters, "id").join(texts, "id").select("cluster", "id", "n", "sig", "text").dropDuplicates(["id", "text"]))
@@ -220,9 +221,10 @@ def classes(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col
     if not hard.isEmpty():
         found = found.union(_rounds(members.select("bucket", "id").join(hard, "id", "left_semi"), texts.join(hard, "id", "left_semi"), percent, scratch))
     found = scratch.write(found.groupBy("node").agg(F.min("comp").alias("comp")))
-    label = sets.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("comp", "id").alias("comp"))
+    label = sets.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("comp", "id").alias("comp"), "m")
     alone = rows.where("key IS NULL OR id IS NULL").select("id", "n", F.col("id").alias("comp"))
-    named = rows.where("key IS NOT NULL AND id IS NOT NULL").select("id", "n", "key").join(label, "key").select("id", "n", "comp")
+    named = rows.where("key IS NOT NULL AND id IS NOT NULL").select("id", "n", "key")
+    named = hot_join(named, scratch.write(label), ["key"], "m", HELD).select("id", "n", "comp")
     return named.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), F.coalesce(F.col("id") == F.col("comp"), F.lit(True)).alias("kept"))
 
 
@@ -268,8 +270,11 @@ def _rounds(members: DataFrame, texts: DataFrame, percent: int, scratch: Scratch
             undone, round_ = scratch.write(prefixes(texts.join(rest.select("id").distinct(), "id", "left_semi"), percent, scratch)), round_ + 1
             continue
         salt = F.pmod(F.xxhash64("id"), F.lit(4 ** max(0, round_ - 1 if round_ < EASY else round_ - EASY - 2))).alias("salt")
-        leaders = scratch.write(rest.groupBy("bucket", salt).agg(F.min(F.struct("id", "comp")).alias("l")).select("bucket", F.col("l.id").alias("a"), F.col("l.comp").alias("ca")))
-        pairs = rest.join(leaders, "bucket").where("ca <> comp").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+        leaders = rest.groupBy("bucket", salt).agg(F.min(F.struct("id", "comp")).alias("l"), F.count("*").alias("m")).groupBy("bucket").agg(F.collect_list("l").alias("l"), F.sum("m").alias("m"))
+        leaders = scratch.write(leaders)
+        met = hot_join(rest, leaders, ["bucket"], "m", HELD).select("bucket", "id", "comp", F.explode("l").alias("l"))
+        leaders = leaders.select("bucket", F.explode("l").alias("l")).select("bucket", F.col("l.id").alias("a"))
+        pairs = met.select("id", "comp", F.col("l.id").alias("a"), F.col("l.comp").alias("ca")).where("ca <> comp").select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
         near = _alike(pairs.join(of("a", "sig", "sa"), "a").join(of("b", "sig", "sb"), "b").select("a", "b", "sa", "sb"), least_matches(percent)).distinct()
         found = scratch.write(_linked(near.join(of("a", "text", "ta"), "a").join(of("b", "text", "tb"), "b").select("a", "b", "ta", "tb"), percent).distinct())
         if not found.isEmpty():

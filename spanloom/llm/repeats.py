@@ -326,7 +326,8 @@ def find(docs: DataFrame, kind: Kind, tree: Tree, id_col: str = "doc_id", text_c
     first = long.groupBy("key").agg(F.min(F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("i"), "h")).alias("o"), F.min("id").alias("least"), F.count("*").alias("m"))
     first = scratch.write(first.select("key", "o.i", F.col("o.h").alias("oh"), "least", "m"))
     # one row of each content takes part, under its own id
-    takes = long.join(first, "key").where((F.coalesce("id", F.lit(-(1 << 63))) == F.col("i")) & (F.col("h") == F.col("oh"))).dropDuplicates(["key"])
+    # joined by the row, so that no content gathers its copies
+    takes = long.withColumn("i", F.coalesce("id", F.lit(-(1 << 63)))).join(first.select("key", "i", F.col("oh").alias("h")), ["key", "i", "h"]).dropDuplicates(["key"])
     held = scratch.write(takes.select(F.col("i").alias("id"), "h", F.explode("anchors").alias("anchor")))
     counted = held.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("m"))
     # written, so that the join's two sides are dealt out apart from the count and Spark can split the rows of a hot anchor
@@ -368,8 +369,12 @@ def find(docs: DataFrame, kind: Kind, tree: Tree, id_col: str = "doc_id", text_c
     # a row that is a copy goes whole; else it has the spans of the row with its content that took part
     fate = first.join(done.withColumnRenamed("id", "i").withColumnRenamed("h", "oh"), ["i", "oh"], "left").select("key", "least", "m", "removed", "left", "runs")
     copy = (F.col("id") > F.col("least")) if kind.ordered else (F.col("m") > 1)
-    out = all_facts.join(fate, "key", "left") if not kind.ordered else all_facts.join(fate, (all_facts["key"] == fate["key"]) & all_facts["id"].isNotNull(), "left").drop(fate["key"])
-    copy = F.coalesce(copy, F.lit(False))
+    columns = ["id", "n", "digest"]
+    judged = hot_join(long.select("key", *columns), scratch.write(fate), ["key"], "m", HELD).select(*columns, copy.alias("copy"), "removed", "left", "runs")
+    # what is shorter than a window (or, where ids are compared, has none) meets nothing
+    rest = all_facts.where("key IS NULL" + (" OR id IS NULL" if kind.ordered else "")).select(*columns)
+    out = judged.unionByName(rest, allowMissingColumns=True)
+    copy = F.coalesce("copy", F.lit(False))
     return out.select(
         F.col("id").alias(id_col),
         "n",

@@ -12,7 +12,7 @@ FEW = 100_000  #: most hot keys that are broadcast
 
 
 def hot_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], count: str, held: int, few: int = FEW) -> DataFrame:
-    """Inner join with ``facts``, which has one row for each key and tells in ``count`` how many rows have it.
+    """Inner join with ``facts``, which has few rows for each key and tells in ``count`` how many of ``rows`` have it.
 
     Keys of more than ``held`` rows are joined apart. There are at most rows / held of them: up to ``few``, which are
     counted, they are broadcast, and their rows are not shuffled at all. More are dealt over salts by a hash of all columns

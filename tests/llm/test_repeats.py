@@ -101,6 +101,16 @@ def test_two_hot_anchors_in_a_window(spark, monkeypatch):
     assert got == brute_bytes(rows, 400) and not any(r[2] for r in got)
 
 
+@pytest.mark.parametrize("kind", ["words", "bytes"])
+def test_short_texts_and_copies(spark, monkeypatch, kind):
+    """Most texts are shorter than a window, and one text is a third of the others: neither gathers in a join."""
+    monkeypatch.setattr(repeats, "HELD", 3)
+    copied = cases.prose(4, 110)
+    rows = [(i, f"short {i}") for i in range(200)] + [(300 + i, copied if i % 3 == 0 else cases.prose(500 + i, 100)) for i in range(30)] + [(None, copied), (None, "short")]
+    digest, brute = (suffix_trees.digest, lambda r: brute_words(r, 50)) if kind == "words" else (suffix_arrays.digest, lambda r: brute_bytes(r, 400))
+    assert sorted(map(tuple, digest(cases.documents(spark, rows)).collect()), key=str) == brute(rows)
+
+
 def test_orders_agree():
     """Merging sorted shards gives what sorting all suffixes gives."""
     rng = np.random.default_rng(5)
