@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from spanloom.operators import elements, products
+from spanloom.operators import elements, index, products
 from spanloom.operators.relation import Relation
 from spanloom.plans.catalogue import _TOKENS, _corpus, query
 from spanloom.session import Scratch, table
@@ -132,3 +132,39 @@ def index_round_trip(spark, sf_dir):
     counted = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     products.keep_index_sorted(counted, path, ["user_id", "event_type"])
     return spark.read.parquet(path)
+
+
+_INDEXED = f"""{_TOKENS}, freq AS (SELECT word, count(*) AS n FROM tokens GROUP BY 1), top AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) AS r FROM freq QUALIFY r <= 4)"""
+
+
+def _index(spark, sf_dir):
+    """An index of words and of their first letters' classes, and the four most frequent words."""
+    path = _folder(spark, "index")
+    shape = F.when(F.rlike("word", F.lit("^[A-Z]")), "capital").otherwise("other").alias("shape")
+    index.build(_corpus(spark, sf_dir).tokens.select("*", shape), path, ["word", "shape"])
+    top = index.lexicon(spark, path, "word").orderBy(F.desc("freq"), "value").limit(4)
+    return path, [r["value"] for r in top.collect()]
+
+
+@query(f"""WITH {_INDEXED}
+ SELECT CAST(a.text_id AS VARCHAR) AS text_id, a.para_no, a.sent_no, a.tok_no AS first, b.tok_no AS last FROM tokens a JOIN tokens b ON a.text_id = b.text_id AND a.para_no = b.para_no AND a.sent_no = b.sent_no AND b.tok_no BETWEEN a.tok_no + 1 AND a.tok_no + 3
+ WHERE a.word IN (SELECT word FROM top WHERE r <= 2) AND b.word IN (SELECT word FROM top WHERE r > 2)""")
+def index_sequences(spark, sf_dir):
+    """One of the two most frequent words, at most two tokens, and one of the next two."""
+    path, top = _index(spark, sf_dir)
+    return index.find(spark, path, [index.Step({"word": top[:2]}), index.Step({"word": top[2:]}, (0, 2))])
+
+
+@query(f"""WITH {_INDEXED}
+ SELECT CAST(a.text_id AS VARCHAR) AS text_id, a.para_no, a.sent_no, a.tok_no AS first, c.tok_no AS last FROM tokens a JOIN tokens b ON a.text_id = b.text_id AND a.para_no = b.para_no AND a.sent_no = b.sent_no AND b.tok_no = a.tok_no + 1
+ JOIN tokens c ON a.text_id = c.text_id AND a.para_no = c.para_no AND a.sent_no = c.sent_no AND c.tok_no = a.tok_no + 2
+ WHERE regexp_matches(a.word, '^[A-Z]') AND length(a.word) > 5 AND b.word IN (SELECT word FROM top) AND NOT regexp_matches(c.word, '^[A-Z]') AND regexp_matches(c.word, 'en$')""")
+def index_conditions(spark, sf_dir):
+    """A long word with a capital, a frequent word, and a word in lower case that ends in -en."""
+    path, top = _index(spark, sf_dir)
+    return index.find(spark, path, [index.Step({"shape": "capital", "word": index.Where("length(value) > 5")}), index.Step({"word": top}), index.Step({"shape": "other", "word": index.Where("value RLIKE 'en$'")})])
+
+
+@query(f"WITH {_INDEXED} SELECT word AS value, n AS freq FROM freq")
+def index_lexicon(spark, sf_dir):
+    return index.lexicon(spark, _index(spark, sf_dir)[0], "word")
