@@ -29,7 +29,7 @@ def query(sql: str | None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from spanloom.plans import files, repairs  # noqa: F401  # they register their own
+    from spanloom.plans import annotation, files, repairs  # noqa: F401  # they register their own
 
     return dict(_QUERIES)
 
