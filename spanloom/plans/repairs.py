@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spanloom.functions import text as T
 from spanloom.operators import elements, fields, products, sequential, stats, validate
@@ -157,12 +158,43 @@ def rel_test(spark, sf_dir):
 # -- repairs
 
 
-@query(f"""WITH {_TOKENS}, f AS (SELECT text_id, para_no, sent_no, regexp_matches(word, '^\\p{{Ll}}') AND row_number() OVER (PARTITION BY text_id, para_no ORDER BY sent_no) > 1 AS goes_on FROM tokens WHERE tok_no = 1),
- i AS (SELECT *, CAST(sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY text_id, para_no ORDER BY sent_no) AS BIGINT) AS s FROM f) SELECT t.text_id, t.para_no, s AS sent_no, row_number() OVER (PARTITION BY t.text_id, t.para_no, s ORDER BY t.sent_no, tok_no) AS tok_no, word FROM tokens t JOIN i ON t.text_id = i.text_id AND t.para_no = i.para_no AND t.sent_no = i.sent_no""")
+#: Walks the sentences of a paragraph one by one: o is a sentence's place, s its new number, held the tokens that this one has.
+_WALK = """n AS (SELECT text_id, para_no, sent_no, n, omit, row_number() OVER (PARTITION BY text_id, para_no ORDER BY sent_no) AS o FROM sized),
+ walk AS (SELECT text_id, para_no, sent_no, o, CAST(1 AS BIGINT) AS s, n AS held FROM n WHERE o = 1
+  UNION ALL SELECT n.text_id, n.para_no, n.sent_no, n.o, CASE WHEN n.omit AND held + n.n <= 200 THEN s ELSE s + 1 END, CASE WHEN n.omit AND held + n.n <= 200 THEN held + n.n ELSE n.n END
+  FROM walk JOIN n ON n.text_id = walk.text_id AND n.para_no = walk.para_no AND n.o = walk.o + 1)"""
+
+
+@query(f"""WITH RECURSIVE {_TOKENS}, sized AS (SELECT text_id, para_no, sent_no, count(*) AS n, true AS omit FROM tokens GROUP BY 1, 2, 3), {_WALK}
+ SELECT t.text_id, t.para_no, s AS sent_no, row_number() OVER (PARTITION BY t.text_id, t.para_no, s ORDER BY t.sent_no, tok_no) AS tok_no, word FROM tokens t JOIN walk ON t.text_id = walk.text_id AND t.para_no = walk.para_no AND t.sent_no = walk.sent_no""")
 def join_sentences(spark, sf_dir):
+    """All tokens are words here, so breaks go until a sentence has 200."""
     return sequential.join_sentences(_corpus(spark, sf_dir).tokens)
 
 
+_EDGED = """e AS (SELECT text_id, para_no, sent_no, tok_no, CASE WHEN tok_no = n AND length(word) % 6 < 4 THEN ['.', '"', '-', 'X.'][length(word) % 6 + 1] WHEN tok_no = 1 AND length(word) % 7 = 0 THEN '-' WHEN tok_no IN (2, n - 1) AND length(word) % 3 = 0 THEN '"' WHEN tok_no = n - 1 AND length(word) % 3 = 1 THEN '—' ELSE word END AS word FROM (SELECT *, count(*) OVER (PARTITION BY text_id, para_no, sent_no) AS n FROM tokens)),
+ l AS (SELECT text_id, para_no, sent_no, list(word ORDER BY tok_no) AS t FROM e GROUP BY 1, 2, 3),
+ b AS (SELECT *, lag(t) OVER (PARTITION BY text_id, para_no ORDER BY sent_no) AS p FROM l),
+ fate AS (SELECT text_id, para_no, sent_no, t, CASE WHEN p IS NULL THEN 'first' WHEN regexp_matches(p[-1], '^\\p{L}+$') AND regexp_matches(t[1], '^\\p{L}+$') THEN 'omit' WHEN p[-1] = '.' OR (len(p) > 1 AND p[-2] = '.') THEN 'keep'
+  WHEN (len(p) > 2 AND p[-2] IN ('-', '—') AND p[-1] = '"' AND regexp_matches(t[1], '^\\p{Lu}\\p{Ll}*\\.?$')) OR (len(t) > 2 AND t[1] = '-' AND t[2] = '"' AND regexp_matches(t[3], '^\\p{Lu}\\p{Ll}*\\.?$')) THEN 'alarm' ELSE 'doubt' END AS fate FROM b)"""
+
+
+@query(f"""WITH RECURSIVE {_TOKENS}, {_EDGED}, sized AS (SELECT text_id, para_no, sent_no, len(t) AS n, fate IN ('omit', 'doubt') AS omit FROM fate), {_WALK}
+ SELECT fate.text_id, fate.para_no, fate.sent_no, fate, s AS joined FROM fate JOIN walk ON fate.text_id = walk.text_id AND fate.para_no = walk.para_no AND fate.sent_no = walk.sent_no""")
+def sentence_breaks(spark, sf_dir):
+    """Sentences whose first and last words became marks, by the words' lengths: the fate of each break, and the sentence that each becomes part of."""
+    w = Window.partitionBy("text_id", "para_no", "sent_no")
+    tokens = _corpus(spark, sf_dir).tokens.withColumn("n", F.count("*").over(w))
+    size = F.length("word")
+    last, first = F.col("tok_no") == F.col("n"), F.col("tok_no") == 1
+    near_end = F.col("tok_no") == F.col("n") - 1
+    edged = F.when(last & (size % 6 < 4), F.get(F.array(*map(F.lit, (".", '"', "-", "X."))), size % 6)).when(first & (size % 7 == 0), "-").when(((F.col("tok_no") == 2) | near_end) & (size % 3 == 0), '"').when(near_end & (size % 3 == 1), "—").otherwise(F.col("word"))
+    tokens = tokens.withColumn("word", edged).drop("n")
+    fates = sequential.sentence_breaks(tokens).select("text_id", "para_no", "sent_no", "fate")
+    joined = sequential.join_sentences(tokens.withColumn("old", F.col("sent_no"))).select("text_id", "para_no", F.col("old"), F.col("sent_no").alias("joined")).distinct()
+    return fates.join(joined.withColumnRenamed("old", "sent_no"), ["text_id", "para_no", "sent_no"])
+
+
 @query(f"""WITH {_TOKENS}, b AS (SELECT *, coalesce(tok_no = 1 OR (length(lag(word) OVER w) <= 2 AND length(word) >= 6), false) AS begins FROM tokens WINDOW w AS (PARTITION BY text_id, para_no ORDER BY sent_no, tok_no)),
  s AS (SELECT *, CAST(sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY text_id, para_no ORDER BY sent_no, tok_no) AS BIGINT) AS s FROM b) SELECT text_id, para_no, s AS sent_no, row_number() OVER (PARTITION BY text_id, para_no, s ORDER BY sent_no, tok_no) AS tok_no, word FROM s""")
 def break_sentences(spark, sf_dir):
@@ -180,13 +212,27 @@ _MARKS = """m AS (SELECT doc_id AS text_id, unnest(l) AS w, generate_subscripts(
  k AS (SELECT text_id, o, CASE w WHEN '.' THEN ':' WHEN ',' THEN ')' ELSE w END AS word FROM m)"""
 
 
-@query(f"""WITH {_MARKS}, p AS (SELECT *, word IN (':', ';', '=', '8', ':-', ';-', '=-') AND lead(word) OVER (PARTITION BY text_id ORDER BY o) IN (')', '(', 'D', 'P', 'p', '/', '\\', '|', '*', ']') AS pair, lead(word) OVER (PARTITION BY text_id ORDER BY o) AS nxt FROM k),
- f AS (SELECT *, coalesce(lag(pair) OVER (PARTITION BY text_id ORDER BY o), false) AS taken FROM p) SELECT text_id, CASE WHEN pair THEN word || nxt ELSE word END AS word, count(*) AS n FROM f WHERE NOT taken GROUP BY 1, 2""")
+#: Reads a sentence token by token; what waits for the next token stands behind a mark.
+_SMILE = f"""list_reduce(l, lambda a, x: CASE WHEN contains(a, chr(1)) THEN replace(a, chr(1), ' ') || CASE WHEN list_contains({list(sequential.SMILEYS)}, split_part(a, chr(1), 2) || ' ' || x) THEN '' ELSE ' ' END || x WHEN list_contains({sorted({x.split()[0] for x in sequential.SMILEYS})}, x) THEN a || chr(1) || x ELSE a || ' ' || x END, '')"""
+_SMILED = f"r AS (SELECT text_id, unnest(string_split(trim(replace({_SMILE}, chr(1), ' ')), ' ')) AS word FROM s) SELECT text_id, word, count(*) AS n FROM r GROUP BY 1, 2"
+
+
+@query(f"WITH {_MARKS}, s AS (SELECT text_id, list(word ORDER BY o) AS l FROM k GROUP BY 1), {_SMILED}")
 def join_smileys(spark, sf_dir):
-    """Stops count as eyes and commas as mouths; as no mark is both here, pairs never overlap."""
+    """Stops count as eyes and commas as mouths; after a stop that makes no smiley, the next token is passed over."""
     return sequential.join_smileys(_marks(spark, sf_dir)).groupBy("text_id", "word").agg(F.count("*").alias("n"))
 
 
+_PIECES = (":", ")", ":)", "-", "=", ";", ":-", "))", "<", "3", "D")
+
+
+@query(f"WITH {_TOKENS}, s AS (SELECT text_id, list({list(_PIECES)}[CAST(length(word) % 11 + 1 AS INTEGER)] ORDER BY tok_no) AS l FROM tokens GROUP BY text_id, para_no, sent_no), {_SMILED}")
+def smiley_runs(spark, sf_dir):
+    """Words became parts of smileys by their lengths, so that most of what may be joined overlaps."""
+    tokens = _corpus(spark, sf_dir).tokens.withColumn("word", F.get(F.array(*map(F.lit, _PIECES)), F.length("word") % 11))
+    return sequential.join_smileys(tokens).groupBy("text_id", "word").agg(F.count("*").alias("n"))
+
+
 _LETTERS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 

@@ -204,9 +204,20 @@ def shown(tokens):
     return [" ".join(v) for v in out.values()]
 
 
+def test_sentence_breaks(spark):
+    """Cases by hand: words on both sides, end marks, initials, dashes with quotes, and what is left in doubt."""
+    sents = ["One two", "three four .", "Five A.", "Six", "x - \"", "Anna said", "- \" Meri said", "no (", "more !", "- \" anna", "it 's", "well-known"]
+    fates = [r["fate"] for r in sequential.sentence_breaks(sentence(spark, sents)).orderBy("sent_no").collect()]
+    assert fates == ["first", "omit", "keep", "doubt", "omit", "alarm", "alarm", "omit", "doubt", "keep", "omit", "doubt"]
+    joined = sequential.join_sentences(sentence(spark, ["a b", "c d e", "f", "g h", ". .", "i"]), max_tokens=5)
+    assert shown(joined) == ["a b c d e", "f g h . .", "i"]
+    assert shown(sequential.join_sentences(sentence(spark, ["a " * 9, "b"]), max_tokens=0)) == ["a " * 9 + "b"]
+
+
 def test_repairs(spark):
-    assert shown(sequential.join_smileys(sentence(spark, ["hi : ) : : ) x = D ;"]))) == ["hi :) : :) x =D ;"]
-    assert shown(sequential.join_sentences(sentence(spark, ["Hän tuli", "ja meni", "Sitten", ") loppu"]))) == ["Hän tuli ja meni", "Sitten ) loppu"]
+    assert shown(sequential.join_smileys(sentence(spark, ["hi : ) : : ) x = D ;", ": : ) < 3 :) ) 8 )"]))) == ["hi :) : : ) x =D ;", ": : ) <3 :)) 8 )"]
+    assert shown(sequential.join_smileys(sentence(spark, [": ) ; )"]).withColumn("sp", F.when(F.col("tok_no") < 3, "SpaceAfter=No").otherwise("_")), spaces="sp")) == [":) ; )"]
+    assert shown(sequential.join_sentences(sentence(spark, ["Hän tuli", "ja meni", "Sitten", ") loppu"]))) == ["Hän tuli ja meni Sitten ) loppu"]
     assert shown(sequential.break_sentences(sentence(spark, ["a . B c . d"]), r"[.]", r"\p{Lu}.*")) == ["a .", "B c . d"]
     with pytest.raises(Exception, match="2 words, 1 annotations"):
         class Bad(sequential.Annotator):
