@@ -105,18 +105,33 @@ def xml_by_rules(spark, sf_dir):
     return formats.by_rules(found, {"name": "lower(n_name)", "region": "_region"}, "_region > 1")
 
 
-@query("SELECT url AS uri, md5(html || 'WARC/1.0' || chr(13) || chr(10) || 'no record') AS body FROM pages WHERE url IS NOT NULL AND html IS NOT NULL")
-def warc_responses(spark, sf_dir):
-    """Pages as a crawl; their bodies hold what looks like the beginning of a record."""
+def _crawl(spark, sf_dir, compression):
+    """Pages as a crawl; their bodies hold what looks like the beginning of a record, and a whole record."""
     path = _folder(spark, "warc")
     pages = table(spark, sf_dir, "pages").where("url IS NOT NULL AND html IS NOT NULL")
-    body = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), "html", F.lit("WARC/1.0\r\nno record"))
+    inner = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 4\r\n\r\n\r\n\r\n"
+    body = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), "html", F.lit(inner), F.lit("WARC/1.0\r\nno record"))
     head = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nWARC-Target-URI: "), "url", F.lit("\r\nContent-Length: "), F.octet_length("body").cast("string"), F.lit("\r\n\r\n"))
     info = F.lit("WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 2\r\n\r\nok\r\n\r\n")
-    pages.select("url", "html", body.alias("body")).select(F.concat(info, head, "body").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    lines = pages.select("url", "html", body.alias("body")).select(F.concat(info, head, "body").alias("value"))
+    lines.write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
     return formats.warc_responses(spark, path).select("uri", F.md5("body").alias("body"))
 
 
+_CRAWL = "SELECT url AS uri, md5(html || replace('WARC/1.0|WARC-Type: response|Content-Length: 4||||WARC/1.0|no record', '|', chr(13) || chr(10))) AS body FROM pages WHERE url IS NOT NULL AND html IS NOT NULL"
+
+
+@query(_CRAWL)
+def warc_responses(spark, sf_dir):
+    return _crawl(spark, sf_dir, "gzip")
+
+
+@query(_CRAWL)
+def warc_in_splits(spark, sf_dir):
+    """Without compression, so that files are read in splits that end within records."""
+    return _crawl(spark, sf_dir, "none")
+
+
 @query("""WITH RECURSIVE d AS (SELECT 'd' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS path, coalesce(length(text), 0) AS n, row_number() OVER (ORDER BY doc_id) AS r FROM documents),
  w AS (SELECT r, path, n AS held, CAST(1 AS BIGINT) AS part_no FROM d WHERE r = 1 UNION ALL SELECT d.r, d.path, CASE WHEN w.held + d.n > 30000 THEN d.n ELSE w.held + d.n END, CASE WHEN w.held + d.n > 30000 THEN w.part_no + 1 ELSE w.part_no END FROM w JOIN d ON d.r = w.r + 1)
  SELECT path, part_no FROM w""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,33 +104,104 @@ def binary_records(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
 
 
-def warc_responses(spark: SparkSession, path: str) -> DataFrame:
-    """uri, date, body of the responses in uncompressed or gzipped crawls.
+WARC = b"WARC/1.0\r\n"
+
+
+def _warc_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """Files cut where a record may begin: file, block (where the piece's split begins), nr in it, piece."""
+    rows = spark.read.option("lineSep", WARC.decode()).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("piece"))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nr = None, 0
+        for b in batches:
+            numbers = []
+            for own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                nr = nr + 1 if own == at else 0
+                at = own
+                numbers.append(nr)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(numbers, pa.int64()), b.column(2)], ["file", "block", "nr", "piece"])
+
+    return rows.mapInArrow(number, "file string, block bigint, nr bigint, piece binary")
+
+
+def _warc_head(piece: bytes) -> tuple[dict[str, str], int, int]:
+    """The fields of a record's head, where its body begins (-1: no end of the head), how long the body is (-1: not told)."""
+    head, end, _ = piece.partition(b"\r\n\r\n")
+    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n"))}
+    size = fields.get("content-length", "")
+    return fields, len(head) + 4 if end else -1, int(size) if size.isascii() and size.isdigit() else -1
 
-    Files are cut where a record may begin; a piece that is shorter than its head says goes on in the next one of its split.
+
+def _warc_chain(pieces: DataFrame) -> DataFrame:
+    """What a piece is that isn't a record by itself: ``kind`` part (of the record that began at ``first``), inside (looks whole, but lies within another record) or error.
+
+    Records follow one another by the lengths in their heads, over the ends of splits, so a file's pieces are walked in
+    order; only their sizes and what their heads say are gathered for that.
     """
-    rows = spark.read.option("lineSep", "WARC/1.0\r\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece"))
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, held = None, b""
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
-            for file, piece in zip(b.column(0), b.column(1), strict=True):
-                file, piece = file.as_py(), piece.as_py()
-                held = held + b"WARC/1.0\r\n" + piece if held and file == of else piece
-                of = file
-                head, end, body = held.partition(b"\r\n\r\n")
-                fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n"))}
-                size = int(fields.get("content-length") or 0)
-                if end and len(body) < size:
-                    continue
-                if fields.get("warc-type") == "response":
-                    out.append((fields.get("warc-target-uri"), fields.get("warc-date"), body[:size].partition(b"\r\n\r\n")[2].decode("utf-8", "replace")))
-                held = b""
-            columns = list(zip(*out, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["uri", "date", "body"])
-
-    return rows.mapInArrow(records, "uri string, date string, body string")
+            found = [(len(x), *_warc_head(x)[1:]) for x in b.column(3).to_pylist()]
+            columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), *columns], ["file", "block", "nr", "length", "body", "size"])
+
+    def walk(df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values(["block", "nr"])
+        key, length, body, size = df[["block", "nr"]].to_numpy(), df["length"].to_numpy(), df["body"].to_numpy(), df["size"].to_numpy()
+        out, i, n = [], 1, len(df)  # the first piece stands before the first record
+        while i < n:
+            if body[i] < 0 or size[i] < 0:
+                out.append((i, "error", i, "no end of the head" if body[i] < 0 else "no content length"))
+                i += 1
+                continue
+            end, have = i + 1, length[i] - body[i]
+            while have < size[i] and end < n:
+                have += len(WARC) + length[end]
+                end += 1
+            if have < size[i]:  # what follows may be whole
+                out.append((i, "error", i, "the file ends within the record"))
+                i += 1
+                continue
+            if end > i + 1:
+                out += [(j, "part", i, None) for j in range(i, end)]
+            i = end
+        file = df["file"].iloc[0] if n else None
+        rows = [(file, *key[j], kind, f"{key[first][0]}:{key[first][1]}", why) for j, kind, first, why in out]
+        return pd.DataFrame(rows, columns=["file", "block", "nr", "kind", "first", "error"])
+
+    claims = pieces.mapInArrow(sizes, "file string, block bigint, nr bigint, length bigint, body bigint, size bigint")
+    return claims.groupBy("file").applyInPandas(walk, "file string, block bigint, nr bigint, kind string, first string, error string")
+
+
+def _warc_parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out: list[tuple] = []
+        for x in b.column(0).to_pylist():
+            fields, body, size = _warc_head(x)
+            if fields.get("warc-type") == "response" and body >= 0 and 0 <= size <= len(x) - body:
+                out.append((fields.get("warc-target-uri"), fields.get("warc-date"), x[body : body + size].partition(b"\r\n\r\n")[2].decode("utf-8", "replace")))
+        columns = list(zip(*out, strict=True)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["uri", "date", "body"])
+
+
+def warc_responses(spark: SparkSession, path: str) -> DataFrame:
+    """uri, date, body of the responses in uncompressed or gzipped crawls, wherever splits end.
+
+    Most records are a piece each and are parsed where they were read. Records whose body holds what looks like a record's
+    beginning are put together from their pieces, and nothing else is shuffled.
+    """
+    pieces = _warc_pieces(spark, path)
+    chain = _warc_chain(pieces)
+    key = ["file", "block", "nr"]
+    whole = pieces.where("block > 0 OR nr > 0").join(chain.select(*key), key, "left_anti").select("piece")
+    parts = pieces.join(chain.where("kind = 'part'").select(*key, "first"), key).groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("block", "nr", "piece"))).alias("p"))
+    joined = parts.select(F.expr("aggregate(slice(p, 2, size(p)), p[0].piece, (a, x) -> concat(a, encode('WARC/1.0\r\n', 'UTF-8'), x.piece))").alias("piece"))
+    return whole.union(joined).mapInArrow(_warc_parsed, "uri string, date string, body string")
+
+
+def warc_errors(spark: SparkSession, path: str) -> DataFrame:
+    """What can't be read: file, block and nr (where the record's piece is), error. The records around it are read."""
+    return _warc_chain(_warc_pieces(spark, path)).where("kind = 'error'").select("file", "block", "nr", "error")
 
 
 def tei_texts(spark: SparkSession, path: str) -> DataFrame:
