@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from spanloom.functions import text as T
 from spanloom.operators.relation import BadData, numbered, running_sum
 from spanloom.session import Scratch
-from spanloom.sources.corpus import KEYS, LEVELS, Corpus
+from spanloom.sources.corpus import KEYS, LEVELS, Corpus, sentence_arrays
 
 
 def attr(name: str) -> Column:
@@ -349,8 +349,8 @@ def seeds(corpus: Corpus, length: int, distance: int, most: int | None = None, h
 def content_hash(corpus: Corpus, level: str) -> DataFrame:
     """Keys of a level and the MD5 of its tokens in order; a sentence is hashed first, then the hashes of sentences."""
     keys = KEYS[level]
-    token = F.concat_ws("\t", *(F.col(f"`{f}`") for f in corpus.fields))
-    sents = corpus.tokens.groupBy(*KEYS["sentence"]).agg(F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tok_no", token.alias("t")))), lambda x: x["t"]), "\n")).alias("h"))
+    token = lambda x: F.concat_ws("\t", *(x[f] for f in corpus.fields))
+    sents = sentence_arrays(corpus).select(*KEYS["sentence"], F.md5(F.array_join(F.transform("t", token), "\n")).alias("h"))
     if level == "sentence":
         return sents
     inner = [k for k in KEYS["sentence"] if k not in keys]

@@ -95,7 +95,7 @@ def split_after_stop(corpus: Corpus, field: str = "word") -> Corpus:
     numbers = starts.withColumn("__sent", F.row_number().over(order).cast("long"))
     done = tokens.join(numbers, [*KEYS["sentence"], "__part"]).select("text_id", "para_no", F.col("__sent").alias("sent_no"), F.col("__tok").alias("tok_no"), *(F.col("__word").alias(f) if f == field else col(f) for f in corpus.fields))
     sents = corpus.sentences.join(numbers, KEYS["sentence"]).select("text_id", "para_no", F.col("__sent").alias("sent_no"), "attrs")
-    return corpus._replace(sentences=sents, tokens=done)
+    return corpus._replace(sentences=sents, tokens=done, arrays=None)
 
 
 def data(corpus: Corpus, fields: Sequence[str] | None = None, tag: str | None = None) -> Relation:

@@ -16,7 +16,11 @@ from spanloom.sources.corpus import KEYS
 def dependency_pairs(tokens: DataFrame, keys: Sequence[str], ref: str, head: str, value: str, rel: str) -> DataFrame:
     """Tokens with their head in the sentence: keys, head, rel, dep. A sentence is one array in which heads are looked up, by place where ids run from 1."""
     item = F.struct(F.col(ref).cast("long").alias("r"), F.col(head).cast("long").alias("h"), F.col(value).alias("v"), F.col(rel).alias("rel"))
-    sents = tokens.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("t"))
+    return pairs_within(tokens.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("t")), keys)
+
+
+def pairs_within(sents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """As ``dependency_pairs``, of sentences that are arrays ``t`` of (r: a token's id, h: its head's, v: value, rel) already."""
     by_place = lambda x: F.get(F.col("t"), (x["h"] - 1).cast("int"))
     found = lambda x: F.when(by_place(x)["r"] == x["h"], by_place(x)).otherwise(F.get(F.filter("t", lambda y: y["r"] == x["h"]), F.lit(0)))
     pairs = F.filter(F.transform("t", lambda x: F.struct(found(x).alias("up"), x["rel"].alias("rel"), x["v"].alias("dep"))), lambda p: p["up"].isNotNull())

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from spanloom.operators.relation import running_sum
 from spanloom.session import Scratch
-from spanloom.sources.corpus import KEYS, Corpus
+from spanloom.sources.corpus import KEYS, Corpus, sentence_arrays
 
 #: Classes of characters in line statistics.
 CLASSES = {"w": r"[\p{L}\p{N}_]", "W": r"[^\p{L}\p{N}_]", "s": r"\s", "S": r"\S", "shy": r"\x{00AD}"}
@@ -69,10 +69,17 @@ def quantiles_by(rows: DataFrame, keys: Sequence[str], value: str, parts: int) -
 
 
 def element_sizes(corpus: Corpus, level: str, of: str = "token") -> DataFrame:
-    """How many elements hold how many of what lies below: size, n."""
+    """How many elements hold how many of what lies below: size, n. Elements without any are those that are not among the others, so nothing is joined."""
     keys = KEYS[level]
-    held = corpus.level(of).groupBy(*keys).agg(F.count("*").alias("size"))
-    return corpus.level(level).join(held, keys, "left").select(F.coalesce("size", F.lit(0)).alias("size")).groupBy("size").agg(F.count("*").alias("n"))
+    if of == "token":  # sentences know their sizes
+        sents = sentence_arrays(corpus) if corpus.arrays is not None else corpus.tokens.groupBy(*KEYS["sentence"]).agg(F.count("*").alias("n"))
+        size = F.size("t") if corpus.arrays is not None else F.col("n")
+        held = sents.select(size.alias("size")) if level == "sentence" else sents.groupBy(*keys).agg(F.sum(size).alias("size"))
+    else:
+        held = corpus.level(of).groupBy(*keys).agg(F.count("*").alias("size"))
+    one, none = F.lit(1).alias("n"), F.lit(0).cast("long").alias("size")
+    held = held.select(F.explode(F.array(F.struct(F.col("size").cast("long").alias("size"), one), F.struct(none, F.lit(-1).alias("n")))).alias("h")).select("h.*")
+    return held.union(corpus.level(level).select(none, one)).groupBy("size").agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 def size_summary(histogram: DataFrame, parts: int = 4) -> DataFrame:

@@ -329,8 +329,9 @@ def lemgram_index(spark, sf_dir):
  SELECT head, rel, dep, freq, CAST(sum(freq) OVER (PARTITION BY rel) AS BIGINT) AS freq_rel, CAST(sum(freq) OVER (PARTITION BY head, rel) AS BIGINT) AS freq_head_rel, CAST(sum(freq) OVER (PARTITION BY rel, dep) AS BIGINT) AS freq_rel_dep FROM t""")
 def word_picture(spark, sf_dir):
     """Each token's head is the next one."""
-    tokens = _corpus(spark, sf_dir).tokens.withColumns({"head_no": F.col("tok_no") + 1, "rel": F.when(F.length("word") > 4, "long").otherwise("short")})
-    return products.word_picture(products.dependency_pairs(tokens, C.KEYS["sentence"], "tok_no", "head_no", "word", "rel"))
+    place = lambda x, i: F.struct((i + 1).cast("long").alias("r"), (i + 2).cast("long").alias("h"), x["word"].alias("v"), F.when(F.length(x["word"]) > 4, "long").otherwise("short").alias("rel"))
+    sents = C.sentence_arrays(_corpus(spark, sf_dir)).select(*C.KEYS["sentence"], F.transform("t", place).alias("t"))
+    return products.word_picture(products.pairs_within(sents, C.KEYS["sentence"]))
 
 
 @query(f"""WITH {_TOKENS}, s AS (SELECT text_id, para_no, sent_no, string_agg(word, chr(10) ORDER BY tok_no) AS l FROM tokens GROUP BY ALL), t AS (SELECT text_id, string_agg(md5(l), chr(10) ORDER BY para_no, sent_no) AS h FROM s GROUP BY 1),

@@ -30,6 +30,8 @@ class Corpus(NamedTuple):
     paragraphs: DataFrame
     sentences: DataFrame
     tokens: DataFrame
+    #: Where a source has them: keys of each sentence with tokens, and t, an array of these in order (structs of their fields). The same tokens, before they were a row each; what changes tokens leaves it out.
+    arrays: DataFrame | None = None
 
     @property
     def fields(self) -> list[str]:
@@ -39,11 +41,11 @@ class Corpus(NamedTuple):
         return {"text": self.texts, "paragraph": self.paragraphs, "sentence": self.sentences, "token": self.tokens}[name]
 
     def with_level(self, name: str, df: DataFrame) -> Corpus:
-        return self._replace(**{name + "s": df})
+        return self._replace(**{name + "s": df}, arrays=self.arrays if name in ("text", "paragraph") else None)
 
     def restrict(self, name: str, kept: DataFrame) -> Corpus:
         """Only elements of this level that are in ``kept``, and what lies below them."""
-        keys, out = KEYS[name], self
+        keys, out = KEYS[name], self._replace(arrays=None)
         for level in (*LEVELS, "token"):
             if len(KEYS[level]) >= len(keys):
                 out = out.with_level(level, out.level(level).join(kept.select(*keys).distinct(), keys, "left_semi"))
@@ -67,7 +69,17 @@ def from_texts(docs: DataFrame, id_col: str, text_col: str, attributes: Sequence
     sents = paras.select("text_id", "para_no", F.explode(cut).alias("s")).select("text_id", "para_no", "s.*")
     tokens = sents.select("text_id", "para_no", "sent_no", F.posexplode("words").alias("pos", "word")).select("text_id", "para_no", "sent_no", (F.col("pos") + 1).cast("long").alias("tok_no"), "word")
     none = F.create_map().cast("map<string,string>").alias("attrs")
-    return Corpus(texts, paras.select("text_id", "para_no", none), sents.select("text_id", "para_no", "sent_no", none), tokens)
+    arrays = sents.select("text_id", "para_no", "sent_no", F.transform("words", lambda w: F.struct(w.alias("word"))).alias("t"))
+    return Corpus(texts, paras.select("text_id", "para_no", none), sents.select("text_id", "para_no", "sent_no", none), tokens, arrays)
+
+
+def sentence_arrays(corpus: Corpus) -> DataFrame:
+    """Keys of each sentence with tokens, and t, an array of its tokens in order: as they were read, or else gathered."""
+    if corpus.arrays is not None:
+        return corpus.arrays
+    item = F.struct("tok_no", *map(col, corpus.fields))
+    sents = corpus.tokens.groupBy(*KEYS["sentence"]).agg(F.array_sort(F.collect_list(item)).alias("t"))
+    return sents.select(*KEYS["sentence"], F.transform("t", lambda x: F.struct(*(x[f].alias(f) for f in corpus.fields))).alias("t"))
 
 
 # -- vertical text: a line for each token and tag

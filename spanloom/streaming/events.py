@@ -24,25 +24,41 @@ def first_of_equals(rows: DataFrame, time: str, keys: Sequence[str], late: str =
     return rows.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
 
 
-def tag_runs(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """Maximal runs of equal values by key, each given out when the next begins: key, value, first, last, n. State is one run a key."""
+def tag_runs(rows: DataFrame, key: str, order: str, value: str, time: str | None = None, late: str = "1 hour", idle: int = 3600) -> DataFrame:
+    """Maximal runs of equal values by key, each given out when the next begins: key, value, first, last, n. State is one run a key.
+
+    With ``time``, a run also ends where a key has no row for more than ``idle`` seconds of event time: a timer gives out the last
+    run of such a key (once ``late`` has passed too), and its state goes. Without it, the last run of a key is kept for ever.
+    """
+    columns = [key, value, "first", "last", "n"]
 
     def step(k: tuple, batches, state: GroupState):
+        if state.hasTimedOut:
+            last = tuple(state.get)
+            state.remove()
+            yield pd.DataFrame([(k[0], *last[:4])], columns=columns)
+            return
         run = list(state.get) if state.exists else None
         out = []
-        for v, o in pd.concat(list(batches)).sort_values(order)[[value, order]].itertuples(index=False):
-            if run and run[0] == v:
-                run = [v, run[1], int(o), run[3] + 1]
+        new = pd.concat(list(batches)).sort_values(order)
+        seen = [int(t.timestamp() * 1000) for t in new[time]] if time else [0] * len(new)
+        for v, o, at in zip(new[value], new[order], seen, strict=True):
+            if run and run[0] == v and at - run[4] <= 1000 * idle:
+                run = [v, run[1], int(o), run[3] + 1, max(at, run[4])]
             else:
                 if run:
-                    out.append((k[0], *run))
-                run = [v, int(o), int(o), 1]
+                    out.append((k[0], *run[:4]))
+                run = [v, int(o), int(o), 1, at]
         state.update(tuple(run))
-        yield pd.DataFrame(out, columns=[key, value, "first", "last", "n"])
+        if time:
+            state.setTimeoutTimestamp(max(run[4] + 1000 * idle, state.getCurrentWatermarkMs()) + 1)
+        yield pd.DataFrame(out, columns=columns)
 
     kinds = dict(rows.dtypes)
     shape = f"{value} {kinds[value]}, first long, last long, n long"
-    return rows.groupBy(key).applyInPandasWithState(step, f"{key} {kinds[key]}, {shape}", shape, "append", GroupStateTimeout.NoTimeout)
+    if time:
+        rows = rows.withWatermark(time, late)
+    return rows.groupBy(key).applyInPandasWithState(step, f"{key} {kinds[key]}, {shape}", f"{shape}, seen long", "append", GroupStateTimeout.EventTimeTimeout if time else GroupStateTimeout.NoTimeout)
 
 
 def collect_new(rows: DataFrame, path: str, checkpoint: str, change: Callable[[DataFrame], DataFrame] = lambda x: x):
