@@ -624,6 +624,17 @@ def word_overlap(spark, sf_dir):
     return words("benchmark", ["item_id"]).match(words("documents", [])).keepc("item_id", "words").df
 
 
+@query("""WITH e AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS begins FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+ s AS (SELECT user_id, ts, sum(begins) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nr FROM (SELECT * FROM e ORDER BY ts))
+ SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, nr""")
+def sessions(spark, sf_dir):
+    """The streaming operator on a bounded table: events of a user with less than half an hour between them."""
+    from spanloom.streaming import events
+
+    found = events.sessions(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "30 minutes", ["user_id"])
+    return found.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_time_buckets(spark, sf_dir):
     """The streaming operator on a bounded table."""

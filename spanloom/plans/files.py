@@ -10,6 +10,7 @@ from spanloom.plans.catalogue import _TOKENS, _corpus, query
 from spanloom.session import Scratch, table
 from spanloom.sources import corpus as C
 from spanloom.sources import formats, tsv
+from spanloom.stages import Stages
 
 
 def _folder(spark, name):
@@ -183,3 +184,18 @@ def index_conditions(spark, sf_dir):
 @query(f"WITH {_INDEXED} SELECT word AS value, n AS freq FROM freq")
 def index_lexicon(spark, sf_dir):
     return index.lexicon(spark, _index(spark, sf_dir)[0], "word")
+
+
+@query("SELECT lang, count(*) AS texts, CAST(sum(length(text)) AS BIGINT) AS chars, 'words,sizes' AS skipped FROM documents WHERE text IS NOT NULL GROUP BY lang")
+def resumed_stages(spark, sf_dir):
+    """Two stages, run, and run again: the second time both are read."""
+    root = _folder(spark, "stages")
+
+    def job():
+        stages = Stages(spark, root)
+        kept = stages.run("words", lambda: table(spark, sf_dir, "documents").where("text IS NOT NULL").select("lang", F.length("text").alias("n")), [f"{sf_dir}/documents.parquet"])
+        return stages, stages.run("sizes", lambda: kept.groupBy("lang").agg(F.count("*").alias("texts"), F.sum("n").alias("chars")), [kept])
+
+    job()
+    stages, sizes = job()
+    return sizes.withColumn("skipped", F.lit(",".join(stages.skipped)))
