@@ -25,14 +25,22 @@ LEVELS = ("text", "paragraph", "sentence")
 KEYS = {"text": ["text_id"], "paragraph": ["text_id", "para_no"], "sentence": ["text_id", "para_no", "sent_no"], "token": ["text_id", "para_no", "sent_no", "tok_no"]}
 
 
-class Corpus(NamedTuple):
+class Levels(NamedTuple):
     texts: DataFrame
     paragraphs: DataFrame
     sentences: DataFrame
     tokens: DataFrame
-    #: Where a source has them: keys of each sentence with tokens, and t, an array of these in order (structs of their fields). The same tokens, before they were a row each; what changes tokens leaves it out.
+
+
+class Corpus(Levels):
+    #: Where a source has them: keys of each sentence with tokens, and t, an array of these in order (structs of their fields). The same tokens, before they were a row each; what changes tokens or sentences leaves them out.
     arrays: DataFrame | None = None
 
+    def with_arrays(self, arrays: DataFrame | None) -> Corpus:
+        out = self._replace()
+        out.arrays = arrays
+        return out
+
     @property
     def fields(self) -> list[str]:
         return [c for c in self.tokens.columns if c not in KEYS["token"]]
@@ -41,11 +49,12 @@ class Corpus(NamedTuple):
         return {"text": self.texts, "paragraph": self.paragraphs, "sentence": self.sentences, "token": self.tokens}[name]
 
     def with_level(self, name: str, df: DataFrame) -> Corpus:
-        return self._replace(**{name + "s": df}, arrays=self.arrays if name in ("text", "paragraph") else None)
+        out = self._replace(**{name + "s": df})
+        return out.with_arrays(self.arrays) if name in ("text", "paragraph") else out
 
     def restrict(self, name: str, kept: DataFrame) -> Corpus:
         """Only elements of this level that are in ``kept``, and what lies below them."""
-        keys, out = KEYS[name], self._replace(arrays=None)
+        keys, out = KEYS[name], self._replace()
         for level in (*LEVELS, "token"):
             if len(KEYS[level]) >= len(keys):
                 out = out.with_level(level, out.level(level).join(kept.select(*keys).distinct(), keys, "left_semi"))
@@ -70,7 +79,7 @@ def from_texts(docs: DataFrame, id_col: str, text_col: str, attributes: Sequence
     tokens = sents.select("text_id", "para_no", "sent_no", F.posexplode("words").alias("pos", "word")).select("text_id", "para_no", "sent_no", (F.col("pos") + 1).cast("long").alias("tok_no"), "word")
     none = F.create_map().cast("map<string,string>").alias("attrs")
     arrays = sents.select("text_id", "para_no", "sent_no", F.transform("words", lambda w: F.struct(w.alias("word"))).alias("t"))
-    return Corpus(texts, paras.select("text_id", "para_no", none), sents.select("text_id", "para_no", "sent_no", none), tokens, arrays)
+    return Corpus(texts, paras.select("text_id", "para_no", none), sents.select("text_id", "para_no", "sent_no", none), tokens).with_arrays(arrays)
 
 
 def sentence_arrays(corpus: Corpus) -> DataFrame:

@@ -58,4 +58,4 @@ def from_running_text(docs: DataFrame, id_col: str, text_col: str, attributes: S
     keys = ["text_id", "para_no", "sent_no"]
     tokens = sents.select(*keys, F.posexplode("words").alias("i", "word")).select(*keys, (F.col("i") + 1).cast("long").alias("tok_no"), "word")
     arrays = sents.select(*keys, F.transform("words", lambda w: F.struct(w.alias("word"))).alias("t"))
-    return Corpus(docs.select(col(id_col).alias("text_id"), attrs), paras.select("text_id", "para_no", none), sents.select(*keys, none), tokens, arrays)
+    return Corpus(docs.select(col(id_col).alias("text_id"), attrs), paras.select("text_id", "para_no", none), sents.select(*keys, none), tokens).with_arrays(arrays)
