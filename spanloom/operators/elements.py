@@ -129,12 +129,16 @@ def set_attributes(corpus: Corpus, level: str, **new: Column) -> Corpus:
 def unify_attributes(corpus: Corpus, level: str, default: str = "", first: Sequence[str] = (), last: Sequence[str] = (), always: Sequence[str] = (), only: Sequence[str] | None = None, drop: Sequence[str] = ()) -> Corpus:
     """All elements get the same attributes, as one struct-like map: those that occur in any, in the order first, others by name, last."""
     rows = corpus.level(level)
-    # names, not values: the head of the table, which one row holds
-    names = set(rows.select(F.explode(F.map_keys("attrs")).alias("k")).distinct().agg(F.collect_list("k")).first()[0]) | set(always)
-    names = {n for n in names if n not in drop and (only is None or n in only)}
-    order = [n for n in first if n in names] + sorted(names - set(first) - set(last)) + [n for n in last if n in names]
-    given = F.create_map(*(x for n in order for x in (F.lit(n), F.coalesce(F.col("attrs")[n], F.lit(default))))) if order else F.create_map().cast("map<string,string>")
-    return corpus.with_level(level, rows.withColumn("attrs", given))
+    listed = lambda names: F.array(*map(F.lit, names)).cast("array<string>")
+    names = rows.select(F.explode(F.map_keys("attrs")).alias("k")).union(rows.sparkSession.range(1).select(F.explode(listed(always)))).where(~F.array_contains(listed(drop), F.col("k")))
+    if only is not None:
+        names = names.where(F.array_contains(listed(only), F.col("k")))
+    place = lambda of: F.array_position(listed(of), F.col("k")).cast("int")
+    order = F.when(place(first) > 0, place(first) - len(first) - 1).otherwise(place(last))
+    # names, not values: the head of the table, in one row that meets each element
+    head = names.distinct().agg(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), "k"))), lambda x: x["k"]).alias("__names"))
+    given = F.map_from_entries(F.transform("__names", lambda n: F.struct(n, F.coalesce(F.element_at("attrs", n), F.lit(default)))))
+    return corpus.with_level(level, rows.crossJoin(F.broadcast(head)).withColumn("attrs", given).drop("__names"))
 
 
 def add_attributes(corpus: Corpus, level: str, attribute: str, table: DataFrame, key: str, overwrite: bool = False) -> Corpus:

@@ -95,9 +95,11 @@ def tree_issues(tokens: DataFrame, ref: str, head: str, several_roots: bool = Fa
 
 
 def character_issues(rows: DataFrame, id_col: str, text: str, kind: str) -> DataFrame:
-    """id, pos, code point (hex), n: where characters of a kind stand in a text, by character."""
+    """id, code (hex), n, first: how many characters of a kind a text has, by character, and where (from 1) the first stands."""
     found = F.regexp_extract_all(text, F.lit(f"({CHARACTER_KINDS[kind]})"), F.lit(1))
-    return rows.select(F.col(id_col).alias("id"), F.explode(found).alias("ch")).groupBy("id", "ch").agg(F.count("*").alias("n")).select("id", F.hex(F.encode("ch", "UTF-16BE")).alias("code"), "n")
+    own = rows.select(F.col(id_col).alias("id"), F.col(text).alias("text"), found.alias("found")).withColumn("ch", F.explode(F.array_distinct("found")))
+    own = own.select("id", "ch", F.expr("size(filter(found, x -> x = ch))").alias("n"), F.expr("instr(text, ch)").alias("first"))
+    return own.groupBy("id", "ch").agg(F.sum("n").alias("n"), F.min("first").alias("first")).select("id", F.hex(F.encode("ch", "UTF-16BE")).alias("code"), "n", "first")
 
 
 def count_check(parts: DataFrame, column: str, expected: int) -> DataFrame:

@@ -317,7 +317,7 @@ def set_values(spark, sf_dir):
 # -- checks and markup
 
 
-@query("SELECT page_id AS id, '00' || code AS code, n FROM (SELECT page_id, '3E' AS code, CAST(length(html) - length(replace(html, '>', '')) AS BIGINT) AS n FROM pages UNION ALL SELECT page_id, '3C', CAST(length(html) - length(replace(html, '<', '')) AS BIGINT) FROM pages) WHERE n > 0")
+@query("SELECT page_id AS id, '00' || code AS code, n, first FROM (SELECT page_id, '3E' AS code, CAST(length(html) - length(replace(html, '>', '')) AS BIGINT) AS n, CAST(instr(html, '>') AS INTEGER) AS first FROM pages UNION ALL SELECT page_id, '3C', CAST(length(html) - length(replace(html, '<', '')) AS BIGINT), CAST(instr(html, '<') AS INTEGER) FROM pages) WHERE n > 0")
 def character_issues(spark, sf_dir):
     return validate.character_issues(table(spark, sf_dir, "pages"), "page_id", "html", "tag")
 
