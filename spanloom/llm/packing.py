@@ -18,14 +18,13 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textwork as tw
 
-MEMO = 600_000
+MEMO = 200_000
 PART = 1 << 19  #: characters
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -185,9 +184,10 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     groups = max(1, -(-docs.count() // group_docs))
     pieces = cut(docs, tokenizer_path, capacity, end_id, groups, seed, id_col, text_col)
 
-    def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "start", "length", "ids_crc32"], kind="stable")
+    def place(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in ("doc_id", "start", "length", "ids_crc32")])
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(), capacity)
-        return group.drop(columns="grp").assign(sequence_id=(group["grp"].to_numpy().astype(np.int64) << 32) + bins, offset=offsets)
+        sequence = (group["grp"].to_numpy().astype(np.int64) << 32) + bins
+        return group.drop_columns("grp").append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offsets))
 
-    return pieces.groupBy("grp").applyInPandas(place, f"{PIECES}, sequence_id bigint, offset bigint")
+    return pieces.groupBy("grp").applyInArrow(place, f"{PIECES}, sequence_id bigint, offset bigint")
