@@ -51,9 +51,18 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_copies), ("decontamination", drop_contaminated), ("secrets", redact_secrets), ("packing", pack)]
 
 
+#: Most bytes of texts in a batch that goes to a Python worker while stages run; one longer text is a batch of its own.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = scratch.write(stage(spark, docs, sf_dir))
+    before = spark.conf.get(BATCH[0])
+    spark.conf.set(*BATCH)
+    try:
+        for _, stage in STAGES:
+            docs = scratch.write(stage(spark, docs, sf_dir))
+    finally:
+        spark.conf.set(BATCH[0], before)
     return docs
