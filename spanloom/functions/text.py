@@ -158,9 +158,42 @@ def repair_characters(x: Column) -> Column:
 # -- lemmas and words
 
 
-def lemma_without_boundaries(x: Column, mark: str = "|") -> Column:
-    """A compound's lemma without the marks between its parts; a mark that is all of it stays."""
-    return F.when(F.replace(x, F.lit(mark), F.lit("")) == "", x).otherwise(F.replace(x, F.lit(mark), F.lit("")))
+def lemma_without_boundaries(x: Column, mark: str = "|", word: Column | None = None) -> Column:
+    """A compound's lemma without the marks between its parts; a mark that is all of it stays.
+
+    With the word form, marks that stand for its hyphens become hyphens: all of them where both have as many parts, else
+    before each part that begins (by two letters) like the word's next part, about as far from the start. A mark at an end
+    becomes a hyphen if the word has one there. A word with marks of its own keeps its lemma. Null where either is null.
+    """
+    bare = F.replace(x, F.lit(mark), F.lit(""))
+    if word is None:
+        return F.when(bare == "", x).otherwise(bare)
+    size, dash, bar = F.length(x), F.lit("-"), F.lit(mark)
+    inner = F.contains(F.substring(x, F.lit(2), F.greatest(size - 2, F.lit(0))), bar)
+    end = lambda at_end, hyphen: F.when(at_end & hyphen, "-").otherwise("")
+    cut = F.when(F.startswith(x, bar), F.substring(x, F.lit(2), size)).otherwise(x)
+    cut = F.when(F.endswith(x, bar), F.substring(cut, F.lit(1), F.length(cut) - 1)).otherwise(cut)
+    edged = F.concat(end(F.startswith(x, bar), F.startswith(word, dash)), cut, end(F.endswith(x, bar), F.endswith(word, dash)))
+    lemma = F.when(inner, x).otherwise(edged)
+    parts, heard = F.split(lemma, f"[{re.escape(mark)}-]"), F.split(word, "-")
+
+    def add(s: Column, part: Column) -> Column:
+        next_ = F.get(heard, s["next"])
+        hit = F.coalesce((F.substring(part, 1, 2) == F.substring(next_, 1, 2)) & (F.abs(s["heard"] - s["read"]) <= 2), F.lit(False))
+        step = hit.cast("int")
+        return F.struct(F.concat(s["out"], F.when(hit, "-").otherwise(""), part).alias("out"), (s["read"] + F.length(part)).alias("read"), (s["heard"] + F.coalesce(F.length(next_), F.lit(0)) * step).alias("heard"), (s["next"] + step).alias("next"))
+
+    start = F.struct(parts[0].alias("out"), F.length(parts[0]).alias("read"), F.length(heard[0]).alias("heard"), F.lit(1).alias("next"))
+    folded = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), start, add, lambda s: s["out"])
+    same = (F.size(parts) == F.size(heard)) & ~F.contains(lemma, dash)
+    told = F.when(inner & ~F.contains(word, dash), bare).when(same, F.replace(lemma, bar, dash)).otherwise(folded)
+    if mark == "#":  # some parsers write the marks of a word of marks so
+        pipes = F.length(word) - F.length(F.replace(word, F.lit("|"), F.lit("")))
+        told = F.when(size - F.length(bare) == pipes, F.replace(x, bar, F.lit("|"))).otherwise(told)
+    alone = (size == 1) | (x == mark * 2)
+    if mark == "#":
+        alone = alone & (size - F.length(bare) != pipes)
+    return F.when(word.isNull(), None).when(~F.contains(x, bar) | F.contains(word, bar) | alone, x).otherwise(told)
 
 
 def lemgram(lemma: Column, pos: Column, longest: int = 100) -> Column:

@@ -273,11 +273,27 @@ def without_diacritics(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.translate(T.without_diacritics(F.col("text")), "åäöÅÄÖ", "123456").alias("plain"))
 
 
-@query("SELECT n_name, substring(lower(n_name), 1, 20) || '..pm.1' AS lemgram, upper(substring(n_name, 1, 1)) || lower(substring(n_name, 2)) AS cased, lower(n_name) AS joined FROM nation WHERE n_name NOT LIKE '% %'")
+@query("SELECT n_name, substring(lower(n_name), 1, 20) || '..pm.1' AS lemgram, array_to_string(list_transform(string_split(lower(n_name), ' '), lambda x: upper(substring(x, 1, 1)) || substring(x, 2)), ' ') AS cased, lower(n_name) AS joined FROM nation")
 def lemmas(spark, sf_dir):
     name = F.col("n_name")
     low = F.lower(name)
-    return table(spark, sf_dir, "nation").where(~F.contains(name, F.lit(" "))).select("n_name", T.lemgram(low, F.lit("pm"), 26).alias("lemgram"), T.name_case(low, F.initcap(name)).alias("cased"), T.lemma_without_boundaries(F.concat(F.substring(low, 1, 2), F.lit("|"), F.expr("substring(lower(n_name), 3)"))).alias("joined"))
+    return table(spark, sf_dir, "nation").select("n_name", T.lemgram(low, F.lit("pm"), 26).alias("lemgram"), T.name_case(low, F.initcap(name)).alias("cased"), T.lemma_without_boundaries(F.concat(F.substring(low, 1, 2), F.lit("|"), F.expr("substring(lower(n_name), 3)"))).alias("joined"))
+
+
+@query(f"""WITH {_TOKENS}, w AS (SELECT text_id, para_no, sent_no, max(word) FILTER (tok_no = 1) AS a, max(word) FILTER (tok_no = 2) AS b, max(word) FILTER (tok_no = 3) AS c FROM tokens GROUP BY ALL HAVING count(*) >= 3)
+ SELECT text_id, para_no, sent_no, a || b || c AS closed, a || '-' || b || '-' || c AS open, '-' || a AS tail, a || '-' AS head, a || '|' || b AS kept,
+  CASE WHEN substring(b, 1, 2) = substring(b || c, 1, 2) THEN a || '-' || b || c WHEN length(b) <= 2 AND substring(c, 1, 2) = substring(b || c, 1, 2) THEN a || b || '-' || c ELSE a || b || c END AS partly FROM w""")
+def compound_lemmas(spark, sf_dir):
+    """Compounds of the first three words of each sentence, with word forms that have no, some or all hyphens."""
+    sents = C.sentence_arrays(_corpus(spark, sf_dir)).where(F.size("t") >= 3)
+    a, b, c = (F.col("t")[i]["word"] for i in range(3))
+    joined = lambda mark: F.concat_ws(mark, a, b, c)
+    lemma = lambda word, x=None: T.lemma_without_boundaries(joined("|") if x is None else x, word=word)
+    head, tail = F.concat(a, F.lit("|")), F.concat(F.lit("|"), a)
+    return sents.select(
+        *C.KEYS["sentence"], lemma(joined("")).alias("closed"), lemma(joined("-")).alias("open"), lemma(F.concat(F.lit("-"), a), tail).alias("tail"), lemma(F.concat(a, F.lit("-")), head).alias("head"),
+        lemma(F.concat_ws("|", a, b), F.concat_ws("|", a, b)).alias("kept"), lemma(F.concat(a, F.lit("-"), b, c)).alias("partly"),
+    )
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS datefrom, strftime(o_orderdate, '%Y') AS year, strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS first, strftime(last_day(o_orderdate), '%Y%m%d') AS last FROM orders")
