@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import textwork as tw
 
-MEMO = 200_000
+MEMO = 600_000
 PART = 1 << 19  #: characters
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
@@ -41,9 +41,10 @@ class Tokens:
 
     MARKS = ".,;:!?"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int | None = None):
         from tokenizers import Tokenizer
 
+        self.most = memo or MEMO
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -68,7 +69,7 @@ class Tokens:
 
     def fill(self, stretches: set[str]) -> None:
         """Afterwards the memo has all of these."""
-        if len(self.memo) > MEMO:
+        if len(self.memo) > self.most:
             self.memo, self.old = {"": b""}, self.memo
         memo, old = self.memo, self.old
         parts, other = [], []
@@ -125,13 +126,13 @@ class Tokens:
             at = cut
 
 
-def cut(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, groups: int = 1, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, groups: int = 1, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", memo: int | None = None) -> DataFrame:
     """Pieces of at most ``capacity`` ids: doc_id, start, length, ids_crc32, doc_tokens, and a random group."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), (F.rand(seed) * groups).cast("int").alias("grp"))
     end = np.array([end_id], "<u4").tobytes()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(tokenizer_path)
+        tokens = Tokens(tokenizer_path, memo)
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
             texts = (x.as_py() or "" for x in b.column(1))
@@ -179,10 +180,10 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return bins, offsets
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, group_docs: int = 4096, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 1, group_docs: int = 4096, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", memo: int | None = None) -> DataFrame:
+    """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset. A smaller ``memo`` than ``MEMO`` takes less memory and more time."""
     groups = max(1, -(-docs.count() // group_docs))
-    pieces = cut(docs, tokenizer_path, capacity, end_id, groups, seed, id_col, text_col)
+    pieces = cut(docs, tokenizer_path, capacity, end_id, groups, seed, id_col, text_col, memo)
 
     def place(group: pa.Table) -> pa.Table:
         group = group.sort_by([(c, "ascending") for c in ("doc_id", "start", "length", "ids_crc32")])
