@@ -45,7 +45,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), memo=200_000)
 
 
 STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_near_copies), ("decontamination", drop_contaminated), ("secrets", redact_secrets), ("packing", pack)]
