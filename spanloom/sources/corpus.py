@@ -82,6 +82,12 @@ def from_texts(docs: DataFrame, id_col: str, text_col: str, attributes: Sequence
     return Corpus(texts, paras.select("text_id", "para_no", none), sents.select("text_id", "para_no", "sent_no", none), tokens).with_arrays(arrays)
 
 
+def cuts(text: Column, stop: str = r"[.!?]+") -> Column:
+    """Where a text's lines and sentences end, those without words included: w for a sentence with letters, a stop between sentences, a slash between lines. A null text has its own."""
+    line = lambda p: F.array_join(F.transform(F.split(p, stop), lambda s: F.when(F.rlike(s, F.lit(r"\p{L}")), "w").otherwise("")), ".")
+    return F.coalesce(F.array_join(F.transform(F.split(text, "\n"), line), "/"), F.lit("null"))
+
+
 def sentence_arrays(corpus: Corpus) -> DataFrame:
     """Keys of each sentence with tokens, and t, an array of its tokens in order: as they were read, or else gathered."""
     if corpus.arrays is not None:

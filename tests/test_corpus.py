@@ -348,3 +348,22 @@ def test_long_chain_is_a_tree(spark):
     rows = [("a", 1, 1, i, i - 1) for i in range(1, 5001)] + [("a", 1, 2, 1, 0), ("a", 1, 2, 2, 3), ("a", 1, 2, 3, 2)]
     tokens = spark.createDataFrame(rows, "text_id string, para_no int, sent_no int, tok_no int, head int")
     assert [tuple(r) for r in validate.tree_issues(tokens, "tok_no", "head").collect()] == [("a", 1, 2, "cycle")]
+
+
+def test_texts_with_other_stops_and_lines_are_no_copies(spark, tmp_path):
+    """deduplicate_content: lines and stops count, as in its SQL."""
+    from spanloom.plans import catalogue
+    from tests import oracle
+
+    texts = ["a b. c", "a b\nc", "a b. c.", "a b.. c", "\na b. c", "a b. c\n", "a  b? c", "...", "", None, None, "!", "ab. c"]
+    spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(r["text_id"] for r in catalogue.deduplicate_content(spark, str(tmp_path)).collect())
+    want = sorted(r[0] for r in oracle.connect(str(tmp_path)).sql(catalogue.oracle_sql()["deduplicate_content"]).fetchall())
+    assert got == want == [0, 1, 2, 4, 5, 7, 8, 9, 12]
+
+
+def test_ids_beyond_their_width_stay_whole(spark):
+    """add_ids: a number of more digits than the width isn't cut, so ids stay different."""
+    corpus = C.from_texts(spark.createDataFrame([(1, "a. " * 1200)], "id long, text string"), "id", "text")
+    ids = [r["attrs"]["id"] for r in elements.add_ids(corpus, "sentence", "id", "s", 3).sentences.orderBy(*C.KEYS["sentence"]).collect()]
+    assert len(set(ids)) == 1200 and ids[0] == "s001" and ids[-1] == "s1200"
