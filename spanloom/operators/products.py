@@ -43,9 +43,9 @@ def word_picture(pairs: DataFrame, few: int = 100_000) -> DataFrame:
 
 def picture_sentences(pairs: DataFrame, keys: Sequence[str], most: int = 1000) -> DataFrame:
     """head, rel, dep and the first sentences (by key) that show the pair, at most ``most``: an index of examples."""
-    rows = pairs.select("head", "rel", "dep", F.struct(*keys).alias("s")).distinct()
-    ranked = rows.withColumn("nr", F.row_number().over(Window.partitionBy("head", "rel", "dep").orderBy("s")))
-    return ranked.where(F.col("nr") <= most).select("head", "rel", "dep", "s.*")
+    # equal rows have one rank, so that only what is kept is made distinct, and tasks pass on the first sentences only
+    ranked = pairs.withColumn("nr", F.dense_rank().over(Window.partitionBy("head", "rel", "dep").orderBy(*keys)))
+    return ranked.where(F.col("nr") <= most).select("head", "rel", "dep", *keys).distinct()
 
 
 def lemgram_index(rows: DataFrame, lemgrams: Column, prefixes: Column, suffixes: Column) -> DataFrame:
