@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from itertools import islice
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,6 +132,8 @@ def field_names(spark: SparkSession, path: str, lines: int = 100) -> list[str]:
     return [f"v{i}" for i in range(1, len(token.split("\t")) + 1)]
 
 
+#: Rows that a task holds while it parses texts, whatever their sizes.
+ROWS = 20_000
 _ATTR = re.compile(r'([\w.-]+)="([^"]*)"')
 _ENTITY = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
 
@@ -144,28 +147,32 @@ def read_vertical(spark: SparkSession, path: str, names: Sequence[str] | None =
     names = list(names or field_names(spark, path))
     rows = spark.read.option("lineSep", "</text>\n").text(path).select("value", F.concat_ws("#", F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0")).alias("text_id"))
     out = "level string, text_id string, para_no long, sent_no long, tok_no long, attrs map<string,string>, fields array<string>"
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            found = []
-            for value, text_id in zip(b["value"], b["text_id"], strict=True):
-                para = sent = tok = 0
-                for line in value.split("\n"):
-                    line = line.rstrip("\r")
-                    if line.startswith("<text"):
-                        found.append(("text", text_id, 0, 0, 0, {k: _plain(v) for k, v in _ATTR.findall(line)}, []))
-                    elif line.startswith("<paragraph"):
-                        para, sent, tok = para + 1, 0, 0
-                        found.append(("paragraph", text_id, para, 0, 0, {k: _plain(v) for k, v in _ATTR.findall(line)}, []))
-                    elif line.startswith("<sentence"):
-                        sent, tok = sent + 1, 0
-                        found.append(("sentence", text_id, para, sent, 0, {k: _plain(v) for k, v in _ATTR.findall(line)}, []))
-                    elif line and not line.startswith("<"):
-                        tok += 1
-                        found.append(("token", text_id, para, sent, tok, {}, [_plain(v) for v in line.split("\t")]))
-            yield pd.DataFrame(found, columns=["level", "text_id", "para_no", "sent_no", "tok_no", "attrs", "fields"])
-
-    lines = rows.mapInPandas(parse, out)
+    names_out = [x.split(" ")[0] for x in out.split(", ")]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string())]
+
+    def parsed(value: str, text_id: str) -> Iterator[tuple]:
+        para = sent = tok = 0
+        for m in re.finditer(r"[^\n]+", value):  # line by line, without a list of them
+            line = m[0].rstrip("\r")
+            attrs = lambda: [(k, _plain(v)) for k, v in dict(_ATTR.findall(line)).items()]  # noqa: B023, E731
+            if line.startswith("<text"):
+                yield "text", text_id, 0, 0, 0, attrs(), []
+            elif line.startswith("<paragraph"):
+                para, sent, tok = para + 1, 0, 0
+                yield "paragraph", text_id, para, 0, 0, attrs(), []
+            elif line.startswith("<sentence"):
+                sent, tok = sent + 1, 0
+                yield "sentence", text_id, para, sent, 0, attrs(), []
+            elif line and not line.startswith("<"):
+                tok += 1
+                yield "token", text_id, para, sent, tok, [], [_plain(v) for v in line.split("\t")]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (row for b in batches for value, text_id in zip(b.column(0), b.column(1), strict=True) for row in parsed(value.as_py(), text_id.as_py()))
+        while part := list(islice(found, ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*part, strict=True), kinds, strict=True)], names_out)
+
+    lines = rows.mapInArrow(parse, out)
     of = lambda level: lines.where(F.col("level") == level)
     whole = F.when(F.size("fields") == len(names), F.col("fields")).otherwise(F.raise_error(F.lit(f"a token doesn't have {len(names)} fields")).cast("array<string>"))
     tokens = of("token").select(*KEYS["token"], whole.alias("f")).select(*KEYS["token"], *(F.element_at("f", i).alias(n) for i, n in enumerate(names, 1)))
@@ -174,9 +181,9 @@ def read_vertical(spark: SparkSession, path: str, names: Sequence[str] | None =
 
 def render_vertical(corpus: Corpus) -> DataFrame:
     """value: each text as lines with tags, in one row; text_id orders the rows. A sentence is gathered, then a paragraph, then a text."""
-    token = F.concat_ws("\t", *(T.escape_field(F.coalesce(col(f), F.lit("_"))) for f in corpus.fields))
-    gathered = lambda df, keys, nr, value: df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(nr, F.col(value).alias("v")))).alias("l")).select(*keys, F.array_join(F.transform("l", lambda x: x["v"]), "\n").alias("body"))
-    body = gathered(corpus.tokens.select(*KEYS["token"], token.alias("line")), KEYS["sentence"], "tok_no", "line")
+    token = lambda x: F.concat_ws("\t", *(T.escape_field(F.coalesce(x[f], F.lit("_"))) for f in corpus.fields))
+    joined = lambda df, keys, nr, value: df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(nr, F.col(value).alias("v")))).alias("l")).select(*keys, F.array_join(F.transform("l", lambda x: x["v"]), "\n").alias("body"))
+    body = gathered(corpus, corpus.fields).select(*KEYS["sentence"], F.array_join(F.transform("t", token), "\n").alias("body"))
     for level, nr in (("sentence", "sent_no"), ("paragraph", "para_no"), ("text", None)):
         keys = KEYS[level]
         parts = corpus.level(level).join(body, keys, "left")
@@ -185,7 +192,7 @@ def render_vertical(corpus: Corpus) -> DataFrame:
         if nr is None:
             head = F.lit(f"<!-- #vrt positional-attributes: {' '.join(corpus.fields)} -->\n")
             return parts.select("text_id", F.concat(head, "line").alias("value"))
-        body = gathered(parts, keys[:-1], nr, "line")
+        body = joined(parts, keys[:-1], nr, "line")
     raise AssertionError
 
 
