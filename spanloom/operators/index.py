@@ -133,9 +133,13 @@ def find(spark: SparkSession, path: str, steps: Sequence[Step]) -> DataFrame:
             n = np.maximum(end - begin, 0)
             last = at[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())]
             first = np.repeat(first, n)
-            pairs = np.unique(np.stack([first, last]), axis=1)
-            first, last = pairs
+            order = np.lexsort((last, first))
+            first, last = first[order], last[order]
+            new = (np.diff(first, prepend=-1) != 0) | (np.diff(last, prepend=-1) != 0)
+            first, last = first[new], last[new]
         return pa.table({"block": pa.array(np.full(len(first), block[0]), pa.int32()), "nr": pa.array((first >> 32).astype(np.int32)), "first": pa.array(first & 0xFFFFFFFF), "last": pa.array(last & 0xFFFFFFFF)})
 
-    found = _lists(spark, path, steps).groupBy("block").applyInArrow(meet, "block int, nr int, first bigint, last bigint")
+    # lists are small beside what they unpack to, so their tasks aren't to be made fewer by size
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = _lists(spark, path, steps).repartition(parts, "block").groupBy("block").applyInArrow(meet, "block int, nr int, first bigint, last bigint")
     return found.join(_sentences(spark, path), ["block", "nr"]).select(*KEYS["sentence"], "first", "last")
