@@ -11,7 +11,7 @@ step with the one before, at any distance in its gap. Sequences never cross a se
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -21,11 +21,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.operators.relation import BadData, col
-from spanloom.sources.corpus import KEYS
+from spanloom.session import Scratch
+from spanloom.sources.corpus import KEYS, Corpus, gathered
 
 BLOCK = 1_000_000  #: tokens of a block, about
 PARTS = 256  #: folders of a field, by hash of value
 SENTENCES = "text_id string, para_no bigint, sent_no bigint, size bigint, nr int, block int"
+TOGETHER = 64  #: blocks whose lists of a value may share a file
+LIST = [("field", pa.string()), ("value", pa.string()), ("block", pa.int32()), ("n", pa.int64()), ("sents", pa.binary()), ("toks", pa.binary())]
 LISTS = "value string, block int, n bigint, sents binary, toks binary, field string, part int"
 
 
@@ -55,32 +58,69 @@ def unpacked(x: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(x, f"<u{x[0]}", offset=1).astype(np.int64))
 
 
-def build(tokens: DataFrame, path: str, fields: Sequence[str]) -> None:
-    """tokens: as in a corpus; ids of texts become strings. Writes ``path``/sentences and ``path``/lists; nothing is overwritten. A null is a value of no list."""
+def packed_all(x: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """``packed`` for each stretch of x, all at once. begins: where stretches begin."""
+    step = np.diff(x, prepend=0)
+    step[begins] = x[begins]
+    n = np.diff(begins, append=len(x))
+    most = np.maximum.reduceat(step, begins)
+    width = np.select([most < 1 << 8, most < 1 << 16, most < 1 << 32], [1, 2, 4], 8)
+    ends = np.cumsum(1 + n * width)
+    data = np.zeros(int(ends[-1]), np.uint8)
+    data[ends - n * width - 1] = width
+    of, place = np.repeat(width, n), np.repeat(ends - n * width, n) + np.repeat(width, n) * (np.arange(len(x)) - np.repeat(begins, n))
+    for w in (1, 2, 4, 8):
+        own = of == w
+        data[place[own][:, None] + np.arange(w)] = step[own].astype(f"<u{w}").view(np.uint8).reshape(-1, w)
+    return pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(data)])
+
+
+def build(tokens: DataFrame | Corpus, path: str, fields: Sequence[str]) -> None:
+    """tokens: as in a corpus; ids of texts become strings. Writes ``path``/sentences and ``path``/lists; nothing is overwritten. A null is a value of no list.
+
+    Sentences are dealt to their blocks as arrays, and a task makes all lists of a block, so no row for each token is shuffled.
+    """
     keys = KEYS["sentence"]
-    tokens = tokens.withColumns({"text_id": col("text_id").cast("string"), **{k: col(k).cast("long") for k in KEYS["token"][1:]}})
-    if off := [f for f in fields if f not in tokens.columns]:
+    rows = tokens.tokens if isinstance(tokens, Corpus) else tokens
+    if off := [f for f in fields if f not in rows.columns]:
         raise BadData(f"no such fields: {off}")
-    blocks = -(-max(1, tokens.count()) // BLOCK)
-    block = F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int").alias("block")
-    sentences = tokens.groupBy(*keys).agg(F.count("*").alias("size")).select(*keys, "size", block)
+    sents = gathered(tokens, fields).select(col("text_id").cast("string").alias("text_id"), *(col(k).cast("long").alias(k) for k in keys[1:]), "t")
+    blocks = -(-max(1, sents.agg(F.sum(F.size("t"))).first()[0] or 0) // BLOCK)
+    values = [F.col("t").getField(f).cast("array<string>").alias(f"f{i}") for i, f in enumerate(fields)]
+    toks = F.col("t").getField("tok_no").cast("array<bigint>").alias("toks")
+    sents = sents.select(*keys, F.size("t").cast("long").alias("size"), F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int").alias("block"), toks, *values)
     # blocks are bounded, so a window over one is
-    sentences = sentences.select(*keys, "size", F.expr(f"row_number() OVER (PARTITION BY block ORDER BY {', '.join(keys)})").alias("nr"), "block")
-    sentences.write.mode("errorifexists").partitionBy("block").parquet(f"{path}/sentences")
-    numbered = _sentences(tokens.sparkSession, path).select(*keys, "block", "nr")
-    own = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), col(f).cast("string").alias("value")) for f in fields))).alias("f")
-    lists = tokens.select(*keys, "tok_no", own).select(*keys, "tok_no", "f.*").where("value IS NOT NULL").join(numbered, keys)
-    lists = lists.groupBy("field", "value", "block").agg(F.array_sort(F.collect_list(F.struct("nr", "tok_no"))).alias("l")).select("field", "value", "block", F.col("l.nr").alias("nr"), F.col("l.tok_no").alias("tok"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [(np.array(s.values, np.int64), np.array(t.values, np.int64)) for s, t in zip(b.column(3), b.column(4), strict=True)]
-            n = pa.array([len(s) for s, _ in found], pa.int64())
+    sents = sents.select("*", F.expr(f"row_number() OVER (PARTITION BY block ORDER BY {', '.join(keys)})").alias("nr"))
+    scratch = Scratch(rows.sparkSession, "index")
+    sents = scratch.write(sents)
+    sents.select(*keys, "size", "nr", "block").repartition("block").write.mode("errorifexists").partitionBy("block").parquet(f"{path}/sentences")
+
+    def lists(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks().sort_by("nr")
+        toks = t["toks"].combine_chunks()
+        nr, tok = np.repeat(t["nr"].to_numpy().astype(np.int64), toks.value_lengths().to_numpy()), toks.flatten().to_numpy()
+        out = []
+        for i, f in enumerate(fields):
+            coded = t[f"f{i}"].combine_chunks().flatten().dictionary_encode()
+            code = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            order = np.argsort(code, kind="stable")
+            order = order[np.searchsorted(code[order], 0) :]
+            if not len(order):
+                continue
+            begins = np.flatnonzero(np.diff(code[order], prepend=-1))
             # a token's number falls where a sentence begins, so these differences are of the number added to all before
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), n, pa.array([packed(s) for s, _ in found], pa.binary()), pa.array([packed(np.cumsum(t)) for _, t in found], pa.binary())], ["field", "value", "block", "n", "sents", "toks"])
-
-    packs = lists.mapInArrow(pack, "field string, value string, block int, n bigint, sents binary, toks binary")
-    parted = packs.withColumn("part", _part(F.col("value"))).repartition("field", "part").sortWithinPartitions("field", "part", "value", "block")
+            added = np.cumsum(tok[order])
+            added -= np.repeat(added[begins] - tok[order[begins]], np.diff(begins, append=len(order)))
+            n = np.diff(begins, append=len(order))
+            value = coded.dictionary.take(pa.array(code[order[begins]]))
+            columns = [pa.array([f] * len(begins), pa.string()), value, pa.array(np.full(len(begins), t["block"][0].as_py(), np.int32)), pa.array(n), packed_all(nr[order], begins), packed_all(added, begins)]
+            out.append(pa.table(columns, names=["field", "value", "block", "n", "sents", "toks"]))
+        return pa.concat_tables(out) if out else pa.schema(LIST).empty_table()
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packs = sents.select("block", "nr", "toks", *(f"f{i}" for i in range(len(fields)))).repartition(parts, "block").groupBy("block").applyInArrow(lists, "field string, value string, block int, n bigint, sents binary, toks binary")
+    # lists of a frequent value are in a file for each ``TOGETHER`` blocks, so no task gets all of them
+    parted = packs.withColumn("part", _part(F.col("value"))).repartition("field", "part", F.floor(F.col("block") / TOGETHER)).sortWithinPartitions("field", "part", "value", "block")
     parted.write.mode("errorifexists").partitionBy("field", "part").parquet(f"{path}/lists")
 
 

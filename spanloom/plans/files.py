@@ -156,8 +156,10 @@ _INDEXED = f"""{_TOKENS}, freq AS (SELECT word, count(*) AS n FROM tokens GROUP
 def _index(spark, sf_dir):
     """An index of words and of their first letters' classes, and the four most frequent words."""
     path = _folder(spark, "index")
-    shape = F.when(F.rlike("word", F.lit("^[A-Z]")), "capital").otherwise("other").alias("shape")
-    index.build(_corpus(spark, sf_dir).tokens.select("*", shape), path, ["word", "shape"])
+    shape = lambda x: F.when(F.rlike(x["word"], F.lit("^[A-Z]")), "capital").otherwise("other")
+    corpus = _corpus(spark, sf_dir)
+    corpus = C.of_arrays(corpus, corpus.arrays.select(*C.KEYS["sentence"], F.transform("t", lambda x: F.struct(x["word"], shape(x).alias("shape"))).alias("t")))
+    index.build(corpus, path, ["word", "shape"])
     top = index.lexicon(spark, path, "word").orderBy(F.desc("freq"), "value").limit(4)
     return path, [r["value"] for r in top.collect()]
 

@@ -2,10 +2,12 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.operators import index
 from spanloom.operators.index import Step, Where
 from spanloom.operators.relation import BadData
+from spanloom.sources import corpus as C
 
 WORDS = ["a", "b", "c", "dd", "é", "the"]
 
@@ -95,3 +97,21 @@ def test_empty(spark, tokens, tmp_path):
     index.build(tokens[1].limit(0), f"file://{tmp_path}/e", ["word"])
     assert index.lexicon(spark, f"file://{tmp_path}/e", "word").count() == 0
     assert index.find(spark, f"file://{tmp_path}/e", [Step({"word": "a"}), Step({"word": "b"})]).count() == 0
+
+
+def test_lists_are_packed_together_as_one_by_one():
+    rng = np.random.default_rng(3)
+    parts = [np.sort(rng.integers(0, most, n)) for n, most in [(1, 10), (5, 300), (3, 1 << 17), (4, 1 << 40), (2, 255), (1, 1 << 33), (300, 1000)]]
+    begins = np.cumsum([0, *map(len, parts)])[:-1]
+    assert [x.as_py() for x in index.packed_all(np.concatenate(parts), begins)] == [index.packed(p) for p in parts]
+
+
+def test_an_index_is_made_without_a_row_for_each_token(spark, tmp_path, monkeypatch):
+    """build: a corpus that has arrays is never read by its tokens; lists of one value are in several files."""
+    corpus = C.from_texts(spark.createDataFrame([(i, "a b a. B a\nc a b") for i in range(40)], "id long, text string"), "id", "text")
+    monkeypatch.setattr(index, "BLOCK", 20)
+    monkeypatch.setattr(index, "TOGETHER", 1)
+    index.build(corpus._replace(tokens=corpus.tokens.withColumn("word", F.raise_error(F.lit("tokens were read")).cast("string"))).with_arrays(corpus.arrays), f"{tmp_path}/i", ["word"])
+    assert {r["value"]: r["freq"] for r in index.lexicon(spark, f"{tmp_path}/i", "word").collect()} == {"a": 160, "b": 80, "B": 40, "c": 40}
+    found = index.find(spark, f"{tmp_path}/i", [index.Step({"word": "a"}), index.Step({"word": "b"}), index.Step({"word": "a"}, (0, 1))])
+    assert sorted({(r["para_no"], r["sent_no"], r["first"], r["last"]) for r in found.collect()}) == [(1, 1, 1, 3)]
