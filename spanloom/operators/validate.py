@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from spanloom.functions.text import CHARACTER_KINDS
-from spanloom.sources.corpus import KEYS
+from spanloom.sources.corpus import KEYS, Corpus, gathered
 
 #: The longest line and attribute value, in bytes.
 MAX_LINE, MAX_VALUE = 65534, 4095
@@ -74,15 +74,17 @@ def issue_summary(issues: DataFrame) -> DataFrame:
     return issues.groupBy("kind", "level", "issue").agg(F.count("*").alias("n"), F.min("nr").alias("first"))
 
 
-def tree_issues(tokens: DataFrame, ref: str, head: str, several_roots: bool = False) -> DataFrame:
+def tree_issues(tokens: DataFrame | Corpus, ref: str, head: str, several_roots: bool = False) -> DataFrame:
     """Per sentence with a dependency tree that isn't one: keys, issue.
 
     Heads of a sentence are one array; from each token, heads are followed by doubling, as
     often as the sentence's size asks for. What hasn't reached the root by then is on a cycle.
     """
     keys = KEYS["sentence"]
-    heads = tokens.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(ref).cast("int").alias("r"), F.col(head).cast("int").alias("h")))).alias("t"))
-    heads = heads.select(*keys, F.transform("t", lambda x: x["r"]).alias("r"), F.transform("t", lambda x: F.coalesce(x["h"], F.lit(-1))).alias("h"))
+    heads = gathered(tokens, [ref, head]).select(*keys, F.array_sort(F.transform("t", lambda x: F.struct(x[ref].cast("int").alias("r"), x[head].cast("int").alias("h")))).alias("t"))
+    # through a row of its own, so that what makes the arrays isn't merged into each expression that reads them
+    both = F.struct(F.transform("t", lambda x: x["r"]).alias("r"), F.transform("t", lambda x: F.coalesce(x["h"], F.lit(-1))).alias("h"))
+    heads = heads.select(*keys, F.inline(F.array(both)))
     n = F.size("h")
     sequential = F.col("r") == F.sequence(F.lit(1), n)
     in_range = F.forall("h", lambda x: (x >= 0) & (x <= F.size("h")))
