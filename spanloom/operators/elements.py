@@ -521,6 +521,11 @@ def add_place_names(corpus: Corpus, attribute: str, level: str = "text", tag: st
     """Fields lemma, pos and msd: the first token of a sentence gets the place that an attribute names and ``tag``, all others ``none``."""
     keys = KEYS[level]
     places = corpus.level(level).select(*keys, attr(attribute).alias("__place"))
-    first = (F.col("tok_no") == F.min("tok_no").over(Window.partitionBy(*KEYS["sentence"]))) & (F.coalesce("__place", F.lit("")) != "")
-    rows = corpus.tokens.join(places, keys, "left")
+    named = F.coalesce("__place", F.lit("")) != ""
+    if corpus.arrays is not None:  # sentences are joined, not tokens
+        rows = corpus.arrays.join(places, keys, "left").select(*KEYS["sentence"], "__place", F.posexplode("t").alias("pos", "x"))
+        rows, first = rows.select(*KEYS["sentence"], (F.col("pos") + 1).cast("long").alias("tok_no"), "x.*", "__place"), named & (F.col("tok_no") == 1)
+    else:
+        rows = corpus.tokens.join(places, keys, "left")
+        first = (F.col("tok_no") == F.min("tok_no").over(Window.partitionBy(*KEYS["sentence"]))) & named
     return corpus.with_level("token", rows.select(*corpus.tokens.columns, F.when(first, F.col("__place")).otherwise(none).alias("lemma"), F.when(first, tag).otherwise(none).alias("pos"), F.lit("").alias("msd")))
