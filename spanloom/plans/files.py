@@ -59,9 +59,8 @@ def vertical_by_attribute(spark, sf_dir):
 @query(f"WITH {_TOKENS} SELECT word AS form, lower(word) AS lemma, count(*) AS n FROM tokens GROUP BY 1, 2")
 def conll_round_trip(spark, sf_dir):
     path = _folder(spark, "conll")
-    item = F.struct("tok_no", F.concat_ws("\t", F.col("tok_no").cast("string"), "word", F.lower("word")).alias("l"))
-    lines = F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["l"]), "\n")
-    _corpus(spark, sf_dir).tokens.groupBy(*C.KEYS["sentence"]).agg(lines.alias("value")).select(F.concat(F.lit("# sent\n"), "value")).write.option("lineSep", "\n\n").text(path)
+    line = lambda x, i: F.concat_ws("\t", (i + 1).cast("string"), x["word"], F.lower(x["word"]))
+    _corpus(spark, sf_dir).arrays.select(F.array_join(F.transform("t", line), "\n").alias("value")).select(F.concat(F.lit("# sent\n"), "value")).write.option("lineSep", "\n\n").text(path)
     return formats.conll(spark, path, ["id", "form", "lemma"]).groupBy("form", "lemma").agg(F.count("*").alias("n"))
 
 
