@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -102,14 +102,31 @@ def substitute(x: Column, pattern: str, by: str, flags: str = "") -> Column:
     return F.regexp_replace(x, f"^((?s:.*?)){pattern}", "$1" + moved)
 
 
+SLICE = 1 << 18  #: characters that a value function holds as Python strings
+
+
+def sliced(function: Callable[[str], str], values: pa.Array) -> Iterator[pa.Array]:
+    """The function of each value; null stays null. Only a slice of the batch is Python strings at a time."""
+    part, size = [], 0
+    for x in values:
+        value = x.as_py()
+        part.append(None if value is None else function(value))
+        size += len(value or "")
+        if size > SLICE:
+            yield pa.array(part, pa.string())
+            part, size = [], 0
+    yield pa.array(part, pa.string())
+
+
 def _value_function(function: Callable[[str], str]) -> Callable[[Column], Column]:
     """A function of one string over Arrow batches; null stays null."""
 
     def apply(x: Column) -> Column:
-        def batch(values: pd.Series) -> pd.Series:
-            return values.map(function, na_action="ignore")
+        def batches(values: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for b in values:
+                yield from sliced(function, b)
 
-        return F.pandas_udf(batch, "string")(x)
+        return F.arrow_udf(batches, "string")(x)
 
     return apply
 
@@ -123,8 +140,20 @@ def _from_mojibake(v: str) -> str:
     return v
 
 
+class _Stripped(dict):
+    """What a character of a composed string becomes, worked out when it is first met."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = c if c in "åäöÅÄÖ" else "".join(d for d in unicodedata.normalize("NFKD", c) if not unicodedata.combining(d))
+        return self[code]
+
+
+_stripped = _Stripped()
+
+
 def _strip_marks(v: str) -> str:
-    return "".join(c if c in "åäöÅÄÖ" else "".join(d for d in unicodedata.normalize("NFKD", c) if not unicodedata.combining(d)) for c in unicodedata.normalize("NFC", v))
+    return v if v.isascii() else unicodedata.normalize("NFC", v).translate(_stripped)
 
 
 def repair_mojibake(x: Column) -> Column:

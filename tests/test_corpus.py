@@ -367,3 +367,20 @@ def test_ids_beyond_their_width_stay_whole(spark):
     corpus = C.from_texts(spark.createDataFrame([(1, "a. " * 1200)], "id long, text string"), "id", "text")
     ids = [r["attrs"]["id"] for r in elements.add_ids(corpus, "sentence", "id", "s", 3).sentences.orderBy(*C.KEYS["sentence"]).collect()]
     assert len(set(ids)) == 1200 and ids[0] == "s001" and ids[-1] == "s1200"
+
+
+def test_values_are_python_strings_by_slices():
+    """Of a batch, only a slice at a time; null and empty values stay."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    values = pa.array([None, "", *("façadeä ǅ ﬁ " * 2000 for _ in range(400))])
+    got, most = [], 0
+    tracemalloc.start()
+    for part in T.sliced(T._strip_marks, values):
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        got.append(part)
+    tracemalloc.stop()
+    assert most < values.nbytes / 3
+    assert pa.concat_arrays(got).to_pylist() == [None, "", *(["facadeä Dz fi " * 2000] * 400)]
