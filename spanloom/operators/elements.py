@@ -333,7 +333,7 @@ def sample_tokens(corpus: Corpus, n: int, seed: int = 0) -> DataFrame:
 
 def seeds(corpus: Corpus, length: int, distance: int, most: int | None = None, how: str = "even", seed: int = 0) -> DataFrame:
     """Every ``distance``-th stretch of ``length`` tokens of a sentence, as one string; with ``most``, that many of them at most, evenly spaced in order or at random."""
-    words = corpus.tokens.groupBy(*KEYS["sentence"]).agg(F.transform(F.array_sort(F.collect_list(F.struct("tok_no", "word"))), lambda x: x["word"]).alias("w")).where(F.size("w") >= length)
+    words = sentence_arrays(corpus).select(*KEYS["sentence"], F.transform("t", lambda x: x["word"]).alias("w")).where(F.size("w") >= length)
     starts = F.sequence(F.lit(1), F.size("w") - length + 1, F.lit(distance))
     found = words.select(*KEYS["sentence"], F.posexplode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(length)), " "))).alias("seed_no", "seed"))
     if most is None:
@@ -341,13 +341,18 @@ def seeds(corpus: Corpus, length: int, distance: int, most: int | None = None, h
     keys = [*KEYS["sentence"], "seed_no"]
     if how == "random":
         return found.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(most)
-    ranked = numbered(found, [F.col(k) for k in keys], "__nr")
-    n = ranked.count()
+    # a seed's place is told by how many seeds the texts before its own have, so only texts with chosen ones are looked at again
+    texts = Scratch(words.sparkSession, "seeds").write(words.groupBy("text_id").agg(F.sum(F.size(starts)).cast("long").alias("__n")))
+    n = texts.agg(F.sum("__n")).first()[0] or 0
     if n <= most:
-        return ranked.drop("__nr")
+        return found
     # the k-th of ``most`` is the first whose share of the order reaches k / most
     step = lambda nr: F.floor(nr * most / n)
-    return ranked.where(step(F.col("__nr")) > step(F.col("__nr") - 1)).drop("__nr")
+    upto = running_sum(texts, [F.col("text_id")], F.col("__n"), "__upto")
+    hold = upto.select(F.col("text_id").alias("__text"), (F.col("__upto") - F.col("__n")).alias("__before"), "__upto").where(step(F.col("__upto")) > step(F.col("__before")))
+    near = found.join(hold.drop("__upto"), F.col("text_id").eqNullSafe(F.col("__text")))
+    place = F.col("__before") + F.row_number().over(Window.partitionBy("text_id").orderBy(*keys))
+    return near.withColumn("__nr", place).where(step(F.col("__nr")) > step(F.col("__nr") - 1)).select(*keys, "seed")
 
 
 def content_hash(corpus: Corpus, level: str) -> DataFrame:
