@@ -206,23 +206,35 @@ def write_vertical(corpus: Corpus, path: str, partition_by: str | None = None) -
         rows.orderBy("text_id").select("value").write.mode("errorifexists").text(path)
 
 
+def flat_sentences(corpus: Corpus, spans: DataFrame) -> DataFrame:
+    """As ``flat``, but keys of each sentence with tokens and t, an array of structs of tok_no, the fields, before and after."""
+    keys = KEYS["sentence"]
+    tags = spans.where("first IS NOT NULL OR last IS NOT NULL").groupBy(*keys).agg(F.collect_list(F.struct("first", "last", "tag")).alias("s"))
+    # what opens or closes there: at a token, the longer span is outside
+    opens = lambda s, nr: F.array_sort(F.transform(F.filter(s, lambda x: x["first"] == nr), lambda x: F.struct((-x["last"]).alias("o"), x["tag"].alias("tag"))))
+    closes = lambda s, nr: F.array_sort(F.transform(F.filter(s, lambda x: x["last"] == nr), lambda x: F.struct((-x["first"]).alias("o"), x["tag"].alias("tag"))))
+    names = lambda l: F.transform(l, lambda x: x["tag"])
+    s = F.coalesce("s", F.array().cast(tags.schema["s"].dataType))
+    token = lambda x: F.struct(*(x[c].alias(c) for c in ("tok_no", *corpus.fields)), names(opens(F.col("s"), x["tok_no"])).alias("before"), names(closes(F.col("s"), x["tok_no"])).alias("after"))
+    return gathered(corpus, corpus.fields).join(tags, keys, "left").select(*keys, "t", s.alias("s")).select(*keys, F.transform("t", token).alias("t"))
+
+
 def flat(corpus: Corpus, spans: DataFrame) -> DataFrame:
     """Tokens with a field for the markup inside sentences. spans: text_id, para_no, sent_no, first, last, tag. Adds before and after, arrays of tags."""
-    keys = KEYS["sentence"]
-    opens = spans.groupBy(*keys, F.col("first").alias("tok_no")).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("last")).alias("l"), "tag"))), lambda x: x["tag"]).alias("before"))
-    closes = spans.groupBy(*keys, F.col("last").alias("tok_no")).agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("first")).alias("f"), "tag"))), lambda x: x["tag"]).alias("after"))
-    none = F.array().cast("array<string>")
-    return corpus.tokens.join(opens, KEYS["token"], "left").join(closes, KEYS["token"], "left").withColumns({"before": F.coalesce("before", none), "after": F.coalesce("after", none)})
+    return flat_sentences(corpus, spans).select(*KEYS["sentence"], F.explode("t").alias("x")).select(*KEYS["sentence"], "x.*")
+
+
+def deep_sentences(sentences: DataFrame, fields: Sequence[str], markup: Sequence[str] = ("before", "after")) -> DataFrame:
+    """The inverse of ``flat_sentences``, as lines: keys of the sentence, line_no, line; tags stand between tokens again. Nothing is shuffled."""
+    token = lambda x: F.concat_ws("\t", *(T.escape_field(F.coalesce(x[f], F.lit("_"))) for f in fields))
+    ends = lambda x: F.transform(x[markup[1]], lambda t: F.concat(F.lit("</"), F.regexp_extract(t, r"^<([^ >/]+)", 1), F.lit(">")))
+    lines = F.flatten(F.transform("t", lambda x: F.concat(x[markup[0]], F.array(token(x)), ends(x))))
+    return sentences.select(*KEYS["sentence"], F.posexplode(lines).alias("i", "line")).select(*KEYS["sentence"], (F.col("i") + 1).alias("line_no"), "line")
 
 
 def deep(tokens: DataFrame, fields: Sequence[str], markup: Sequence[str] = ("before", "after")) -> DataFrame:
     """The inverse of ``flat``, as lines: keys of the sentence, line_no, line; tags stand between tokens again."""
-    keys = KEYS["sentence"]
-    token = F.concat_ws("\t", *(T.escape_field(F.coalesce(col(f), F.lit("_"))) for f in fields))
-    ends = F.transform(markup[1], lambda t: F.concat(F.lit("</"), F.regexp_extract(t, r"^<([^ >/]+)", 1), F.lit(">")))
-    own = F.concat(F.col(markup[0]), F.array(token), ends)
-    lines = tokens.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("tok_no", own.alias("l")))).alias("t"))
-    return lines.select(*keys, F.posexplode(F.flatten(F.transform("t", lambda x: x["l"]))).alias("i", "line")).select(*keys, (F.col("i") + 1).alias("line_no"), "line")
+    return deep_sentences(gathered(tokens, [*fields, *markup]), fields, markup)
 
 
 def nested_json(corpus: Corpus) -> DataFrame:
