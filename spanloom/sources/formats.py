@@ -108,20 +108,9 @@ WARC = b"WARC/1.0\r\n"
 
 
 def _warc_pieces(spark: SparkSession, path: str) -> DataFrame:
-    """Files cut where a record may begin: file, block (where the piece's split begins), nr in it, piece."""
-    rows = spark.read.option("lineSep", WARC.decode()).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("piece"))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, nr = None, 0
-        for b in batches:
-            numbers = []
-            for own in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                nr = nr + 1 if own == at else 0
-                at = own
-                numbers.append(nr)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(numbers, pa.int64()), b.column(2)], ["file", "block", "nr", "piece"])
-
-    return rows.mapInArrow(number, "file string, block bigint, nr bigint, piece binary")
+    """Files cut where a record may begin: file, block (where the piece's split begins), id (in order within a block), piece."""
+    rows = spark.read.option("lineSep", WARC.decode()).text(path)
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("piece"))
 
 
 def _warc_head(piece: bytes) -> tuple[dict[str, str], int, int]:
@@ -141,14 +130,15 @@ def _warc_chain(pieces: DataFrame) -> DataFrame:
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(len(x), *_warc_head(x)[1:]) for x in b.column(3).to_pylist()]
-            columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(3)), *columns], ["file", "block", "nr", "length", "body", "size"])
+            found = [_warc_head(x)[1:] if x is not None else (-1, -1) for x in b.column(4).to_pylist()]
+            columns = [pa.array([f[i] for f in found], pa.int64()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(4)), *columns], ["file", "block", "id", "length", "body", "size"])
 
     def walk(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["block", "nr"])
-        key, length, body, size = df[["block", "nr"]].to_numpy(), df["length"].to_numpy(), df["body"].to_numpy(), df["size"].to_numpy()
-        out, i, n = [], 1, len(df)  # the first piece stands before the first record
+        df = df.sort_values(["block", "id"])
+        df["nr"] = df.groupby("block").cumcount()
+        key, length, body, size = df[["block", "id", "nr"]].to_numpy(), df["length"].to_numpy(), df["body"].to_numpy(), df["size"].to_numpy()
+        out, i, n = [(0, "before", 0, None)] if len(df) else [], 1, len(df)  # the first piece stands before the first record
         while i < n:
             if body[i] < 0 or size[i] < 0:
                 out.append((i, "error", i, "no end of the head" if body[i] < 0 else "no content length"))
@@ -166,22 +156,37 @@ def _warc_chain(pieces: DataFrame) -> DataFrame:
                 out += [(j, "part", i, None) for j in range(i, end)]
             i = end
         file = df["file"].iloc[0] if n else None
-        rows = [(file, *key[j], kind, f"{key[first][0]}:{key[first][1]}", why) for j, kind, first, why in out]
-        return pd.DataFrame(rows, columns=["file", "block", "nr", "kind", "first", "error"])
+        rows = [(file, *key[j], kind, f"{key[first][0]}:{key[first][2]}", why) for j, kind, first, why in out]
+        return pd.DataFrame(rows, columns=["file", "block", "id", "nr", "kind", "first", "error"])
+
+    # Python gets heads only, with their end, and none where a piece has no end of a head
+    head = F.when(F.contains("piece", F.lit("\r\n\r\n")), F.concat(F.substring_index("piece", "\r\n\r\n", 1), F.lit("\r\n\r\n"))).cast("binary")
+    claims = pieces.select("file", "block", "id", F.octet_length("piece").cast("long").alias("length"), head.alias("head"))
+    claims = claims.mapInArrow(sizes, "file string, block bigint, id bigint, length bigint, body bigint, size bigint")
+    return claims.groupBy("file").applyInPandas(walk, "file string, block bigint, id bigint, nr bigint, kind string, first string, error string")
 
-    claims = pieces.mapInArrow(sizes, "file string, block bigint, nr bigint, length bigint, body bigint, size bigint")
-    return claims.groupBy("file").applyInPandas(walk, "file string, block bigint, nr bigint, kind string, first string, error string")
+
+SLICE = 1 << 20  #: bytes of records that a task holds as Python objects
 
 
 def _warc_parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["uri", "date", "body"])
+
     for b in batches:
         out: list[tuple] = []
-        for x in b.column(0).to_pylist():
+        held = 0
+        for value in b.column(0):
+            x = value.as_py()
             fields, body, size = _warc_head(x)
             if fields.get("warc-type") == "response" and body >= 0 and 0 <= size <= len(x) - body:
                 out.append((fields.get("warc-target-uri"), fields.get("warc-date"), x[body : body + size].partition(b"\r\n\r\n")[2].decode("utf-8", "replace")))
-        columns = list(zip(*out, strict=True)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["uri", "date", "body"])
+                held += size
+            if held > SLICE:
+                yield batch(out)
+                out, held = [], 0
+        yield batch(out)
 
 
 def warc_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -192,9 +197,10 @@ def warc_responses(spark: SparkSession, path: str) -> DataFrame:
     """
     pieces = _warc_pieces(spark, path)
     chain = _warc_chain(pieces)
-    key = ["file", "block", "nr"]
-    whole = pieces.where("block > 0 OR nr > 0").join(chain.select(*key), key, "left_anti").select("piece")
-    parts = pieces.join(chain.where("kind = 'part'").select(*key, "first"), key).groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("block", "nr", "piece"))).alias("p"))
+    key = ["file", "block", "id"]
+    binary = F.col("piece").cast("binary").alias("piece")
+    whole = pieces.join(chain.select(*key), key, "left_anti").select(binary)
+    parts = pieces.select(*key, binary).join(chain.where("kind = 'part'").select(*key, "first"), key).groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("block", "id", "piece"))).alias("p"))
     joined = parts.select(F.expr("aggregate(slice(p, 2, size(p)), p[0].piece, (a, x) -> concat(a, encode('WARC/1.0\r\n', 'UTF-8'), x.piece))").alias("piece"))
     return whole.union(joined).mapInArrow(_warc_parsed, "uri string, date string, body string")
 
