@@ -17,7 +17,11 @@ pair is verified. Of two documents with different ``l``, the smaller one counts:
    clusters. A cluster of at most ``CLUSTER`` tokens and ``MEMBERS`` documents is worked by one task: a breadth-first search
    over an inverted list of the lengthened prefixes, in which a document that is reached is not compared again, so a
    group of copies takes few comparisons. Beyond ``WORK`` steps the cluster is handed on, with nothing lost.
-6. Those and larger clusters are worked in rounds (``rounds``): each token's documents name leaders, which are compared with
+6. In those and in larger clusters, most ties are by chance, and the more documents there are, the more of them chance ties to
+   one another. There, two documents of a token are tied (``tied``) only if the bits of their sets allow it: each token
+   flips one bit, so bits that differ are at most as many as tokens that only one of the two has. Bits are as many as
+   tokens, and no link is lost. What is tied then makes new clusters, which are worked as in 5.
+7. What is still too large or too much work is worked in rounds (``rounds``): each token's documents name leaders, which are compared with
    the token's other documents in other components; then they lead no more. Rounds end when no token has two documents in
    different components that have not led. No pairs within a component are made, and the documents of a frequent token
    are dealt over tasks.
@@ -48,6 +52,7 @@ SHARE = 20  #: prefixes in the order of hashes are longer by one token for so ma
 CLUSTER, MEMBERS = 4_000_000, 20_000  #: tokens and documents of a cluster that a task holds
 WORK = 300_000_000  #: prefix matches and verified tokens that a task spends on a cluster
 ENTRY = 4  #: what a prefix token costs by itself, in matches
+BLOCK = 10_000  #: documents of a token whose bits a task compares with those of as many others
 HELD = 2000  #: rows of one key in a join that a task gets, but for a fixed share of a hotter key's
 
 
@@ -211,6 +216,127 @@ def resolve(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("cluster", "id", "n", "ask", "long", "tokens").mapInArrow(tw.tidy(stream), "node bigint, comp bigint")
 
 
+def bits(tokens: np.ndarray) -> bytes:
+    """A bit for each token, flipped by it, at least as many as there are tokens (a power of two)."""
+    width = 1 << max(6, int(len(tokens) - 1).bit_length())
+    at = np.bincount((tokens.view(np.uint64) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(at.astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(rows: np.ndarray, words: int) -> np.ndarray:
+    """rows of 64-bit words, each as it would be with fewer bits."""
+    while rows.shape[1] > words:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
+
+
+def _few(n: list[int], size: list[int], sets: list[bytes], percent: int) -> tuple[list[int], list[int]]:
+    """What ``forest`` does, for few documents: numbers of any length take less time than arrays."""
+    ints, width = [int.from_bytes(x, "little") for x in sets], [8 * len(x) for x in sets]
+    free = list(range(len(n)))
+    a, b = [], []
+    while free:
+        todo = [free.pop()]
+        while todo:
+            x = todo.pop()
+            rest = []
+            for y in free:
+                shared = -(-percent * (n[x] + n[y]) // (100 + percent))
+                p, q, w, v = ints[x], ints[y], width[x], width[y]
+                while w > v:
+                    w //= 2
+                    p = (p >> w) ^ (p & ((1 << w) - 1))
+                while v > w:
+                    v //= 2
+                    q = (q >> v) ^ (q & ((1 << v) - 1))
+                if shared <= min(size[x], size[y]) and (p ^ q).bit_count() <= size[x] + size[y] - 2 * shared:
+                    a.append(x)
+                    b.append(y)
+                    todo.append(y)
+                else:
+                    rest.append(y)
+            free = rest
+    return a, b
+
+
+def forest(n: np.ndarray, size: np.ndarray, sets: list[bytes], percent: int) -> tuple[list[int], list[int]]:
+    """Pairs (by place) whose bits allow a link, as far as they are needed to connect what such pairs connect. size: tokens that make the bits."""
+    if len(n) <= 16:
+        return _few(n.tolist(), size.tolist(), sets, percent)
+    width = np.array([len(x) // 8 for x in sets])
+    groups = {int(w): np.flatnonzero(width == w) for w in np.unique(width)}  # rows of one width are compared at once
+    rows = {w: np.frombuffer(b"".join(sets[i] for i in at.tolist()), "<u8").reshape(-1, w) for w, at in groups.items()}
+    free = np.ones(len(n), bool)
+    a, b = [], []
+    for seed in range(len(n)):
+        if not free[seed]:
+            continue
+        free[seed], todo = False, [seed]
+        while todo:
+            x = todo.pop()
+            own = np.frombuffer(sets[x], "<u8").reshape(1, -1)
+            for w, at in groups.items():
+                keep = free[at]
+                if 2 * np.count_nonzero(keep) < len(at):
+                    groups[w], rows[w], at = at[keep], rows[w][keep], at[keep]
+                    keep = np.ones(len(at), bool)
+                shared = -(-percent * (n[x] + n[at]) // (100 + percent))  # what a link takes
+                spare = size[x] + size[at] - 2 * shared
+                found = np.flatnonzero(keep & (spare >= 0) & (shared <= np.minimum(size[x], size[at])))
+                if not len(found):
+                    continue
+                least = min(w, own.shape[1])
+                apart = np.bitwise_count(fold(rows[w][found], least) ^ fold(own, least)).sum(axis=1, dtype=np.int64)
+                met = at[found[apart <= spare[found]]].tolist()
+                free[met] = False
+                a += [x] * len(met)
+                b += met
+                todo += met
+    return a, b
+
+
+def tied(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """members: token, id, k. sets: as ``adapted`` gives them, written. Pairs (a, b: ids) that share a token of ``members`` and whose bits allow a link, or as few of them as connect the same."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            lists = x.column(3)
+            made = pa.array([bits(lists[i].values.to_numpy()) for i in range(len(lists))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(x.column(i) for i in range(3)), lists.value_lengths(), made], ["id", "k", "n", "size", "bits"])
+
+    def solve(t: pa.Table) -> pa.RecordBatch:
+        keys = np.stack([t.column(c).to_numpy() for c in ("token", "i", "j")])
+        begins = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
+        ids, n, size = (t.column(c).to_numpy() for c in ("id", "n", "size"))
+        sets = t.column("bits").to_pylist()
+        a, b = [], []
+        for lo, hi in zip(begins.tolist(), [*begins[1:].tolist(), len(ids)], strict=True):
+            x, y = forest(n[lo:hi], size[lo:hi], sets[lo:hi], percent)
+            a += [lo + v for v in x]
+            b += [lo + v for v in y]
+        return pa.RecordBatch.from_arrays([pa.array(ids[np.array(a, np.int64)]), pa.array(ids[np.array(b, np.int64)])], ["a", "b"])
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in tw.whole_groups(batches, 5000):
+            yield solve(t)
+
+    # near copies share many tokens: of tokens that the same documents have, one is enough
+    whose = members.groupBy("token").agg(F.count("*").alias("m"), F.sum(F.xxhash64("id", "k").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("k", "id")).alias("x"))
+    tokens = scratch.write(whose.where("m > 1").groupBy("m", "s", "x").agg(F.min("token").alias("token")).select("token", "m"))
+    members = scratch.write(hot_join(members, tokens, ["token"], "m", HELD))
+    signed = scratch.write(sets.select("id", "k", "n", "tokens").mapInArrow(tw.tidy(sign), "id bigint, k bigint, n bigint, size int, bits binary"))
+    # the documents of a frequent token are dealt to parts, and any two parts meet in a group of their own
+    dealt = members.join(signed, ["id", "k"])
+    group = [F.xxhash64("token", "i", "j").alias("group"), "token", "i", "j", "id", "n", "size", "bits"]
+    once = dealt.where(F.col("m") <= BLOCK).withColumns({"i": F.lit(0), "j": F.lit(0)}).select(*group)
+    parts = F.ceil(F.col("m") / (BLOCK // 2)).cast("int")
+    often = dealt.where(F.col("m") > BLOCK).withColumn("p", F.pmod(F.xxhash64("id", "k"), parts).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), parts - 1))).where("o <> p")
+    often = often.withColumns({"i": F.least("p", "o"), "j": F.greatest("p", "o")}).select(*group)
+    rows = once.unionByName(often) if not tokens.where(F.col("m") > BLOCK).isEmpty() else once
+    return rows.repartition("group").sortWithinPartitions("group", "token", "i", "j").mapInArrow(tw.tidy(stream), "a bigint, b bigint").where("a <> b").distinct()
+
+
 def rounds(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """members: token, id, k. sets: as ``adapted`` gives them, written. node, comp of those that have a link."""
     spark = members.sparkSession
@@ -254,6 +380,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch)
     return whole.where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).where("a <> b").distinct()
 
 
+def clustered(sets: DataFrame, clusters: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """sets: as ``adapted`` gives them, written. clusters: node, comp. What tasks resolve (node, comp), and the others' ids."""
+    clusters = scratch.write(clusters.select(F.col("node").alias("id"), F.col("comp").alias("cluster")))
+    held = scratch.write(sets.join(clusters, "id"))
+    large = scratch.write(held.groupBy("cluster").agg(F.sum(F.size("tokens")).alias("held"), F.count("*").alias("docs")).where((F.col("held") > CLUSTER) | (F.col("docs") > MEMBERS)))
+    small = held.join(F.broadcast(large) if large.limit(FEW + 1).count() <= FEW else large, "cluster", "left_anti")
+    found = scratch.write(resolve(small.repartition("cluster").sortWithinPartitions("cluster"), percent))
+    hard = scratch.write(found.where("comp IS NULL").select(F.col("node").alias("id")).union(clusters.join(large.select("cluster"), "cluster", "left_semi").select("id")).distinct())
+    return found.where("comp IS NOT NULL"), hard
+
+
 def classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, ``n_shingles``, ``component_id``."""
     scratch = Scratch(docs.sparkSession, "jaccard")
@@ -267,15 +404,15 @@ def classes(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, id_col:
     prefix = scratch.write(sets.select("id", "k", F.explode(F.slice("tokens", F.lit(1), F.col("short"))).alias("token")))
     shared = scratch.write(prefix.groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("m")).where("lo < hi").select("token", "lo", "m"))
     members = scratch.write(hot_join(prefix, shared, ["token"], "m", HELD).select("token", "id", "k", "lo"))
-    clusters = scratch.write(components(members.select(F.col("id").alias("a"), F.col("lo").alias("b")), scratch).select(F.col("node").alias("id"), F.col("comp").alias("cluster")))
-    held = scratch.write(sets.join(clusters, "id"))
-    large = scratch.write(held.groupBy("cluster").agg(F.sum(F.size("tokens")).alias("held"), F.count("*").alias("docs")).where((F.col("held") > CLUSTER) | (F.col("docs") > MEMBERS)))
-    small = held.join(F.broadcast(large) if large.limit(FEW + 1).count() <= FEW else large, "cluster", "left_anti")
-    found = scratch.write(resolve(small.repartition("cluster").sortWithinPartitions("cluster"), percent))
-    hard = scratch.write(found.where("comp IS NULL").select(F.col("node").alias("id")).union(clusters.join(large.select("cluster"), "cluster", "left_semi").select("id")).distinct())
-    found = found.where("comp IS NOT NULL")
+    clusters = components(members.select(F.col("id").alias("a"), F.col("lo").alias("b")), scratch)
+    members = members.select("token", "id", "k")
+    found, hard = clustered(sets, clusters, percent, scratch)
     if not hard.isEmpty():
-        found = found.union(rounds(members.select("token", "id", "k").join(hard, "id", "left_semi"), scratch.write(sets.join(hard, "id", "left_semi")), percent, scratch))
+        own, their = scratch.write(sets.join(hard, "id", "left_semi")), scratch.write(members.join(hard, "id", "left_semi"))
+        more, hard = clustered(own, components(tied(their, own, percent, scratch), scratch), percent, scratch)
+        found = found.union(more)
+        if not hard.isEmpty():
+            found = found.union(rounds(their.join(hard, "id", "left_semi"), scratch.write(own.join(hard, "id", "left_semi")), percent, scratch))
     found = scratch.write(found)
     # an id with several texts takes part as several sets, which are tied here
     several = rows.groupBy("id").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("id")

@@ -93,3 +93,48 @@ def test_prefixes_lengthen_where_candidates_are_many():
     for m in (rare, common, np.sort(np.random.default_rng(1).integers(2, 90, 60))):
         ask, long = jj.adapt(m, len(m) + 3, 85)
         assert 1 <= ask <= jj.overlap(len(m) + 3, 85) and long == len(m) - jj.overlap(len(m) + 3, 85) + ask <= len(m)
+
+
+def test_chance_ties_take_no_rounds(spark, monkeypatch):
+    """Documents that only share passages make one cluster, however few of them are linked; their bits take it apart."""
+    monkeypatch.setattr(jj, "MEMBERS", 6)
+    monkeypatch.setattr(jj, "BLOCK", 4)
+
+    def rounds(*_):
+        raise AssertionError("rounds")
+
+    monkeypatch.setattr(jj, "rounds", rounds)
+    rows = []
+    for i in range(40):
+        words = f"{cases.prose(400 + i, 60)} {cases.prose(500 + i // 8, 25)} {cases.prose(600 + (i + 4) // 8, 25)}".split()
+        rows.append((i, " ".join(words)))
+        if i % 5 == 0:
+            rows.append((100 + i, " ".join([*words[:50], "other", *words[51:]])))
+    got = sorted((tuple(r) for r in jj.classes(cases.documents(spark, rows)).collect()), key=str)
+    assert got == brute(rows) and any(c != i for i, _, c in got)
+
+
+def test_bits_lose_no_link():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(-(2**63), 2**63 - 1, 4000)
+    base = [rng.choice(pool, size, replace=False) for size in (1, 2, 63, 65, 127, 130, 500, 1030)]
+    sets = [x[rng.random(len(x)) > rng.choice([0, 0.02, 0.08, 0.2])] for x in base for _ in range(6)]
+    sets = [x for x in sets if len(x)]
+    own = rng.integers(0, 3, len(sets))  # tokens that no other set has
+    n, size, signs = np.array([len(x) for x in sets]) + own, np.array([len(x) for x in sets]), [jj.bits(x) for x in sets]
+
+    def parts(pairs, of):
+        comp = list(range(of))
+        for a, b in pairs:
+            comp = [comp[a] if c == comp[b] else c for c in comp]
+        return comp
+
+    for of in (12, len(sets)):  # few, and many at once
+        ties = parts(zip(*jj.forest(n[:of], size[:of], signs[:of], 85)), of)
+        few = parts(zip(*jj._few(n[:of].tolist(), size[:of].tolist(), signs[:of], 85)), of)
+        assert [[x == y for y in ties] for x in ties] == [[x == y for y in few] for x in few]
+        for i in range(of):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                assert 100 * both < 85 * (n[i] + n[j] - both) or ties[i] == ties[j]
+    assert len(set(ties)) > 4
