@@ -19,13 +19,14 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm import textwork as tw
 
 MEMO = 600_000
-PART = 1 << 19  #: characters
+PART = 1 << 21  #: characters that are split at a time
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -72,48 +73,65 @@ class Tokens:
         if len(self.memo) > self.most:
             self.memo, self.old = {"": b""}, self.memo
         memo, old = self.memo, self.old
-        parts, other = [], []
-        for x in stretches.difference(memo):
-            if x in old:
-                memo[x] = old[x]
-                continue
-            word, mark = (x[:-1], x[-1]) if x[-1] in self.MARKS else (x, "")
-            if word.isalpha() and "\u0130" not in word:
-                parts.append((x, word.lower() if word.isascii() else word, mark))
+        rest = stretches.difference(memo)
+        self._carry(rest)
+        plain, marked, other = [], [], []
+        for x in rest.difference(memo) if old else rest:
+            if x.isalpha():
+                (other if "\u0130" in x else plain).append(x)
+            elif x[-1] in self.MARKS and x[:-1].isalpha() and "\u0130" not in x:
+                marked.append(x)
             else:
                 other.append(x)
-        new = list({w for _, w, _ in parts}.difference(memo, old))
+        lower = [x.lower() if x.isascii() else x for x in plain]
+        words = [x[:-1].lower() if x.isascii() else x[:-1] for x in marked]
+        new = {*lower, *words}.difference(memo)
+        self._carry(new)
+        new = list(new.difference(memo) if old else new)
         memo.update(zip(new, self._words(new), strict=True))
-        for x, word, mark in parts:
-            own = memo.get(word) or old[word]
-            memo[x] = own + self.marks[mark] if mark else own
+        memo.update(zip(plain, map(memo.__getitem__, lower), strict=True))
+        memo.update((x, memo[w] + self.marks[x[-1]]) for x, w in zip(marked, words, strict=True))
         if other:
             memo.update(zip(other, self._each(other), strict=True))
 
-    @staticmethod
-    def split(text: str) -> list[str]:
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    def _carry(self, stretches: set[str]) -> None:
+        """What the older generation has of these is met again."""
+        if self.old:
+            self.memo.update((x, self.old[x]) for x in stretches if x in self.old)
 
     def __call__(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text. Texts go in groups, a very long one in parts, so that what is split at a time stays small."""
-        group: list[list[str]] = []
+        group: list[str] = []
         size = 0
         for text in texts:
             if len(text) > PART:
                 yield from self._group(group)
                 group, size = [], 0
-                yield b"".join(x for part in self._parts(text) for x in self._group([self.split(part)]))
+                yield b"".join(x for part in self._parts(text) for x in self._group([part]))
                 continue
-            group.append(self.split(text))
+            group.append(text)
             size += len(text)
             if size > PART:
                 yield from self._group(group)
                 group, size = [], 0
         yield from self._group(group)
 
-    def _group(self, group: list[list[str]]) -> list[bytes]:
-        self.fill(set().union(*group))
-        return [b"".join(map(self.memo.__getitem__, x)) for x in group]
+    def _group(self, texts: list[str]) -> list[bytes]:
+        """Only distinct stretches become strings here; a text's ids are gathered from theirs."""
+        if not texts:
+            return []
+        lists = pc.split_pattern(pa.array([x.replace("\n", " ").replace("\t", " ").replace("\r", " ") for x in texts], pa.string()), " ")
+        stretches = lists.flatten().dictionary_encode()
+        distinct, at = stretches.dictionary.to_numpy(zero_copy_only=False).tolist(), stretches.indices.to_numpy()
+        self.fill(set(distinct))
+        found = list(map(self.memo.__getitem__, distinct))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        size = size[at]
+        end = np.concatenate([[0], np.cumsum(size)])
+        ids = flat[np.repeat(first[at] - end[:-1], size) + np.arange(end[-1])]
+        bounds = end[lists.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     @staticmethod
     def _parts(text: str) -> Iterator[str]:

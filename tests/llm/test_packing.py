@@ -57,3 +57,25 @@ def test_pack(spark, group_docs):
 
 def test_empty(spark):
     assert packing.pack(cases.documents(spark, []), P).count() == 0
+
+
+def test_only_distinct_stretches_are_looked_up(monkeypatch):
+    """A word that a group of texts repeats is one string and one look-up; ids stay those of the tokenizer."""
+    seen = []
+    fill = packing.Tokens.fill
+
+    class Counted(dict):
+        def __getitem__(self, x):
+            seen.append(x)
+            return super().__getitem__(x)
+
+    def filled(self, stretches):
+        fill(self, stretches)
+        self.memo = Counted(self.memo)
+
+    tokens = packing.Tokens(P)
+    monkeypatch.setattr(packing.Tokens, "fill", filled)
+    texts = ["one two, One\ttwo, two! " * 500, "", "two, İx İx."]
+    got = list(tokens(texts))
+    assert len(seen) < 20
+    assert got == [np.array(tokens.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
