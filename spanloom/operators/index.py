@@ -1,9 +1,11 @@
 """An index of token positions by field and value, and lookups of token sequences in it.
 
-Sentences are dealt to blocks of about ``BLOCK`` tokens and numbered within their block. For each field, value and block
-there is one row: how many positions it has, and the positions (sentence within the block, token within the sentence) as
-differences of the fewest bytes that hold them. Rows are in folders by field and by a hash of the value, sorted by value, so a
-lookup reads the files of its values only. A frequent value has a row in every block, so no list grows with the corpus.
+A task cuts the sentences that it reads into blocks of about ``BLOCK`` tokens and numbers them within their block. For each
+field, value and block there is one row: how many positions it has, and the positions (sentence within the block, token within
+the sentence) as differences of the fewest bytes that hold them. Rows are in folders by field and by a hash of the value, sorted
+by value, so a lookup reads the files of its values only. A frequent value has a row in every block, so no list grows with the
+corpus. Keys of a block's sentences are a row without a field. All rows are written where sentences were read: nothing is
+shuffled and nothing but the index is written, in a file for each folder and task.
 
 A lookup gathers the lists of its steps by block and intersects them there: a step's lists of several fields, then each
 step with the one before, at any distance in its gap. Sequences never cross a sentence.
@@ -11,25 +13,28 @@ step with the one before, at any distance in its gap. Sequences never cross a se
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.operators.relation import BadData, col
-from spanloom.session import Scratch
 from spanloom.sources.corpus import KEYS, Corpus, gathered
 
 BLOCK = 1_000_000  #: tokens of a block, about
 PARTS = 256  #: folders of a field, by hash of value
-SENTENCES = "text_id string, para_no bigint, sent_no bigint, size bigint, nr int, block int"
 TOGETHER = 64  #: blocks whose lists of a value may share a file
-LIST = [("field", pa.string()), ("value", pa.string()), ("block", pa.int32()), ("n", pa.int64()), ("sents", pa.binary()), ("toks", pa.binary())]
-LISTS = "value string, block int, n bigint, sents binary, toks binary, field string, part int"
+#: n, sents and toks: of a list, or of a block its sentences and, as sents, their numbers; texts, ends and paras only of a block: ids of its texts, where their sentences end, numbers of paragraphs.
+LIST = [("field", pa.string()), ("value", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("sents", pa.binary()), ("toks", pa.binary()), ("texts", pa.list_(pa.string())), ("ends", pa.binary()), ("paras", pa.binary())]
+MADE = "value string, block bigint, n bigint, sents binary, toks binary, texts array<string>, ends binary, paras binary, field string"
+LISTS = f"{MADE}, part int, run int"
+KEYS_OF = ("texts", "ends", "paras")
 
 
 class Step(NamedTuple):
@@ -75,31 +80,59 @@ def packed_all(x: np.ndarray, begins: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(data)])
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """Numbers as they are, after a byte that tells their width."""
+    width = 8 if int(x.min(initial=0)) < 0 else next(w for w in (1, 2, 4, 8) if int(x.max(initial=0)) < 1 << (8 * w - (w == 8)))
+    return bytes([width]) + x.astype(f"<{'i' if width == 8 else 'u'}{width}").tobytes()
+
+
+def widened(x: bytes) -> np.ndarray:
+    return np.frombuffer(x, f"<{'i' if x[0] == 8 else 'u'}{x[0]}", offset=1).astype(np.int64)
+
+
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sentences (with toks) in tables of ``BLOCK`` tokens at most, or of one sentence."""
+    held, n = [], 0
+    for b in batches:
+        ends, at = np.cumsum(pc.list_value_length(b.column("toks")).fill_null(0).to_numpy(zero_copy_only=False)), 0
+        while at < len(ends):
+            before = int(ends[at - 1]) if at else 0
+            to = max(int(np.searchsorted(ends, before + BLOCK - n, "right")), at if n else at + 1)
+            if to > at:
+                held.append(b.slice(at, to - at))
+                n += int(ends[to - 1]) - before
+            if to < len(ends):
+                yield pa.Table.from_batches(held)
+                held, n = [], 0
+            at = to
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def build(tokens: DataFrame | Corpus, path: str, fields: Sequence[str]) -> None:
-    """tokens: as in a corpus; ids of texts become strings. Writes ``path``/sentences and ``path``/lists; nothing is overwritten. A null is a value of no list.
+    """tokens: as in a corpus; ids of texts become strings. Writes ``path``/lists; nothing is overwritten. A null is a value of no list.
 
-    Sentences are dealt to their blocks as arrays, and a task makes all lists of a block, so no row for each token is shuffled.
+    Sentences become lists in the task that has them: neither tokens nor lists are shuffled or written twice.
     """
     keys = KEYS["sentence"]
     rows = tokens.tokens if isinstance(tokens, Corpus) else tokens
     if off := [f for f in fields if f not in rows.columns]:
         raise BadData(f"no such fields: {off}")
-    sents = gathered(tokens, fields).select(col("text_id").cast("string").alias("text_id"), *(col(k).cast("long").alias(k) for k in keys[1:]), "t")
-    blocks = -(-max(1, sents.agg(F.sum(F.size("t"))).first()[0] or 0) // BLOCK)
     values = [F.col("t").getField(f).cast("array<string>").alias(f"f{i}") for i, f in enumerate(fields)]
     toks = F.col("t").getField("tok_no").cast("array<bigint>").alias("toks")
-    sents = sents.select(*keys, F.size("t").cast("long").alias("size"), F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int").alias("block"), toks, *values)
-    # blocks are bounded, so a window over one is
-    sents = sents.select("*", F.expr(f"row_number() OVER (PARTITION BY block ORDER BY {', '.join(keys)})").alias("nr"))
-    scratch = Scratch(rows.sparkSession, "index")
-    sents = scratch.write(sents)
-    sents.select(*keys, "size", "nr", "block").repartition("block").write.mode("errorifexists").partitionBy("block").parquet(f"{path}/sentences")
-
-    def lists(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks().sort_by("nr")
+    sents = gathered(tokens, fields).select(col("text_id").cast("string").alias("text_id"), *(col(k).cast("long").alias(k) for k in keys[1:]), toks, *values)
+
+    def keys_of(t: pa.Table, block: int) -> pa.Table:
+        coded = t["text_id"].combine_chunks().dictionary_encode()
+        code = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        begins = np.flatnonzero(np.diff(code, prepend=-2))
+        ends = np.append(begins[1:], len(code))
+        row = {"block": block, "n": len(code), "sents": narrow(t["sent_no"].to_numpy()), "texts": t["text_id"].take(pa.array(begins)).to_pylist(), "ends": packed(ends), "paras": narrow(t["para_no"].to_numpy())}
+        return pa.Table.from_pylist([row], pa.schema(LIST))
+
+    def lists(t: pa.Table, block: int) -> Iterator[pa.Table]:
         toks = t["toks"].combine_chunks()
-        nr, tok = np.repeat(t["nr"].to_numpy().astype(np.int64), toks.value_lengths().to_numpy()), toks.flatten().to_numpy()
-        out = []
+        nr, tok = np.repeat(np.arange(len(t)), pc.list_value_length(toks).to_numpy(zero_copy_only=False)), toks.flatten().to_numpy()
         for i, f in enumerate(fields):
             coded = t[f"f{i}"].combine_chunks().flatten().dictionary_encode()
             code = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
@@ -113,19 +146,20 @@ def build(tokens: DataFrame | Corpus, path: str, fields: Sequence[str]) -> None:
             added -= np.repeat(added[begins] - tok[order[begins]], np.diff(begins, append=len(order)))
             n = np.diff(begins, append=len(order))
             value = coded.dictionary.take(pa.array(code[order[begins]]))
-            columns = [pa.array([f] * len(begins), pa.string()), value, pa.array(np.full(len(begins), t["block"][0].as_py(), np.int32)), pa.array(n), packed_all(nr[order], begins), packed_all(added, begins)]
-            out.append(pa.table(columns, names=["field", "value", "block", "n", "sents", "toks"]))
-        return pa.concat_tables(out) if out else pa.schema(LIST).empty_table()
-
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packs = sents.select("block", "nr", "toks", *(f"f{i}" for i in range(len(fields)))).repartition(parts, "block").groupBy("block").applyInArrow(lists, "field string, value string, block int, n bigint, sents binary, toks binary")
-    # lists of a frequent value are in a file for each ``TOGETHER`` blocks, so no task gets all of them
-    parted = packs.withColumn("part", _part(F.col("value"))).repartition("field", "part", F.floor(F.col("block") / TOGETHER)).sortWithinPartitions("field", "part", "value", "block")
-    parted.write.mode("errorifexists").partitionBy("field", "part").parquet(f"{path}/lists")
+            columns = [pa.array([f] * len(begins), pa.string()), value, pa.array(np.full(len(begins), block, np.int64)), pa.array(n), packed_all(nr[order], begins), packed_all(added, begins)]
+            columns += [pa.nulls(len(begins), kind) for _, kind in LIST[len(columns) :]]
+            yield pa.table(columns, schema=pa.schema(LIST))
 
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, names = TaskContext.get().partitionId() << 32, [x.split(" ")[0] for x in MADE.split(", ")]
+        for k, t in enumerate(blocks(batches)):
+            for made in (keys_of(t, first + k), *lists(t, first + k)):
+                yield from made.select(names).to_batches()
 
-def _sentences(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SENTENCES).parquet(f"{path}/sentences")
+    made = sents.mapInArrow(index, MADE)
+    # lists of a frequent value are in a file for each ``TOGETHER`` blocks of a task
+    parted = made.withColumns({"part": F.when(F.col("field").isNotNull(), _part(F.col("value"))), "run": F.when(F.col("field").isNotNull(), (F.col("block").bitwiseAND((1 << 32) - 1) / TOGETHER).cast("int"))})
+    parted.sortWithinPartitions("field", "part", "run", "value", "block").write.mode("errorifexists").partitionBy("field", "part", "run").parquet(f"{path}/lists")
 
 
 def lexicon(spark: SparkSession, path: str, field: str) -> DataFrame:
@@ -146,7 +180,7 @@ def _lists(spark: SparkSession, path: str, steps: Sequence[Step]) -> DataFrame:
                 values = [wanted] if isinstance(wanted, str) else list(dict.fromkeys(wanted))
                 one = [(F.col("part") == _part(F.lit(v))) & (F.col("value") == v) for v in values]
                 own = own.where(reduce(lambda a, b: a | b, one, F.lit(False)))
-            out.append(own.select("block", F.lit(s).alias("step"), F.lit(f).alias("nr"), "sents", "toks"))
+            out.append(own.select("block", F.lit(s).alias("step"), F.lit(f).alias("nr"), "sents", "toks", *KEYS_OF))
     return reduce(DataFrame.union, out)
 
 
@@ -156,7 +190,7 @@ def find(spark: SparkSession, path: str, steps: Sequence[Step]) -> DataFrame:
     gaps = [s.gap for s in steps]
 
     def meet(t: pa.Table) -> pa.Table:
-        block, step, nr = (t.column(c).to_numpy() for c in ("block", "step", "nr"))
+        step, nr = (t.column(c).to_numpy() for c in ("step", "nr"))
         sents, toks = t.column("sents").to_pylist(), t.column("toks").to_pylist()
         places: list[np.ndarray] = []
         for s, n in enumerate(wanted):
@@ -177,9 +211,12 @@ def find(spark: SparkSession, path: str, steps: Sequence[Step]) -> DataFrame:
             first, last = first[order], last[order]
             new = (np.diff(first, prepend=-1) != 0) | (np.diff(last, prepend=-1) != 0)
             first, last = first[new], last[new]
-        return pa.table({"block": pa.array(np.full(len(first), block[0]), pa.int32()), "nr": pa.array((first >> 32).astype(np.int32)), "first": pa.array(first & 0xFFFFFFFF), "last": pa.array(last & 0xFFFFFFFF)})
+        own, at = t.slice(int(np.flatnonzero(step < 0)[0]), 1).to_pylist()[0], first >> 32
+        text = pa.array(own["texts"], pa.string()).take(pa.array(np.searchsorted(unpacked(own["ends"]), at, "right")))
+        columns = [text, pa.array(widened(own["paras"])[at]), pa.array(widened(own["sents"])[at]), pa.array(first & 0xFFFFFFFF), pa.array(last & 0xFFFFFFFF)]
+        return pa.table(columns, names=[*KEYS["sentence"], "first", "last"])
 
     # lists are small beside what they unpack to, so their tasks aren't to be made fewer by size
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = _lists(spark, path, steps).repartition(parts, "block").groupBy("block").applyInArrow(meet, "block int, nr int, first bigint, last bigint")
-    return found.join(_sentences(spark, path), ["block", "nr"]).select(*KEYS["sentence"], "first", "last")
+    keys = spark.read.schema(LISTS).parquet(f"{path}/lists").where("field IS NULL").select("block", F.lit(-1).alias("step"), F.lit(0).alias("nr"), "sents", "toks", *KEYS_OF)
+    return _lists(spark, path, steps).union(keys).repartition(parts, "block").groupBy("block").applyInArrow(meet, "text_id string, para_no bigint, sent_no bigint, first bigint, last bigint")

@@ -115,3 +115,18 @@ def test_an_index_is_made_without_a_row_for_each_token(spark, tmp_path, monkeypa
     assert {r["value"]: r["freq"] for r in index.lexicon(spark, f"{tmp_path}/i", "word").collect()} == {"a": 160, "b": 80, "B": 40, "c": 40}
     found = index.find(spark, f"{tmp_path}/i", [index.Step({"word": "a"}), index.Step({"word": "b"}), index.Step({"word": "a"}, (0, 1))])
     assert sorted({(r["para_no"], r["sent_no"], r["first"], r["last"]) for r in found.collect()}) == [(1, 1, 1, 3)]
+
+
+def test_an_index_is_written_once_and_not_shuffled(spark, tmp_path, monkeypatch):
+    """build: what is written is the index only, where sentences are read; blocks end within texts and batches, texts may be null or without words, numbers may be large."""
+    plans, frame = [], type(spark.range(0))
+    monkeypatch.setattr(frame, "sortWithinPartitions", lambda self, *a, f=frame.sortWithinPartitions, **k: plans.append(self._jdf.queryExecution().executedPlan().toString()) or f(self, *a, **k))
+    monkeypatch.setattr(index, "BLOCK", 20)
+    docs = [(i, "\n" * 300 + "a b a. B a\nc a b" + ". x" * 300) for i in range(12)] + [(None, "a b. a b"), (90, None), (91, ""), (92, "a b a")]
+    corpus = C.from_texts(spark.createDataFrame(docs, "id long, text string").repartition(3), "id", "text")
+    index.build(corpus, f"{tmp_path}/i", ["word"])
+    assert len(plans) == 1 and "Exchange hash" not in plans[0] and [p.name for p in tmp_path.joinpath("i").iterdir()] == ["lists"]
+    rows = corpus.tokens.selectExpr("coalesce(cast(text_id AS string), '-')", "para_no", "sent_no", "tok_no", "word", "''").collect()
+    got = index.find(spark, f"{tmp_path}/i", [Step({"word": "a"}), Step({"word": "b"})]).selectExpr("coalesce(text_id, '-')", "para_no", "sent_no", "first", "last")
+    assert sorted(map(tuple, got.collect())) == brute(map(tuple, rows), [(lambda w, p: w == "a", None), (lambda w, p: w == "b", (0, 0))])
+    assert spark.read.schema(index.LISTS).parquet(f"{tmp_path}/i/lists").where("field IS NULL").agg(F.sum("n")).first()[0] == corpus.sentences.count()
