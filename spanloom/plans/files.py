@@ -41,10 +41,8 @@ def vertical_round_trip(spark, sf_dir):
     """Tokens of texts that were written as vertical text and read again; elements are numbered anew."""
     path = _folder(spark, "vertical")
     docs = table(spark, sf_dir, "documents").withColumn("key", F.col("doc_id").cast("string"))
-    C.write_vertical(C.from_texts(docs, "doc_id", "text", ["key", "source"]), path)
-    again = C.read_vertical(spark, path, ["word"])
-    keys = again.texts.select("text_id", F.col("attrs.key").alias("key"))
-    return again.tokens.join(keys, "text_id").select("key", "para_no", "sent_no", "tok_no", "word")
+    C.write_vertical(C.from_texts(docs, "doc_id", "text", ["key", "source"]), path, compression="gzip")
+    return C.read_vertical(spark, path, ["word"], of_text=["key"]).tokens.select("key", "para_no", "sent_no", "tok_no", "word")
 
 
 @query("SELECT lang, count(*) AS n FROM documents GROUP BY 1")

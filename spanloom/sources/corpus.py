@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import islice
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -132,7 +131,7 @@ def field_names(spark: SparkSession, path: str, lines: int = 100) -> list[str]:
     return [f"v{i}" for i in range(1, len(token.split("\t")) + 1)]
 
 
-#: Rows that a task holds while it parses texts, whatever their sizes.
+#: Tokens (and tags) that a task holds while it parses texts, whatever their sizes.
 ROWS = 20_000
 _ATTR = re.compile(r'([\w.-]+)="([^"]*)"')
 _ENTITY = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
@@ -142,68 +141,117 @@ def _plain(x: str) -> str:
     return re.sub("&(lt|gt|quot|apos|amp);", lambda m: _ENTITY[m[1]], x)
 
 
-def read_vertical(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> Corpus:
-    """Each text is a record of its own (cut at its end tag), parsed where it was read. text_id is the file and the text's place in it."""
+def read_vertical(spark: SparkSession, path: str, names: Sequence[str] | None = None, of_text: Sequence[str] = ()) -> Corpus:
+    """Each text is a record of its own (cut at its end tag), parsed where it was read. text_id is the file and the text's place in it.
+
+    ``of_text``: attributes of texts that their tokens have as fields, so that they need not be joined.
+    """
     names = list(names or field_names(spark, path))
+    if off := sorted({n for n in of_text if n in (*names, *KEYS["token"])}):
+        raise BadData(f"attributes with names of fields: {off}")
     rows = spark.read.option("lineSep", "</text>\n").text(path).select("value", F.concat_ws("#", F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0")).alias("text_id"))
-    out = "level string, text_id string, para_no long, sent_no long, tok_no long, attrs map<string,string>, fields array<string>"
+    out = "level string, text_id string, para_no long, sent_no long, tok_no long, attrs map<string,string>, own array<string>, t array<array<string>>"
     names_out = [x.split(" ")[0] for x in out.split(", ")]
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string())]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string()), pa.list_(pa.list_(pa.string()))]
 
     def parsed(value: str, text_id: str) -> Iterator[tuple]:
+        """Tags, and tokens of a sentence together, ``ROWS`` at most; tok_no is that of the first."""
         para = sent = tok = 0
+        own: list[str | None] = [None] * len(of_text)
+        held: list[list[str]] = []
+        tokens = lambda: ("token", text_id, para, sent, tok - len(held) + 1, [], own, held)
         for m in re.finditer(r"[^\n]+", value):  # line by line, without a list of them
             line = m[0].rstrip("\r")
             attrs = lambda: [(k, _plain(v)) for k, v in dict(_ATTR.findall(line)).items()]  # noqa: B023, E731
-            if line.startswith("<text"):
-                yield "text", text_id, 0, 0, 0, attrs(), []
-            elif line.startswith("<paragraph"):
-                para, sent, tok = para + 1, 0, 0
-                yield "paragraph", text_id, para, 0, 0, attrs(), []
-            elif line.startswith("<sentence"):
-                sent, tok = sent + 1, 0
-                yield "sentence", text_id, para, sent, 0, attrs(), []
-            elif line and not line.startswith("<"):
+            if line and not line.startswith("<"):
                 tok += 1
-                yield "token", text_id, para, sent, tok, [], [_plain(v) for v in line.split("\t")]
+                held.append([_plain(v) for v in line.split("\t")] if "&" in line else line.split("\t"))
+                if len(held) == ROWS:
+                    yield tokens()
+                    held = []
+            elif line.startswith(("<text", "<paragraph", "<sentence")):
+                if held:
+                    yield tokens()
+                    held = []
+                if line.startswith("<text"):
+                    found = attrs()
+                    own = [dict(found).get(n) for n in of_text]
+                    yield "text", text_id, 0, 0, 0, found, [], []
+                elif line.startswith("<paragraph"):
+                    para, sent, tok = para + 1, 0, 0
+                    yield "paragraph", text_id, para, 0, 0, attrs(), [], []
+                else:
+                    sent, tok = sent + 1, 0
+                    yield "sentence", text_id, para, sent, 0, attrs(), [], []
+        if held:
+            yield tokens()
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = (row for b in batches for value, text_id in zip(b.column(0), b.column(1), strict=True) for row in parsed(value.as_py(), text_id.as_py()))
-        while part := list(islice(found, ROWS)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*part, strict=True), kinds, strict=True)], names_out)
+        part, n = [], 0
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*part, strict=True), kinds, strict=True)], names_out)
+        for b in batches:
+            for value, text_id in zip(b.column(0), b.column(1), strict=True):
+                for row in parsed(value.as_py(), text_id.as_py()):
+                    part.append(row)
+                    n += max(1, len(row[-1]))
+                    if n >= ROWS:
+                        yield batch()
+                        part, n = [], 0
+        if part:
+            yield batch()
 
     lines = rows.mapInArrow(parse, out)
     of = lambda level: lines.where(F.col("level") == level)
-    whole = F.when(F.size("fields") == len(names), F.col("fields")).otherwise(F.raise_error(F.lit(f"a token doesn't have {len(names)} fields")).cast("array<string>"))
-    tokens = of("token").select(*KEYS["token"], whole.alias("f")).select(*KEYS["token"], *(F.element_at("f", i).alias(n) for i, n in enumerate(names, 1)))
+    whole = F.when(F.size("f") == len(names), F.col("f")).otherwise(F.raise_error(F.lit(f"a token doesn't have {len(names)} fields")).cast("array<string>"))
+    own = [F.get("own", F.lit(i)).alias(n) for i, n in enumerate(of_text)]
+    tokens = of("token").select(*KEYS["sentence"], "own", F.col("tok_no").alias("first"), F.posexplode("t").alias("i", "f")).select(*KEYS["sentence"], "own", (F.col("first") + F.col("i")).alias("tok_no"), whole.alias("f"))
+    tokens = tokens.select(*KEYS["token"], *(F.element_at("f", i).alias(n) for i, n in enumerate(names, 1)), *own)
     return Corpus(of("text").select("text_id", "attrs"), of("paragraph").select("text_id", "para_no", "attrs"), of("sentence").select(*KEYS["sentence"], "attrs"), tokens)
 
 
 def render_vertical(corpus: Corpus) -> DataFrame:
-    """value: each text as lines with tags, in one row; text_id orders the rows. A sentence is gathered, then a paragraph, then a text."""
+    """value: each text as lines with tags, in one row, in order of text_id over the partitions.
+
+    Elements of all levels, sentences as their lines, are dealt by ranges of texts once, and a sentence, then a paragraph, then a text is put together where it lies.
+    """
     token = lambda x: F.concat_ws("\t", *(T.escape_field(F.coalesce(x[f], F.lit("_"))) for f in corpus.fields))
-    joined = lambda df, keys, nr, value: df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(nr, F.col(value).alias("v")))).alias("l")).select(*keys, F.array_join(F.transform("l", lambda x: x["v"]), "\n").alias("body"))
-    body = gathered(corpus, corpus.fields).select(*KEYS["sentence"], F.array_join(F.transform("t", token), "\n").alias("body"))
-    for level, nr in (("sentence", "sent_no"), ("paragraph", "para_no"), ("text", None)):
-        keys = KEYS[level]
-        parts = corpus.level(level).join(body, keys, "left")
-        inner = F.when(F.col("body").isNotNull(), F.concat(F.col("body"), F.lit("\n"))).otherwise(F.lit(""))
-        parts = parts.select(*keys, F.concat(T.start_tag(level, F.col("attrs")), F.lit("\n"), inner, F.lit(f"</{level}>")).alias("line"))
-        if nr is None:
-            head = F.lit(f"<!-- #vrt positional-attributes: {' '.join(corpus.fields)} -->\n")
-            return parts.select("text_id", F.concat(head, "line").alias("value"))
-        body = joined(parts, keys[:-1], nr, "line")
-    raise AssertionError
-
-
-def write_vertical(corpus: Corpus, path: str, partition_by: str | None = None) -> None:
-    """Text files; with ``partition_by`` a text attribute's values are folders. Nothing is overwritten."""
+    none = lambda kind: F.lit(None).cast(kind)
+    keys = KEYS["sentence"]
+    kinds = dict(corpus.sentences.dtypes)
+    rows = gathered(corpus, corpus.fields).select(*keys, F.lit(3).alias("level"), none("string").alias("tag"), F.array_join(F.transform("t", token), "\n").alias("body"))
+    for n, level in enumerate(LEVELS, 1):
+        own = [F.col(k) if k in KEYS[level] else none(kinds[k]).alias(k) for k in keys]
+        rows = rows.union(corpus.level(level).select(*own, F.lit(n), T.start_tag(level, F.col("attrs")).alias("tag"), none("string")))
+    rows = rows.repartitionByRange("text_id")
+
+    def elements(level: str, inner: Column) -> Column:
+        """Lines of the elements with these keys: each start tag, and within it each body that there is."""
+        body = F.when(F.size(inner) > 0, inner).otherwise(F.array(none("string")))
+        return F.flatten(F.transform("tags", lambda t: F.transform(body, lambda x: F.concat(t, F.lit("\n"), F.coalesce(F.concat(x, F.lit("\n")), F.lit("")), F.lit(f"</{level}>")))))
+
+    sents = rows.groupBy(*keys, "level").agg(F.collect_list("tag").alias("tags"), F.collect_list("body").alias("bodies"))
+    sents = sents.select(*keys, "level", "tags", F.when(F.col("level") == 3, elements("sentence", F.col("bodies"))).alias("lines"))
+    joined = lambda of: F.when(F.size(of) > 0, F.array(F.array_join(F.flatten(F.transform(F.array_sort(of), lambda x: x["lines"])), "\n"))).alias("inner")
+    tags = lambda k: F.flatten(F.collect_list(F.when(F.col("level") == k, F.col("tags")))).alias("tags")
+    below = lambda k, nr: F.collect_list(F.when((F.col("level") == k) & (F.size("lines") > 0), F.struct(nr, "lines")))
+    paras = sents.groupBy("text_id", "para_no").agg(F.flatten(F.collect_list(F.when(F.col("level") < 3, F.col("tags")))).alias("tags"), below(3, "sent_no").alias("s"))
+    paras = paras.select("text_id", "para_no", "tags", joined(F.col("s")), F.when(F.col("para_no").isNotNull(), 2).otherwise(1).alias("level"))
+    paras = paras.select("text_id", "para_no", "tags", "level", F.when(F.col("level") == 2, elements("paragraph", F.col("inner"))).alias("lines"))
+    # a text whose id is null holds nothing
+    texts = paras.groupBy("text_id").agg(tags(1), below(2, "para_no").alias("s")).select("text_id", "tags", joined(F.when(F.col("text_id").isNotNull(), F.col("s"))))
+    head = F.lit(f"<!-- #vrt positional-attributes: {' '.join(corpus.fields)} -->\n")
+    lines = texts.select("text_id", F.explode(elements("text", F.col("inner"))).alias("line"))
+    return lines.sortWithinPartitions("text_id").select("text_id", F.concat(head, "line").alias("value"))
+
+
+def write_vertical(corpus: Corpus, path: str, partition_by: str | None = None, compression: str = "none") -> None:
+    """Text files, in order of text_id; with ``partition_by`` a text attribute's values are folders. Nothing is overwritten."""
     rows = render_vertical(corpus)
     if partition_by:
         rows = rows.join(corpus.texts.select("text_id", F.coalesce(F.col("attrs")[partition_by], F.lit("")).alias(partition_by)), "text_id")
-        rows.select("value", partition_by).write.mode("errorifexists").partitionBy(partition_by).text(path)
+        rows.select("value", partition_by).write.mode("errorifexists").option("compression", compression).partitionBy(partition_by).text(path)
     else:
-        rows.orderBy("text_id").select("value").write.mode("errorifexists").text(path)
+        rows.select("value").write.mode("errorifexists").option("compression", compression).text(path)
 
 
 def flat_sentences(corpus: Corpus, spans: DataFrame) -> DataFrame:
